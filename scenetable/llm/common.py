@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,3 +43,15 @@ def staged(df: DataFrame) -> DataFrame:
     path = shared_dir(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def sliced(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 6 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that `column` has at most so many bytes in each, or one row."""
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        part = (np.cumsum(size) - 1) // most_bytes
+        starts = np.flatnonzero(np.diff(part, prepend=part[0] - 1))
+        for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+            yield batch.slice(a, b - a)

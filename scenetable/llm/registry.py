@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import line_dedup
+from . import line_dedup, token_files
 
 _QUERIES = {
     "op6_line_dedup": line_dedup,
+    "op10_token_files": token_files,
 }
 
 
