@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import line_dedup, token_files
+from . import line_dedup, pii, token_files
 
 _QUERIES = {
+    "op2_pii": pii,
     "op6_line_dedup": line_dedup,
     "op10_token_files": token_files,
 }
