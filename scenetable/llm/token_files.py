@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .common import shared_dir, sliced, table
 
 #: Distinct chunks that a Python worker remembers before it starts afresh.
-CACHE_CHUNKS = 1_500_000
+CACHE_CHUNKS = 700_000
 #: Characters given to the tokenizer at a time when it encodes new chunks.
 JOINED_CHARS = 20_000
 #: A space before other white space or at the end: the white space of Unicode.
