@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import line_dedup, pii, token_files
+from . import line_dedup, pii, token_files, vp_search
 
 _QUERIES = {
     "op2_pii": pii,
+    "op3_vp_search": vp_search,
     "op6_line_dedup": line_dedup,
     "op10_token_files": token_files,
 }
