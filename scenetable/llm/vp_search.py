@@ -166,7 +166,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, relax: float =
     keyed = rows.select("vec_id", "embedding", F.size("embedding").alias("dims"), F.pmod(F.xxhash64("vec_id"), F.lit(shards)).alias("shard"), F.lit(largest or 0.0).alias("largest"))
     keyed = keyed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     dealt = asked.select("query_id", "embedding", F.size("embedding").alias("dims"), F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block"))
-    dealt = dealt.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).cast("long"))
+    dealt = dealt.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
     keys = ["dims", "shard", "block"]
     found = keyed.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInArrow(_searcher(k, relax), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
