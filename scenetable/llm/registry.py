@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import jaccard_join, line_dedup, pii, token_files, vp_search
+from . import decontaminate, jaccard_join, line_dedup, pii, token_files, vp_search
 
 _QUERIES = {
     "op2_pii": pii,
     "op3_vp_search": vp_search,
     "op5_jaccard_join": jaccard_join,
     "op6_line_dedup": line_dedup,
+    "op7_decontaminate": decontaminate,
     "op10_token_files": token_files,
 }
 
