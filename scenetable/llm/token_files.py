@@ -155,7 +155,7 @@ def write_tokens(
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(tokenizer)
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "text", 2 << 20):
             texts = pc.fill_null(batch.column("text"), "")
             if len(texts):
                 ids, counts = tool.encode(texts, end)
