@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, jaccard_join, line_dedup, pii, token_files, vp_search
+from . import decontaminate, jaccard_join, line_dedup, pii, token_files, toxicity, vp_search
 
 _QUERIES = {
     "op2_pii": pii,
@@ -10,6 +10,7 @@ _QUERIES = {
     "op5_jaccard_join": jaccard_join,
     "op6_line_dedup": line_dedup,
     "op7_decontaminate": decontaminate,
+    "op9_toxicity": toxicity,
     "op10_token_files": token_files,
 }
 
