@@ -192,13 +192,18 @@ class Network:
             self.p[k] -= rate * (m / (1 - 0.9**i)) / (np.sqrt(v / (1 - 0.99**i)) + 1e-6)
 
 
-def _odds(buckets: np.ndarray, docs: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Log odds of toxic among the documents that hold a bucket, shrunk to the mean by four documents."""
-    pairs = np.unique(buckets * np.int64(1 << 31) + docs)
-    held, toxic = pairs >> 31, y[pairs & ((1 << 31) - 1)]
+def _odds(seen: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> np.ndarray:
+    """Log odds of toxic among the documents that hold a bucket, shrunk to the mean by four documents.
+
+    `seen` has arrays of buckets and of the documents that hold them.
+    """
     rate = float(np.clip(y.mean(), 0.01, 0.99))
-    pos = np.bincount(held, weights=toxic, minlength=BUCKETS) + 4 * rate
-    neg = np.bincount(held, weights=1 - toxic, minlength=BUCKETS) + 4 * (1 - rate)
+    pos, neg = np.full(BUCKETS, 4 * rate), np.full(BUCKETS, 4 * (1 - rate))
+    for buckets, docs in seen:
+        pairs = np.unique(buckets << 31 | docs)
+        held, toxic = pairs >> 31, y[pairs & ((1 << 31) - 1)]
+        pos += np.bincount(held, weights=toxic, minlength=BUCKETS)
+        neg += np.bincount(held, weights=1 - toxic, minlength=BUCKETS)
     return (np.log(pos / neg) - np.log(rate / (1 - rate))).astype(np.float32)
 
 
@@ -215,8 +220,9 @@ def train(texts: list[str], labels: list[int], prior: float, epochs: int = 4, se
         return Network.fresh(np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32))
     bucket, runs, there, place = features(words)
     doc = np.repeat(np.arange(len(texts)), np.diff(words.begin))
-    run_docs = np.repeat(doc, len(RUNS))[there[place].ravel()]
-    net = Network.fresh(_odds(bucket[place], doc, y), _odds(runs[place].ravel()[there[place].ravel()], run_docs, y))
+    by_run = [(runs[place[there[place, i]], i], doc[there[place, i]]) for i in range(len(RUNS))]
+    net = Network.fresh(_odds([(bucket[place], doc)], y), _odds(by_run, y))
+    del by_run
     starts, at = windows(words.begin)
     ends = np.repeat(words.begin[1:], np.diff(at))
     odds = net.p["word"][bucket, 0] + np.where(there, net.p["char"][runs, 0], 0).max(axis=1)
@@ -270,25 +276,29 @@ def _logistic(x: np.ndarray, y: np.ndarray, prior: float, steps: int = 50) -> tu
     return float(max(a, 0.05)), float(b)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labelled rows that may be learned from: crc32(doc_id as text) mod 4 is not 2."""
-    known = labels.where(F.col("toxic").isNotNull()).select("doc_id", "toxic").dropDuplicates(["doc_id"])
+def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list, float]:
+    """Rows (text, toxic) to learn from, and the share of toxic among all labelled rows that are open to learning.
+
+    Open are rows whose crc32(doc_id as text) mod 4 is not 2. Only ids and lengths are joined to
+    the labels; the chosen rows, TRAIN_TOXIC and TRAIN_CLEAN at most of up to TRAIN_CHARS
+    characters, by a hash of doc_id, are then picked out of the texts by their ids.
+    """
     open_ = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2
-    return docs.select("doc_id", "text").where(open_ & F.col("text").isNotNull()).join(known.where(open_), "doc_id")
+    known = labels.where(open_ & F.col("toxic").isNotNull()).select("doc_id", "toxic").dropDuplicates(["doc_id"])
+    rows = docs.where(open_ & F.col("text").isNotNull()).select("doc_id", F.char_length("text").alias("n")).dropDuplicates(["doc_id"]).join(known, "doc_id")
+    n, toxic = rows.agg(F.count("*"), F.sum("toxic")).first()
+    small = rows.where(F.col("n") <= TRAIN_CHARS).orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = {r.doc_id: r.toxic for y, most in ((1, TRAIN_TOXIC), (0, TRAIN_CLEAN)) for r in small.where(F.col("toxic") == y).limit(most).collect()}
+    if len(set(chosen.values())) < 2:
+        return [], 0.0
+    texts = docs.where(F.col("doc_id").isin(list(chosen))).select("doc_id", "text").where(F.char_length("text") <= TRAIN_CHARS).dropDuplicates(["doc_id"]).collect()
+    return [(r.text, chosen[r.doc_id]) for r in sorted(texts, key=lambda r: r.doc_id)], toxic / n
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Network:
-    """A network from the sample: TRAIN_TOXIC and TRAIN_CLEAN rows of up to TRAIN_CHARS characters, by a hash of doc_id.
-
-    Without labels of both kinds the network is untrained and gives every text the same score.
-    """
-    rows = training_rows(docs, labels)
-    small = rows.where(F.char_length("text") <= TRAIN_CHARS).withColumn("h", F.xxhash64("doc_id"))
-    n, toxic = rows.agg(F.count("*"), F.sum("toxic")).first()
-    some = small.where("toxic = 1").orderBy("h", "doc_id").limit(TRAIN_TOXIC).union(small.where("toxic = 0").orderBy("h", "doc_id").limit(TRAIN_CLEAN)).collect()
-    if not toxic or toxic == n or len({r.toxic for r in some}) < 2:
-        return Network.fresh(np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32))
-    return train([r.text for r in some], [r.toxic for r in some], toxic / n)
+    """A network from the sample. Without labels of both kinds it is untrained and gives every text the same score."""
+    rows, prior = training_sample(docs, labels)
+    return train([t for t, _ in rows], [y for _, y in rows], prior)
 
 
 def scored(docs: DataFrame, net: Network) -> DataFrame:
