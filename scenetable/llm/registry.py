@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, jaccard_join, line_dedup, pii, token_files, toxicity, vp_search
+from . import decontaminate, jaccard_join, line_dedup, nbest_pieces, pii, token_files, toxicity, vp_search
 
 _QUERIES = {
     "op2_pii": pii,
     "op3_vp_search": vp_search,
+    "op4_nbest_pieces": nbest_pieces,
     "op5_jaccard_join": jaccard_join,
     "op6_line_dedup": line_dedup,
     "op7_decontaminate": decontaminate,
