@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, jaccard_join, line_dedup, nbest_pieces, pii, token_files, toxicity, vp_search
+from . import decontaminate, jaccard_join, line_dedup, main_text, nbest_pieces, pii, token_files, toxicity, vp_search
 
 _QUERIES = {
+    "op1_main_text": main_text,
     "op2_pii": pii,
     "op3_vp_search": vp_search,
     "op4_nbest_pieces": nbest_pieces,
