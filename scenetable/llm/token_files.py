@@ -104,7 +104,11 @@ class ChunkEncoder:
         begin = np.where(at < 0, 0, ends[at])
         length = np.where(at < 0, 0, ends[at + 1] - begin)
         per_text = np.add.reduceat(length, starts)
-        flat = ids[np.repeat(begin - (np.cumsum(length) - length), length) + np.arange(length.sum())]
+        begin -= np.cumsum(length) - length
+        index = np.repeat(begin.astype(np.int32), length)
+        index += np.arange(len(index), dtype=np.int32)
+        flat = ids[index]
+        del at, begin, length, index
         odd = np.flatnonzero(whole)
         if len(odd):
             found = self.tokenizer.encode_batch_fast(texts.take(pa.array(odd)).to_pylist(), add_special_tokens=False)
@@ -115,9 +119,9 @@ class ChunkEncoder:
                 last = begins[i]
                 per_text[i] = len(e.ids)
             flat = np.concatenate([*pieces, flat[last:]])
-        out = np.full(len(flat) + n, end, np.int32)
+        stops = np.cumsum(per_text)
+        out = np.insert(flat, stops, end)
         counts = per_text + 1
-        out[np.arange(len(flat)) + np.repeat(np.arange(n), per_text)] = flat
         return out, counts
 
 
@@ -155,7 +159,7 @@ def write_tokens(
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(tokenizer)
-        for batch in sliced(batches, "text", 2 << 20):
+        for batch in sliced(batches, "text", 4 << 20):
             texts = pc.fill_null(batch.column("text"), "")
             if len(texts):
                 ids, counts = tool.encode(texts, end)
@@ -164,19 +168,21 @@ def write_tokens(
     kind = dict(docs.dtypes)["doc_id"]
     ordered = docs.select("doc_id", "text").repartitionByRange(F.asc_nulls_first("doc_id")).sortWithinPartitions(F.asc_nulls_first("doc_id"))
     rows = ordered.withColumn("part", F.spark_partition_id()).mapInArrow(encoded, f"doc_id {kind}, part int, n_tokens long, ids array<int>")
-    options = {"parquet.block.size": row_group_bytes, "parquet.page.size": page_bytes, "parquet.enable.dictionary": encoding == "dictionary", "parquet.dictionary.page.size": 1 << 20, "compression": "zstd"}
+    options = {"parquet.block.size": row_group_bytes, "parquet.page.size": page_bytes, "parquet.enable.dictionary": encoding == "dictionary", "parquet.dictionary.page.size": 1 << 20, "compression": "snappy"}
     if encoding == "delta":
         options["parquet.writer.version"] = "PARQUET_2_0"
     rows.write.options(**{k: str(v).lower() for k, v in options.items()}).parquet(path)
 
 
-def with_starts(rows: DataFrame) -> DataFrame:
+def with_starts(rows: DataFrame, files: DataFrame) -> DataFrame:
     """Add `start`, the number of ids before each document, to rows with doc_id, part and n_tokens.
 
+    `files` are the rows of the files, of which only part and n_tokens are read.
+
     Starts come from per-part totals (one row a file) and a running sum inside each part, so
     no task sees more than one file's counts. Repeated doc_ids get starts in any order.
     """
-    totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("t"))
+    totals = files.groupBy("part").agg(F.sum("n_tokens").alias("t"))
     before = totals.select("part", (F.sum("t").over(Window.orderBy("part")) - F.col("t")).alias("before"))
     inside = Window.partitionBy("part").orderBy(F.asc_nulls_first("doc_id")).rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("before") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))
@@ -203,4 +209,5 @@ def query(spark, sf_dir):
 
     path = shared_dir(spark)
     write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
-    return with_starts(token_digests(spark.read.parquet(path))).select("doc_id", "start", "n_tokens", "ids_crc32")
+    files = spark.read.parquet(path)
+    return with_starts(token_digests(files), files).select("doc_id", "start", "n_tokens", "ids_crc32")
