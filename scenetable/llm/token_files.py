@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -41,6 +42,7 @@ class ChunkEncoder:
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for every core; threads would each keep memory
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -159,7 +161,7 @@ def write_tokens(
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(tokenizer)
-        for batch in sliced(batches, "text", 4 << 20):
+        for batch in sliced(batches, "text", 2 << 20):
             texts = pc.fill_null(batch.column("text"), "")
             if len(texts):
                 ids, counts = tool.encode(texts, end)
@@ -196,7 +198,7 @@ def token_digests(rows: DataFrame) -> DataFrame:
         for batch in batches:
             lists = batch.column("ids")
             at = lists.offsets.to_numpy()
-            values = lists.values.to_numpy(zero_copy_only=False).astype("<u4")
+            values = lists.values.to_numpy(zero_copy_only=False).astype("<i4", copy=False)
             crc = [zlib.crc32(values[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("part"), pa.array(np.diff(at), pa.int64()), pa.array(crc, pa.int64())], names=["doc_id", "part", "n_tokens", "ids_crc32"])
 
