@@ -123,17 +123,26 @@ def blocks(html: str) -> list[tuple[str, bool, list[int]]]:
 
 
 def page_blocks(pages: DataFrame) -> DataFrame:
-    """`pages` (page_id, url, html, ...) to page_id, url, host and blocks (array<struct<text, own, marks>>)."""
+    """`pages` (page_id, url, html, ...) to page_id, url, host (hashed), marks and blocks.
+
+    marks are the hashes of all subtrees with text; blocks, array<struct<text, marks>>, are the
+    article's, with the subtrees that each is in.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("text", pa.string()), ("own", pa.bool_()), ("marks", pa.list_(pa.int64()))]))
+        kind = pa.list_(pa.struct([("text", pa.string()), ("marks", pa.list_(pa.int64()))]))
         for batch in sliced(batches, "html"):
             urls = batch.column("url")
-            found = [[{"text": t.encode("utf-8", "replace").decode(), "own": o, "marks": x} for t, o, x in blocks(h or "")] for h in batch.column("html").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), urls, pa.array([_host(u) for u in urls.to_pylist()], pa.string()), pa.array(found, kind)], names=["page_id", "url", "host", "blocks"])
+            hosts, marks, found = [], [], []
+            for url, html in zip(urls.to_pylist(), batch.column("html").to_pylist(), strict=True):
+                page = blocks(html or "")
+                hosts.append(int.from_bytes(hashlib.blake2b(_host(url).encode(), digest_size=8).digest(), "little", signed=True))
+                marks.append(list({m for _, _, held in page for m in held}))
+                found.append([{"text": t.encode("utf-8", "replace").decode(), "marks": held} for t, own, held in page if own])
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), urls, pa.array(hosts, pa.int64()), pa.array(marks, pa.list_(pa.int64())), pa.array(found, kind)], names=["page_id", "url", "host", "marks", "blocks"])
 
     id_kind = dict(pages.dtypes)["page_id"]
-    return pages.select("page_id", "url", "html").mapInArrow(emit, f"page_id {id_kind}, url string, host string, blocks array<struct<text:string,own:boolean,marks:array<long>>>")
+    return pages.select("page_id", "url", "html").mapInArrow(emit, f"page_id {id_kind}, url string, host long, marks array<long>, blocks array<struct<text:string,marks:array<long>>>")
 
 
 def main_text(pages: DataFrame, min_pages: int = 3, min_share: float = 0.1) -> DataFrame:
@@ -152,14 +161,18 @@ def main_text(pages: DataFrame, min_pages: int = 3, min_share: float = 0.1) -> D
     Empty input: empty output.
     """
     parsed = staged(page_blocks(pages).withColumn("row", F.monotonically_increasing_id()))
-    marks = parsed.select("row", "host", F.explode(F.array_distinct(F.flatten("blocks.marks"))).alias("mark"))
+    marks = parsed.select("row", "host", F.explode("marks").alias("mark"))
     sizes = parsed.groupBy("host").agg(F.count("*").alias("n_host"))
     often = marks.groupBy("host", "mark").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages).join(sizes, "host").where(F.col("n") >= F.col("n_host") * min_share)
     often = staged(often.select("host", "mark"))
-    per_page = marks.join(often, ["host", "mark"]).groupBy("row").agg(F.collect_set("mark").alias("template"))
-    kept = F.filter("blocks", lambda b: b["own"] & ~F.arrays_overlap(b["marks"], F.coalesce("template", F.array().cast("array<long>"))))
-    out = parsed.join(per_page.hint("shuffle_hash"), "row", "left")
-    return out.select("page_id", "url", F.array_join(F.transform(kept, lambda b: b["text"]), "\n").alias("text"))
+    # only pages whose article has marked blocks need to hear what is template
+    marked = F.exists("blocks", lambda b: F.size(b["marks"]) > 0)
+    own = parsed.where(marked).select("row", "host", F.explode(F.array_distinct(F.flatten("blocks.marks"))).alias("mark"))
+    per_page = own.join(often, ["host", "mark"]).groupBy("row").agg(F.collect_set("mark").alias("template"))
+    heard = parsed.where(marked).join(per_page.hint("shuffle_hash"), "row", "left")
+    kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b["marks"], F.coalesce("template", F.array().cast("array<long>"))))
+    text = lambda held: F.array_join(F.transform(held, lambda b: b["text"]), "\n").alias("text")
+    return heard.select("page_id", "url", text(kept)).union(parsed.where(~marked).select("page_id", "url", text(F.col("blocks"))))
 
 
 def query(spark, sf_dir):
