@@ -23,7 +23,7 @@ from .shingles import mix
 
 LENGTH, GRAM = 50, 24
 #: Bytes of text in a block, and about as many in what a range's task gets at a time.
-BLOCK_BYTES, RANGE_BYTES = 2 << 20, 4 << 20
+BLOCK_BYTES, RANGE_BYTES = 1 << 20, 3 << 20
 #: Suffixes are sorted by so many bytes first; ties are told apart by ranks of the cover sample.
 PERIOD = 16
 _WORDS = -(-LENGTH // 8)
