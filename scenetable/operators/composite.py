@@ -14,7 +14,7 @@ def layer_composite(source: DataFrame, removal: DataFrame, layers: DataFrame, ba
     Pixels outside `removal` keep their value. The background is tried where no layer reaches. Returns
     v and label: source, layer:<name>, background or unresolved; every pixel has one label.
     """
-    near = layers.where(F.col("depth") > 0).groupBy(*KEYS).agg(F.min_by(F.struct("v", "layer"), F.struct("depth", "layer")).alias("n"))
+    near = layers.where(F.col("depth") > 0).groupBy(*KEYS).agg(F.min_by(F.struct("v", "layer"), F.struct("depth", "layer", "v")).alias("n"))
     rows = source.join(removal.select(*KEYS).distinct().withColumn("gone", F.lit(True)), KEYS, "left").join(near, KEYS, "left")
     if background is not None:
         rows = rows.join(background.select(*KEYS, F.col("v").alias("bg")), KEYS, "left")

@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .common import small
 
@@ -17,7 +18,7 @@ LOCATION = r"where|location|located|position|在哪|哪里|位置|哪儿"
 ORDINALS = {"first": 1, "second": 2, "third": 3, "fourth": 4, "fifth": 5, "第一": 1, "第二": 2, "第三": 3, "第四": 4, "第五": 5}
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _compatible(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else "".join(c for c in unicodedata.normalize("NFKC", t).casefold() if c.isalnum()))
 

@@ -66,8 +66,9 @@ def split_by_boxes(points: DataFrame, boxes: DataFrame) -> DataFrame:
     Returns point_id, label (null outside all boxes) and n_boxes, one row a point.
     """
     cx, cy = (F.col("x0") + F.col("x1")) / 2, (F.col("y0") + F.col("y1")) / 2
-    off = F.pow((F.col("u") - cx) / (F.col("x1") - F.col("x0")), 2) + F.pow((F.col("v") - cy) / (F.col("y1") - F.col("y0")), 2)
+    du, dv = (F.col("u") - cx) / (F.col("x1") - F.col("x0")), (F.col("v") - cy) / (F.col("y1") - F.col("y0"))
+    off = du * du + dv * dv
     inside = F.col("u").between(F.col("x0"), F.col("x1")) & F.col("v").between(F.col("y0"), F.col("y1"))
     held = points.join(small(boxes), inside, "left")
-    ranked = held.groupBy("point_id").agg(F.min_by("mask", F.struct(off - F.col("score") * 1e-9, "mask")).alias("label"), F.count("mask").alias("n_boxes"))
+    ranked = held.groupBy("point_id").agg(F.min_by("mask", F.when(F.col("mask").isNotNull(), F.struct(off - F.col("score") * 1e-9, "mask"))).alias("label"), F.count("mask").alias("n_boxes"))
     return ranked

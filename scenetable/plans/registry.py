@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES: tuple = ()
+from . import evidence, imaging, views
+
+_MODULES = (views, imaging, evidence)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
