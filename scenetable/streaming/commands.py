@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pandas as pd
@@ -50,31 +51,40 @@ def track_boxes(boxes: DataFrame, max_cost: float = 1.0) -> DataFrame:
     Cost: centre shift over the last diagonal + 0.25 |log size change|. A frame no later than the last is
     "late", one without a box under `max_cost` is "lost" and leaves the state. Runs on streams and batches.
     """
-    import math
+    kind = dict(boxes.dtypes)["track"]
+    schema = f"track {kind}, seq long, box_id long, cost double, status string"
 
-    def step(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get if state.exists else None
+    def follow(track, boxes_: pd.DataFrame, last: tuple | None) -> tuple[pd.DataFrame, tuple | None]:
         out = []
-        for seq, frame in pd.concat(list(pdfs)).sort_values(["seq", "box_id"]).groupby("seq"):
-            if last is None:
-                best, cost = next(frame.itertuples()), 0.0
-            elif seq <= last[0]:
-                out.append((key[0], int(seq), None, None, "late"))
+        for seq, frame in boxes_.sort_values(["seq", "box_id"]).groupby("seq"):
+            if last is not None and seq <= last[0]:
+                out.append((track, int(seq), None, None, "late"))
                 continue
-            else:
-                costs = [(math.hypot(r.bx - last[1], r.by - last[2]) / math.hypot(last[3], last[4]) + 0.25 * abs(math.log(r.bw * r.bh / (last[3] * last[4]))), r) for r in frame.itertuples()]
-                cost, best = min(costs, key=lambda c: (c[0], c[1].box_id))
+            cost, best = 0.0, next(frame.itertuples())
+            if last is not None:
+                cost, best = min(((_cost(r, last), r) for r in frame.itertuples()), key=lambda c: (c[0], c[1].box_id))
             if cost > max_cost:
-                out.append((key[0], int(seq), None, float(cost), "lost"))
+                out.append((track, int(seq), None, float(cost), "lost"))
                 continue
             last = (int(seq), float(best.bx), float(best.by), float(best.bw), float(best.bh))
-            out.append((key[0], int(seq), int(best.box_id), float(cost), "tracked"))
+            out.append((track, int(seq), int(best.box_id), float(cost), "tracked"))
+        return pd.DataFrame(out, columns=["track", "seq", "box_id", "cost", "status"]).astype({"box_id": "Int64"}), last
+
+    if not boxes.isStreaming:
+        return boxes.groupBy("track").applyInPandas(lambda key, pdf: follow(key[0], pdf, None)[0], schema)
+
+    def step(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        out, last = follow(key[0], pd.concat(list(pdfs)), state.get if state.exists else None)
         if last is not None:
             state.update(last)
-        yield pd.DataFrame(out, columns=["track", "seq", "box_id", "cost", "status"]).astype({"box_id": "Int64"})
+        yield out
 
-    kind = dict(boxes.dtypes)["track"]
-    return boxes.groupBy("track").applyInPandasWithState(step, f"track {kind}, seq long, box_id long, cost double, status string", _BOX, "append", GroupStateTimeout.NoTimeout)
+    return boxes.groupBy("track").applyInPandasWithState(step, schema, _BOX, "append", GroupStateTimeout.NoTimeout)
+
+
+def _cost(box, last: tuple) -> float:
+    """Of a box after the last one (seq, x, y, width, height)."""
+    return math.hypot(box.bx - last[1], box.by - last[2]) / math.hypot(last[3], last[4]) + 0.25 * abs(math.log(box.bw * box.bh / (last[3] * last[4])))
 
 
 def gate_board(reports: DataFrame, delay: str | None = None) -> DataFrame:
