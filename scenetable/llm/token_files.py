@@ -170,10 +170,10 @@ def write_tokens(
     kind = dict(docs.dtypes)["doc_id"]
     ordered = docs.select("doc_id", "text").repartitionByRange(F.asc_nulls_first("doc_id")).sortWithinPartitions(F.asc_nulls_first("doc_id"))
     rows = ordered.withColumn("part", F.spark_partition_id()).mapInArrow(encoded, f"doc_id {kind}, part int, n_tokens long, ids array<int>")
-    options = {"parquet.block.size": row_group_bytes, "parquet.page.size": page_bytes, "parquet.enable.dictionary": encoding == "dictionary", "parquet.dictionary.page.size": 1 << 20, "compression": "snappy"}
+    options = {"parquet.block.size": row_group_bytes, "parquet.page.size": page_bytes, "parquet.enable.dictionary": "true" if encoding == "dictionary" else "false", "parquet.dictionary.page.size": 1 << 20, "compression": "snappy"}
     if encoding == "delta":
         options["parquet.writer.version"] = "PARQUET_2_0"
-    rows.write.options(**{k: str(v).lower() for k, v in options.items()}).parquet(path)
+    rows.write.options(**{k: str(v) for k, v in options.items()}).parquet(path)
 
 
 def with_starts(rows: DataFrame, files: DataFrame) -> DataFrame:
