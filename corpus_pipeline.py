@@ -30,10 +30,14 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8): the smallest doc_id."""
+    """One document of each group of near copies (five-word shingles, similarity 0.8): the smallest doc_id.
+
+    Documents with a null doc_id stay, as nothing names them.
+    """
     groups = jaccard_join.jaccard_join(docs, words=5, percent=80)
     kept = groups.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    named = docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    return named.unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

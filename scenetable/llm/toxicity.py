@@ -26,6 +26,8 @@ HIDDEN, WORD_DIMS, CHAR_DIMS, BUCKETS = 8, 6, 6, 1 << 15
 RUNS = (2, 3, 4, 5, 6, 7, 8)
 #: The bounded sample that labels are learned from: rows of each label, and their longest text.
 TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS = 1200, 2000, 20_000
+#: Sample documents that a bucket must be in to have an embedding.
+FREQUENT = 4
 
 
 def features(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -192,10 +194,11 @@ class Network:
             self.p[k] -= rate * (m / (1 - 0.9**i)) / (np.sqrt(v / (1 - 0.99**i)) + 1e-6)
 
 
-def _odds(seen: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> np.ndarray:
+def _odds(seen: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Log odds of toxic among the documents that hold a bucket, shrunk to the mean by four documents.
 
-    `seen` has arrays of buckets and of the documents that hold them.
+    `seen` has arrays of buckets and of the documents that hold them. Buckets of fewer than
+    FREQUENT documents say more about the sample than about words: they get 0.
     """
     rate = float(np.clip(y.mean(), 0.01, 0.99))
     pos, neg = np.full(BUCKETS, 4 * rate), np.full(BUCKETS, 4 * (1 - rate))
@@ -204,10 +207,11 @@ def _odds(seen: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> np.ndarra
         held, toxic = pairs >> 31, y[pairs & ((1 << 31) - 1)]
         pos += np.bincount(held, weights=toxic, minlength=BUCKETS)
         neg += np.bincount(held, weights=1 - toxic, minlength=BUCKETS)
-    return (np.log(pos / neg) - np.log(rate / (1 - rate))).astype(np.float32)
+    often = pos + neg - 4 >= FREQUENT
+    return np.where(often, np.log(pos / neg) - np.log(rate / (1 - rate)), 0).astype(np.float32), often
 
 
-def train(texts: list[str], labels: list[int], prior: float, epochs: int = 4, seed: int = 5) -> Network:
+def train(texts: list[str], labels: list[int], prior: float, epochs: int = 4, least_steps: int = 320, seed: int = 5) -> Network:
     """A network from labelled texts; `prior` is the share of toxic ones among all labelled rows.
 
     A label holds for some window of a text. The windows of highest summed log odds, two a
@@ -221,7 +225,9 @@ def train(texts: list[str], labels: list[int], prior: float, epochs: int = 4, se
     bucket, runs, there, place = features(words)
     doc = np.repeat(np.arange(len(texts)), np.diff(words.begin))
     by_run = [(runs[place[there[place, i]], i], doc[there[place, i]]) for i in range(len(RUNS))]
-    net = Network.fresh(_odds([(bucket[place], doc)], y), _odds(by_run, y))
+    (word_odds, word_often), (run_odds, run_often) = _odds([(bucket[place], doc)], y), _odds(by_run, y)
+    net = Network.fresh(word_odds, run_odds)
+    net.p["word"][~word_often], net.p["char"][~run_often] = 0, 0
     del by_run
     starts, at = windows(words.begin)
     ends = np.repeat(words.begin[1:], np.diff(at))
@@ -239,8 +245,9 @@ def train(texts: list[str], labels: list[int], prior: float, epochs: int = 4, se
     chosen, truth = np.array(chosen), np.array(truth, np.float32)
     weight = np.where(truth > 0, len(truth) / max(1.0, 2 * truth.sum()), len(truth) / max(1.0, 2 * (1 - truth).sum())).astype(np.float32)
     moments: dict = {}
-    i = 0
-    for epoch in range(epochs):
+    i, batches = 0, -(-len(chosen) // 128)
+    rounds = max(epochs, -(-least_steps // batches))  # small samples are gone through more often
+    for _ in range(rounds):
         order = rng.permutation(len(chosen))
         for a in range(0, len(order), 128):
             some = chosen[order[a : a + 128]]
@@ -249,13 +256,15 @@ def train(texts: list[str], labels: list[int], prior: float, epochs: int = 4, se
             w = place[np.minimum(where, len(place) - 1)]
             g, dx = net.gradients(bucket[w], runs[w], there[w], mask, truth[order[a : a + 128]], weight[order[a : a + 128]])
             i += 1
-            net.step(g, moments, 0.01, i)
-            rate = np.float32(0.5 * 0.7**epoch)
+            left = max(0.1, 1 - i / (rounds * batches))
+            net.step(g, moments, 0.01 * left, i)
+            rate = np.float32(0.5 * left)
             flat = dx.reshape(-1, dx.shape[2])
             np.add.at(net.p["word"], bucket[w].ravel(), -rate * flat[:, :WORD_DIMS])
             share = there[w].reshape(-1, len(RUNS)) / np.maximum(1, there[w].reshape(-1, len(RUNS)).sum(axis=1, keepdims=True))
             for k in range(len(RUNS)):
                 np.add.at(net.p["char"], runs[w].reshape(-1, len(RUNS))[:, k], -rate * flat[:, WORD_DIMS:] * share[:, k : k + 1].astype(np.float32))
+            net.p["word"][~word_often], net.p["char"][~run_often] = 0, 0  # rare ones stay without a meaning
     top = np.maximum.reduceat(net.logits(net.inputs(bucket, runs, there), place, starts, ends), at[:-1])
     net.scale = _logistic(top.astype(float), y.astype(float), prior)
     return net
