@@ -221,7 +221,9 @@ def train(texts: list[str], labels: list[int], prior: float, epochs: int = 4, le
     y = np.array(labels, np.float32)
     words = Words(pa.array(texts, pa.string()))
     if not len(words.hashes) or not len(y):
-        return Network.fresh(np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32))
+        net = Network.fresh(np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32))
+        net.scale = (0.0, -5.0)  # nothing known: every text alike, and none toxic
+        return net
     bucket, runs, there, place = features(words)
     doc = np.repeat(np.arange(len(texts)), np.diff(words.begin))
     by_run = [(runs[place[there[place, i]], i], doc[there[place, i]]) for i in range(len(RUNS))]
