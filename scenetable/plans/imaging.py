@@ -142,9 +142,9 @@ ORACLE = {
     "seam_jump_p95": f"""WITH i AS (SELECT frame_id, y, x, v, d > 0.06e0 AS m FROM ({D.IMAGE})), j AS (
       SELECT a.frame_id, abs(a.v - b.v) AS jump FROM i a JOIN i b ON a.frame_id = b.frame_id AND ((a.y = b.y AND b.x = a.x + 1) OR (a.x = b.x AND b.y = a.y + 1)) AND a.m <> b.m)
       SELECT frame_id, count(*) AS n, round(avg(jump), 6) AS mean, round(quantile_cont(jump, 0.95), 6) AS p95 FROM j GROUP BY 1""",
-    "texture_energy_ratio": f"""WITH i AS ({D.IMAGE}), l AS (SELECT c.frame_id, CASE WHEN c.d > 0.06e0 THEN 'core' ELSE 'ring' END AS region, a.v + b.v + u.v + w.v - 4 * c.v AS lap FROM i c
-        JOIN i a ON a.frame_id = c.frame_id AND a.y = c.y AND a.x = c.x - 1 JOIN i b ON b.frame_id = c.frame_id AND b.y = c.y AND b.x = c.x + 1
-        JOIN i u ON u.frame_id = c.frame_id AND u.x = c.x AND u.y = c.y - 1 JOIN i w ON w.frame_id = c.frame_id AND w.x = c.x AND w.y = c.y + 1),
+    "texture_energy_ratio": f"""WITH i AS ({D.IMAGE}), n AS (SELECT *, CASE WHEN lag(x) OVER h = x - 1 THEN lag(v) OVER h END AS a, CASE WHEN lead(x) OVER h = x + 1 THEN lead(v) OVER h END AS b,
+        CASE WHEN lag(y) OVER u = y - 1 THEN lag(v) OVER u END AS e, CASE WHEN lead(y) OVER u = y + 1 THEN lead(v) OVER u END AS f FROM i WINDOW h AS (PARTITION BY frame_id, y ORDER BY x), u AS (PARTITION BY frame_id, x ORDER BY y)),
+      l AS (SELECT frame_id, CASE WHEN d > 0.06e0 THEN 'core' ELSE 'ring' END AS region, a + b + e + f - 4 * v AS lap FROM n WHERE a + b + e + f IS NOT NULL),
       q AS (SELECT frame_id, quantile_cont(lap * lap, 0.95) AS cap FROM l GROUP BY 1), m AS (SELECT frame_id, avg(least(lap * lap, cap)) FILTER (WHERE region = 'core') AS core, avg(least(lap * lap, cap)) FILTER (WHERE region = 'ring') AS ring FROM l JOIN q USING (frame_id) GROUP BY 1)
       SELECT frame_id, round(core, 5) AS core, round(ring, 5) AS ring, round(CASE WHEN ring > 0 THEN core / ring END, 5) AS ratio FROM m""",
     "layer_composite_provenance": f"""WITH {_LAYERS}, s AS (SELECT frame_id, y, x, max(v) AS v FROM l GROUP BY 1, 2, 3),

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import evidence, imaging, views
+from . import comparisons, evidence, imaging, views
 
-_MODULES = (views, imaging, evidence)
+_MODULES = (views, imaging, evidence, comparisons)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
