@@ -1,8 +1,8 @@
 """The pipeline's stages on the small tables and on planted documents."""
 
 import corpus_pipeline as P
-import test_decontaminate as decontaminated
-import test_jaccard_join as jaccard
+from . import test_decontaminate as decontaminated
+from . import test_jaccard_join as jaccard
 
 SF = "/root/testdata/sf0.001"
 
