@@ -6,7 +6,7 @@ begins with, so unseen words that share a stem with seen ones are read too.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -194,7 +194,7 @@ class Network:
             self.p[k] -= rate * (m / (1 - 0.9**i)) / (np.sqrt(v / (1 - 0.99**i)) + 1e-6)
 
 
-def _odds(seen: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _odds(seen: Iterable[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Log odds of toxic among the documents that hold a bucket, shrunk to the mean by four documents.
 
     `seen` has arrays of buckets and of the documents that hold them. Buckets of fewer than
@@ -226,11 +226,10 @@ def train(texts: list[str], labels: list[int], prior: float, epochs: int = 4, le
         return net
     bucket, runs, there, place = features(words)
     doc = np.repeat(np.arange(len(texts)), np.diff(words.begin))
-    by_run = [(runs[place[there[place, i]], i], doc[there[place, i]]) for i in range(len(RUNS))]
+    by_run = ((runs[place[there[place, i]], i], doc[there[place, i]]) for i in range(len(RUNS)))
     (word_odds, word_often), (run_odds, run_often) = _odds([(bucket[place], doc)], y), _odds(by_run, y)
     net = Network.fresh(word_odds, run_odds)
     net.p["word"][~word_often], net.p["char"][~run_often] = 0, 0
-    del by_run
     starts, at = windows(words.begin)
     ends = np.repeat(words.begin[1:], np.diff(at))
     odds = net.p["word"][bucket, 0] + np.where(there, net.p["char"][runs, 0], 0).max(axis=1)
