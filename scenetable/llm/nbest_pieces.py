@@ -18,7 +18,7 @@ from .common import sliced, table
 #: SentencePiece's sign for a space.
 SPACE = "▁"
 #: Distinct chunks that a Python worker remembers before it starts afresh.
-CACHE_CHUNKS = 600_000
+CACHE_CHUNKS = 300_000
 
 _coders: dict[str, PieceCoder] = {}
 
