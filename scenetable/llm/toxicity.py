@@ -1,7 +1,8 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, in numpy.
 
-The inputs of a step are a word's embedding and the mean embedding of the character runs that the word
-begins with, so unseen words that share a stem with seen ones are read too.
+The inputs of a step are a word's embedding and the greatest value, in each dimension, of the embeddings of all
+character runs in it, so unseen words that hold a seen stem anywhere are read too. A long word takes a step for
+each piece of it.
 """
 
 from __future__ import annotations
@@ -18,34 +19,70 @@ from . import shingles
 from .common import sliced, table
 from .shingles import Words, mix
 
-#: Words of a window, and how far the next window begins: every word is in two windows.
+#: Words of a window, and how far the next window begins: every word is in two windows. A long word counts by its pieces.
 WINDOW, STRIDE = 32, 16
 #: Hidden units of each direction; embedding sizes; hash buckets of words and character runs.
-HIDDEN, WORD_DIMS, CHAR_DIMS, BUCKETS = 8, 6, 6, 1 << 15
-#: Byte lengths of the character runs at a word's beginning.
+HIDDEN, WORD_DIMS, CHAR_DIMS, BUCKETS = 8, 6, 6, 1 << 18
+#: Lengths of the character runs, which begin at every character of a word.
 RUNS = (2, 3, 4, 5, 6, 7, 8)
+#: Characters of a word that a step takes the runs of; distinct pieces read at a time.
+PIECE, READ_PIECES = 16, 1 << 15
 #: The bounded sample that labels are learned from: rows of each label, and their longest text.
 TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS = 1200, 2000, 20_000
+#: Share of words whose own embedding is held back in training.
+UNSEEN = 0.3
 #: Sample documents that a bucket must be in to have an embedding.
 FREQUENT = 4
 
 
-def features(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct words of a batch: word bucket, buckets of their runs, which runs exist; and each word's place among them."""
-    _, first, place = np.unique(words.hashes, return_index=True, return_inverse=True)
-    bucket = (words.hashes[first] & np.uint64(BUCKETS - 1)).astype(np.int64)
-    spread = shingles._VALUES[words.data]
-    spread *= shingles._powers[: len(spread)]
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(spread)])
-    start, stop = words.start[first], words.stop[first]
-    runs = np.zeros((len(first), len(RUNS)), np.int64)
-    there = np.zeros((len(first), len(RUNS)), bool)
-    for i, n in enumerate(RUNS):
-        end = np.minimum(start + n, stop)
-        h = mix((sums[end] - sums[start]) * shingles._inverses[start] + np.uint64(n))
-        runs[:, i] = (h & np.uint64(BUCKETS - 1)).astype(np.int64)
-        there[:, i] = start + n <= stop
-    return bucket, runs, there, place.reshape(-1)
+@dataclass
+class Pieces:
+    """The pieces of a batch's words, PIECE characters each, and the character runs that begin in them.
+
+    bucket: the word's bucket, for each distinct piece; place: each piece's place among the
+    distinct ones; begin: each text's first piece, and the end of all. A run may end in a later
+    piece of its word.
+    """
+
+    bucket: np.ndarray
+    place: np.ndarray
+    begin: np.ndarray
+    _first: np.ndarray  # characters of each distinct piece's beginning and of its word's end
+    _stop: np.ndarray
+    _chars: np.ndarray  # bytes at which characters begin
+    _sums: np.ndarray
+
+    @classmethod
+    def of(cls, words: Words) -> Pieces:
+        chars = np.append(np.flatnonzero((words.data & 0xC0) != 0x80), len(words.data))
+        first, stop = np.searchsorted(chars, words.start), np.searchsorted(chars, words.stop)
+        count = -(-(stop - first) // PIECE)
+        at = np.concatenate([[0], np.cumsum(count)])
+        nth = np.arange(at[-1]) - np.repeat(at[:-1], count)
+        keys = np.repeat(words.hashes, count)
+        keys[nth > 0] = mix(keys[nth > 0] + nth[nth > 0].astype(np.uint64))
+        _, some, place = np.unique(keys, return_index=True, return_inverse=True)
+        bucket = (np.repeat(words.hashes, count)[some] & np.uint64(BUCKETS - 1)).astype(np.int64)
+        spread = shingles._VALUES[words.data]
+        spread *= shingles._powers[: len(spread)]
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(spread)])
+        return cls(bucket, place.reshape(-1), at[words.begin], (np.repeat(first, count) + PIECE * nth)[some], np.repeat(stop, count)[some], chars, sums)
+
+    def runs(self, which: np.ndarray | slice) -> tuple[np.ndarray, np.ndarray]:
+        """Buckets of the runs of distinct pieces, and which exist: columns by length and then by where they begin."""
+        first, stop = self._first[which], self._stop[which]
+        out = np.zeros((len(RUNS) * PIECE, len(first)), np.int32)
+        there = np.zeros(out.shape, bool)
+        for i, n in enumerate(RUNS):
+            for o in range(PIECE):
+                some = np.flatnonzero(first + (o + n) <= stop)
+                if not len(some):
+                    break
+                start, end = self._chars[first[some] + o], self._chars[first[some] + (o + n)]
+                h = mix((self._sums[end] - self._sums[start]) * shingles._inverses[start] + np.uint64(n))
+                out[i * PIECE + o, some] = h & np.uint64(BUCKETS - 1)
+                there[i * PIECE + o, some] = True
+        return out.T, there.T
 
 
 def windows(begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -80,10 +117,29 @@ class Network:
         p |= {"v": new(2 * h), "w": new(2 * h), "b": np.zeros(1, np.float32)}
         return cls(p)
 
+    def strongest(self, runs: np.ndarray, there: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The greatest value of the runs' embeddings in each dimension, and the bucket that has it; without runs 0."""
+        best = np.full((len(runs), CHAR_DIMS), -np.inf, self.p["char"].dtype)
+        held = np.zeros((len(runs), CHAR_DIMS), np.int64)
+        for i in range(runs.shape[1]):
+            some = np.flatnonzero(there[:, i])
+            if len(some):
+                own = runs[some, i]
+                new, old = self.p["char"][own], best[some]
+                more = new > old
+                best[some] = np.where(more, new, old)
+                held[some] = np.where(more, own[:, None], held[some])
+        best[np.isneginf(best)] = 0
+        return best, held
+
     def inputs(self, bucket: np.ndarray, runs: np.ndarray, there: np.ndarray) -> np.ndarray:
-        share = there / np.maximum(1, there.sum(axis=1, keepdims=True))
-        chars = sum(self.p["char"][runs[:, i]] * share[:, i : i + 1].astype(np.float32) for i in range(len(RUNS)))
-        return np.concatenate([self.p["word"][bucket], chars], axis=1)
+        return np.concatenate([self.p["word"][bucket], self.strongest(runs, there)[0]], axis=1)
+
+    def vectors(self, pieces: Pieces) -> np.ndarray:
+        """The inputs of all distinct pieces of a batch."""
+        parts = [slice(a, a + READ_PIECES) for a in range(0, len(pieces.bucket), READ_PIECES)]
+        none = np.zeros((0, WORD_DIMS + CHAR_DIMS), np.float32)
+        return np.concatenate([none, *(self.inputs(pieces.bucket[x], *pieces.runs(x)) for x in parts)])
 
     def _pass(self, gates: np.ndarray, mask: np.ndarray, way: str, keep: list | None = None) -> np.ndarray:
         """One direction over (steps, windows, 3 h) projected inputs: the states of all steps."""
@@ -154,9 +210,13 @@ class Network:
 
     def gradients(self, bucket, runs, there, mask, y, weight):
         """Loss gradients for windows of (steps, n) words."""
+        t, n = mask.shape
+        return self.backward(self.inputs(bucket.ravel(), runs.reshape(t * n, -1), there.reshape(t * n, -1)).reshape(t, n, -1), mask, y, weight)
+
+    def backward(self, x, mask, y, weight):
+        """Loss gradients for windows of (steps, n) inputs."""
         p, h = self.p, HIDDEN
         t, n = mask.shape
-        x = self.inputs(bucket.ravel(), runs.reshape(-1, len(RUNS)), there.reshape(-1, len(RUNS))).reshape(t, n, -1)
         kept: dict[str, list] = {"f": [], "b": []}
         states = np.concatenate([self._pass(x @ p[f"W{way}"] + p[f"c{way}"], mask, way, kept[way]) for way in "fb"], axis=2)
         logit, share, pooled = self._pool(states, mask)
@@ -211,6 +271,22 @@ def _odds(seen: Iterable[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> tuple
     return np.where(often, np.log(pos / neg) - np.log(rate / (1 - rate)), 0).astype(np.float32), often
 
 
+def _runs_held(pieces: Pieces, doc: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Buckets of runs and the documents that hold them, a length of runs at a time and each pair once."""
+    pairs = np.unique(pieces.place.astype(np.int64) << 31 | doc)
+    held, docs = pairs >> 31, pairs & ((1 << 31) - 1)
+    found: list[list[np.ndarray]] = [[] for _ in RUNS]
+    for a in range(0, len(pieces.bucket), READ_PIECES):
+        runs, there = pieces.runs(slice(a, a + READ_PIECES))
+        b, e = np.searchsorted(held, [a, a + READ_PIECES])
+        for i in range(len(RUNS)):
+            own = [runs[held[b:e] - a, k].astype(np.int64)[h] << 31 | docs[b:e][h] for k in range(i * PIECE, (i + 1) * PIECE) if len(h := np.flatnonzero(there[held[b:e] - a, k]))]
+            found[i].append(np.unique(np.concatenate([np.zeros(0, np.int64), *own])))
+    for i in range(len(RUNS)):
+        both, found[i] = np.unique(np.concatenate(found[i])), []
+        yield both >> 31, both & ((1 << 31) - 1)
+
+
 def train(texts: list[str], labels: list[int], prior: float, epochs: int = 4, least_steps: int = 320, seed: int = 5) -> Network:
     """A network from labelled texts; `prior` is the share of toxic ones among all labelled rows.
 
@@ -224,15 +300,16 @@ def train(texts: list[str], labels: list[int], prior: float, epochs: int = 4, le
         net = Network.fresh(np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32))
         net.scale = (0.0, -5.0)  # nothing known: every text alike, and none toxic
         return net
-    bucket, runs, there, place = features(words)
-    doc = np.repeat(np.arange(len(texts)), np.diff(words.begin))
-    by_run = ((runs[place[there[place, i]], i], doc[there[place, i]]) for i in range(len(RUNS)))
-    (word_odds, word_often), (run_odds, run_often) = _odds([(bucket[place], doc)], y), _odds(by_run, y)
+    pieces = Pieces.of(words)
+    bucket, place, begin = pieces.bucket, pieces.place, pieces.begin
+    doc = np.repeat(np.arange(len(texts)), np.diff(begin))
+    (word_odds, word_often), (run_odds, run_often) = _odds([(bucket[place], doc)], y), _odds(_runs_held(pieces, doc), y)
     net = Network.fresh(word_odds, run_odds)
     net.p["word"][~word_often], net.p["char"][~run_often] = 0, 0
-    starts, at = windows(words.begin)
-    ends = np.repeat(words.begin[1:], np.diff(at))
-    odds = net.p["word"][bucket, 0] + np.where(there, net.p["char"][runs, 0], 0).max(axis=1)
+    starts, at = windows(begin)
+    ends = np.repeat(begin[1:], np.diff(at))
+    known = net.vectors(pieces)
+    odds = known[:, 0] + known[:, WORD_DIMS]
     sums = np.concatenate([[0], np.cumsum(np.maximum(odds[place], 0))])
     heat = sums[np.minimum(starts + WINDOW, ends)] - sums[np.minimum(starts, ends)]
     rng = np.random.default_rng(seed)
@@ -246,6 +323,7 @@ def train(texts: list[str], labels: list[int], prior: float, epochs: int = 4, le
     chosen, truth = np.array(chosen), np.array(truth, np.float32)
     weight = np.where(truth > 0, len(truth) / max(1.0, 2 * truth.sum()), len(truth) / max(1.0, 2 * (1 - truth).sum())).astype(np.float32)
     moments: dict = {}
+    blank = int(np.flatnonzero(~word_often)[0])  # a bucket without a meaning
     i, batches = 0, -(-len(chosen) // 128)
     rounds = max(epochs, -(-least_steps // batches))  # small samples are gone through more often
     for _ in range(rounds):
@@ -255,18 +333,23 @@ def train(texts: list[str], labels: list[int], prior: float, epochs: int = 4, le
             where = starts[some] + np.arange(WINDOW)[:, None]
             mask = where < ends[some]
             w = place[np.minimum(where, len(place) - 1)]
-            g, dx = net.gradients(bucket[w], runs[w], there[w], mask, truth[order[a : a + 128]], weight[order[a : a + 128]])
+            read, again = np.unique(w, return_inverse=True)
+            runs, there = pieces.runs(read)
+            again = again.reshape(w.shape)
+            chars, held = net.strongest(runs, there)
+            own = np.where(rng.random(w.shape) < UNSEEN, blank, bucket[w])  # so that runs are learned without the words too
+            x = np.concatenate([net.p["word"][own], chars[again]], axis=2)
+            g, dx = net.backward(x, mask, truth[order[a : a + 128]], weight[order[a : a + 128]])
             i += 1
             left = max(0.1, 1 - i / (rounds * batches))
             net.step(g, moments, 0.01 * left, i)
             rate = np.float32(0.5 * left)
             flat = dx.reshape(-1, dx.shape[2])
-            np.add.at(net.p["word"], bucket[w].ravel(), -rate * flat[:, :WORD_DIMS])
-            share = there[w].reshape(-1, len(RUNS)) / np.maximum(1, there[w].reshape(-1, len(RUNS)).sum(axis=1, keepdims=True))
-            for k in range(len(RUNS)):
-                np.add.at(net.p["char"], runs[w].reshape(-1, len(RUNS))[:, k], -rate * flat[:, WORD_DIMS:] * share[:, k : k + 1].astype(np.float32))
+            np.add.at(net.p["word"], own.ravel(), -rate * flat[:, :WORD_DIMS])
+            some = there.any(axis=1)[again.ravel()]
+            np.add.at(net.p["char"], (held[again.ravel()[some]], np.arange(CHAR_DIMS)), -rate * flat[some, WORD_DIMS:])
             net.p["word"][~word_often], net.p["char"][~run_often] = 0, 0  # rare ones stay without a meaning
-    top = np.maximum.reduceat(net.logits(net.inputs(bucket, runs, there), place, starts, ends), at[:-1])
+    top = np.maximum.reduceat(net.logits(net.vectors(pieces), place, starts, ends), at[:-1])
     net.scale = _logistic(top.astype(float), y.astype(float), prior)
     return net
 
@@ -320,11 +403,10 @@ def scored(docs: DataFrame, net: Network) -> DataFrame:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text", 3 << 20):
-            words = Words(batch.column("__text"))
-            bucket, runs, there, place = features(words)
-            starts, at = windows(words.begin)
-            ends = np.repeat(words.begin[1:], np.diff(at))
-            top = np.maximum.reduceat(net.logits(net.inputs(bucket, runs, there), place, starts, ends), at[:-1])
+            pieces = Pieces.of(Words(batch.column("__text")))
+            starts, at = windows(pieces.begin)
+            ends = np.repeat(pieces.begin[1:], np.diff(at))
+            top = np.maximum.reduceat(net.logits(net.vectors(pieces), pieces.place, starts, ends), at[:-1])
             a, b = net.scale
             score = _sigmoid(a * top.astype(float) + b)
             kept = [i for i, x in enumerate(batch.schema.names) if x != "__text"]

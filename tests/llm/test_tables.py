@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -112,6 +113,41 @@ def test_toxicity_learns_and_handles_edges(spark):
     assert toxicity.scored(docs.limit(5), blind).select("score").distinct().count() == 1
 
 
+def test_toxicity_reads_whole_words(spark):
+    rng = np.random.default_rng(4)
+    word = lambda signs="abcdefgh", n=6: "".join(rng.choice(list(signs), n))
+    texts, labels = [], []
+    for i in range(600):
+        signs = "abcdefgh" if i % 2 else "天地玄黄宇宙洪荒日月"
+        w = [word(signs) for _ in range(int(rng.integers(5, 60)))]
+        if i % 4 < 2:
+            w.insert(int(rng.integers(0, len(w) + 1)), "zorqu" if i % 2 else "恶言毒语")
+        texts.append((" " if i % 2 else "").join(w))
+        labels.append(int(i % 4 < 2))
+    net = toxicity.train(texts, labels, 0.5)
+    ways = ["(zorqu", '"zorqu"', "x-zorqu", "ab" * 40 + "zorqu", *("恶言毒语".join((word("天地玄黄宇宙洪荒日月", n), word("天地玄黄宇宙洪荒日月", 30))) for n in (5, 14, 16, 90))]
+    rows = []
+    for way in ways:
+        for _ in range(10):
+            calm = " ".join(word() for _ in range(20)) if way.isascii() else ""
+            rows += [(way, True, f"{calm} {way}"), (way, False, f"{calm} {way}".replace("zorqu", "hgfed").replace("恶言毒语", "天月地日"))]
+    got = toxicity.scored(spark.createDataFrame(rows, "way string, bad boolean, text string"), net).groupBy("way").pivot("bad", [True, False]).avg("score").collect()
+    assert len(got) == len(ways) and all(r["true"] >= 0.3 and r["true"] > r["false"] + 0.1 for r in got), got
+
+
+def test_toxicity_runs_cover_every_character():
+    text = "ab " + "é天x" * 30 + " (idiot"
+    pieces = toxicity.Pieces.of(toxicity.Words(pa.array([text])))
+    runs, there = pieces.runs(slice(None))
+    words = text.split()
+    for i, n in enumerate(toxicity.RUNS):
+        mine = there[:, i * toxicity.PIECE : (i + 1) * toxicity.PIECE]
+        assert mine[pieces.place].sum() == sum(max(0, len(w) - n + 1) for w in words)
+    lone = toxicity.Pieces.of(toxicity.Words(pa.array(["idiot"]))).runs(slice(None))
+    assert set(lone[0][lone[1]]) <= set(runs[there])
+    assert len(pieces.place) == sum(-(-len(w) // toxicity.PIECE) for w in words)
+
+
 def test_gradients_match_differences():
     rng = np.random.default_rng(0)
     net = toxicity.Network.fresh(rng.normal(size=toxicity.BUCKETS).astype("f4"), rng.normal(size=toxicity.BUCKETS).astype("f4"))
