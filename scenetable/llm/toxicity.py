@@ -26,7 +26,7 @@ HIDDEN, WORD_DIMS, CHAR_DIMS, BUCKETS = 8, 6, 6, 1 << 18
 #: Lengths of the character runs, which begin at every character of a word.
 RUNS = (2, 3, 4, 5, 6, 7, 8)
 #: Characters of a word that a step takes the runs of; distinct pieces read at a time.
-PIECE, READ_PIECES = 16, 1 << 15
+PIECE, READ_PIECES = 16, 1 << 14
 #: The bounded sample that labels are learned from: rows of each label, and their longest text.
 TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS = 1200, 2000, 20_000
 #: Share of words whose own embedding is held back in training.
@@ -54,7 +54,7 @@ class Pieces:
 
     @classmethod
     def of(cls, words: Words) -> Pieces:
-        chars = np.append(np.flatnonzero((words.data & 0xC0) != 0x80), len(words.data))
+        chars = np.append(np.flatnonzero((words.data & 0xC0) != 0x80).astype(np.int32), np.int32(len(words.data)))
         first, stop = np.searchsorted(chars, words.start), np.searchsorted(chars, words.stop)
         count = -(-(stop - first) // PIECE)
         at = np.concatenate([[0], np.cumsum(count)])
@@ -271,20 +271,15 @@ def _odds(seen: Iterable[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> tuple
     return np.where(often, np.log(pos / neg) - np.log(rate / (1 - rate)), 0).astype(np.float32), often
 
 
-def _runs_held(pieces: Pieces, doc: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Buckets of runs and the documents that hold them, a length of runs at a time and each pair once."""
-    pairs = np.unique(pieces.place.astype(np.int64) << 31 | doc)
-    held, docs = pairs >> 31, pairs & ((1 << 31) - 1)
-    found: list[list[np.ndarray]] = [[] for _ in RUNS]
-    for a in range(0, len(pieces.bucket), READ_PIECES):
-        runs, there = pieces.runs(slice(a, a + READ_PIECES))
-        b, e = np.searchsorted(held, [a, a + READ_PIECES])
-        for i in range(len(RUNS)):
-            own = [runs[held[b:e] - a, k].astype(np.int64)[h] << 31 | docs[b:e][h] for k in range(i * PIECE, (i + 1) * PIECE) if len(h := np.flatnonzero(there[held[b:e] - a, k]))]
-            found[i].append(np.unique(np.concatenate([np.zeros(0, np.int64), *own])))
-    for i in range(len(RUNS)):
-        both, found[i] = np.unique(np.concatenate(found[i])), []
-        yield both >> 31, both & ((1 << 31) - 1)
+def _runs_held(pieces: Pieces) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Buckets of runs and the documents that hold them, for a few documents at a time."""
+    part = pieces.begin[1:] // READ_PIECES
+    cuts = np.concatenate([np.flatnonzero(np.diff(part, prepend=-1)), [len(part)]])
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        own = pieces.place[pieces.begin[a] : pieces.begin[b]].astype(np.int64)
+        pairs = np.unique(own << 31 | np.repeat(np.arange(a, b), np.diff(pieces.begin[a : b + 1])))
+        runs, there = pieces.runs(pairs >> 31)
+        yield runs[there].astype(np.int64), (pairs & ((1 << 31) - 1))[np.nonzero(there)[0]]
 
 
 def train(texts: list[str], labels: list[int], prior: float, epochs: int = 4, least_steps: int = 320, seed: int = 5) -> Network:
@@ -295,21 +290,19 @@ def train(texts: list[str], labels: list[int], prior: float, epochs: int = 4, le
     curve then maps the largest logit of a text to its probability.
     """
     y = np.array(labels, np.float32)
-    words = Words(pa.array(texts, pa.string()))
-    if not len(words.hashes) or not len(y):
+    pieces = Pieces.of(Words(pa.array(texts, pa.string())))
+    if not len(pieces.bucket) or not len(y):
         net = Network.fresh(np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32))
         net.scale = (0.0, -5.0)  # nothing known: every text alike, and none toxic
         return net
-    pieces = Pieces.of(words)
     bucket, place, begin = pieces.bucket, pieces.place, pieces.begin
     doc = np.repeat(np.arange(len(texts)), np.diff(begin))
-    (word_odds, word_often), (run_odds, run_often) = _odds([(bucket[place], doc)], y), _odds(_runs_held(pieces, doc), y)
+    (word_odds, word_often), (run_odds, run_often) = _odds([(bucket[place], doc)], y), _odds(_runs_held(pieces), y)
     net = Network.fresh(word_odds, run_odds)
     net.p["word"][~word_often], net.p["char"][~run_often] = 0, 0
     starts, at = windows(begin)
     ends = np.repeat(begin[1:], np.diff(at))
-    known = net.vectors(pieces)
-    odds = known[:, 0] + known[:, WORD_DIMS]
+    odds = net.vectors(pieces)[:, [0, WORD_DIMS]].sum(axis=1)
     sums = np.concatenate([[0], np.cumsum(np.maximum(odds[place], 0))])
     heat = sums[np.minimum(starts + WINDOW, ends)] - sums[np.minimum(starts, ends)]
     rng = np.random.default_rng(seed)
