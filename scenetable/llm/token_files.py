@@ -38,7 +38,8 @@ class ChunkEncoder:
     A byte-level pre-tokenizer never lets a token reach over a single space that is followed
     by a visible character, so a text without other runs of spaces can be cut there and each
     distinct chunk encoded once. Texts in which a space is followed by white space or by the
-    end go to the tokenizer whole.
+    end go to the tokenizer whole. A special token such as <|endoftext|> in a text is its own id,
+    as the tokenizer has it; none holds a space, so it stays inside a chunk.
     """
 
     def __init__(self, path: str):
@@ -46,7 +47,6 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         size = self.tokenizer.get_vocab_size()
         self.width = np.zeros(size, np.int64)  # a byte-level token has one character a byte
         for token, i in self.tokenizer.get_vocab().items():

@@ -175,3 +175,15 @@ def test_gradients_match_differences():
         down = loss()
         flat[i] = was
         assert abs((up - down) / 2e-2 - g[k].reshape(-1)[i]) < 2e-2 * max(1e-2, abs(g[k].reshape(-1)[i])) + 2e-4
+
+
+def test_special_tokens_in_texts(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["end <|endoftext|> of", "<|endoftext|>", "<|endoftext|>x a<|endoftext|>b <|endoftext|><|endoftext|> z", "a  <|endoftext|> b", " <|endoftext|>", "plain"]
+    token_files.write_tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), str(tmp_path / "t"), path)
+    tool = Tokenizer.from_file(path)
+    got = {r.doc_id: r.ids for r in spark.read.parquet(str(tmp_path / "t")).collect()}
+    assert got == {i: [*tool.encode(t, add_special_tokens=False).ids, 2] for i, t in enumerate(texts)}
+    assert got[0] == [437, 220, 50256, 286, 2]
