@@ -45,7 +45,15 @@ def staged(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def sliced(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 6 << 20) -> Iterator[pa.RecordBatch]:
+def dropped(df: DataFrame) -> None:
+    """Delete the files of a `staged` table that nothing reads any more."""
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    for name in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+
+
+def sliced(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Batches cut so that `column` has at most so many bytes in each, or one row."""
     for batch in batches:
         if batch.num_rows == 0:

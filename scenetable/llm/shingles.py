@@ -9,6 +9,8 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so that it has an inverse modulo 2
 _powers = np.ones(1, np.uint64)
 _inverses = np.ones(1, np.uint64)
 _MASK = (1 << 64) - 1
+#: Powers that a worker keeps, 16 bytes each.
+KEPT_POWERS = 3 << 20
 
 
 def _byte_values() -> np.ndarray:
@@ -24,7 +26,10 @@ _WORD = _VALUES != 0
 
 
 def _grow(n: int) -> None:
+    """Powers for n bytes; what one very long text needed is given back with the next short batch."""
     global _powers, _inverses
+    if len(_powers) > KEPT_POWERS >= n:
+        _powers, _inverses = _powers[:KEPT_POWERS].copy(), _inverses[:KEPT_POWERS].copy()
     if len(_powers) < n:
         inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
         with np.errstate(over="ignore"):
@@ -42,6 +47,24 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+_EXACT = np.random.default_rng(77).integers(1, 2**63, (2, 256)).astype(np.uint64)
+
+
+def string_hashes(strings: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of each string's bytes, and its number of bytes."""
+    n = len(strings)
+    offsets = np.frombuffer(strings.buffers()[1], np.int32)[strings.offset : strings.offset + n + 1].astype(np.int64)
+    held = strings.buffers()[2]
+    data = np.frombuffer(held, np.uint8)[offsets[0] : offsets[-1]] if held is not None else np.zeros(0, np.uint8)
+    offsets = offsets - offsets[0]
+    _grow(len(data) + 1)
+    sizes, out = np.diff(offsets), []
+    for values in _EXACT:
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(values[data] * _powers[: len(data)])])
+        out.append(mix((sums[offsets[1:]] - sums[offsets[:-1]]) * _inverses[offsets[:-1]] + sizes.astype(np.uint64)))
+    return out[0], out[1], sizes
+
+
 class Words:
     """The words `[^\\x20\\x09-\\x0D]+` of a batch of texts, A-Z lowered.
 

@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import shared_dir, sliced, table
+from .shingles import mix, string_hashes
 
-#: Distinct chunks that a Python worker remembers before it starts afresh.
-CACHE_CHUNKS = 700_000
+#: What a Python worker remembers before it starts afresh: distinct chunks of 28 bytes each, and their ids of 4.
+CACHE_CHUNKS, CACHE_IDS = 1_200_000, 8_000_000
 #: Characters given to the tokenizer at a time when it encodes new chunks.
 JOINED_CHARS = 20_000
 #: A space before other white space or at the end: the white space of Unicode.
@@ -39,7 +40,8 @@ class ChunkEncoder:
     by a visible character, so a text without other runs of spaces can be cut there and each
     distinct chunk encoded once. Texts in which a space is followed by white space or by the
     end go to the tokenizer whole. A special token such as <|endoftext|> in a text is its own id,
-    as the tokenizer has it; none holds a space, so it stays inside a chunk.
+    as the tokenizer has it; none holds a space, so it stays inside a chunk. The memory
+    knows chunks by 128 bits of hash, in arrays, so its size is bounded in bytes.
     """
 
     def __init__(self, path: str):
@@ -54,77 +56,93 @@ class ChunkEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.ids = np.empty(1 << 20, np.int32)
-        self.ends = np.zeros(1 << 18, np.int64)  # where a chunk's ids end; the first entry is 0
-
-    def _learn(self, chunks: list[str]) -> None:
-        """Encode new chunks, joined and cut again where their bytes end; texts' first chunks alone."""
-        new = [c for c in chunks if c not in self.known]
-        if not new:
-            return
-        if len(self.known) + len(new) > CACHE_CHUNKS:
-            self._forget()
-            new = chunks
-        new.sort(key=lambda c: c[0] == " ")
-        joined, part, length = [], [], 0
-        for c in new:
-            if c[0] != " ":
-                joined.append(c)
-                continue
-            part.append(c)
-            length += len(c)
-            if length >= JOINED_CHARS:
-                joined.append("".join(part))
-                part, length = [], 0
-        joined.append("".join(part))
+        """Chunk 0 is the end id, put there by `encode`; chunk 1 is empty."""
+        self.keys, self.checks, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.ids, self.ends, self.count = np.zeros(1 << 20, np.int32), np.zeros(1 << 18, np.int32), 2
+        self.ends[1:3] = 1
+
+    def _find(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """The numbers of remembered chunks; -1 for others."""
+        if not len(self.keys):
+            return np.full(len(keys), -1, np.int32)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where((self.keys[at] == keys) & (self.checks[at] == checks), self.numbers[at], -1)
+
+    def _learn(self, words: list[str], inner: int, keys: np.ndarray, checks: np.ndarray) -> None:
+        """Encode new chunks: the first `inner` words have a space before them, the others begin their texts.
+
+        The former are joined and cut again where their bytes end.
+        """
+        joined, a, length = words[inner:], 0, 0
+        for b, w in enumerate(words[:inner], 1):
+            length += len(w)
+            if length >= JOINED_CHARS or b == inner:
+                joined.append(" " + " ".join(words[a:b]))
+                a, length = b, 0
         found = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
         ids = np.concatenate(found)
-        stops = np.cumsum(pc.binary_length(pa.array(new, pa.string())).to_numpy().astype(np.int64))
-        ends = np.searchsorted(np.cumsum(self.width[ids]), stops, side="left") + 1
-        first = len(self.known)
-        last = self.ends[first]
-        self.known.update(zip(new, range(first, first + len(new)), strict=True))
-        self.ends = _put(self.ends, first + 1, ends + last)
+        sizes = pc.binary_length(pa.array(words, pa.string())).to_numpy().astype(np.int64)
+        sizes[:inner] += 1
+        order = np.concatenate([np.arange(inner, len(words)), np.arange(inner)])  # as they were encoded
+        ends = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum(sizes[order]), side="left") + 1
+        last = int(self.ends[self.count])
+        self.ends = _put(self.ends, self.count + 1, (ends + last).astype(np.int32))
         self.ids = _put(self.ids, last, ids)
+        keys, checks = keys[order], checks[order]
+        by_key = np.argsort(keys)
+        at = np.searchsorted(self.keys, keys[by_key])
+        self.keys, self.checks = np.insert(self.keys, at, keys[by_key]), np.insert(self.checks, at, checks[by_key])
+        self.numbers = np.insert(self.numbers, at, (self.count + by_key).astype(np.int32))
+        self.count += len(words)
 
     def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by `end`, and the number of ids of each text."""
         n = len(texts)
         whole = pc.match_substring_regex(texts, SPACE_RUN).to_numpy(zero_copy_only=False)
-        lists = pc.split_pattern(pc.if_else(pa.array(whole), "", texts), " ")
+        cut = pc.if_else(pa.array(whole), "", texts) if whole.any() else texts
+        lists = pc.split_pattern(cut, " ")
         starts = lists.offsets.to_numpy()[:n].astype(np.int64) - lists.offsets[0].as_py()
         coded = lists.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        codes = coded.indices.to_numpy().astype(np.int64)
-        heads = [words[c] for c in codes[starts]]  # a text's first chunk has no space before it
-        chunks = [" " + w for w in words]
-        self._learn(chunks + list({h for h in heads if h}))
-        ids, ends = self.ids, self.ends
-        at = np.array([self.known[c] for c in chunks], np.int64)[codes]
-        at[starts] = [self.known[h] if h else -1 for h in heads]
-        begin = np.where(at < 0, 0, ends[at])
-        length = np.where(at < 0, 0, ends[at + 1] - begin)
-        per_text = np.add.reduceat(length, starts)
-        begin -= np.cumsum(length) - length
-        index = np.repeat(begin.astype(np.int32), length)
+        codes = coded.indices.to_numpy()
+        head = np.zeros(len(codes), bool)
+        head[starts] = True
+        some = len(coded.dictionary)
+        codes = codes + np.where(head, some, 0).astype(np.int32)  # a text's first chunk has no space before it
+        need = np.flatnonzero(np.bincount(codes, minlength=2 * some))
+        word = need % some
+        keys, checks, sizes = string_hashes(coded.dictionary)
+        number = np.ones(2 * some, np.int32)
+        need, word = need[(need < some) | (sizes[word] > 0)], word[(need < some) | (sizes[word] > 0)]
+        keys, checks = keys[word], checks[word]
+        keys[need >= some] = mix(~keys[need >= some])
+        number[need] = self._find(keys, checks)
+        new = number[need] < 0
+        if new.any():
+            if self.count + new.sum() > CACHE_CHUNKS or self.ends[self.count] > CACHE_IDS:
+                self._forget()
+                new[:] = True
+            self._learn(coded.dictionary.take(pa.array(word[new])).to_pylist(), int((need[new] < some).sum()), keys[new], checks[new])
+            number[need] = self._find(keys, checks)
+        self.ids[0] = end
+        at = np.insert(number[codes], np.append(starts[1:], len(codes)), 0)
+        begin = self.ends[at]
+        length = self.ends[at + 1] - begin
+        stops = np.cumsum(length, dtype=np.int32)
+        index = np.repeat(begin - stops + length, length)
         index += np.arange(len(index), dtype=np.int32)
-        flat = ids[index]
-        del at, begin, length, index
+        flat = self.ids[index]
+        counts = np.diff(stops[np.append(starts[1:], len(codes)) + np.arange(n)], prepend=0).astype(np.int64)
         odd = np.flatnonzero(whole)
         if len(odd):
             found = self.tokenizer.encode_batch_fast(texts.take(pa.array(odd)).to_pylist(), add_special_tokens=False)
             pieces, last = [], 0
-            begins = np.concatenate([[0], np.cumsum(per_text)])
+            begins = np.cumsum(counts) - counts
             for i, e in zip(odd, found, strict=True):
                 pieces += [flat[last : begins[i]], np.array(e.ids, np.int32)]
                 last = begins[i]
-                per_text[i] = len(e.ids)
+                counts[i] += len(e.ids)
             flat = np.concatenate([*pieces, flat[last:]])
-        stops = np.cumsum(per_text)
-        out = np.insert(flat, stops, end)
-        counts = per_text + 1
-        return out, counts
+        return flat, counts
 
 
 def encoder(path: str) -> ChunkEncoder:
