@@ -7,6 +7,7 @@ each piece of it.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -27,8 +28,8 @@ HIDDEN, WORD_DIMS, CHAR_DIMS, BUCKETS = 8, 6, 6, 1 << 18
 RUNS = (2, 3, 4, 5, 6, 7, 8)
 #: Characters of a word that a step takes the runs of; distinct pieces read at a time.
 PIECE, READ_PIECES = 16, 1 << 14
-#: The bounded sample that labels are learned from: rows of each label, and their longest text.
-TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS = 1200, 2000, 20_000
+#: The bounded sample that labels are learned from: rows of each label, their longest text, and the characters of all of a label.
+TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS, TRAIN_ALL_CHARS = 1200, 2000, 20_000, 8_000_000
 #: Share of words whose own embedding is held back in training.
 UNSEEN = 0.3
 #: Sample documents that a bucket must be in to have an embedding.
@@ -68,21 +69,16 @@ class Pieces:
         sums = np.concatenate([[np.uint64(0)], np.cumsum(spread)])
         return cls(bucket, place.reshape(-1), at[words.begin], (np.repeat(first, count) + PIECE * nth)[some], np.repeat(stop, count)[some], chars, sums)
 
-    def runs(self, which: np.ndarray | slice) -> tuple[np.ndarray, np.ndarray]:
-        """Buckets of the runs of distinct pieces, and which exist: columns by length and then by where they begin."""
+    def runs(self, which: np.ndarray | slice) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each length of RUNS: the place in `which` of each run's piece, ascending, and the runs' buckets."""
         first, stop = self._first[which], self._stop[which]
-        out = np.zeros((len(RUNS) * PIECE, len(first)), np.int32)
-        there = np.zeros(out.shape, bool)
-        for i, n in enumerate(RUNS):
-            for o in range(PIECE):
-                some = np.flatnonzero(first + (o + n) <= stop)
-                if not len(some):
-                    break
-                start, end = self._chars[first[some] + o], self._chars[first[some] + (o + n)]
-                h = mix((self._sums[end] - self._sums[start]) * shingles._inverses[start] + np.uint64(n))
-                out[i * PIECE + o, some] = h & np.uint64(BUCKETS - 1)
-                there[i * PIECE + o, some] = True
-        return out.T, there.T
+        for n in RUNS:
+            count = np.clip(stop - first - (n - 1), 0, PIECE)
+            own = np.repeat(np.arange(len(first)), count)
+            at = first[own] + np.arange(len(own)) - np.repeat(np.cumsum(count) - count, count)
+            start, end = self._chars[at], self._chars[at + n]
+            h = mix((self._sums[end] - self._sums[start]) * shingles._inverses[start] + np.uint64(n))
+            yield own, (h & np.uint64(BUCKETS - 1)).astype(np.int64)
 
 
 def windows(begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -117,29 +113,33 @@ class Network:
         p |= {"v": new(2 * h), "w": new(2 * h), "b": np.zeros(1, np.float32)}
         return cls(p)
 
-    def strongest(self, runs: np.ndarray, there: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The greatest value of the runs' embeddings in each dimension, and the bucket that has it; without runs 0."""
-        best = np.full((len(runs), CHAR_DIMS), -np.inf, self.p["char"].dtype)
-        held = np.zeros((len(runs), CHAR_DIMS), np.int64)
-        for i in range(runs.shape[1]):
-            some = np.flatnonzero(there[:, i])
-            if len(some):
-                own = runs[some, i]
-                new, old = self.p["char"][own], best[some]
-                more = new > old
-                best[some] = np.where(more, new, old)
-                held[some] = np.where(more, own[:, None], held[some])
+    def strongest(self, count: int, runs: Iterable[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """For each of `count` pieces the greatest value of its runs' embeddings in each dimension; without runs 0."""
+        best = np.full((count, CHAR_DIMS), -np.inf, self.p["char"].dtype)
+        for own, buckets in runs:
+            if len(own):
+                heads = np.flatnonzero(np.diff(own, prepend=-1))
+                top = np.maximum.reduceat(self.p["char"][buckets], heads, axis=0)
+                best[own[heads]] = np.maximum(best[own[heads]], top)
         best[np.isneginf(best)] = 0
-        return best, held
+        return best
 
-    def inputs(self, bucket: np.ndarray, runs: np.ndarray, there: np.ndarray) -> np.ndarray:
-        return np.concatenate([self.p["word"][bucket], self.strongest(runs, there)[0]], axis=1)
+    def winners(self, best: np.ndarray, runs: Iterable[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """The bucket that has the greatest value in each dimension, or -1."""
+        held = np.full(best.shape, -1)
+        for own, buckets in runs:
+            r, d = np.nonzero(self.p["char"][buckets] == best[own])
+            held[own[r], d] = buckets[r]
+        return held
+
+    def inputs(self, bucket: np.ndarray, runs: Iterable[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        return np.concatenate([self.p["word"][bucket], self.strongest(len(bucket), runs)], axis=1)
 
     def vectors(self, pieces: Pieces) -> np.ndarray:
         """The inputs of all distinct pieces of a batch."""
         parts = [slice(a, a + READ_PIECES) for a in range(0, len(pieces.bucket), READ_PIECES)]
         none = np.zeros((0, WORD_DIMS + CHAR_DIMS), np.float32)
-        return np.concatenate([none, *(self.inputs(pieces.bucket[x], *pieces.runs(x)) for x in parts)])
+        return np.concatenate([none, *(self.inputs(pieces.bucket[x], pieces.runs(x)) for x in parts)])
 
     def _pass(self, gates: np.ndarray, mask: np.ndarray, way: str, keep: list | None = None) -> np.ndarray:
         """One direction over (steps, windows, 3 h) projected inputs: the states of all steps."""
@@ -208,11 +208,6 @@ class Network:
             out[a : a + most] += (share * part).sum(axis=0) / np.maximum(share.sum(axis=0), 1e-9)
         return out
 
-    def gradients(self, bucket, runs, there, mask, y, weight):
-        """Loss gradients for windows of (steps, n) words."""
-        t, n = mask.shape
-        return self.backward(self.inputs(bucket.ravel(), runs.reshape(t * n, -1), there.reshape(t * n, -1)).reshape(t, n, -1), mask, y, weight)
-
     def backward(self, x, mask, y, weight):
         """Loss gradients for windows of (steps, n) inputs."""
         p, h = self.p, HIDDEN
@@ -278,8 +273,9 @@ def _runs_held(pieces: Pieces) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         own = pieces.place[pieces.begin[a] : pieces.begin[b]].astype(np.int64)
         pairs = np.unique(own << 31 | np.repeat(np.arange(a, b), np.diff(pieces.begin[a : b + 1])))
-        runs, there = pieces.runs(pairs >> 31)
-        yield runs[there].astype(np.int64), (pairs & ((1 << 31) - 1))[np.nonzero(there)[0]]
+        runs = list(pieces.runs(pairs >> 31))
+        docs = pairs & ((1 << 31) - 1)
+        yield np.concatenate([r for _, r in runs]), np.concatenate([docs[o] for o, _ in runs])
 
 
 def train(texts: list[str], labels: list[int], prior: float, epochs: int = 4, least_steps: int = 320, seed: int = 5) -> Network:
@@ -327,9 +323,10 @@ def train(texts: list[str], labels: list[int], prior: float, epochs: int = 4, le
             mask = where < ends[some]
             w = place[np.minimum(where, len(place) - 1)]
             read, again = np.unique(w, return_inverse=True)
-            runs, there = pieces.runs(read)
+            runs = list(pieces.runs(read))
             again = again.reshape(w.shape)
-            chars, held = net.strongest(runs, there)
+            chars = net.strongest(len(read), runs)
+            held = net.winners(chars, runs)
             own = np.where(rng.random(w.shape) < UNSEEN, blank, bucket[w])  # so that runs are learned without the words too
             x = np.concatenate([net.p["word"][own], chars[again]], axis=2)
             g, dx = net.backward(x, mask, truth[order[a : a + 128]], weight[order[a : a + 128]])
@@ -339,8 +336,9 @@ def train(texts: list[str], labels: list[int], prior: float, epochs: int = 4, le
             rate = np.float32(0.5 * left)
             flat = dx.reshape(-1, dx.shape[2])
             np.add.at(net.p["word"], own.ravel(), -rate * flat[:, :WORD_DIMS])
-            some = there.any(axis=1)[again.ravel()]
-            np.add.at(net.p["char"], (held[again.ravel()[some]], np.arange(CHAR_DIMS)), -rate * flat[some, WORD_DIMS:])
+            own = held[again.ravel()]
+            some = own.min(axis=1) >= 0
+            np.add.at(net.p["char"], (own[some], np.arange(CHAR_DIMS)), -rate * flat[some, WORD_DIMS:])
             net.p["word"][~word_often], net.p["char"][~run_often] = 0, 0  # rare ones stay without a meaning
     top = np.maximum.reduceat(net.logits(net.vectors(pieces), place, starts, ends), at[:-1])
     net.scale = _logistic(top.astype(float), y.astype(float), prior)
@@ -362,29 +360,50 @@ def _logistic(x: np.ndarray, y: np.ndarray, prior: float, steps: int = 50) -> tu
     return float(max(a, 0.05)), float(b)
 
 
-def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list, float]:
-    """Rows (text, toxic) to learn from, and the share of toxic among all labelled rows that are open to learning.
+def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame | None, float]:
+    """Rows (doc_id, text, toxic) to learn from, and the share of toxic among all labelled rows that are open to learning.
 
     Open are rows whose crc32(doc_id as text) mod 4 is not 2. Only ids and lengths are joined to
-    the labels; the chosen rows, TRAIN_TOXIC and TRAIN_CLEAN at most of up to TRAIN_CHARS
-    characters, by a hash of doc_id, are then picked out of the texts by their ids.
+    the labels. Of each label the first rows by a hash of doc_id are chosen: TRAIN_TOXIC and
+    TRAIN_CLEAN at most, of up to TRAIN_CHARS characters each and TRAIN_ALL_CHARS together;
+    their texts are then picked out by their ids. A doc_id with both labels is toxic; of
+    texts repeated under a doc_id the shortest counts. None if a label has no rows.
     """
     open_ = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2
-    known = labels.where(open_ & F.col("toxic").isNotNull()).select("doc_id", "toxic").dropDuplicates(["doc_id"])
-    rows = docs.where(open_ & F.col("text").isNotNull()).select("doc_id", F.char_length("text").alias("n")).dropDuplicates(["doc_id"]).join(known, "doc_id")
+    known = labels.where(open_ & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("toxic"))
+    text = F.struct(F.char_length("text").alias("n"), F.xxhash64("text").alias("tx")).alias("t")
+    rows = docs.where(open_ & F.col("text").isNotNull()).select("doc_id", text).groupBy("doc_id").agg(F.min("t").alias("t")).select("doc_id", "t.n", "t.tx").join(known, "doc_id")
     n, toxic = rows.agg(F.count("*"), F.sum("toxic")).first()
     small = rows.where(F.col("n") <= TRAIN_CHARS).orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = {r.doc_id: r.toxic for y, most in ((1, TRAIN_TOXIC), (0, TRAIN_CLEAN)) for r in small.where(F.col("toxic") == y).limit(most).collect()}
-    if len(set(chosen.values())) < 2:
-        return [], 0.0
-    texts = docs.where(F.col("doc_id").isin(list(chosen))).select("doc_id", "text").where(F.char_length("text") <= TRAIN_CHARS).dropDuplicates(["doc_id"]).collect()
-    return [(r.text, chosen[r.doc_id]) for r in sorted(texts, key=lambda r: r.doc_id)], toxic / n
+    chosen = {}
+    for y, most in ((1, TRAIN_TOXIC), (0, TRAIN_CLEAN)):
+        chars = 0
+        for r in small.where(F.col("toxic") == y).limit(most).collect():
+            chars += r.n
+            if chars <= TRAIN_ALL_CHARS:
+                chosen[r.doc_id] = (r.tx, y)
+    if len({y for _, y in chosen.values()}) < 2:
+        return None, 0.0
+    ids = docs.sparkSession.createDataFrame([(i, tx, y) for i, (tx, y) in chosen.items()], f"doc_id {dict(docs.dtypes)['doc_id']}, tx long, toxic int")
+    picked = docs.where(F.col("doc_id").isin(list(chosen))).select("doc_id", "text", F.xxhash64("text").alias("tx"))
+    return picked.join(F.broadcast(ids), ["doc_id", "tx"]).dropDuplicates(["doc_id"]).select("doc_id", "text", "toxic"), toxic / n
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Network:
-    """A network from the sample. Without labels of both kinds it is untrained and gives every text the same score."""
+    """A network from the sample, trained in one task, which holds the bounded sample and nothing else.
+
+    Without labels of both kinds it is untrained and gives every text the same score.
+    """
     rows, prior = training_sample(docs, labels)
-    return train([t for t, _ in rows], [y for _, y in rows], prior)
+    if rows is None:
+        return train([], [], 0.0)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = sorted((r for batch in batches for r in batch.to_pylist()), key=lambda r: r["doc_id"])
+        net = train([r["text"] for r in held], [r["toxic"] for r in held], prior)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((net.p, net.scale))], pa.binary())], names=["net"])
+
+    return Network(*pickle.loads(rows.repartition(1).mapInArrow(learn, "net binary").first()["net"]))
 
 
 def scored(docs: DataFrame, net: Network) -> DataFrame:
@@ -395,7 +414,7 @@ def scored(docs: DataFrame, net: Network) -> DataFrame:
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text", 3 << 20):
+        for batch in sliced(batches, "__text", 2 << 20):
             pieces = Pieces.of(Words(batch.column("__text")))
             starts, at = windows(pieces.begin)
             ends = np.repeat(pieces.begin[1:], np.diff(at))

@@ -138,29 +138,62 @@ def test_toxicity_reads_whole_words(spark):
 def test_toxicity_runs_cover_every_character():
     text = "ab " + "é天x" * 30 + " (idiot"
     pieces = toxicity.Pieces.of(toxicity.Words(pa.array([text])))
-    runs, there = pieces.runs(slice(None))
+    runs = list(pieces.runs(slice(None)))
     words = text.split()
-    for i, n in enumerate(toxicity.RUNS):
-        mine = there[:, i * toxicity.PIECE : (i + 1) * toxicity.PIECE]
-        assert mine[pieces.place].sum() == sum(max(0, len(w) - n + 1) for w in words)
-    lone = toxicity.Pieces.of(toxicity.Words(pa.array(["idiot"]))).runs(slice(None))
-    assert set(lone[0][lone[1]]) <= set(runs[there])
+    for n, (own, _) in zip(toxicity.RUNS, runs, strict=True):
+        count = np.bincount(own, minlength=len(pieces.bucket))
+        assert count[pieces.place].sum() == sum(max(0, len(w) - n + 1) for w in words)
+    buckets = lambda rs: {b for _, r in rs for b in r.tolist()}
+    assert buckets(toxicity.Pieces.of(toxicity.Words(pa.array(["idiot"]))).runs(slice(None))) <= buckets(runs)
     assert len(pieces.place) == sum(-(-len(w) // toxicity.PIECE) for w in words)
 
 
+def test_strongest_and_winners_equal_a_loop():
+    rng = np.random.default_rng(2)
+    net = toxicity.Network.fresh(rng.normal(size=toxicity.BUCKETS).astype("f4"), rng.normal(size=toxicity.BUCKETS).astype("f4"))
+    runs = [(np.sort(rng.integers(0, 9, 20)), rng.integers(0, 30, 20)) for _ in toxicity.RUNS]
+    best = net.strongest(10, runs)
+    held = net.winners(best, runs)
+    for i in range(10):
+        own = sorted({int(b) for o, r in runs for b in r[o == i]})
+        want = net.p["char"][own].max(axis=0) if own else np.zeros(toxicity.CHAR_DIMS)
+        assert (best[i] == want).all()
+        assert all(net.p["char"][held[i, d], d] == want[d] for d in range(toxicity.CHAR_DIMS)) if own else (held[i] == -1).all()
+
+
+def test_fast_logits_equal_the_trained_pass():
+    rng = np.random.default_rng(6)
+    net = toxicity.Network.fresh(rng.normal(size=toxicity.BUCKETS).astype("f4"), rng.normal(size=toxicity.BUCKETS).astype("f4"))
+    texts = [" ".join("".join(rng.choice(list("abcdef"), 4)) for _ in range(k)) for k in (0, 1, 5, 32, 33, 100)]
+    pieces = toxicity.Pieces.of(toxicity.Words(pa.array(texts)))
+    starts, at = toxicity.windows(pieces.begin)
+    ends = np.repeat(pieces.begin[1:], np.diff(at))
+    vectors = net.vectors(pieces)
+    fast = net.logits(vectors, pieces.place, starts, ends)
+    where = starts + np.arange(toxicity.WINDOW)[:, None]
+    mask = where < ends
+    x = vectors[pieces.place[np.minimum(where, len(pieces.place) - 1)]]
+    states = np.concatenate([net._pass(x @ net.p[f"W{s}"] + net.p[f"c{s}"], mask, s) for s in "fb"], axis=2)
+    slow = net._pool(states, mask)[0]
+    some = mask.any(axis=0)
+    assert np.allclose(fast[some], slow[some], atol=1e-4)
+
+
 def test_gradients_match_differences():
     rng = np.random.default_rng(0)
     net = toxicity.Network.fresh(rng.normal(size=toxicity.BUCKETS).astype("f4"), rng.normal(size=toxicity.BUCKETS).astype("f4"))
     t, n = 5, 3
-    bucket, runs = rng.integers(0, 50, (t, n)), rng.integers(0, 50, (t, n, len(toxicity.RUNS)))
-    there, mask = rng.random((t, n, len(toxicity.RUNS))) < 0.7, np.ones((t, n), bool)
+    bucket = rng.integers(0, 50, t * n)
+    runs = [(np.flatnonzero(rng.random(t * n) < 0.7), rng.integers(0, 50, t * n)) for _ in toxicity.RUNS]
+    runs = [(own, buckets[: len(own)]) for own, buckets in runs]
+    mask = np.ones((t, n), bool)
     mask[3:, 1] = False
     y, w = np.array([1, 0, 1], "f4"), np.ones(3, "f4")
     net.p = {k: v.astype("f8") for k, v in net.p.items()}
-    g, _ = net.gradients(bucket, runs, there, mask, y, w)
+    x = net.inputs(bucket, runs).reshape(t, n, -1)
+    g, _ = net.backward(x, mask, y, w)
 
     def loss():
-        x = net.inputs(bucket.ravel(), runs.reshape(-1, len(toxicity.RUNS)), there.reshape(-1, len(toxicity.RUNS))).reshape(t, n, -1)
         states = np.concatenate([net._pass(x @ net.p[f"W{s}"] + net.p[f"c{s}"], mask, s) for s in "fb"], axis=2)
         q = toxicity._sigmoid(net._pool(states, mask)[0])
         return float(-(y * np.log(q) + (1 - y) * np.log(1 - q)).mean())
