@@ -55,6 +55,16 @@ def test_n_best_equal_enumeration():
                     assert sum(by_id[i] for i in x) == score_x + s
 
 
+def test_search_abreast_equals_one_by_one():
+    tool = N.PieceCoder(MODEL)
+    words = "the internationalisation of réseaux sociaux 天地玄黄 😀😀 \x00 \ud800x zzzzqqqq".split(" ")
+    chunks = [N.SPACE * k + w * r for w in words for k in (0, 1, 2, 70) for r in (1, 2, 3, 5, 9) if k or w]
+    ids, ends, score, gap = tool.search(chunks)
+    for i, c in enumerate(chunks):
+        own, best, apart = tool.best_and_gap(c)
+        assert (ids[ends[i] : ends[i + 1]].tolist(), score[i], gap[i]) == (own, best, apart), c
+
+
 def test_tables_round_trip(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = {r.doc_id: r for r in N.token_rows(docs, MODEL).collect()}
