@@ -24,18 +24,19 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
     `min_chars` code points in at least `min_docs` documents lose their lines. Returns the
     columns of `docs`, `text` rewritten, plus n_lines and n_dropped.
 
-    Null or empty text: one empty line. Every row counts as one document, so rows repeated
-    under one doc_id count each; all of them keep a line that their doc_id may keep. Rows
-    with a null doc_id count as documents too but never lose or own a line. Columns named
-    n_lines or n_dropped in the input are replaced. Empty input: empty output.
-
-    Only hashes are shuffled for counting (combined before the shuffle); the owner of a hash
-    is joined back by a sort-merge join that adaptive execution can split at a hot line.
+    Null or empty text: one empty line. Rows repeated under one doc_id are one document, and all of
+    them keep a line that their doc_id may keep. Rows with a null doc_id are no document: they
+    neither count nor lose a line. Columns named n_lines or n_dropped in the input are replaced.
+    Empty input: empty output.
+
+    Only hashes are shuffled. Counting goes by (hash, doc_id) first, so a line that very many
+    documents hold is counted in many tasks. Owners are written before they are joined back, so both
+    sides of that join are plain shuffles, which adaptive execution splits at a hot line.
     """
     lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
     long_keys = F.array_distinct(F.filter(F.transform(lines, _key), lambda k: F.char_length(k) >= min_chars))
     seen = staged(docs.select("doc_id", F.explode(long_keys).alias("k")).select("doc_id", _hash(F.col("k")).alias("h")).select("doc_id", "h.a", "h.b"))
-    owners = seen.groupBy("a", "b").agg(F.count("*").alias("n"), F.max("doc_id").alias("owner")).where(F.col("n") >= min_docs).drop("n")
+    owners = staged(seen.groupBy("a", "b").agg(F.countDistinct("doc_id").alias("n"), F.max("doc_id").alias("owner")).where(F.col("n") >= min_docs).drop("n"))
     drops = (
         seen.join(owners, ["a", "b"])
         .where(F.col("doc_id") < F.col("owner"))

@@ -74,6 +74,15 @@ def test_line_dedup(spark):
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_line_dedup_counts_documents_not_rows(spark):
+    long = "This line has Over twenty signs"
+    rows = [(1, long), (1, long), (2, long), (None, long)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [r.n_dropped for r in got] == [0] * 4
+    got = line_dedup.dedup_lines(spark.createDataFrame([*rows, (3, long)], "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.n_dropped) for r in got) == [(0, 0), (1, 1), (1, 1), (2, 1), (3, 0)]
+
+
 @pytest.mark.parametrize("encoding", ["dictionary", "delta"])
 def test_token_files(spark, tmp_path, encoding):
     from tokenizers import Tokenizer
