@@ -5,6 +5,8 @@ Everything here is DataFrame functions: patterns, arrays, joins and aggregates i
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,9 +23,36 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 KINDS = list(PATTERNS)
-TERM = r"[\p{L}\p{N}]{4,}+"
-#: Code points on each side of an entity in which terms count as its context.
-CONTEXT_CHARS = 100
+TERM, NO_TERM = r"[\p{L}\p{N}]++", r"[^\p{L}\p{N}]+"
+#: Elements of a block of a running fold: arrays are grown to so many, never to their whole length.
+STEP = 64
+_FOUND = "struct<start:int,stop:int,value:string>"
+
+
+def _running(items: Column, item: str, zero: Column, add: Callable, put: Callable, out: str) -> Column:
+    """`put(acc, x)` for each x of `items` (array<item>), where acc is what `add` has made of `zero` and all before x.
+
+    A fold over blocks of STEP gives each block's first acc, and one inside each block its results (of type `out`), so
+    the work grows with the number of items and not with its square.
+    """
+    state = dict(item=f"array<struct<at:int,held:array<{item}>>>", out=f"array<{out}>")
+    empty = lambda kind: F.array().cast(state[kind])
+    one = lambda acc, x: F.struct(add(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(put(acc["at"], x))).alias("out"))
+    cut = lambda acc, b: F.struct(F.aggregate(b, acc["at"], add).alias("at"), F.concat(acc["out"], F.array(F.struct(acc["at"].alias("at"), b.alias("held")))).alias("out"))
+
+    def of(held: Column) -> Column:
+        last = F.floor((F.size(held) - 1) / STEP).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(held, i * STEP + 1, F.lit(STEP)))
+        begun = F.aggregate(blocks, F.struct(zero.alias("at"), empty("item").alias("out")), cut, lambda acc: acc["out"])
+        done = F.flatten(F.transform(begun, lambda b: F.aggregate(b["held"], F.struct(b["at"].alias("at"), empty("out").alias("out")), one, lambda acc: acc["out"])))
+        return F.when(F.size(held) > 0, done).when(held.isNotNull(), empty("out"))
+
+    return _bound(items, of)
+
+
+def _bound(value: Column, body: Callable) -> Column:
+    """`body` of a value that is worked out once, as lambdas would work out an expression again for each element."""
+    return F.transform(F.array(value), body)[0]
 
 
 def matches(text: Column, pattern: str) -> Column:
@@ -35,12 +64,9 @@ def matches(text: Column, pattern: str) -> Column:
     pieces = F.split(text, pattern, -1)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pairs = F.zip_with(F.slice(pieces, F.lit(1), F.size(found)), found, lambda p, m: F.struct(F.char_length(p).alias("gap"), m.alias("value")))
-    empty = F.array().cast("array<struct<start:int,stop:int,value:string>>")
-    step = lambda acc, x: F.struct(
-        (acc["at"] + x["gap"] + F.char_length(x["value"])).alias("at"),
-        F.concat(acc["out"], F.array(F.struct((acc["at"] + x["gap"]).alias("start"), (acc["at"] + x["gap"] + F.char_length(x["value"])).alias("stop"), x["value"].alias("value")))).alias("out"),
-    )
-    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
+    end = lambda at, x: at + x["gap"] + F.char_length(x["value"])
+    place = lambda at, x: F.struct((at + x["gap"]).alias("start"), end(at, x).alias("stop"), x["value"].alias("value"))
+    return _running(pairs, "struct<gap:int,value:string>", F.lit(0), end, place, _FOUND)
 
 
 def _digits(value: Column) -> Column:
@@ -83,90 +109,89 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
 
-def _sides(text: Column, s: Column) -> Column:
-    """The contexts left and right of a span, cut back to whole words."""
-    begin = F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0))
-    left = F.substring(text, begin + 1, s["start"] - begin)
-    torn = F.when(begin > 0, F.char_length(F.regexp_extract(left, r"^[\p{L}\p{N}]*", 0))).otherwise(0)
-    right = F.substring(text, s["stop"] + 1, F.lit(CONTEXT_CHARS))
-    whole = F.when(F.char_length(text) > s["stop"] + CONTEXT_CHARS, F.regexp_replace(right, r"[\p{L}\p{N}]+$", "")).otherwise(right)
-    return F.array(
-        F.struct((begin + torn).alias("at"), F.substring(left, torn + 1, F.lit(CONTEXT_CHARS)).alias("words")),
-        F.struct(s["stop"].alias("at"), whole.alias("words")),
-    )
-
-
 def find_spans(docs: DataFrame, disclosure: float = 0.95, removal: float = 0.99, support: int = 3) -> DataFrame:
     """Personal data in `docs` (doc_id, text, ...): base spans by pattern, and disclosing terms.
 
     A protected entity is a base span's kind and value (letters lowered; digits only, except
-    for emails). A term t is a run of four or more letters and digits, lowered, within
-    `CONTEXT_CHARS` of the entity e. Over the documents of the corpus, with n(e) holding e,
-    n(t) holding t anywhere, n(e,t) holding t in a context of e, and N documents,
+    for emails). A term t is a run of letters and digits, lowered. Over the documents of the
+    corpus, with n(e) holding e, n(t) holding t, n(e,t) holding both, and N documents,
 
         PMI(e;t) = log(N n(e,t) / (n(e) n(t))),   IC(e) = log(N / n(e)).
 
     PMI / IC is the share of e's information that t gives away; 1 means that t occurs
-    with e alone. Occurrences of t in contexts of e become spans if n(e,t) >= `support` and
-    the share is at least `disclosure`: kind "general" (to be generalised) below `removal`,
-    "remove" from there on. An entity that all documents hold (IC 0) gives no spans.
-
-    Returns per row doc_id, spans (array<struct<start, k, stop, kind, value>>: code points, end
-    exclusive, by start and kind) and base (the base spans alone). Null or empty text: no
-    spans. Repeated rows each count as a document. A null doc_id is a document like any
-    other. Other columns of the input are left out. Empty input: empty output.
-
-    Counts combine before they are shuffled: n(t) travels as one row for each task and
-    distinct term hash, whatever the number of documents.
+    with e alone. If n(e,t) >= `support` and the share is at least `disclosure`, every
+    occurrence of t in any text becomes a span, save where it meets a base span: kind "general"
+    (to be generalised) if its largest share for any entity is below `removal`, "remove" from there on.
+    An entity that all documents hold (IC 0) gives no spans.
+
+    Returns per row doc_id, text (null: empty), spans (array<struct<start, k, stop, kind,
+    value>>: code points, end exclusive, by start and kind) and base (the base spans alone).
+    Null or empty text: no spans. Repeated rows each count as a document. A null doc_id is a
+    document like any other. Other columns of the input are left out. Empty input: empty output.
+
+    Rows get a number when their base spans are written. Equal texts are paired once, with their
+    number as weight. As n(e,t) <= n(e), a share of s needs n(t) <= n(e) (N / n(e))^(1 - s), and both
+    counts are at least `support`: pairs outside these bounds, which tell nothing, are not made.
     """
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", F.xxhash64("text").alias("tx"), text.alias("text"))
-    base = rows.withColumn("base", _base(F.col("text"))).select(
-        "doc_id", "tx", "base", F.transform("base", lambda s: F.struct(s["kind"].alias("kind"), s["value"].alias("value"), _sides(F.col("text"), s).alias("sides"))).alias("contexts")
-    )
-    base = staged(base)
-
-    held = base.where(F.size("base") > 0).select("doc_id", "tx", "base", F.explode("contexts").alias("c"))
-    entity = F.when(F.col("c.kind") == "email", F.lower("c.value")).otherwise(F.concat(F.col("c.kind"), F.lit(":"), _digits(F.col("c.value"))))
-    sides = held.select("doc_id", "tx", "base", F.xxhash64(entity).alias("e"), F.explode("c.sides").alias("side"))
-    words = sides.select("doc_id", "tx", "base", "e", "side.at", F.explode(matches(F.col("side.words"), TERM)).alias("m"))
-    used = words.select(
-        "doc_id", "tx", "base", "e", F.xxhash64(F.lower("m.value")).alias("t"), (F.col("at") + F.col("m.start")).alias("start"), (F.col("at") + F.col("m.stop")).alias("stop"), F.col("m.value").alias("value")
-    ).where(~F.exists("base", lambda s: (s["start"] < F.col("stop")) & (F.col("start") < s["stop"]))).drop("base")
-    used = staged(used)
-
+    base = docs.select("doc_id", text.alias("text")).withColumn("base", _base(F.col("text")))
+    base = staged(base.withColumn("row", F.monotonically_increasing_id()))
     n_docs = base.count()
-    holds = lambda keys, df, name: df.groupBy(*keys, "doc_id", "tx").count().groupBy(*keys).agg(F.count("*").alias(name))
-    n_e = holds(["e"], sides, "n_e")
-    n_et = holds(["e", "t"], used, "n_et").where(F.col("n_et") >= support)
-    terms = F.array_distinct(F.transform(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), lambda w: F.when(F.char_length(w) >= 4, F.xxhash64(w))))
-    n_t = rows.select(F.explode(terms).alias("t")).groupBy("t").agg(F.count("*").alias("n_t"))
+    term = lambda w: F.xxhash64(F.lower(w))
+    terms = F.array_distinct(F.transform(F.filter(F.split("text", NO_TERM), lambda w: w != ""), term))
+    name = lambda s: F.when(s["kind"] == "email", F.lower(s["value"])).otherwise(F.concat(s["kind"], F.lit(":"), _digits(s["value"])))
+    entities = F.array_distinct(F.transform("base", lambda s: F.xxhash64(name(s))))
+
+    own = base.where(F.size("base") > 0).select(F.xxhash64("text").alias("tx"), entities.alias("es"), terms.alias("ts"))
+    held = staged(own.groupBy("tx").agg(F.count("*").alias("w"), F.any_value("es").alias("es"), F.any_value("ts").alias("ts")))
+    n_e = held.select("w", F.explode("es").alias("e")).groupBy("e").agg(F.sum("w").alias("n_e")).where((F.col("n_e") >= support) & (F.col("n_e") < n_docs))
+    # rounding must not cost a pair: the bound is taken a little wider
+    n_e = n_e.withColumn("most", F.col("n_e") * F.pow(F.lit(float(n_docs)) / F.col("n_e"), F.lit(1 - disclosure)) * 1.0001)
+    in_docs = base.select("row", F.explode(terms).alias("t"))
+    n_t = in_docs.groupBy("t").agg(F.count("*").alias("n_t")).where(F.col("n_t") >= support)
+    some = held.select("tx", "w", F.explode("es").alias("e")).join(n_e, "e")
+    with_terms = held.select("tx", F.explode("ts").alias("t")).join(n_t, "t")
+    pairs = some.join(with_terms, "tx").where(F.col("n_t") <= F.col("most"))
     share = F.log(F.lit(float(n_docs)) * F.col("n_et") / (F.col("n_e") * F.col("n_t"))) / F.log(F.lit(float(n_docs)) / F.col("n_e"))
-    telling = n_et.join(n_e, "e").join(n_t, "t").where(F.col("n_e") < n_docs).select("e", "t", share.alias("share")).where(F.col("share") >= disclosure)
-
-    k = F.when(F.col("share") >= removal, len(KINDS) + 1).otherwise(len(KINDS))
-    kind = F.when(F.col("share") >= removal, "remove").otherwise("general")
-    extra = (
-        used.join(telling, ["e", "t"])
-        .groupBy("doc_id", "tx", "start", "stop", "value")
-        .agg(F.max("share").alias("share"))
-        .groupBy(F.col("doc_id").alias("__id"), F.col("tx").alias("__tx"))
-        .agg(F.collect_list(F.struct("start", k.alias("k"), "stop", kind.alias("kind"), "value")).alias("extra"))
+    pairs = pairs.groupBy("e", "t", "n_e", "n_t").agg(F.sum("w").alias("n_et")).where(F.col("n_et") >= support).withColumn("share", share)
+    telling = staged(pairs.where(F.col("share") >= disclosure).groupBy("t").agg(F.max("share").alias("share")))
+
+    told = in_docs.join(telling, "t").groupBy("row").agg(F.collect_list(F.struct("t", (F.col("share") >= removal).alias("gone"))).alias("told"))
+    both = base.join(told, "row", "left")
+    span = lambda m, k, kind: F.struct(m["start"].alias("start"), F.lit(k).alias("k"), m["stop"].alias("stop"), F.lit(kind).alias("kind"), m["value"].alias("value"))
+    words = F.filter(matches(F.col("text"), TERM), lambda m: F.exists("told", lambda x: x["t"] == term(m["value"])))
+    words = F.filter(words, lambda m: ~F.exists("base", lambda s: (s["start"] < m["stop"]) & (m["start"] < s["stop"])))
+    gone = lambda m: F.exists("told", lambda x: x["gone"] & (x["t"] == term(m["value"])))
+    extra = F.transform(words, lambda m: F.when(gone(m), span(m, len(KINDS) + 1, "remove")).otherwise(span(m, len(KINDS), "general")))
+    return both.select("doc_id", "text", F.when(F.col("told").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", extra))).alias("spans"), "base")
+
+
+def coarser(value: Column) -> Column:
+    """The class that stands for a generalised term: a number, a code of letters and digits, a name, or a word."""
+    return (
+        F.when(~value.rlike(r"\p{L}"), "[number]")
+        .when(value.rlike(r"\p{N}"), "[code]")
+        .when(value.rlike(r"^\p{Lu}"), "[name]")
+        .otherwise("[word]")
     )
-    both = base.join(extra, base["doc_id"].eqNullSafe(extra["__id"]) & (base["tx"] == extra["__tx"]), "left")
-    return both.select("doc_id", F.array_sort(F.concat("base", F.coalesce("extra", F.array()))).alias("spans"), "base")
 
 
 def sanitise(text: Column, spans: Column) -> Column:
-    """`text` with every span replaced: base and general spans by their kind in brackets, "remove" spans by nothing.
+    """`text` with every span replaced: base spans by their kind in brackets, "general" ones by their class, "remove" ones by nothing.
 
     A span that begins inside the one before it is passed over. Null text stays null.
     """
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    put = lambda acc, s: F.when(s["start"] < acc["at"], acc).otherwise(
-        F.struct(s["stop"].alias("at"), F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.when(s["kind"] == "remove", "").otherwise(F.concat(F.lit("["), s["kind"], F.lit("]")))).alias("out"))
-    )
-    return F.aggregate(spans, begin, put, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))))
+    add = lambda at, s: F.when(s["start"] < at, at).otherwise(s["stop"])
+    new = lambda s: F.when(s["kind"] == "remove", "").when(s["kind"] == "general", coarser(s["value"])).otherwise(F.concat(F.lit("["), s["kind"], F.lit("]")))
+    put = lambda at, s: F.struct(at.alias("at"), s["start"].alias("start"), s["stop"].alias("stop"), new(s).alias("new"))
+    every = _running(spans, "struct<start:int,k:int,stop:int,kind:string,value:string>", F.lit(0), add, put, "struct<at:int,start:int,stop:int,new:string>")
+
+    def of(kept: Column) -> Column:
+        parts = F.transform(kept, lambda s: F.concat(F.substring(text, s["at"] + 1, s["start"] - s["at"]), s["new"]))
+        tail = F.when(F.size(kept) > 0, F.element_at(kept, -1)["stop"]).otherwise(0)
+        return F.concat(F.array_join(parts, ""), F.substring(text, tail + 1, F.char_length(text)))
+
+    return _bound(F.filter(every, lambda s: s["start"] >= s["at"]), of)
 
 
 def query(spark, sf_dir):
@@ -175,4 +200,4 @@ def query(spark, sf_dir):
     def count(kind: str) -> Column:
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    return found.select("doc_id", *map(count, KINDS), F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *map(count, KINDS), F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"), F.sha2(sanitise(F.col("text"), F.col("spans")), 256).alias("sanitised_sha256"))
