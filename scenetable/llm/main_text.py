@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html import unescape
 
 import pyarrow as pa
@@ -13,13 +14,12 @@ from pyspark.sql import functions as F
 
 from .common import sliced, staged, table
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|iframe|svg|textarea|title|math|object)\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*)>"
-    r"|<[!?][^>]*>",
-    re.S | re.I,
-)
+_TAG, _SIGN = re.compile(r"[a-zA-Z][a-zA-Z0-9:-]*"), re.compile("[>\"']")
+#: What is inside these is no markup; an end tag or the end of the page ends it.
+_RAW = frozenset("script style noscript template iframe svg textarea title math object".split())
+_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in _RAW}
+#: Quoted values may hold >, but in tags of up to so many characters only: longer ones end at their first >.
+_LONG_TAG = 1 << 14
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form"
@@ -46,80 +46,165 @@ def _host(url: str | None) -> str:
     return re.split(r"[/?#]", rest, maxsplit=1)[0].rpartition("@")[2].lower()
 
 
+def _tokens(html: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """The page's markup in order: where it begins and ends, the tag ("" for none), whether it closes, and its attributes.
+
+    One pass: a search that has come to the page's end in vain is not made again.
+    """
+    at, missing, plain = 0, set(), 0
+
+    def find(sign: str, i: int) -> int:
+        k = -1 if sign in missing else html.find(sign, i)
+        if k < 0:
+            missing.add(sign)
+        return k
+
+    def tag_end(begin: int) -> int:
+        nonlocal plain
+        i = begin
+        while begin >= plain and (m := _SIGN.search(html, i)) and m.start() - begin <= _LONG_TAG:
+            if m[0] == ">":
+                return m.end()
+            i = m.end()
+            if html[max(begin, m.start() - 80) : m.start()].rstrip().endswith("="):
+                close = find(m[0], i)
+                if 0 <= close <= begin + _LONG_TAG:
+                    i = close + 1
+        plain = max(plain, i)  # quotes do not pair up to there, and are not tried again
+        return find(">", begin) + 1
+
+    while (lt := html.find("<", at)) >= 0:
+        first = html[lt + 1 : lt + 2]
+        if first == "!" and html.startswith("--", lt + 2):
+            at = find("-->", lt + 4) + 3
+            at = at if at > 2 else len(html)
+            yield lt, at, "", False, ""
+            continue
+        if first in ("!", "?"):
+            at = find(">", lt) + 1 or len(html)
+            yield lt, at, "", False, ""
+            continue
+        name = _TAG.match(html, lt + 2 if first == "/" else lt + 1)
+        if not name:
+            at = lt + 1
+            continue
+        at = tag_end(name.end()) or len(html)
+        torn = html[at - 1] != ">"  # a tag without an end is no text
+        tag, attrs = name[0].lower(), html[name.end() : at - 1]
+        if not torn and first != "/" and tag in _RAW:
+            end = None if tag in missing else _RAW_END[tag].search(html, at)
+            if end is None:
+                missing.add(tag)
+            at, torn = (end.end() if end else len(html)), True
+        yield (lt, at, "", False, "") if torn else (lt, at, tag, first == "/", attrs)
+
+
+@dataclass(slots=True)
+class _Element:
+    tag: str
+    outside: bool  # it is none of the article
+    prose: bool
+    holder: _Element | None  # the innermost block element around it, or itself, that is neither prose nor a root
+    inner: _Element | None  # the innermost block element, or itself
+    content: object  # a hash of its tag, its text, and its children's hashes
+    mark: int = 0
+
+
 def blocks(html: str) -> list[tuple[str, bool, list[int]]]:
-    """A page's text blocks in order: text, whether it is the article's, and hashes of the subtrees it is in."""
-    out: list[list] = []
-    open_: list[list] = []  # tag, where it begins, first block, outside the article, within one
+    """A page's text blocks in order: text, whether it is the article's, and hashes of subtrees it is in.
+
+    A subtree's hash is made of its tags and text, not of attributes, which vary from page to page in a menu. Of the
+    subtrees around a block only the innermost prose element (an odd hash) and the innermost other one (an even
+    hash) are given: outer ones recur on no more pages.
+    """
+    out: list[tuple] = []
+    open_: list[_Element] = []
+    count: dict[str, int] = {}
     text: list[str] = []
     at = outside = articles = 0
     any_article = False
 
+    def say(piece: str) -> None:
+        text.append(piece)
+        if open_:
+            open_[-1].content.update(" ".join(piece.split()).encode("utf-8", "replace"))
+
     def flush() -> None:
         joined = " ".join(unescape("".join(text)).split())
         text.clear()
         if joined:
-            out.append([joined, outside == 0, articles > 0, []])
+            out.append((joined, outside == 0, articles > 0, open_[-1] if open_ else None))
 
-    def close(end: int) -> None:
+    def close() -> None:
         nonlocal outside, articles
-        tag, begin, first, out_of, _ = open_.pop()
-        if tag in _BLOCK:
+        if open_[-1].tag in _BLOCK:
             flush()
-        outside -= out_of
-        articles -= tag in ("article", "main")
-        if len(out) > first and tag not in _ROOTS and not (articles and tag in _PROSE):
-            mark = int.from_bytes(hashlib.blake2b(html[begin:end].encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
-            for b in out[first:]:
-                b[3].append(mark)
-
-    for m in _TOKEN.finditer(html):
-        if m.start() > at:
-            text.append(html[at : m.start()])
-        at = m.end()
-        tag = m["tag"]
-        if tag is None:
+        e = open_.pop()
+        count[e.tag] -= 1
+        outside -= e.outside
+        articles -= e.tag in ("article", "main")
+        e.mark = int.from_bytes(e.content.digest(), "little", signed=True) & ~1 | e.prose
+        if open_:
+            open_[-1].content.update(e.content.digest())
+
+    for begin, end, tag, closes, attrs in _tokens(html):
+        if begin > at:
+            say(html[at:begin])
+        at = end
+        if not tag:
             continue
-        tag = tag.lower()
-        if m["end"]:
-            for depth in range(len(open_) - 1, -1, -1):
-                if open_[depth][0] == tag:
+        if closes:
+            for depth in range(len(open_) - 1, -1, -1) if count.get(tag) else ():
+                if open_[depth].tag == tag:
                     while len(open_) > depth:
-                        close(m.end() if len(open_) == depth + 1 else m.start())
+                        close()
                     break
-                if tag not in _BLOCK and open_[depth][0] in _BLOCK:
+                if tag not in _BLOCK and open_[depth].tag in _BLOCK:
                     break
             continue
         if tag in _BLOCK:
             flush()
             ends = _ENDED_BY.get(tag, ())
-            for depth in range(len(open_) - 1, -1, -1):
-                found = open_[depth][0]
+            for depth in range(len(open_) - 1, -1, -1) if count.get("p") or any(count.get(x) for x in ends) else ():
+                found = open_[depth].tag
                 if found == "p" or found in ends:
                     while len(open_) > depth:
-                        close(m.start())
+                        close()
                     break
                 if found in _STOPS or (found in _BLOCK and not ends):
                     break
         elif tag == "br":
             text.append(" ")
-        if tag in _VOID or m["attrs"].endswith("/") and tag not in _BLOCK:
+        if tag in _VOID or attrs.endswith("/") and tag not in _BLOCK:
             continue
         out_of = tag in _OUTSIDE or (tag == "header" and not articles)
-        if not out_of and m["attrs"] and tag not in ("html", "body"):
-            names = " ".join(x.strip("\"'") for x in _NAMES.findall(m["attrs"])).lower()
+        if not out_of and attrs and tag not in ("html", "body"):
+            names = " ".join(x.strip("\"'") for x in _NAMES.findall(attrs)).lower()
             out_of = not _OUTSIDE_NAMES.isdisjoint(re.split(r"[^a-z0-9]+", names))
         outside += out_of
         if tag in ("article", "main"):
             articles += 1
             any_article = True
-        open_.append([tag, m.start(), len(out), out_of, articles])
+        above = open_[-1] if open_ else None
+        prose = articles > 0 and tag in _PROSE
+        e = _Element(tag, out_of, prose, above and above.holder, above and above.inner, hashlib.blake2b(tag.encode(), digest_size=8))
+        if tag in _BLOCK and tag not in _ROOTS:
+            e.inner = e
+            e.holder = e.holder if prose else e
+        elif tag in _ROOTS:
+            e.inner = e.holder = None
+        open_.append(e)
+        count[tag] = count.get(tag, 0) + 1
     if at < len(html):
-        tail = html[at:]
-        text.append(tail[: tail.rfind("<")] if re.search(r"<[a-zA-Z/!?][^>]*\Z", tail) else tail)  # a torn tag is no text
+        say(html[at:])
     while open_:
-        close(len(html))
+        close()
     flush()
-    return [(t, own and (within or not any_article), marks) for t, own, within, marks in out]
+    found = []
+    for t, own, within, e in out:
+        held = {x.mark for x in ((e.holder, e.inner) if e else ()) if x}
+        found.append((t, own and (within or not any_article), sorted(held)))
+    return found
 
 
 def page_blocks(pages: DataFrame) -> DataFrame:
@@ -145,34 +230,43 @@ def page_blocks(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", "html").mapInArrow(emit, f"page_id {id_kind}, url string, host long, marks array<long>, blocks array<struct<text:string,marks:array<long>>>")
 
 
-def main_text(pages: DataFrame, min_pages: int = 3, min_share: float = 0.1) -> DataFrame:
+#: Up to so many rows a table of template marks goes to every task; a larger one is joined by shuffle.
+SMALL_ROWS = 100_000
+
+
+def _sent(df: DataFrame) -> DataFrame:
+    """A written table, broadcast if it is counted to be small."""
+    return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
+
+
+def main_text(pages: DataFrame, min_pages: int = 3, min_share: float = 0.1, most_pages: int = 100, prose_share: float = 0.8) -> DataFrame:
     """The article's text of every row of `pages` (page_id, url, html, ...): page_id, url, text.
 
-    Every element's subtree is hashed (its source text) and counted once a page for its host.
-    Subtrees on at least `min_pages` pages and `min_share` of the host's pages are template and
-    go with all their blocks; prose elements inside an article are left out of this, as
-    authors repeat themselves. Of the rest, the blocks inside article or main elements (the body, if
+    Every element's subtree is hashed by its structure and text and counted once a page for its
+    host. Subtrees on at least `min_pages` pages and `min_share` of the host's pages, or on `most_pages` of
+    them, are template and go with all their blocks. Prose elements inside an article count as template only on
+    `prose_share` of a host's pages (five at least), as authors repeat themselves and copies of
+    articles are common. Of the rest, the blocks inside article or main elements (the body, if
     a page has neither) that are in no menu, header, footer, sidebar, notice, advert, form
     or reader comments, by element or by words in class, id or role, make the text, joined
     by newlines. White space in a block becomes one space; <br> is white space.
 
     Null or empty html: empty text. A null url is a host of its own. Repeated pages each count
     as one and come out each; a null page_id comes out as null. Other columns are left out.
-    Empty input: empty output.
+    Empty input: empty output. Time grows with the length of a page, however it is nested or torn.
     """
     parsed = staged(page_blocks(pages).withColumn("row", F.monotonically_increasing_id()))
-    marks = parsed.select("row", "host", F.explode("marks").alias("mark"))
+    marks = parsed.select("host", F.explode("marks").alias("mark"))
     sizes = parsed.groupBy("host").agg(F.count("*").alias("n_host"))
-    often = marks.groupBy("host", "mark").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages).join(sizes, "host").where(F.col("n") >= F.col("n_host") * min_share)
-    often = staged(often.select("host", "mark"))
-    # only pages whose article has marked blocks need to hear what is template
-    marked = F.exists("blocks", lambda b: F.size(b["marks"]) > 0)
-    own = parsed.where(marked).select("row", "host", F.explode(F.array_distinct(F.flatten("blocks.marks"))).alias("mark"))
-    per_page = own.join(often, ["host", "mark"]).groupBy("row").agg(F.collect_set("mark").alias("template"))
-    heard = parsed.where(marked).join(per_page.hint("shuffle_hash"), "row", "left")
-    kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b["marks"], F.coalesce("template", F.array().cast("array<long>"))))
-    text = lambda held: F.array_join(F.transform(held, lambda b: b["text"]), "\n").alias("text")
-    return heard.select("page_id", "url", text(kept)).union(parsed.where(~marked).select("page_id", "url", text(F.col("blocks"))))
+    often = marks.groupBy("host", "mark").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages).join(sizes, "host")
+    prose = (F.col("mark") % 2 != 0) & (F.col("n") >= F.greatest(F.lit(5), F.col("n_host") * prose_share))
+    other = (F.col("mark") % 2 == 0) & (F.col("n") >= F.least(F.lit(most_pages), F.col("n_host") * min_share))
+    often = staged(often.where(prose | other).select("host", "mark"))
+    own = parsed.select("row", "host", F.explode(F.array_distinct(F.flatten("blocks.marks"))).alias("mark"))
+    per_page = staged(own.join(_sent(often), ["host", "mark"]).groupBy("row").agg(F.collect_set("mark").alias("template")))
+    heard = parsed.join(_sent(per_page), "row", "left")
+    kept = F.filter("blocks", lambda b: F.col("template").isNull() | ~F.arrays_overlap(b["marks"], "template"))
+    return heard.select("page_id", "url", F.array_join(F.transform(kept, lambda b: b["text"]), "\n").alias("text"))
 
 
 def query(spark, sf_dir):

@@ -1,6 +1,7 @@
 """Main text of pages: planted structures, and a plain cut of the tables' articles."""
 
 import re
+import time
 from html import unescape
 
 from scenetable.llm import main_text as M
@@ -34,6 +35,40 @@ def test_structures():
     assert [t for t, own, _ in M.blocks("plain < text & more <b") if own] == ["plain < text & more"]
 
 
+def test_long_and_deep_pages_take_time_in_proportion():
+    began = time.time()
+    for html in ("<a " * 300_000, "<div>" * 60_000 + "x" + "</div>" * 60_000, "<b>" * 60_000 + "</p>" * 60_000, "<div>t" * 50_000, '<a title="' * 60_000, "<a x='>\"<a y=\">'" * 20_000, "<!--" * 200_000, "<script>" * 100_000):
+        M.blocks(html)
+    assert time.time() - began < 20
+    assert [t for t, _, _ in M.blocks("<div>" * 9000 + "deep")] == ["deep"]
+    assert [t for t, _, _ in M.blocks('<p title="a > b">x</p><p title="open>y</p>')] == ["x", "y"]
+
+
+def recount(pages, min_pages=3, share=0.1):
+    """Template blocks by a plain recount of each host's innermost non-prose subtrees."""
+    hosts, held = {}, {}
+    for i, url, html in pages:
+        host = url.split("/")[2]
+        hosts[host] = hosts.get(host, 0) + 1
+        for m in {m for _, _, ms in M.blocks(html) for m in ms if m % 2 == 0}:
+            held[host, m] = held.get((host, m), 0) + 1
+    drop = {k for k, n in held.items() if n >= min_pages and n >= share * hosts[k[0]]}
+    return {i: "\n".join(t for t, own, ms in M.blocks(html) if own and not any((url.split("/")[2], m) in drop for m in ms)) for i, url, html in pages}
+
+
+def test_template_inside_articles_and_moving_menus(spark):
+    menu = lambda k: "<div>" + "".join(f"<div class='{'on' if i == k else ''}'>Part {i}</div>" for i in range(6)) + "</div>"
+    pages = [(i, f"http://a.org/{i}", f"<article><h1>Head {i}</h1>{menu(i)}<p>own words {i}</p><p>said by all</p><section>Read more of <b>A</b></section></article>") for i in range(6)]
+    pages += [(10 + i, f"http://b.org/{i}", f"<article><p>copy</p><p>own {i % 2}</p><div>note {i}</div></article>") for i in range(6)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in M.main_text(df, prose_share=2.0).collect()}
+    assert got == recount(pages) and got[2] == "Head 2\nown words 2\nsaid by all" and got[13] == "copy\nown 1\nnote 3"
+    strict = {r.page_id: r.text for r in M.main_text(df).collect()}
+    assert strict[2] == "Head 2\nown words 2" and strict[13] == "own 1\nnote 3"
+    twice = M.main_text(df.union(df)).collect()
+    assert len(twice) == 24 and {(r.page_id, r.text) for r in twice} == set(strict.items())
+
+
 def test_template_by_recurrence(spark):
     site = [(i, f"http://a.org/{i}", f"<div><span>Welcome to A</span></div><div>story {i}</div>", 1) for i in range(5)]
     other = [(9, "http://b.org/1", "<div><span>Welcome to A</span></div><div>b</div>", 1), (None, None, None, 1), (11, "x", "", None)]
