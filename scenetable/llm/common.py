@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -53,6 +56,14 @@ def dropped(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def give_back() -> None:
+    """Return freed memory to the system, as Spark keeps a Python worker for the next task."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def sliced(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Batches cut so that `column` has at most so many bytes in each, or one row."""
     for batch in batches:

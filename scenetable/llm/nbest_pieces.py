@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import sliced, table
+from .common import give_back, sliced, table
 from .shingles import mix
 
 #: SentencePiece's sign for a space.
@@ -355,12 +355,18 @@ class PieceCoder:
 
 
 def coder(path: str) -> PieceCoder:
-    """The worker's coder for a model file."""
+    """The worker's coder for a model file; it goes with the task."""
     if path not in _coders:
         _coders[path] = PieceCoder(path)
     return _coders[path]
 
 
+def _free() -> None:
+    """At a task's end the coder goes, as the worker may serve another stage next."""
+    _coders.clear()
+    give_back()
+
+
 _CHANGES = pa.list_(pa.struct([("score", pa.float64()), ("changes", pa.list_(pa.struct([("at", pa.int64()), ("n", pa.int64()), ("ids", pa.list_(pa.int32()))])))]))
 
 
@@ -384,6 +390,7 @@ def encode(docs: DataFrame, model: str, n: int = 4) -> DataFrame:
             stops = np.cumsum(counts)
             crc = [zlib.crc32(ids[a:b].astype("<u4")) for a, b in zip(stops - counts, stops, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, pa.array(crc, pa.int64()), pa.array(scores), best], names=["doc_id", "ids", "ids_crc32", "score", "nbest"])
+        _free()
 
     kind = dict(docs.dtypes)["doc_id"]
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -402,6 +409,7 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
                 texts = tool.decode(part.flatten().to_numpy(zero_copy_only=False).astype(np.int64), pc.list_value_length(part).to_numpy().astype(np.int64))
                 kept = [i for i, x in enumerate(batch.schema.names) if x != "__ids"]
                 yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(a, 500) for i in kept), texts.cast(pa.string())], names=[*(batch.schema.names[i] for i in kept), "text"])
+        _free()
 
     rows = encoded.drop("text")
     return rows.withColumn("__ids", F.coalesce("ids", F.array().cast("array<int>"))).mapInArrow(emit, ", ".join(f"`{c}` {t}" for c, t in [*rows.dtypes, ("text", "string")]))

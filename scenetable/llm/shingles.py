@@ -37,6 +37,12 @@ def _grow(n: int) -> None:
             _inverses = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, inverse)]))
 
 
+def shrink() -> None:
+    """Give back the powers that one large batch needed."""
+    global _powers, _inverses
+    _powers, _inverses = _powers[:1].copy(), _inverses[:1].copy()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit numbers (one-to-one)."""
     x = x ^ (x >> np.uint64(30))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles
-from .common import sliced, table
+from .common import give_back, sliced, table
 from .shingles import Words, mix
 
 #: Words of a window, and how far the next window begins: every word is in two windows. A long word counts by its pieces.
@@ -29,7 +29,7 @@ RUNS = (2, 3, 4, 5, 6, 7, 8)
 #: Characters of a word that a step takes the runs of; distinct pieces read at a time.
 PIECE, READ_PIECES = 16, 1 << 14
 #: The bounded sample that labels are learned from: rows of each label, their longest text, and the characters of all of a label.
-TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS, TRAIN_ALL_CHARS = 1200, 2000, 20_000, 8_000_000
+TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS, TRAIN_ALL_CHARS = 1200, 2000, 20_000, 3_500_000
 #: Share of words whose own embedding is held back in training.
 UNSEEN = 0.3
 #: Sample documents that a bucket must be in to have an embedding.
@@ -401,6 +401,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Network:
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = sorted((r for batch in batches for r in batch.to_pylist()), key=lambda r: r["doc_id"])
         net = train([r["text"] for r in held], [r["toxic"] for r in held], prior)
+        shingles.shrink()
+        del held
+        give_back()
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((net.p, net.scale))], pa.binary())], names=["net"])
 
     return Network(*pickle.loads(rows.repartition(1).mapInArrow(learn, "net binary").first()["net"]))
@@ -423,6 +426,7 @@ def scored(docs: DataFrame, net: Network) -> DataFrame:
             score = _sigmoid(a * top.astype(float) + b)
             kept = [i for i, x in enumerate(batch.schema.names) if x != "__text"]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), pa.array(score)], names=[*(batch.schema.names[i] for i in kept), "score"])
+        give_back()
 
     rows = docs.drop("score")
     return rows.withColumn("__text", F.coalesce("text", F.lit(""))).mapInArrow(emit, ", ".join(f"`{c}` {t}" for c, t in [*rows.dtypes, ("score", "double")]))
