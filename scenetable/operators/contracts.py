@@ -63,9 +63,17 @@ def duplicates(rows: DataFrame, key: str) -> DataFrame:
     return rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > 1)
 
 
-def set_digest(rows: DataFrame, keys: list[str], part: Column) -> DataFrame:
-    """One sha256 over the sorted digests of each key's parts."""
-    return rows.groupBy(*keys).agg(F.sha2(F.array_join(F.sort_array(F.collect_list(part)), "\n"), 256).alias("digest"))
+def set_digest(rows: DataFrame, keys: list[str], part: Column, bucket_digits: int = 3) -> DataFrame:
+    """One sha256 for the parts of each key, whatever their order, in two levels.
+
+    Parts are dealt to buckets by the first hex digits of their own sha256; a bucket's digest is over its sorted
+    parts, and a key's over the lines bucket:digest in order. So no list holds more than a bucket of a key, and
+    a very large key is spread over all tasks. Null parts are left out.
+    """
+    dealt = rows.select(*keys, part.alias("_part")).withColumn("_bucket", F.substring(F.sha2("_part", 256), 1, bucket_digits))
+    each = dealt.groupBy(*keys, "_bucket").agg(F.sha2(F.array_join(F.sort_array(F.collect_list("_part")), "\n"), 256).alias("_digest"))
+    lines = F.sort_array(F.collect_list(F.concat_ws(":", "_bucket", "_digest")))
+    return each.groupBy(*keys).agg(F.sha2(F.array_join(lines, "\n"), 256).alias("digest"))
 
 
 def lineage_breaks(receipts: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -91,24 +99,34 @@ def gate_worst(metrics: DataFrame, thresholds: DataFrame) -> DataFrame:
     return out
 
 
-#: Completion backends in order of score, with what they ask for; "hold" is what remains.
+#: Categories with a deformable profile and those that a rigid CAD model can stand for.
+DEFORMABLE = ("bean bag", "cushion", "pillow", "seat cushion", "throw pillow")
+RIGID = ("cabinet", "chair", "door", "lamp", "nightstand", "stool", "table", "vase")
+#: Completion backends with their scores. Rules in SQL over the evidence, with `kind` as the category's key.
 BACKENDS = (
-    ("planar_support", 98, "support_geometry_available AND target_kind = 'structure'"),
-    ("multiview_reconstruction", 97, "calibrated_view_count >= 3 AND view_baseline_score >= 0.5"),
-    ("cad_retrieval", 96, "cad_retrieval_confidence >= 0.8"),
-    ("deformable_prior", 88, "deformable_prior_available"),
-    ("single_view_generation", 82, "source_front_rgba_available AND estimated_visible_surface_fraction >= 0.4"),
-    ("multi_depth_completion", 70, "multi_depth_negative_space_verified"),
+    ("support_surface_reconstruction", 98, "target_kind = 'structure_background' AND support_geometry_available"),
+    ("component_assembly", 97, "target_kind = 'fixture' AND support_geometry_available AND multi_depth_negative_space_verified"),
+    ("multi_view_reconstruction", 96, "calibrated_view_count >= 3 AND view_baseline_score >= 0.05 AND estimated_visible_surface_fraction >= 0.35"),
+    ("deformable_category_prior", 88, f"source_front_rgba_available AND (deformable_prior_available OR kind IN {DEFORMABLE})"),
+    ("retrieval_cad_prior", 82, f"kind IN {RIGID} AND cad_retrieval_confidence >= 0.82"),
+    ("generative_image_to_3d", 70, "source_front_rgba_available"),
 )
+HOLD = "hold_for_more_evidence"
 
 
 def route(evidence: DataFrame) -> DataFrame:
-    """The best eligible backend for each object_id by evidence; without a verified identity always hold (score 100)."""
+    """The eligible backend of highest score for each row of evidence: object_id, backend, score.
+
+    Without a verified identity and appearance the object is held (score 100); with them, holding (score 1)
+    remains if nothing else is eligible. A category's key is lowered, "_" and white space being one
+    space. Null evidence counts as not given.
+    """
+    rows = evidence.withColumn("kind", F.lower(F.btrim(F.regexp_replace("category", r"[\s_]+", " "))))
     verified = F.coalesce(F.col("same_instance_multi_frame_verified") & F.col("appearance_contract_verified"), F.lit(False))
     ways = [F.when(F.coalesce(F.expr(rule), F.lit(False)), F.struct(F.lit(score).alias("score"), F.lit(name).alias("backend"))) for name, score, rule in BACKENDS]
-    hold = F.struct(F.when(verified, 1).otherwise(100).alias("score"), F.lit("hold").alias("backend"))
-    best = F.when(verified, F.array_max(F.filter(F.array(*ways, hold), lambda x: x.isNotNull()))).otherwise(hold)
-    return evidence.select("object_id", best.alias("b")).select("object_id", "b.backend", "b.score")
+    hold = lambda score: F.struct(F.lit(score).alias("score"), F.lit(HOLD).alias("backend"))
+    best = F.when(verified, F.coalesce(*ways, hold(1))).otherwise(hold(100))
+    return rows.select("object_id", best.alias("b")).select("object_id", "b.backend", "b.score")
 
 
 def violations(rules: dict[str, DataFrame]) -> DataFrame:

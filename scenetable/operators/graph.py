@@ -8,24 +8,24 @@ from pyspark.sql import functions as F
 from .common import checkpointed
 
 
-def descendants(edges: DataFrame, most_levels: int = 200) -> DataFrame:
-    """All (ancestor, node, depth) of parent-child edges (parent, node), by the least depth.
+def descendants(edges: DataFrame) -> DataFrame:
+    """All (ancestor, node, depth) of parent-child edges (parent, node), by the least depth, however deep.
 
-    Reach doubles each round. A cycle raises: a node would be its own ancestor.
+    Reach doubles each round: a shortest path of more than `span` steps begins with one of exactly `span`,
+    so only pairs at that depth are joined on. It is done when there are none. A cycle raises: a node would be
+    its own ancestor. Null ends are left out. Each round is written, so jobs run while the result is built.
     """
-    reach = checkpointed(edges.select(F.col("parent").alias("ancestor"), "node", F.lit(1).alias("depth")).distinct())
-    size, span = reach.count(), 1
-    while span < most_levels:
-        far = reach.select(F.col("ancestor").alias("node"), F.col("node").alias("leaf"), F.col("depth").alias("more"))
-        longer = reach.join(far, "node").select("ancestor", F.col("leaf").alias("node"), (F.col("depth") + F.col("more")).alias("depth"))
-        reach = checkpointed(reach.union(longer).groupBy("ancestor", "node").agg(F.min("depth").alias("depth")))
+    known = edges.where(F.col("parent").isNotNull() & F.col("node").isNotNull())
+    reach, span = checkpointed(known.select(F.col("parent").alias("ancestor"), "node", F.lit(1).alias("depth")).distinct()), 1
+    while True:
         if reach.where(F.col("ancestor") == F.col("node")).limit(1).count():
             raise ValueError("the hierarchy has a cycle")
-        now, span = reach.count(), span * 2
-        if now == size:
+        front = reach.where(F.col("depth") == span).select("ancestor", F.col("node").alias("via"))
+        if not front.limit(1).count():
             return reach
-        size = now
-    return reach
+        on = reach.select(F.col("ancestor").alias("via"), "node", (F.col("depth") + span).alias("depth"))
+        reach = checkpointed(reach.union(front.join(on, "via").select("ancestor", "node", "depth")).groupBy("ancestor", "node").agg(F.min("depth").alias("depth")))
+        span *= 2
 
 
 def topological_layers(edges: DataFrame, most_layers: int = 200) -> DataFrame:

@@ -60,9 +60,9 @@ def route_backends(spark, sf_dir):
     o = D.table(spark, sf_dir, "orders")
     bit = lambda k: F.col("o_orderkey") % k == 0
     rows = o.select(
-        F.col("o_orderkey").alias("object_id"), F.when(bit(6), "structure").otherwise("object").alias("target_kind"), (~bit(5)).alias("same_instance_multi_frame_verified"), (~bit(7)).alias("appearance_contract_verified"),
-        bit(2).alias("source_front_rgba_available"), (F.col("o_custkey") % 6).alias("calibrated_view_count"), (F.col("o_orderkey") % 10 / 10.0).alias("view_baseline_score"), (F.col("o_custkey") % 10 / 10.0).alias("estimated_visible_surface_fraction"),
-        bit(9).alias("deformable_prior_available"), (F.col("o_custkey") % 11 / 10.0).alias("cad_retrieval_confidence"), bit(3).alias("support_geometry_available"), bit(4).alias("multi_depth_negative_space_verified"),
+        F.col("o_orderkey").alias("object_id"), F.when(bit(6), "structure_background").when(F.col("o_orderkey") % 4 == 1, "fixture").otherwise("object").alias("target_kind"), F.element_at(F.array(*map(F.lit, ("Throw_Pillow", "chair", "sofa", " bean  bag ", "Table", "plant"))), (F.col("o_custkey") % 6 + 1).cast("int")).alias("category"), (~bit(5)).alias("same_instance_multi_frame_verified"), (~bit(7)).alias("appearance_contract_verified"),
+        bit(2).alias("source_front_rgba_available"), (F.col("o_custkey") % 6).alias("calibrated_view_count"), (F.col("o_orderkey") % 10 / 100.0).alias("view_baseline_score"), (F.col("o_custkey") % 10 / 10.0).alias("estimated_visible_surface_fraction"),
+        bit(9).alias("deformable_prior_available"), (F.col("o_custkey") % 11 / 10.0).alias("cad_retrieval_confidence"), bit(3).alias("support_geometry_available"), (F.col("o_custkey") % 4 == 0).alias("multi_depth_negative_space_verified"),
     )
     return contracts.route(rows).groupBy("backend", "score").agg(F.count("*").alias("n"), F.min("object_id").alias("first_object"))
 
@@ -84,7 +84,7 @@ def _hierarchy(spark, sf_dir):
         n.select(F.concat(F.lit("r"), "n_regionkey").alias("parent"), F.concat(F.lit("n"), "n_nationkey").alias("node"))
         .union(r.select(F.lit("world").alias("parent"), F.concat(F.lit("r"), "r_regionkey").alias("node")))
         .union(c.select(F.concat(F.lit("n"), "c_nationkey").alias("parent"), F.concat(F.lit("c"), "c_custkey").alias("node")))
-        .union(o.where("o_orderstatus = 'P'").select(F.concat(F.lit("c"), "o_custkey").alias("parent"), F.concat(F.lit("o"), "o_orderkey").alias("node")))
+        .union(o.select(F.concat(F.lit("c"), "o_custkey").alias("parent"), F.concat(F.lit("o"), "o_orderkey").alias("node")))
     )
 
 
@@ -186,20 +186,23 @@ ORACLE = {
         WHEN state = 'candidate' THEN 'segment' WHEN state IN ('segmented', 'review_failed') THEN 'complete' WHEN state = 'completed' THEN 'review' ELSE 'none' END AS action FROM o FULL JOIN a USING (category)""",
     "digest_mismatch": "SELECT doc_id AS uri, CASE doc_id % 10 WHEN 5 THEN 'missing' WHEN 7 THEN 'size_mismatch' ELSE 'sha256_mismatch' END AS issue FROM documents WHERE doc_id % 10 IN (3, 5, 7)",
     "duplicate_evidence": "SELECT sha256(text) AS sha256, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1",
-    "set_digests": "SELECT source, sha256(string_agg(p, chr(10) ORDER BY p)) AS digest FROM (SELECT source, doc_id || ':' || sha256(text) AS p FROM documents) GROUP BY 1",
+    "set_digests": """WITH p AS (SELECT source, doc_id || ':' || sha256(text) AS p FROM documents), b AS (SELECT source, substr(sha256(p), 1, 3) AS b, sha256(string_agg(p, chr(10) ORDER BY p)) AS d FROM p GROUP BY 1, 2)
+      SELECT source, sha256(string_agg(b || ':' || d, chr(10) ORDER BY b)) AS digest FROM b GROUP BY 1""",
     "lineage_chain_breaks": """WITH r AS (SELECT DISTINCT conv_id, turn FROM conversations WHERE (conv_id * 7 + turn) % 13 <> 0), l AS (SELECT *, lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS p FROM r)
       SELECT conv_id, turn, CASE WHEN p + 1 <> turn THEN 'gap' ELSE 'digest_break' END AS issue FROM l WHERE p IS NOT NULL AND (p + 1 <> turn OR (conv_id + turn) % 11 = 0)""",
-    "route_backends": """WITH e AS (SELECT o_orderkey AS k, o_custkey AS c FROM orders), r AS (SELECT k, CASE WHEN k % 5 = 0 OR k % 7 = 0 THEN 'hold' WHEN k % 3 = 0 AND k % 6 = 0 THEN 'planar_support' WHEN c % 6 >= 3 AND k % 10 / 10.0e0 >= 0.5e0 THEN 'multiview_reconstruction'
-        WHEN c % 11 / 10.0e0 >= 0.8e0 THEN 'cad_retrieval' WHEN k % 9 = 0 THEN 'deformable_prior' WHEN k % 2 = 0 AND c % 10 / 10.0e0 >= 0.4e0 THEN 'single_view_generation' WHEN k % 4 = 0 THEN 'multi_depth_completion' ELSE 'hold' END AS backend FROM e)
-      SELECT backend, CAST(CASE backend WHEN 'planar_support' THEN 98 WHEN 'multiview_reconstruction' THEN 97 WHEN 'cad_retrieval' THEN 96 WHEN 'deformable_prior' THEN 88 WHEN 'single_view_generation' THEN 82 WHEN 'multi_depth_completion' THEN 70
-        ELSE CASE WHEN k % 5 = 0 OR k % 7 = 0 THEN 100 ELSE 1 END END AS INTEGER) AS score, count(*) AS n, min(k) AS first_object FROM r GROUP BY 1, 2""",
+    "route_backends": """WITH e AS (SELECT o_orderkey AS k, o_custkey AS c, trim(regexp_replace(lower(['Throw_Pillow', 'chair', 'sofa', ' bean  bag ', 'Table', 'plant'][o_custkey % 6 + 1]), '[\\s_]+', ' ', 'g')) AS kind, k % 5 <> 0 AND k % 7 <> 0 AS ready FROM orders),
+      r AS (SELECT k, CASE WHEN NOT ready THEN 'hold_for_more_evidence' WHEN k % 6 = 0 AND k % 3 = 0 THEN 'support_surface_reconstruction' WHEN k % 6 <> 0 AND k % 4 = 1 AND k % 3 = 0 AND c % 4 = 0 THEN 'component_assembly'
+        WHEN c % 6 >= 3 AND k % 10 / 100.0e0 >= 0.05e0 AND c % 10 / 10.0e0 >= 0.35e0 THEN 'multi_view_reconstruction' WHEN k % 2 = 0 AND (k % 9 = 0 OR kind IN ('bean bag', 'cushion', 'pillow', 'seat cushion', 'throw pillow')) THEN 'deformable_category_prior'
+        WHEN kind IN ('cabinet', 'chair', 'door', 'lamp', 'nightstand', 'stool', 'table', 'vase') AND c % 11 / 10.0e0 >= 0.82e0 THEN 'retrieval_cad_prior' WHEN k % 2 = 0 THEN 'generative_image_to_3d' ELSE 'hold_for_more_evidence' END AS backend, ready FROM e)
+      SELECT backend, CAST(CASE backend WHEN 'support_surface_reconstruction' THEN 98 WHEN 'component_assembly' THEN 97 WHEN 'multi_view_reconstruction' THEN 96 WHEN 'deformable_category_prior' THEN 88 WHEN 'retrieval_cad_prior' THEN 82
+        WHEN 'generative_image_to_3d' THEN 70 ELSE CASE WHEN ready THEN 1 ELSE 100 END END AS INTEGER) AS score, count(*) AS n, min(k) AS first_object FROM r GROUP BY 1, 2""",
     "violations": """SELECT 'customer_without_order' AS rule, CAST(c_custkey AS VARCHAR) AS key FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)
       UNION ALL SELECT 'order_of_unknown_customer', CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)
       UNION ALL SELECT 'repeated_order', CAST(o_orderkey AS VARCHAR) FROM orders GROUP BY o_orderkey HAVING count(*) > 1
       UNION ALL SELECT 'open_order_of_negative_account', CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderstatus = 'O' AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal < -900)
       UNION ALL SELECT 'nation_without_customer', n_name FROM nation WHERE n_nationkey NOT IN (SELECT c_nationkey FROM customer)""",
     "hierarchy_descendants": """WITH RECURSIVE e AS (SELECT 'r' || n_regionkey AS p, 'n' || n_nationkey AS c FROM nation UNION ALL SELECT 'world', 'r' || r_regionkey FROM region
-        UNION ALL SELECT 'n' || c_nationkey, 'c' || c_custkey FROM customer UNION ALL SELECT 'c' || o_custkey, 'o' || o_orderkey FROM orders WHERE o_orderstatus = 'P'),
+        UNION ALL SELECT 'n' || c_nationkey, 'c' || c_custkey FROM customer UNION ALL SELECT 'c' || o_custkey, 'o' || o_orderkey FROM orders),
       d(a, c, depth) AS (SELECT p, c, 1 FROM e UNION ALL SELECT d.a, e.c, d.depth + 1 FROM d JOIN e ON d.c = e.p)
       SELECT a AS ancestor, count(DISTINCT c) AS n, max(depth) AS depth FROM d WHERE a LIKE 'r%' OR a = 'world' OR a LIKE 'n%' GROUP BY 1""",
     "topological_layers": """WITH RECURSIVE e AS (SELECT DISTINCT p_partkey - 1 - p_size % 3 AS f, p_partkey AS b FROM part WHERE p_partkey % 40 <> 0 AND p_partkey - 1 - p_size % 3 >= 0 AND (p_partkey - 1 - p_size % 3) // 40 = p_partkey // 40),

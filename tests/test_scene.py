@@ -83,6 +83,15 @@ def test_fits_recover_what_was_planted(spark):
     assert r.inliers >= 400 and abs(abs(r.nz) - 1) < 1e-6
 
 
+def test_descendants_of_long_chains(spark):
+    chain = spark.range(1000).selectExpr("id AS parent", "id + 1 AS node")
+    got = graph.descendants(chain)
+    assert got.agg(F.count("*"), F.max("depth"), F.count_if(F.col("depth") != F.col("node") - F.col("ancestor"))).first() == (1000 * 1001 // 2, 1000, 0)
+    ring = spark.range(500).selectExpr("id AS parent", "(id + 1) % 500 AS node")
+    with pytest.raises(ValueError, match="cycle"):
+        graph.descendants(ring)
+
+
 def test_graphs_raise_on_cycles(spark):
     e = spark.createDataFrame([("a", "b"), ("b", "c"), ("a", "c"), ("d", "c")], "front string, back string")
     assert {r.node: r.layer for r in graph.topological_layers(e).collect()} == {"a": 0, "d": 0, "b": 1, "c": 2}
@@ -116,9 +125,13 @@ def test_contracts(spark):
     r = spark.createDataFrame([(1, 1, "x", "a"), (1, 2, "a", "b"), (1, 3, "z", "c"), (1, 5, "c", "d")], "k int, round int, input_sha256 string, output_sha256 string")
     assert {(x["round"], x.issue) for x in contracts.lineage_breaks(r, ["k"], "round").collect()} == {(3, "digest_break"), (5, "gap")}
     ev = spark.createDataFrame([(1, "object", None, True, 5, 0.9)], "object_id long, target_kind string, same_instance_multi_frame_verified boolean, appearance_contract_verified boolean, calibrated_view_count int, view_baseline_score double")
-    ev = ev.select("*", *(F.lit(None).cast(t).alias(c) for c, t in (("source_front_rgba_available", "boolean"), ("estimated_visible_surface_fraction", "double"), ("deformable_prior_available", "boolean"), ("cad_retrieval_confidence", "double"), ("support_geometry_available", "boolean"), ("multi_depth_negative_space_verified", "boolean"))))
-    assert [(x.backend, x.score) for x in contracts.route(ev).collect()] == [("hold", 100)]
-    assert contracts.route(ev.withColumn("same_instance_multi_frame_verified", F.lit(True))).first().backend == "multiview_reconstruction"
+    ev = ev.select("*", F.lit("Throw_Pillow").alias("category"), F.lit(0.4).alias("estimated_visible_surface_fraction"), *(F.lit(None).cast(t).alias(c) for c, t in (("source_front_rgba_available", "boolean"), ("deformable_prior_available", "boolean"), ("cad_retrieval_confidence", "double"), ("support_geometry_available", "boolean"), ("multi_depth_negative_space_verified", "boolean"))))
+    assert [(x.backend, x.score) for x in contracts.route(ev).collect()] == [("hold_for_more_evidence", 100)]
+    known = ev.withColumn("same_instance_multi_frame_verified", F.lit(True))
+    alone = known.withColumns({"calibrated_view_count": F.lit(2), "source_front_rgba_available": F.lit(True)})
+    assert [(x.backend, x.score) for x in contracts.route(alone).collect()] == [("deformable_category_prior", 88)]
+    assert [(x.backend, x.score) for x in contracts.route(known.withColumn("calibrated_view_count", F.lit(2))).collect()] == [("hold_for_more_evidence", 1)]
+    assert contracts.route(ev.withColumn("same_instance_multi_frame_verified", F.lit(True))).first().backend == "multi_view_reconstruction"
 
 
 def test_ply_and_rle(spark, tmp_path):
