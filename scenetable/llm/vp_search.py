@@ -47,19 +47,24 @@ class VPTree:
         return node
 
     def search(self, queries: np.ndarray, k: int, relax: float) -> tuple[np.ndarray, np.ndarray]:
-        """The k nearest rows of each query as found: squared distances and row numbers (-1: none)."""
+        """The k nearest rows of each query as found: squared distances and row numbers (-1: none).
+
+        Distances closer than rounding can tell are equal, and of equal ones the first rows are kept.
+        """
         n = len(queries)
         best = np.full((n, k), np.inf)
         found = np.full((n, k), -1)
         first = np.full(n, -1)
         norms = np.einsum("ij,ij->i", self.rows, self.rows)
         sizes = np.einsum("ij,ij->i", queries, queries)
+        grain = 1e-11 * max(norms.max(initial=0) + sizes.max(initial=0), 1e-300)
 
         def scan(rows: np.ndarray, who: np.ndarray) -> None:
             d = np.maximum(sizes[who, None] + norms[rows] - 2 * queries[who] @ self.rows[rows].T, 0)
+            d = np.rint(d / grain) * grain
             d = np.concatenate([best[who], d], axis=1)
             i = np.concatenate([found[who], np.broadcast_to(rows, (len(who), len(rows)))], axis=1)
-            top = np.argpartition(d, k - 1, axis=1)[:, :k]
+            top = np.lexsort((i, d), axis=1)[:, :k]
             best[who], found[who] = np.take_along_axis(d, top, 1), np.take_along_axis(i, top, 1)
 
         def descend(node: int, who: np.ndarray) -> None:
@@ -113,6 +118,10 @@ def _searcher(k: int, relax: float):
         # Equal vectors share a place in the tree; their k + 1 smallest ids are all that a result can need.
         unique, place = np.unique(vectors, axis=0, return_inverse=True)
         place = place.reshape(-1)
+        first = np.full(len(unique), len(ids))
+        np.minimum.at(first, place, np.arange(len(ids)))
+        by_first = np.argsort(first)  # places in the order of their smallest ids, so that ties keep those
+        unique, place = unique[by_first], np.argsort(by_first)[place]
         by_place = np.argsort(place, kind="stable")
         begins = np.searchsorted(place[by_place], np.arange(len(unique) + 1))
         largest = rows.column("largest")[0].as_py()

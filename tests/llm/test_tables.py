@@ -36,6 +36,15 @@ def test_exact_search_with_ties_and_bad_vectors(spark):
     assert vp_search.nearest(few, few, 20).count() == 6
 
 
+def test_distinct_vectors_of_equal_score(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, [1.0, float(x), float(y)]) for i, (x, y) in enumerate(rng.normal(size=(300, 2)))] + [(1000, [3.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for relax, shard in ((1.0, 10_000), (1.0, 70)):
+        got = vp_search.nearest(df, df.where("vec_id = 1000"), 20, relax, shard_rows=shard).orderBy("rank").collect()
+        assert [r.vec_id for r in got] == list(range(20)) and {r.score for r in got} == {3.0}
+
+
 def test_production_recall(spark):
     rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     got = {(r.query_id, r.vec_id) for r in vp_search.query(spark, "/root/testdata/sf0.1").collect()}
