@@ -370,13 +370,14 @@ def _free() -> None:
 _CHANGES = pa.list_(pa.struct([("score", pa.float64()), ("changes", pa.list_(pa.struct([("at", pa.int64()), ("n", pa.int64()), ("ids", pa.list_(pa.int32()))])))]))
 
 
-def encode(docs: DataFrame, model: str, n: int = 4) -> DataFrame:
+def encode(docs: DataFrame, model: str, n: int = 4, back: bool = False) -> DataFrame:
     """The `n` best segmentations of the texts of `docs` (doc_id, text, ...).
 
     Returns doc_id, ids (array<int>, the best), ids_crc32 (of them as little-endian unsigned 32-bit
     integers), score, and nbest: array<struct<score, changes>>,
     best first, where changes say which ids of the best to replace: from place `at`, `n` ids
-    give way to `ids`. Fewer segmentations than n: all of them. Null and empty texts have
+    give way to `ids`. With `back` also text, decoded from the ids in the same pass.
+    Fewer segmentations than n: all of them. Null and empty texts have
     no ids, score 0 and the empty segmentation alone. Rows pass one by one: repeats and null
     doc_ids come out as they are. Other columns are left out. Empty input: empty output.
     """
@@ -389,12 +390,15 @@ def encode(docs: DataFrame, model: str, n: int = 4) -> DataFrame:
             best = pa.array([[{"score": s, "changes": [{"at": a, "n": k, "ids": i} for a, k, i in c]} for s, c in r] for r in ranked], _CHANGES)
             stops = np.cumsum(counts)
             crc = [zlib.crc32(ids[a:b].astype("<u4")) for a, b in zip(stops - counts, stops, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, pa.array(crc, pa.int64()), pa.array(scores), best], names=["doc_id", "ids", "ids_crc32", "score", "nbest"])
+            made = {"doc_id": batch.column("doc_id"), "ids": lists, "ids_crc32": pa.array(crc, pa.int64()), "score": pa.array(scores), "nbest": best}
+            if back:
+                made["text"] = tool.decode(ids.astype(np.int64), counts).cast(pa.string())
+            yield pa.RecordBatch.from_pydict(made)
         _free()
 
     kind = dict(docs.dtypes)["doc_id"]
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return texts.mapInArrow(emit, f"doc_id {kind}, ids array<int>, ids_crc32 long, score double, nbest array<struct<score:double,changes:array<struct<at:long,n:long,ids:array<int>>>>>")
+    return texts.mapInArrow(emit, f"doc_id {kind}, ids array<int>, ids_crc32 long, score double, nbest array<struct<score:double,changes:array<struct<at:long,n:long,ids:array<int>>>>>{', text string' if back else ''}")
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
@@ -417,7 +421,7 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
 
 def token_rows(docs: DataFrame, model: str, n: int = 4) -> DataFrame:
     """Encode and decode `docs`: doc_id, n_pieces, score, nbest_scores, ids_crc32 and decoded_sha256."""
-    return decode(encode(docs, model, n), model).select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "score", F.col("nbest.score").alias("nbest_scores"), "ids_crc32", F.sha2("text", 256).alias("decoded_sha256"))
+    return encode(docs, model, n, back=True).select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "score", F.col("nbest.score").alias("nbest_scores"), "ids_crc32", F.sha2("text", 256).alias("decoded_sha256"))
 
 
 def query(spark, sf_dir):

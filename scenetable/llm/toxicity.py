@@ -26,8 +26,8 @@ WINDOW, STRIDE = 32, 16
 HIDDEN, WORD_DIMS, CHAR_DIMS, BUCKETS = 8, 6, 6, 1 << 18
 #: Lengths of the character runs, which begin at every character of a word.
 RUNS = (2, 3, 4, 5, 6, 7, 8)
-#: Characters of a word that a step takes the runs of; distinct pieces read at a time.
-PIECE, READ_PIECES = 16, 1 << 14
+#: Characters of a word that a step takes the runs of; distinct pieces, and sample texts, read at a time.
+PIECE, READ_PIECES, READ_TEXTS = 16, 1 << 14, 32
 #: The bounded sample that labels are learned from: rows of each label, their longest text, and the characters of all of a label.
 TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS, TRAIN_ALL_CHARS = 1200, 2000, 20_000, 3_500_000
 #: Share of words whose own embedding is held back in training.
@@ -48,10 +48,11 @@ class Pieces:
     bucket: np.ndarray
     place: np.ndarray
     begin: np.ndarray
+    _key: np.ndarray  # names each distinct piece
     _first: np.ndarray  # characters of each distinct piece's beginning and of its word's end
     _stop: np.ndarray
-    _chars: np.ndarray  # bytes at which characters begin
-    _sums: np.ndarray
+    _bytes: np.ndarray  # bytes at which characters begin, counted from the batch's first
+    _sums: np.ndarray  # hash sums of all bytes before each character
 
     @classmethod
     def of(cls, words: Words) -> Pieces:
@@ -62,12 +63,25 @@ class Pieces:
         nth = np.arange(at[-1]) - np.repeat(at[:-1], count)
         keys = np.repeat(words.hashes, count)
         keys[nth > 0] = mix(keys[nth > 0] + nth[nth > 0].astype(np.uint64))
-        _, some, place = np.unique(keys, return_index=True, return_inverse=True)
+        keys, some, place = np.unique(keys, return_index=True, return_inverse=True)
         bucket = (np.repeat(words.hashes, count)[some] & np.uint64(BUCKETS - 1)).astype(np.int64)
         spread = shingles._VALUES[words.data]
         spread *= shingles._powers[: len(spread)]
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(spread)])
-        return cls(bucket, place.reshape(-1), at[words.begin], (np.repeat(first, count) + PIECE * nth)[some], np.repeat(stop, count)[some], chars, sums)
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(spread)])[chars]
+        return cls(bucket, place.reshape(-1), at[words.begin], keys, (np.repeat(first, count) + PIECE * nth)[some], np.repeat(stop, count)[some], chars, sums)
+
+    @classmethod
+    def joined(cls, parts: list[Pieces]) -> Pieces:
+        """The pieces of consecutive batches as those of one batch."""
+        chars = np.cumsum([0, *(len(p._bytes) for p in parts)])
+        held = np.cumsum([0, *(len(p._key) for p in parts)])
+        begin = np.cumsum([0, *(p.begin[-1] for p in parts)])
+        key, some, again = np.unique(np.concatenate([p._key for p in parts]), return_index=True, return_inverse=True)
+        place = again.reshape(-1)[np.concatenate([p.place + h for p, h in zip(parts, held, strict=False)])]
+        first, stop = (np.concatenate([getattr(p, name) + c for p, c in zip(parts, chars, strict=False)])[some] for name in ("_first", "_stop"))
+        shingles._grow(1 + max(int(p._bytes[-1]) for p in parts))
+        texts = np.concatenate([[0], *(p.begin[1:] + b for p, b in zip(parts, begin, strict=False))])
+        return cls(np.concatenate([p.bucket for p in parts])[some], place, texts, key, first, stop, np.concatenate([p._bytes for p in parts]), np.concatenate([p._sums for p in parts]))
 
     def runs(self, which: np.ndarray | slice) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each length of RUNS: the place in `which` of each run's piece, ascending, and the runs' buckets."""
@@ -76,8 +90,7 @@ class Pieces:
             count = np.clip(stop - first - (n - 1), 0, PIECE)
             own = np.repeat(np.arange(len(first)), count)
             at = first[own] + np.arange(len(own)) - np.repeat(np.cumsum(count) - count, count)
-            start, end = self._chars[at], self._chars[at + n]
-            h = mix((self._sums[end] - self._sums[start]) * shingles._inverses[start] + np.uint64(n))
+            h = mix((self._sums[at + n] - self._sums[at]) * shingles._inverses[self._bytes[at]] + np.uint64(n))
             yield own, (h & np.uint64(BUCKETS - 1)).astype(np.int64)
 
 
@@ -286,7 +299,9 @@ def train(texts: list[str], labels: list[int], prior: float, epochs: int = 4, le
     curve then maps the largest logit of a text to its probability.
     """
     y = np.array(labels, np.float32)
-    pieces = Pieces.of(Words(pa.array(texts, pa.string())))
+    parts = [Pieces.of(Words(pa.array(texts[a : a + READ_TEXTS], pa.string()))) for a in range(0, len(texts), READ_TEXTS)]
+    pieces = Pieces.joined(parts or [Pieces.of(Words(pa.array([], pa.string())))])
+    del parts
     if not len(pieces.bucket) or not len(y):
         net = Network.fresh(np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32))
         net.scale = (0.0, -5.0)  # nothing known: every text alike, and none toxic
