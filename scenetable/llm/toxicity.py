@@ -281,7 +281,7 @@ def _odds(seen: Iterable[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> tuple
 
 def _runs_held(pieces: Pieces) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Buckets of runs and the documents that hold them, for a few documents at a time."""
-    part = pieces.begin[1:] // READ_PIECES
+    part = pieces.begin[1:] // (READ_PIECES // 4)
     cuts = np.concatenate([np.flatnonzero(np.diff(part, prepend=-1)), [len(part)]])
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         own = pieces.place[pieces.begin[a] : pieces.begin[b]].astype(np.int64)
