@@ -43,10 +43,10 @@ def temporal_pairs(frames: DataFrame, keys: list[str], values: list[str]) -> Dat
 
 
 def flow_warp(flow: DataFrame, target: DataFrame) -> DataFrame:
-    """`target` (y, x, v) sampled bilinearly at (x + dx, y + dy) of each flow row (id, y, x, dx, dy); rows short of a corner are left out."""
+    """`target` (frame_id, y, x, v) sampled bilinearly at (x + dx, y + dy) of each flow row (id, frame_id, y, x, dx, dy); rows short of a corner are left out."""
     u, w = F.col("x") + F.col("dx"), F.col("y") + F.col("dy")
     fx, fy = u - F.floor(u), w - F.floor(w)
     corner = F.explode(F.array(*(F.struct((F.floor(u) + i).alias("cx"), (F.floor(w) + j).alias("cy"), ((fx if i else 1 - fx) * (fy if j else 1 - fy)).alias("wt")) for i in (0, 1) for j in (0, 1))))
-    rows = flow.select("id", corner.alias("c")).select("id", "c.*").where(F.col("wt") > 0)
-    got = rows.join(target.select(F.col("x").cast("long").alias("cx"), F.col("y").cast("long").alias("cy"), "v"), ["cx", "cy"], "left")
-    return got.groupBy("id").agg(F.sum(F.col("wt") * F.col("v")).alias("v"), F.bool_and(F.col("v").isNotNull()).alias("whole")).where("whole").drop("whole")
+    rows = flow.select("id", "frame_id", corner.alias("c")).select("id", "frame_id", "c.*").where(F.col("wt") > 0)
+    got = rows.join(target.select("frame_id", F.col("x").cast("long").alias("cx"), F.col("y").cast("long").alias("cy"), "v"), ["frame_id", "cx", "cy"], "left")
+    return got.groupBy("id", "frame_id").agg(F.sum(F.col("wt") * F.col("v")).alias("v"), F.bool_and(F.col("v").isNotNull()).alias("whole")).where("whole").drop("whole")

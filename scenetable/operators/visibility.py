@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geometry import NEAR, camera_axis, world_axis
-from .common import small
+from ..functions.geometry import NEAR, world_axis
+from .common import checkpointed, small
 
 
 def project_points(points: DataFrame, cameras: DataFrame) -> DataFrame:
@@ -14,9 +14,10 @@ def project_points(points: DataFrame, cameras: DataFrame) -> DataFrame:
 
     Adds frame_id, px, py (half-even rounded) and depth. Cameras are broadcast if they are few (checked).
     """
-    cams = small(cameras.select("frame_id", "fx", "fy", "cx", "cy", "w", "h", "r", "t"))
-    x, y, z = F.col("x"), F.col("y"), F.col("z")
-    rows = points.crossJoin(cams).withColumns({"_cx": camera_axis(0, x, y, z), "_cy": camera_axis(1, x, y, z), "depth": camera_axis(2, x, y, z)}).where(F.col("depth") > NEAR)
+    flat = [F.col("r")[i].alias(f"_r{i}") for i in range(9)] + [F.col("t")[i].alias(f"_t{i}") for i in range(3)]  # once a camera, not once a pair
+    cams = small(cameras.select("frame_id", "fx", "fy", "cx", "cy", "w", "h", *flat))
+    axis = [F.col(f"_r{3 * i}") * F.col("x") + F.col(f"_r{3 * i + 1}") * F.col("y") + F.col(f"_r{3 * i + 2}") * F.col("z") + F.col(f"_t{i}") for i in range(3)]
+    rows = points.crossJoin(cams).withColumns({"_cx": axis[0], "_cy": axis[1], "depth": axis[2]}).where(F.col("depth") > NEAR)
     rows = rows.withColumns({"px": F.rint(F.col("fx") * F.col("_cx") / F.col("depth") + F.col("cx")), "py": F.rint(F.col("fy") * F.col("_cy") / F.col("depth") + F.col("cy"))})
     rows = rows.where((F.col("px") >= 0) & (F.col("px") < F.col("w")) & (F.col("py") >= 0) & (F.col("py") < F.col("h")))
     return rows.withColumns({"px": F.col("px").cast("int"), "py": F.col("py").cast("int")}).select(*points.columns, "frame_id", "px", "py", "depth")
@@ -31,12 +32,25 @@ def unproject_pixels(pixels: DataFrame, cameras: DataFrame) -> DataFrame:
 
 
 def zbuffer(rows: DataFrame, keys: list[str], payload: list[str] | None = None, tie: str | None = None) -> DataFrame:
-    """The least depth for each of `keys`; with a payload, that of the nearest row, ties to the least `tie`."""
+    """The least depth for each of `keys`; with a payload, that of the nearest row, ties to the least `tie`.
+
+    Three aggregates over numbers, which hash instead of sorting all rows: least depths, then among the
+    rows at that depth the least tie, then its payload. The least depths are written to the shared
+    folder and broadcast if they are few (counted). Rows with a null key are left out.
+    """
+    least = rows.groupBy(*keys).agg(F.min("depth").alias("depth"))
     if not payload:
-        return rows.groupBy(*keys).agg(F.min("depth").alias("depth"))
-    order = F.struct("depth", *([tie] if tie else []))
-    best = rows.groupBy(*keys).agg(F.min_by(F.struct("depth", *payload), order).alias("b"))
-    return best.select(*keys, "b.*")
+        return least
+    at = [*keys, "depth"]
+    least = small(checkpointed(least.dropna(subset=keys)), 1_000_000)
+    near = rows.select(*dict.fromkeys([*at, *payload, *([tie] if tie else [])])).join(least, at)
+    if not tie:
+        return near.groupBy(*at).agg(*(F.first(c).alias(c) for c in payload)).select(*at, *payload)
+    near = checkpointed(near)
+    first = near.groupBy(*at).agg(F.min(tie).alias(tie))
+    rest = [c for c in payload if c != tie]
+    picked = near.join(first, [*at, tie], "left_semi").groupBy(*at, tie).agg(*(F.first(c).alias(c) for c in rest)) if rest else first
+    return picked.select(*at, *payload)
 
 
 def visible_pixels(projected: DataFrame, absolute: float = 0.02, relative: float = 0.005) -> DataFrame:
@@ -60,15 +74,20 @@ def view_votes(projected: DataFrame, masks: DataFrame, min_votes: int = 2) -> Da
     return votes.withColumn("carved", F.col("votes") >= min_votes)
 
 
-def split_by_boxes(points: DataFrame, boxes: DataFrame) -> DataFrame:
-    """Label points (point_id, u, v) by boxes (mask, x0, y0, x1, y1, score): nearest normalised centre wins, score then name break ties.
+def split_by_boxes(points: DataFrame, boxes: DataFrame, cell: float = 1.0) -> DataFrame:
+    """Label points (point_id, u, v) by boxes (mask, x0, y0, x1, y1, score): the nearest centre in half extents (at least 1) wins.
 
-    Returns point_id, label (null outside all boxes) and n_boxes, one row a point.
+    Score, then name break ties. Of boxes alike in place and score only the first name can win, so they
+    are counted and joined once. Points meet boxes by grid cells of `cell`. Returns point_id, label
+    (null outside all boxes) and n_boxes, one row a point.
     """
-    cx, cy = (F.col("x0") + F.col("x1")) / 2, (F.col("y0") + F.col("y1")) / 2
-    du, dv = (F.col("u") - cx) / (F.col("x1") - F.col("x0")), (F.col("v") - cy) / (F.col("y1") - F.col("y0"))
-    off = du * du + dv * dv
+    each = boxes.groupBy("x0", "y0", "x1", "y1", "score").agg(F.min("mask").alias("mask"), F.count("*").alias("n"))
+    at = lambda c: F.floor(c / cell)
+    cells = each.withColumn("cx", F.explode(F.sequence(at(F.col("x0")), at(F.col("x1"))))).withColumn("cy", F.explode(F.sequence(at(F.col("y0")), at(F.col("y1")))))
+    half = lambda a, b: F.greatest((F.col(b) - F.col(a)) / 2, F.lit(1.0))
+    du, dv = (F.col("u") - (F.col("x0") + F.col("x1")) / 2) / half("x0", "x1"), (F.col("v") - (F.col("y0") + F.col("y1")) / 2) / half("y0", "y1")
     inside = F.col("u").between(F.col("x0"), F.col("x1")) & F.col("v").between(F.col("y0"), F.col("y1"))
-    held = points.join(small(boxes), inside, "left")
-    ranked = held.groupBy("point_id").agg(F.min_by("mask", F.when(F.col("mask").isNotNull(), F.struct(off - F.col("score") * 1e-9, "mask"))).alias("label"), F.count("mask").alias("n_boxes"))
-    return ranked
+    held = points.withColumns({"cx": at(F.col("u")), "cy": at(F.col("v"))}).join(small(cells), ["cx", "cy"], "left")
+    held = held.withColumn("in", F.coalesce(inside, F.lit(False)))
+    order = F.when(F.col("in"), F.struct((du * du + dv * dv) - F.col("score") * 1e-9, "mask"))
+    return held.groupBy("point_id").agg(F.min_by("mask", order).alias("label"), F.coalesce(F.sum(F.when(F.col("in"), F.col("n"))), F.lit(0)).alias("n_boxes"))

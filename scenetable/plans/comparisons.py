@@ -32,7 +32,7 @@ def id_reconciliation(spark, sf_dir):
 
 def frame_coverage(spark, sf_dir):
     ev = D.table(spark, sf_dir, "events")
-    return metrics.frame_coverage(D.table(spark, sf_dir, "customer").where("c_custkey < 160").select(F.col("c_custkey").alias("frame_id")), ev.select(F.col("event_type").alias("binding")), ev.select(F.col("event_type").alias("binding"), F.col("user_id").alias("frame_id")).distinct())
+    return metrics.frame_coverage(D.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("frame_id")), ev.select(F.col("event_type").alias("binding")), ev.select(F.col("event_type").alias("binding"), F.col("user_id").alias("frame_id")).distinct())
 
 
 def camera_drift(spark, sf_dir):
@@ -64,7 +64,7 @@ ORACLE = {
       SELECT frame_id, round(quantile_cont(l, 0.5), 6) AS log_median, round(quantile_cont(l, 0.9), 6) AS log_p90, round(quantile_cont(r, 0.5), 6) AS rel_median, round(quantile_cont(r, 0.9), 6) AS rel_p90 FROM e GROUP BY 1""",
     "id_reconciliation": """WITH b AS (SELECT id, sum(e) AS e, sum(a) AS a FROM (SELECT c_custkey AS id, 1 AS e, 0 AS a FROM customer UNION ALL SELECT o_custkey * 2, 0, 1 FROM orders) GROUP BY 1),
       i AS (SELECT id, CASE WHEN a = 0 THEN 'missing' WHEN e = 0 THEN 'extra' WHEN a > 1 THEN 'duplicate' END AS issue FROM b) SELECT issue, count(*) AS n, CAST(sum(id) AS BIGINT) AS id_sum FROM i WHERE issue IS NOT NULL GROUP BY 1""",
-    "frame_coverage": """SELECT binding, frame_id FROM (SELECT c_custkey AS frame_id FROM customer WHERE c_custkey < 160) CROSS JOIN (SELECT DISTINCT event_type AS binding FROM events) r
+    "frame_coverage": """SELECT binding, frame_id FROM (SELECT c_custkey AS frame_id FROM customer) CROSS JOIN (SELECT DISTINCT event_type AS binding FROM events) r
       WHERE NOT EXISTS (SELECT 1 FROM events WHERE event_type = r.binding AND user_id = frame_id)""",
     "camera_drift": "SELECT n_nationkey AS frame_id, CASE WHEN n_nationkey = 11 THEN 'unknown' ELSE 'moved' END AS issue, CASE WHEN n_nationkey <> 11 THEN 0.5e0 END AS delta FROM nation WHERE n_nationkey % 7 = 3 OR n_nationkey = 11",
     "worst_frames": "SELECT event_type, event_id, round(value, 6) AS value, CAST(row_number() OVER (PARTITION BY event_type ORDER BY round(value, 6) DESC, event_id) AS INTEGER) AS rank FROM events QUALIFY rank <= 5",

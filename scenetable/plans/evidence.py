@@ -26,9 +26,9 @@ def category_audit_merge(spark, sf_dir):
 
 
 def coverage_compare(spark, sf_dir):
-    observed = D.table(spark, sf_dir, "events").where("user_id % 3 = 0").groupBy(F.concat("event_type", (F.col("user_id") % 9).cast("string")).alias("category")).agg(F.count("*").alias("n"))
+    observed = D.table(spark, sf_dir, "events").groupBy(F.concat("event_type", (F.col("user_id") % 9 + 2).cast("string")).alias("category")).agg(F.count("*").alias("n"))
     state = F.element_at(F.array(*map(F.lit, ("candidate", "segmented", "review_failed", "completed", "verified"))), (F.col("user_id") % 5 + 1).cast("int"))
-    assets = D.table(spark, sf_dir, "events").where("user_id % 2 = 0").groupBy(F.concat("event_type", (F.col("user_id") % 9).cast("string")).alias("category")).agg((F.count("*") - 8).alias("represented"), (F.max("user_id") % 2 == 0).alias("individual"), F.max(state).alias("state"))
+    assets = D.table(spark, sf_dir, "events").groupBy(F.concat("event_type", (F.col("user_id") % 9).cast("string")).alias("category")).agg((F.count("*") - 8).alias("represented"), (F.max("user_id") % 2 == 0).alias("individual"), F.max(state).alias("state"))
     return contracts.coverage(observed, assets)
 
 
@@ -124,7 +124,7 @@ def _objects(spark, sf_dir):
 def _asked(spark, sf_dir):
     c = D.table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
-    what = F.when(k % 4 == 0, F.concat(F.lit("Where is obj_"), (k % 30).cast("string"), F.lit("?"))).when(k % 4 == 1, F.concat(F.lit("What color is the second thing"), (k % 5).cast("string"))).when(k % 4 == 2, F.concat(F.lit("where is the thing"), (k % 4).cast("string"))).otherwise(F.concat(F.lit("Describe kind"), (k % 7).cast("string"), F.lit(" please")))
+    what = F.when(k % 4 == 0, F.concat(F.lit("Where is obj_"), (k % 30).cast("string"), F.lit("?"))).when(k % 4 == 1, F.concat(F.lit("What color is the second thing"), (k % 5).cast("string"))).when(k % 4 == 2, F.concat(F.lit("第二thing"), (k % 5).cast("string"), F.lit("在哪里"))).otherwise(F.concat(F.lit("Describe kind"), (k % 7).cast("string"), F.lit(" please")))
     return c.select(k.alias("question_id"), what.alias("text"))
 
 
@@ -163,8 +163,8 @@ _ASKED = """obj AS (SELECT 'obj_' || n_nationkey AS object_id, n_nationkey AS k,
  term AS (SELECT object_id, key, max(w) + least(length(key), 99) AS weight FROM (
    SELECT object_id, 'world' || k AS key, 1000 AS w FROM obj UNION ALL SELECT object_id, 'obj' || k, 900 FROM obj UNION ALL SELECT object_id, nm, 800 FROM obj
    UNION ALL SELECT object_id, 'thing' || (k % 4), 600 FROM obj UNION ALL SELECT object_id, 'kind' || r, 400 FROM obj) GROUP BY 1, 2),
- ask AS (SELECT c_custkey AS question_id, CASE c_custkey % 4 WHEN 0 THEN 'Where is obj_' || (c_custkey % 30) || '?' WHEN 1 THEN 'What color is the second thing' || (c_custkey % 5) WHEN 2 THEN 'where is the thing' || (c_custkey % 4) ELSE 'Describe kind' || (c_custkey % 7) || ' please' END AS text FROM customer),
- q AS (SELECT question_id, text, lower(regexp_replace(text, '[^A-Za-z0-9]', '', 'g')) AS q, CASE WHEN contains(text, 'second') THEN 2 ELSE TRY_CAST(regexp_extract(text, '([0-9]{1,6})[^0-9]*$', 1) AS INTEGER) END AS nth FROM ask),
+ ask AS (SELECT c_custkey AS question_id, CASE c_custkey % 4 WHEN 0 THEN 'Where is obj_' || (c_custkey % 30) || '?' WHEN 1 THEN 'What color is the second thing' || (c_custkey % 5) WHEN 2 THEN '第二thing' || (c_custkey % 5) || '在哪里' ELSE 'Describe kind' || (c_custkey % 7) || ' please' END AS text FROM customer),
+ q AS (SELECT question_id, text, lower(regexp_replace(text, '[^A-Za-z0-9]', '', 'g')) AS q, CASE WHEN contains(text, 'second') OR contains(text, '第二') THEN 2 END AS nth FROM ask),
  hit AS (SELECT question_id, nth, object_id, max(weight) AS score FROM q JOIN term ON contains(q.q, key) GROUP BY 1, 2, 3),
  best AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY CAST(regexp_extract(object_id, '([0-9]+)$', 1) AS INTEGER), object_id) AS place, count(*) OVER (PARTITION BY question_id) AS n_best
           FROM (SELECT *, max(score) OVER (PARTITION BY question_id) AS top FROM hit) WHERE score = top),
@@ -180,8 +180,8 @@ ORACLE = {
       l AS (SELECT category, string_agg(CAST(frame_id AS VARCHAR), ',' ORDER BY k) AS frames FROM f WHERE k <= 6 GROUP BY 1),
       r AS (SELECT category, run_id FROM e QUALIFY row_number() OVER (PARTITION BY category ORDER BY n DESC, confidence DESC, run_id) = 1)
       SELECT e.category, max(n) AS n, any_value(r.run_id) AS representative, CASE min(i) WHEN 0 THEN 'primary' WHEN 1 THEN 'structure' ELSE 'secondary' END AS importance, any_value(frames) AS frames FROM e JOIN l USING (category) JOIN r USING (category) GROUP BY 1""",
-    "coverage_compare": """WITH o AS (SELECT event_type || (user_id % 9) AS category, count(*) AS n FROM events WHERE user_id % 3 = 0 GROUP BY 1),
-      a AS (SELECT event_type || (user_id % 9) AS category, count(*) - 8 AS represented, max(user_id) % 2 = 0 AS individual, max(['candidate', 'segmented', 'review_failed', 'completed', 'verified'][user_id % 5 + 1]) AS state FROM events WHERE user_id % 2 = 0 GROUP BY 1)
+    "coverage_compare": """WITH o AS (SELECT event_type || (user_id % 9 + 2) AS category, count(*) AS n FROM events GROUP BY 1),
+      a AS (SELECT event_type || (user_id % 9) AS category, count(*) - 8 AS represented, max(user_id) % 2 = 0 AS individual, max(['candidate', 'segmented', 'review_failed', 'completed', 'verified'][user_id % 5 + 1]) AS state FROM events GROUP BY 1)
       SELECT category, n, represented, individual, state, CASE WHEN represented IS NULL OR represented < coalesce(n, 0) THEN CASE WHEN individual THEN 'instance_split' ELSE 'segment' END WHEN n IS NULL THEN 'unassessed'
         WHEN state = 'candidate' THEN 'segment' WHEN state IN ('segmented', 'review_failed') THEN 'complete' WHEN state = 'completed' THEN 'review' ELSE 'none' END AS action FROM o FULL JOIN a USING (category)""",
     "digest_mismatch": "SELECT doc_id AS uri, CASE doc_id % 10 WHEN 5 THEN 'missing' WHEN 7 THEN 'size_mismatch' ELSE 'sha256_mismatch' END AS issue FROM documents WHERE doc_id % 10 IN (3, 5, 7)",
@@ -212,10 +212,10 @@ ORACLE = {
       g AS (SELECT *, turn - row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS island FROM c), f AS (SELECT g.conv_id, g.island, min(g.turn) AS t FROM g WHERE (conv_id * 5 + turn) % 17 = 0 GROUP BY 1, 2)
       SELECT g.conv_id, count(*) AS n_stale FROM g JOIN f ON g.conv_id = f.conv_id AND g.island = f.island AND g.turn >= f.t GROUP BY 1""",
     "scene_question_resolution": f"WITH {_ASKED} SELECT question_id, object_id, n_best, CAST(score AS INTEGER) AS score, status FROM res",
-    "scene_answers": f"""WITH {_ASKED}, a AS (SELECT CASE WHEN regexp_matches(lower(text), 'color|describe') THEN 'appearance' WHEN regexp_matches(lower(text), 'where') THEN 'location' ELSE 'unknown' END AS intent, res.*, k, n_name, r FROM res LEFT JOIN obj USING (object_id)),
-      t AS (SELECT *, CASE WHEN intent = 'location' THEN coalesce(CASE WHEN k % 3 = 0 THEN 'by ' || n_name END, CASE WHEN k % 2 = 1 AND k % 10 / 10.0e0 >= 0.5e0 THEN 'near region ' || r END, CASE WHEN k % 5 <> 0 THEN 'centre (0.50, 1.50, 3.00)' END) WHEN intent = 'appearance' THEN CASE WHEN k % 2 = 0 THEN 'grey' END END AS said FROM a),
-      u AS (SELECT intent, CASE WHEN status <> 'resolved' THEN status WHEN said IS NULL THEN 'unavailable' ELSE 'answered' END AS status, said FROM t)
-      SELECT 'en' AS lang, intent, status, CASE WHEN status = 'answered' THEN said END AS answer, count(*) AS n FROM u GROUP BY 1, 2, 3, 4""",
+    "scene_answers": f"""WITH {_ASKED}, a AS (SELECT CASE WHEN contains(text, '第二') THEN 'zh' ELSE 'en' END AS lang, CASE WHEN contains(lower(text), 'color') THEN 'appearance' WHEN regexp_matches(lower(text), 'where|在哪') THEN 'location' ELSE 'unknown' END AS intent, res.*, k, n_name, r FROM res LEFT JOIN obj USING (object_id)),
+      t AS (SELECT *, CASE WHEN intent = 'location' THEN coalesce(CASE WHEN k % 3 = 0 THEN 'by ' || n_name END, CASE WHEN k % 2 = 1 AND k % 10 / 10.0e0 >= 0.5e0 THEN CASE WHEN lang = 'zh' THEN '在region ' || r || '附近' ELSE 'near region ' || r END END, CASE WHEN k % 5 <> 0 THEN 'centre (0.50, 1.50, 3.00)' END) WHEN intent = 'appearance' THEN CASE WHEN k % 2 = 0 THEN 'grey' END END AS said FROM a),
+      u AS (SELECT lang, intent, CASE WHEN status <> 'resolved' THEN status WHEN intent = 'unknown' THEN 'unsupported' WHEN said IS NULL THEN 'unavailable' ELSE 'resolved' END AS status, said FROM t)
+      SELECT lang, intent, status, CASE WHEN status = 'resolved' THEN said END AS answer, count(*) AS n FROM u GROUP BY 1, 2, 3, 4""",
     "command_intake": """WITH c AS (SELECT event_id, ts, user_id, CASE event_id % 4 WHEN 0 THEN 'delete' WHEN 1 THEN 'update' WHEN 2 THEN 'query' ELSE 'merge' END AS kind, 't' || (event_id % 7) AS target FROM events WHERE user_id % 3 = 1 AND event_id % 7 < 6),
       k AS (SELECT *, sha256(concat_ws(chr(1), CAST(user_id AS VARCHAR), kind, target)) AS key FROM c WHERE kind <> 'query'), f AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY key ORDER BY ts, event_id) = 1)
       SELECT kind, target, count(*) AS n, min(event_id) AS first_request, min(substr(key, 1, 20)) AS least_plan FROM f GROUP BY 1, 2""",

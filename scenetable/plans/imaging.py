@@ -75,9 +75,9 @@ def temporal_pair_delta(spark, sf_dir):
 
 
 def flow_warp(spark, sf_dir):
-    target = D.image(spark, sf_dir).where("frame_id = 1").select("y", "x", "v")
-    flow = D.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), (F.col("p_partkey") % 64).alias("y"), (F.col("p_partkey") * 7 % 64).alias("x"), (F.col("p_size") % 4 / 4.0).alias("dx"), (F.col("p_size") % 2 / 2.0).alias("dy"))
-    return composite.flow_warp(flow, target).select("id", F.round("v", 6).alias("v"))
+    target = D.image(spark, sf_dir).select("frame_id", "y", "x", "v")
+    flow = D.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), (F.col("p_size") % 7 + 1).cast("int").alias("frame_id"), (F.col("p_partkey") % 64).alias("y"), (F.col("p_partkey") * 7 % 64).alias("x"), (F.col("p_size") % 4 / 4.0).alias("dx"), (F.col("p_size") % 2 / 2.0).alias("dy"))
+    return composite.flow_warp(flow, target).select("id", "frame_id", F.round("v", 6).alias("v"))
 
 
 def _pairs(spark, sf_dir):
@@ -156,10 +156,10 @@ ORACLE = {
       SELECT frame_id, layer, count(*) AS n, round(avg(depth), 6) AS depth FROM r WHERE k = 1 GROUP BY 1, 2""",
     "temporal_pair_delta": """WITH f AS (SELECT event_type, CAST(date_diff('day', DATE '2020-01-01', CAST(ts AS DATE)) AS INTEGER) AS seq, count(*) AS n, avg(value) AS v FROM events GROUP BY 1, 2)
       SELECT a.event_type, a.seq, a.n, b.n AS next_n, b.n - a.n AS d_n, round(a.v, 6) AS v, round(b.v - a.v, 6) AS d_v FROM f a JOIN f b ON a.event_type = b.event_type AND b.seq = a.seq + 1""",
-    "flow_warp": f"""WITH i AS ({D.IMAGE}), t AS (SELECT y, x, v FROM i WHERE frame_id = 1),
-      f AS (SELECT p_partkey AS id, p_partkey % 64 + p_size % 2 / 2.0e0 AS w, p_partkey * 7 % 64 + p_size % 4 / 4.0e0 AS u FROM part),
-      c AS (SELECT id, floor(u) + i AS cx, floor(w) + j AS cy, (CASE WHEN i = 1 THEN u - floor(u) ELSE 1 - (u - floor(u)) END) * (CASE WHEN j = 1 THEN w - floor(w) ELSE 1 - (w - floor(w)) END) AS wt FROM f, (SELECT unnest([0, 1]) AS i), (SELECT unnest([0, 1]) AS j))
-      SELECT id, round(sum(wt * v), 6) AS v FROM c LEFT JOIN t ON cx = x AND cy = y WHERE wt > 0 GROUP BY id HAVING count(v) = count(*)""",
+    "flow_warp": f"""WITH i AS ({D.IMAGE}), t AS (SELECT frame_id, y, x, v FROM i),
+      f AS (SELECT p_partkey AS id, CAST(p_size % 7 + 1 AS INTEGER) AS frame_id, p_partkey % 64 + p_size % 2 / 2.0e0 AS w, p_partkey * 7 % 64 + p_size % 4 / 4.0e0 AS u FROM part),
+      c AS (SELECT id, frame_id, floor(u) + i AS cx, floor(w) + j AS cy, (CASE WHEN i = 1 THEN u - floor(u) ELSE 1 - (u - floor(u)) END) * (CASE WHEN j = 1 THEN w - floor(w) ELSE 1 - (w - floor(w)) END) AS wt FROM f, (SELECT unnest([0, 1]) AS i), (SELECT unnest([0, 1]) AS j))
+      SELECT id, c.frame_id, round(sum(wt * v), 6) AS v FROM c LEFT JOIN t ON c.frame_id = t.frame_id AND cx = x AND cy = y WHERE wt > 0 GROUP BY 1, 2 HAVING count(v) = count(*)""",
     "pair_metric_scores": f"WITH {_PAIRS} SELECT event_type, count(*) AS n, count(*) FILTER (WHERE ok) AS n_eligible, round(avg(quality), 6) AS quality, round(avg(iou), 6) AS iou FROM s GROUP BY 1",
     "best_with_margin": """WITH r AS (SELECT user_id, event_type, event_id, value, row_number() OVER w AS k, lead(value) OVER w AS nxt FROM events WINDOW w AS (PARTITION BY user_id, event_type ORDER BY value DESC, event_id))
       SELECT user_id, event_type, event_id, round(value, 6) AS value, round(CASE WHEN nxt IS NULL THEN 0 ELSE value - nxt END, 6) AS margin FROM r WHERE k = 1""",

@@ -9,26 +9,31 @@ from ..operators.common import small
 from . import derived as D
 
 
+def _spread(points):
+    """Points dealt anew by id: each becomes a row a camera next, and a file of one row group is one task. AQE sizes the partitions."""
+    return points.repartition("point_id")
+
+
 def visible_pixels_by_object(spark, sf_dir):
-    rows = visibility.visible_pixels(visibility.project_points(D.points(spark, sf_dir).select("obj", "x", "y", "z"), D.cameras(spark, sf_dir)))
+    rows = visibility.visible_pixels(visibility.project_points(_spread(D.points(spark, sf_dir).select("point_id", "obj", "x", "y", "z")).drop("point_id"), D.cameras(spark, sf_dir)))
     return rows.groupBy(F.col("frame_id").alias("cam"), "obj").agg(F.count("*").alias("n_pixels"), F.count_if("visible").alias("n_visible"))
 
 
 def zbuffer_payload(spark, sf_dir):
-    seen = visibility.project_points(D.points(spark, sf_dir).select("point_id", "weight", "x", "y", "z"), D.cameras(spark, sf_dir))
+    seen = visibility.project_points(_spread(D.points(spark, sf_dir).select("point_id", "weight", "x", "y", "z")), D.cameras(spark, sf_dir))
     near = visibility.zbuffer(seen, ["frame_id", "px", "py"], ["point_id", "weight"], "point_id")
     return near.groupBy(F.col("frame_id").alias("cam")).agg(F.count("*").alias("n_pixels"), F.sum("point_id").alias("point_sum"), F.round(F.avg("depth"), 6).alias("mean_depth"))
 
 
 def view_votes_histogram(spark, sf_dir):
-    seen = visibility.project_points(D.points(spark, sf_dir).select("point_id", "x", "y", "z"), D.cameras(spark, sf_dir))
+    seen = visibility.project_points(_spread(D.points(spark, sf_dir).select("point_id", "x", "y", "z")), D.cameras(spark, sf_dir))
     masks = D.table(spark, sf_dir, "part").select((F.col("p_partkey") % 25).cast("int").alias("frame_id"), (F.col("p_size") * 2).cast("int").alias("px"), (F.col("p_partkey") % 96).cast("int").alias("py"))
     return visibility.view_votes(seen, masks).groupBy("votes").agg(F.count("*").alias("n_points"), F.count_if("carved").alias("n_carved"))
 
 
 def split_points_by_mask(spark, sf_dir):
     pts = D.points(spark, sf_dir).select("point_id", F.col("x").alias("u"), F.col("y").alias("v"))
-    supp = D.table(spark, sf_dir, "supplier").where("s_suppkey <= 40")
+    supp = D.table(spark, sf_dir, "supplier")
     x0, y0 = (F.col("s_suppkey") % 8) - 4.0, (F.col("s_nationkey") % 5) * 0.7 - 1.8
     boxes = supp.select(F.col("s_name").alias("mask"), x0.alias("x0"), y0.alias("y0"), (x0 + 1.5).alias("x1"), (y0 + 1.0).alias("y1"), F.lit(0.5).alias("score"))
     return visibility.split_by_boxes(pts, boxes).groupBy("label").agg(F.count("*").alias("n_points"), F.count_if(F.col("n_boxes") > 1).alias("n_overlap"))
@@ -141,10 +146,10 @@ ORACLE = {
     "view_votes_histogram": f"""WITH {D.PROJECTED_SQL}, m AS (SELECT DISTINCT p_partkey % 25 AS cam, p_size * 2 AS px, p_partkey % 96 AS py FROM part),
       v AS (SELECT point_id, count(m.cam) AS votes FROM seen s LEFT JOIN m ON m.cam = s.cam AND m.px = s.px AND m.py = s.py GROUP BY point_id)
       SELECT votes, count(*) AS n_points, count(*) FILTER (WHERE votes >= 2) AS n_carved FROM v GROUP BY votes""",
-    "split_points_by_mask": f"""WITH pts AS ({D.PTS}), b AS (SELECT s_name AS mask, (s_suppkey % 8) - 4.0e0 AS x0, (s_nationkey % 5) * 0.7e0 - 1.8e0 AS y0 FROM supplier WHERE s_suppkey <= 40),
+    "split_points_by_mask": f"""WITH pts AS ({D.PTS}), b AS (SELECT s_name AS mask, (s_suppkey % 8) - 4.0e0 AS x0, (s_nationkey % 5) * 0.7e0 - 1.8e0 AS y0 FROM supplier),
       h AS (SELECT point_id, mask, row_number() OVER (PARTITION BY point_id ORDER BY du * du + dv * dv - 0.5e0 * 1e-9, mask) AS k,
               count(mask) OVER (PARTITION BY point_id) AS n
-            FROM (SELECT p.point_id, b.mask, (x - (x0 + (x0 + 1.5e0)) / 2) / ((x0 + 1.5e0) - x0) AS du, (y - (y0 + (y0 + 1.0e0)) / 2) / ((y0 + 1.0e0) - y0) AS dv
+            FROM (SELECT p.point_id, b.mask, (x - (x0 + (x0 + 1.5e0)) / 2) / greatest(((x0 + 1.5e0) - x0) / 2, 1) AS du, (y - (y0 + (y0 + 1.0e0)) / 2) / greatest(((y0 + 1.0e0) - y0) / 2, 1) AS dv
                   FROM pts p LEFT JOIN b ON x BETWEEN x0 AND x0 + 1.5e0 AND y BETWEEN y0 AND y0 + 1.0e0))
       SELECT mask AS label, count(*) AS n_points, count(*) FILTER (WHERE n > 1) AS n_overlap FROM h WHERE k = 1 GROUP BY mask""",
     "nearest_anchor_within_radius": f"""WITH {_ANCHOR}, j AS (SELECT p.point_id, a.point_id AS anchor_id, {_D2} AS d2 FROM p JOIN a ON {_D2} <= 0.15e0 * 0.15e0),

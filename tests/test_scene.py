@@ -114,9 +114,9 @@ def test_composite_partitions_all_pixels(spark):
 def test_questions(spark):
     objs = spark.createDataFrame([(f"plant0{i}", f"w:plant0{i}", [f"Plant {i}", "植物"], ["fern"], "plant", None, "green" if i == 1 else None, None, None) for i in (1, 2)] + [("bed01", "w:bed01", ["Bed"], None, "bed", "by the wall", None, None, None)], "object_id string, scoped_id string, names array<string>, aliases array<string>, category string, location string, appearance string, box_min array<double>, box_max array<double>")
     rel = spark.createDataFrame([("plant02", "near", "bed", 0.9, True), ("plant01", "near", "bed", 0.9, False)], "subject string, predicate string, target string, confidence double, verified boolean")
-    asked = ["Where is the bed?", "Where is the fern?", "where is the second fern", "What does the bed look like?", "Where is the sofa?", "where is the first fern"]
+    asked = ["Where is the bed?", "Where is the fern?", "where is the second fern", "What does the bed look like?", "Where is the sofa?", "where is the first fern", "第二植物在哪里", "植物 02 在哪", "where is the fernfirst", "bed"]
     got = {r.question_id: (r.status, r.answer) for r in questions.answer(spark.createDataFrame(list(enumerate(asked)), "question_id long, text string"), objs, rel).collect()}
-    assert got == {0: ("answered", "by the wall"), 1: ("ambiguous", None), 2: ("answered", "near bed"), 3: ("unavailable", None), 4: ("not_found", None), 5: ("unavailable", None)}
+    assert got == {0: ("resolved", "by the wall"), 1: ("ambiguous", None), 2: ("resolved", "near bed"), 3: ("unavailable", None), 4: ("not_found", None), 5: ("unavailable", None), 6: ("resolved", "在bed附近"), 7: ("resolved", "在bed附近"), 8: ("ambiguous", None), 9: ("unsupported", None)}
     text = spark.createDataFrame([("Ｐｌａｎｔ １",), ("Bed-01",), ("植物?",)], "t string").select(questions.normalize_text(F.col("t")).alias("n"), questions.language(F.col("t")).alias("l")).collect()
     assert [(r.n, r.l) for r in text] == [("plant1", "en"), ("bed01", "en"), ("植物", "zh")]
 
