@@ -66,3 +66,9 @@ def linear_to_srgb(c: Column) -> Column:
 
 def inside_bounds(x: Column, y: Column, z: Column, low: Column, high: Column) -> Column:
     return x.between(low[0], high[0]) & y.between(low[1], high[1]) & z.between(low[2], high[2])
+
+
+def transform_point(matrix: list[list[float]], x: Column, y: Column, z: Column) -> list[Column]:
+    """A point under a fixed 4 x 4 matrix (rows), divided by its fourth coordinate; null where that is 0."""
+    out = [sum((F.lit(float(m)) * c for m, c in zip(row, (x, y, z), strict=False)), F.lit(float(row[3]))) for row in matrix]
+    return [c / F.nullif(out[3], F.lit(0.0)) for c in out[:3]]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.geometry import transform_point
 from ..operators import fit, fuse, match, neighbors, visibility
 from ..operators.common import small
 from . import derived as D
@@ -96,6 +97,12 @@ def coverage_by_frame(spark, sf_dir):
     return fuse.coverage_summary(rows).select("frame_id", "n", "measured", F.round("fraction", 6).alias("fraction"), "next_action")
 
 
+def transformed_bounds(spark, sf_dir):
+    turned = transform_point([[0, -2, 0, 3], [2, 0, 0, -1], [0, 0, 2, 0.5], [0, 0, 0, 1]], F.col("x"), F.col("y"), F.col("z"))
+    rows = D.points(spark, sf_dir).select("obj", *(c.alias(a) for a, c in zip("xyz", turned, strict=True)))
+    return rows.groupBy("obj").agg(*(F.round(f(a), 6).alias(f"{a}{e}") for a in "xyz" for e, f in (("0", F.min), ("1", F.max))))
+
+
 def exposure_fit(spark, sf_dir):
     rows = D.points(spark, sf_dir).select("supp", F.col("quantity").alias("x"), (F.col("quantity") * 1.2 + F.col("discount") * 10).alias("y"))
     return fit.huber_line(rows, ["supp"], rounds=4)
@@ -133,7 +140,7 @@ _D2 = "(p.x-a.x)*(p.x-a.x) + (p.y-a.y)*(p.y-a.y) + (p.z-a.z)*(p.z-a.z)"
 
 QUERIES = {f.__name__: f for f in (
     visible_pixels_by_object, zbuffer_payload, view_votes_histogram, split_points_by_mask, nearest_anchor_within_radius, points_near_any_anchor, carve_by_boxes, voxel_cluster,
-    robust_fuse_support, robust_bounds, weighted_median_price, plane_peaks, two_level_atlas_mean, coverage_by_frame, exposure_fit, similarity_fit, similarity_fit_summary,
+    robust_fuse_support, robust_bounds, weighted_median_price, plane_peaks, two_level_atlas_mean, coverage_by_frame, transformed_bounds, exposure_fit, similarity_fit, similarity_fit_summary,
     principal_frames, plane_consensus, maximin_views,
 )}
 
@@ -177,6 +184,8 @@ ORACLE = {
       SELECT plane_id, row, col, round(avg(v), 6) AS v, count(*) AS frame_support, count(*) >= 2 AS observed FROM f GROUP BY 1, 2, 3""",
     "coverage_by_frame": """WITH g AS (SELECT l_linenumber AS frame_id, count(*) AS n, count(*) FILTER (WHERE l_discount >= 0.05e0) AS measured FROM lineitem GROUP BY ROLLUP (l_linenumber))
       SELECT frame_id, n, measured, round(measured / n, 6) AS fraction, CASE WHEN measured = n THEN 'accept' WHEN measured > 0 THEN 'fill_residual' ELSE 'need_donors' END AS next_action FROM g""",
+    "transformed_bounds": f"""WITH t AS (SELECT obj, 3.0e0 - 2.0e0 * y AS x, 2.0e0 * x - 1.0e0 AS y, 2.0e0 * z + 0.5e0 AS z FROM ({D.PTS}))
+      SELECT obj, {', '.join(f'round(min({a}), 6) AS {a}0, round(max({a}), 6) AS {a}1' for a in 'xyz')} FROM t GROUP BY 1""",
     "similarity_fit_summary": "SELECT label, count(*) AS n, 2.5e0 AS scale, 3.0e0 AS t0, -2.0e0 AS t1, 1.0e0 AS t2 FROM embeddings GROUP BY label",
     "principal_frames": f"WITH v AS ({D.VECS_DUCK}) SELECT label, count(*) AS n, round(var_pop(x) + var_pop(y) + var_pop(z), 6) AS total_variance FROM v GROUP BY label",
 }

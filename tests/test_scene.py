@@ -160,3 +160,12 @@ def test_streams_equal_batches(spark, tmp_path):
     assert {r.status for r in planned.where("request_id = 9").collect()} == {"blocked_stale_manifest"}
     boxes = spark.createDataFrame([(1, s, b, 10.0 * s + 50 * b, 0.0, 20.0, 20.0) for s in range(3) for b in range(2)] + [(1, 3, 0, 900.0, 0.0, 20.0, 20.0)], "track long, seq long, box_id long, bx double, by double, bw double, bh double")
     assert [(r.seq, r.box_id, r.status) for r in commands.track_boxes(boxes).orderBy("seq").collect()] == [(0, 0, "tracked"), (1, 0, "tracked"), (2, 0, "tracked"), (3, None, "lost")]
+
+
+def test_times_and_paths(spark):
+    from scenetable.functions.text import rebase_path, zoned_timestamp
+
+    rows = [("2024-01-02T03:04:05Z", "/a/b/c"), ("2024-01-02T05:04:05+02:00", "/a/b"), ("2024-01-02T03:04:05", "/a/bc"), ("2024-01-02", None), ("soon Z", ""), (None, "/x/a/b")]
+    got = spark.createDataFrame(rows, "t string, p string").select(F.unix_seconds(zoned_timestamp(F.col("t"))).alias("t"), rebase_path(F.col("p"), "/a/b/", "/n").alias("p")).collect()
+    assert [r.t for r in got] == [1704164645, 1704164645, None, None, None, None]
+    assert [r.p for r in got] == ["/n/c", "/n", "/a/bc", None, "", "/x/a/b"]
