@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, jaccard_join, line_dedup, main_text, nbest_pieces, pii, suffix_dedup, token_files, toxicity, vp_search
+from . import decontaminate, jaccard_join, line_dedup, main_text, nbest_pieces, period_runs, pii, suffix_dedup, token_files, toxicity, vp_search
 
 _QUERIES = {
     "op1_main_text": main_text,
@@ -15,6 +15,7 @@ _QUERIES = {
     "op8_suffix_dedup": suffix_dedup,
     "op9_toxicity": toxicity,
     "op10_token_files": token_files,
+    "op11_period_runs": period_runs,
 }
 
 
