@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, jaccard_join, line_dedup, main_text, nbest_pieces, period_runs, pii, suffix_dedup, token_alignment, token_files, toxicity, vp_search
+from . import decontaminate, jaccard_join, line_dedup, main_text, nbest_pieces, paragraph_sketch, period_runs, pii, suffix_dedup, token_alignment, token_files, toxicity, vp_search
 
 _QUERIES = {
     "op1_main_text": main_text,
@@ -17,6 +17,7 @@ _QUERIES = {
     "op10_token_files": token_files,
     "op11_period_runs": period_runs,
     "op12_token_alignment": token_alignment,
+    "op13_paragraph_sketch": paragraph_sketch,
 }
 
 
