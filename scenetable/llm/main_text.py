@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 
 from .common import sliced, staged, table
 
-_TAG, _SIGN = re.compile(r"[a-zA-Z][a-zA-Z0-9:-]*"), re.compile("[>\"']")
+_TAG = re.compile(r"[a-zA-Z][a-zA-Z0-9:-]*")
+#: A tag's rest up to its >: quoted values may hold >, a quote mark that nothing closes is plain. No step is taken twice.
+_TAG_END = re.compile(r"""(?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')|[="'])*+>""")
 #: What is inside these is no markup; an end tag or the end of the page ends it.
 _RAW = frozenset("script style noscript template iframe svg textarea title math object".split())
 _RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in _RAW}
-#: Quoted values may hold >, but in tags of up to so many characters only: longer ones end at their first >.
-_LONG_TAG = 1 << 14
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form"
@@ -51,7 +51,7 @@ def _tokens(html: str) -> Iterator[tuple[int, int, str, bool, str]]:
 
     One pass: a search that has come to the page's end in vain is not made again.
     """
-    at, missing, plain = 0, set(), 0
+    at, missing, plain = 0, set(), False
 
     def find(sign: str, i: int) -> int:
         k = -1 if sign in missing else html.find(sign, i)
@@ -61,16 +61,10 @@ def _tokens(html: str) -> Iterator[tuple[int, int, str, bool, str]]:
 
     def tag_end(begin: int) -> int:
         nonlocal plain
-        i = begin
-        while begin >= plain and (m := _SIGN.search(html, i)) and m.start() - begin <= _LONG_TAG:
-            if m[0] == ">":
-                return m.end()
-            i = m.end()
-            if html[max(begin, m.start() - 80) : m.start()].rstrip().endswith("="):
-                close = find(m[0], i)
-                if 0 <= close <= begin + _LONG_TAG:
-                    i = close + 1
-        plain = max(plain, i)  # quotes do not pair up to there, and are not tried again
+        end = None if plain else _TAG_END.match(html, begin)
+        if end:
+            return end.end()
+        plain = True  # from here on every > is in quotes, so quotes do not count
         return find(">", begin) + 1
 
     while (lt := html.find("<", at)) >= 0:
@@ -110,12 +104,26 @@ class _Element:
     mark: int = 0
 
 
+def _without_article(page: list[tuple[str, bool, list[int]]]) -> list[tuple[str, bool, list[int]]]:
+    """A page's blocks without the marks that hold more than half of the characters of its article or main element."""
+    size: dict[int, int] = {}
+    whole = 0
+    for text, own, held in page:
+        if own:
+            whole += len(text)
+            for m in held:
+                size[m] = size.get(m, 0) + len(text)
+    most = {m for m, n in size.items() if 2 * n > whole}
+    return [(text, own, [m for m in held if m not in most]) for text, own, held in page] if most else page
+
+
 def blocks(html: str) -> list[tuple[str, bool, list[int]]]:
     """A page's text blocks in order: text, whether it is the article's, and hashes of subtrees it is in.
 
     A subtree's hash is made of its tags and text, not of attributes, which vary from page to page in a menu. Of the
     subtrees around a block only the innermost prose element (an odd hash) and the innermost other one (an even
-    hash) are given: outer ones recur on no more pages.
+    hash) are given: outer ones recur on no more pages. A subtree with more than half of the characters of the
+    page's article or main elements is the article itself, wherever else it recurs, and not given.
     """
     out: list[tuple] = []
     open_: list[_Element] = []
@@ -204,30 +212,36 @@ def blocks(html: str) -> list[tuple[str, bool, list[int]]]:
     for t, own, within, e in out:
         held = {x.mark for x in ((e.holder, e.inner) if e else ()) if x}
         found.append((t, own and (within or not any_article), sorted(held)))
-    return found
+    return _without_article(found) if any_article else found
+
+
+def _number(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
 def page_blocks(pages: DataFrame) -> DataFrame:
-    """`pages` (page_id, url, html, ...) to page_id, url, host (hashed), marks and blocks.
+    """`pages` (page_id, url, html, ...) to page_id, url, host and page (hashed), marks and blocks.
 
     marks are the hashes of all subtrees with text; blocks, array<struct<text, marks>>, are the
-    article's, with the subtrees that each is in.
+    article's, with the subtrees that each is in. Pages of the same
+    blocks share `page`.
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("text", pa.string()), ("marks", pa.list_(pa.int64()))]))
         for batch in sliced(batches, "html"):
             urls = batch.column("url")
-            hosts, marks, found = [], [], []
+            hosts, same, marks, found = [], [], [], []
             for url, html in zip(urls.to_pylist(), batch.column("html").to_pylist(), strict=True):
                 page = blocks(html or "")
-                hosts.append(int.from_bytes(hashlib.blake2b(_host(url).encode(), digest_size=8).digest(), "little", signed=True))
+                hosts.append(_number(_host(url)))
+                same.append(_number("\n".join(f"{own}{t}" for t, own, _ in page)))
                 marks.append(list({m for _, _, held in page for m in held}))
                 found.append([{"text": t.encode("utf-8", "replace").decode(), "marks": held} for t, own, held in page if own])
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), urls, pa.array(hosts, pa.int64()), pa.array(marks, pa.list_(pa.int64())), pa.array(found, kind)], names=["page_id", "url", "host", "marks", "blocks"])
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), urls, pa.array(hosts, pa.int64()), pa.array(same, pa.int64()), pa.array(marks, pa.list_(pa.int64())), pa.array(found, kind)], names=["page_id", "url", "host", "page", "marks", "blocks"])
 
     id_kind = dict(pages.dtypes)["page_id"]
-    return pages.select("page_id", "url", "html").mapInArrow(emit, f"page_id {id_kind}, url string, host long, marks array<long>, blocks array<struct<text:string,marks:array<long>>>")
+    return pages.select("page_id", "url", "html").mapInArrow(emit, f"page_id {id_kind}, url string, host long, page long, marks array<long>, blocks array<struct<text:string,marks:array<long>>>")
 
 
 #: Up to so many rows a table of template marks goes to every task; a larger one is joined by shuffle.
@@ -242,8 +256,8 @@ def _sent(df: DataFrame) -> DataFrame:
 def main_text(pages: DataFrame, min_pages: int = 3, min_share: float = 0.1, most_pages: int = 100, prose_share: float = 0.8) -> DataFrame:
     """The article's text of every row of `pages` (page_id, url, html, ...): page_id, url, text.
 
-    Every element's subtree is hashed by its structure and text and counted once a page for its
-    host. Subtrees on at least `min_pages` pages and `min_share` of the host's pages, or on `most_pages` of
+    Every element's subtree is hashed by its structure and text and counted for its host, once for all pages of
+    the same blocks. Subtrees on at least `min_pages` pages and `min_share` of the host's pages, or on `most_pages` of
     them, are template and go with all their blocks. Prose elements inside an article count as template only on
     `prose_share` of a host's pages (five at least), as authors repeat themselves and copies of
     articles are common. Of the rest, the blocks inside article or main elements (the body, if
@@ -251,13 +265,13 @@ def main_text(pages: DataFrame, min_pages: int = 3, min_share: float = 0.1, most
     or reader comments, by element or by words in class, id or role, make the text, joined
     by newlines. White space in a block becomes one space; <br> is white space.
 
-    Null or empty html: empty text. A null url is a host of its own. Repeated pages each count
+    Null or empty html: empty text. A null url is a host of its own. Repeated pages count
     as one and come out each; a null page_id comes out as null. Other columns are left out.
     Empty input: empty output. Time grows with the length of a page, however it is nested or torn.
     """
     parsed = staged(page_blocks(pages).withColumn("row", F.monotonically_increasing_id()))
-    marks = parsed.select("host", F.explode("marks").alias("mark"))
-    sizes = parsed.groupBy("host").agg(F.count("*").alias("n_host"))
+    marks = parsed.select("host", "page", F.explode("marks").alias("mark")).distinct()
+    sizes = parsed.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("n_host"))
     often = marks.groupBy("host", "mark").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages).join(sizes, "host")
     prose = (F.col("mark") % 2 != 0) & (F.col("n") >= F.greatest(F.lit(5), F.col("n_host") * prose_share))
     other = (F.col("mark") % 2 == 0) & (F.col("n") >= F.least(F.lit(most_pages), F.col("n_host") * min_share))

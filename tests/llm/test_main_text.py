@@ -69,6 +69,24 @@ def test_template_inside_articles_and_moving_menus(spark):
     assert len(twice) == 24 and {(r.page_id, r.text) for r in twice} == set(strict.items())
 
 
+def test_recurring_pages_keep_their_article(spark):
+    page = lambda k, more="": f"<article><div class='content'><h1>Head {k}</h1><p>{'own words ' * 9}{k}</p></div>{more}</article>"
+    rows = [(i, f"http://a.org/{i}", page(i)) for i in range(20)]
+    rows += [(100 + i, f"http://a.org/copy{i}", page("copy")) for i in range(10)]  # one page under ten urls
+    rows += [(200 + i, f"http://a.org/print{i}", page("print", f"<div>variant {i}</div>")) for i in range(4)]  # one article on unlike pages
+    rows += rows[:1] * 5
+    got = {r.page_id: r.text for r in M.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Head {i}\n{'own words ' * 9}{i}" for i in range(20))
+    assert all(got[100 + i] == f"Head copy\n{'own words ' * 9}copy" for i in range(10))
+    assert all(got[200 + i] == f"Head print\n{'own words ' * 9}print\nvariant {i}" for i in range(4))
+
+
+def test_long_attributes():
+    long = "x" * 400_000
+    assert [t for t, _, _ in M.blocks(f'<p data-x="{long} > not text">real</p><p title=\'a > b\'>too</p>')] == ["real", "too"]
+    assert [t for t, _, _ in M.blocks('<p data-x="1" title = "a > b" x=\'"\'>real</p>')] == ["real"]
+
+
 def test_template_by_recurrence(spark):
     site = [(i, f"http://a.org/{i}", f"<div><span>Welcome to A</span></div><div>story {i}</div>", 1) for i in range(5)]
     other = [(9, "http://b.org/1", "<div><span>Welcome to A</span></div><div>b</div>", 1), (None, None, None, 1), (11, "x", "", None)]
