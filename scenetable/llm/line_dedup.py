@@ -29,26 +29,23 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
     neither count nor lose a line. Columns named n_lines or n_dropped in the input are replaced.
     Empty input: empty output.
 
-    Only hashes are shuffled. Counting goes by (hash, doc_id) first, so a line that very many
-    documents hold is counted in many tasks. Owners are written before they are joined back, so both
-    sides of that join are plain shuffles, which adaptive execution splits at a hot line.
+    Only hashes and positions are shuffled: each line is a row (doc_id, a hash of the text, position, hash of the key), the
+    positions to drop are collected by document and text, and the rest is put together by position, in time
+    linear in the lines. Counting goes by (hash, doc_id) first, so a line that very many documents hold is counted in many
+    tasks. Owners are written before they are joined back, so both sides of that join are plain
+    shuffles, which adaptive execution splits at a hot line.
     """
     lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    long_keys = F.array_distinct(F.filter(F.transform(lines, _key), lambda k: F.char_length(k) >= min_chars))
-    seen = staged(docs.select("doc_id", F.explode(long_keys).alias("k")).select("doc_id", _hash(F.col("k")).alias("h")).select("doc_id", "h.a", "h.b"))
+    text = F.xxhash64(F.coalesce("text", F.lit("")))  # tells rows of one doc_id apart
+    keyed = docs.select("doc_id", text.alias("t"), F.posexplode(F.transform(lines, _key)).alias("pos", "k")).where(F.char_length("k") >= min_chars)
+    seen = staged(keyed.select("doc_id", "t", "pos", _hash(F.col("k")).alias("h")).select("doc_id", "t", "pos", "h.a", "h.b"))
     owners = staged(seen.groupBy("a", "b").agg(F.countDistinct("doc_id").alias("n"), F.max("doc_id").alias("owner")).where(F.col("n") >= min_docs).drop("n"))
-    drops = (
-        seen.join(owners, ["a", "b"])
-        .where(F.col("doc_id") < F.col("owner"))
-        .groupBy(F.col("doc_id").alias("__id"))
-        .agg(F.collect_set(F.struct("a", "b")).alias("__drop"))
-    )
-    kept = F.when(
-        F.col("__drop").isNotNull(),
-        F.filter("__lines", lambda x: (F.char_length(_key(x)) < min_chars) | ~F.array_contains("__drop", _hash(_key(x)))),
-    ).otherwise(F.col("__lines"))
+    gone = seen.join(owners, ["a", "b"]).where(F.col("doc_id") < F.col("owner"))
+    drops = gone.groupBy(F.col("doc_id").alias("__id"), F.col("t").alias("__t")).agg(F.collect_set("pos").alias("__drop"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), "__drop")
+    kept = F.when(F.col("__drop").isNotNull(), F.transform(stay, lambda i: F.get("__lines", i))).otherwise(F.col("__lines"))
     out = (
-        docs.join(drops.hint("shuffle_hash"), docs["doc_id"] == drops["__id"], "left")
+        docs.join(drops.hint("shuffle_hash"), (docs["doc_id"] == drops["__id"]) & (text == drops["__t"]), "left")
         .withColumn("__lines", lines)
         .withColumn("__kept", kept)
         .withColumns({
@@ -57,7 +54,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
             "n_dropped": (F.size("__lines") - F.size("__kept")).cast("long"),
         })
     )
-    return out.drop("__id", "__drop", "__lines", "__kept")
+    return out.drop("__id", "__t", "__drop", "__lines", "__kept")
 
 
 def query(spark, sf_dir):
