@@ -1,8 +1,9 @@
 """Approximate nearest neighbours by inner product: a vantage-point tree for each shard.
 
 Inner product is no metric, so vectors gain one coordinate, sqrt(M^2 - |x|^2) with M the largest
-norm (0 for queries): the Euclidean distance of the longer vectors falls as the inner
-product rises, and triangle inequalities hold.
+norm of their shard (0 for queries, which are taken at length M): the Euclidean distance of the longer
+vectors falls as the inner product rises, and triangle inequalities hold. A shard has vectors of
+like norms only (within a factor of two), as else the new coordinate would make all distances alike.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from .common import table
 #: Rows of a shard and queries of a block, on average: what one task holds at a time.
 SHARD_ROWS, BLOCK_QUERIES = 8192, 16384
 LEAF_ROWS = 64
+#: Exact products worked out at a time.
+PRODUCTS = 1 << 14
 #: Lower bounds are taken times this much before a subtree is left out. 1 searches exactly.
 RELAX = 1.15
 
@@ -47,24 +50,38 @@ class VPTree:
         return node
 
     def search(self, queries: np.ndarray, k: int, relax: float) -> tuple[np.ndarray, np.ndarray]:
-        """The k nearest rows of each query as found: squared distances and row numbers (-1: none).
+        """The k rows of largest inner product with each query as found, and the products (-inf and -1: none).
 
-        Distances closer than rounding can tell are equal, and of equal ones the first rows are kept.
+        Rows are of one length M by their last coordinate, which queries have as 0; distances are those of queries scaled to M.
+        Products are summed from the first component on, so equal vectors tie, and of ties the first rows are kept.
+        A quick product only tells which rows can be among the k at all, with room for its rounding.
         """
         n = len(queries)
-        best = np.full((n, k), np.inf)
+        best = np.full((n, k), -np.inf)
         found = np.full((n, k), -1)
         first = np.full(n, -1)
-        norms = np.einsum("ij,ij->i", self.rows, self.rows)
+        norm = float(np.einsum("ij,ij->i", self.rows, self.rows).max(initial=0))
         sizes = np.einsum("ij,ij->i", queries, queries)
-        grain = 1e-11 * max(norms.max(initial=0) + sizes.max(initial=0), 1e-300)
+        slack = 1e-12 * np.sqrt(norm * sizes)
+        ratio = np.where(sizes > 0, np.sqrt(norm) / np.sqrt(np.where(sizes > 0, sizes, 1)), 1.0)
+        scaled = queries * ratio[:, None]
+        self.scanned = 0
 
         def scan(rows: np.ndarray, who: np.ndarray) -> None:
-            d = np.maximum(sizes[who, None] + norms[rows] - 2 * queries[who] @ self.rows[rows].T, 0)
-            d = np.rint(d / grain) * grain
-            d = np.concatenate([best[who], d], axis=1)
-            i = np.concatenate([found[who], np.broadcast_to(rows, (len(who), len(rows)))], axis=1)
-            top = np.lexsort((i, d), axis=1)[:, :k]
+            self.scanned += len(rows) * len(who)
+            quick = queries[who] @ self.rows[rows].T
+            q, r = np.nonzero(quick >= (best[who].min(axis=1) - slack[who])[:, None])
+            if not len(q):
+                return
+            exact = np.full(quick.shape, -np.inf)
+            for part in range(0, len(q), PRODUCTS):
+                i, j = q[part : part + PRODUCTS], r[part : part + PRODUCTS]
+                exact[i, j] = np.cumsum(queries[who[i]] * self.rows[rows[j]], axis=1)[:, -1]
+            some = np.unique(q)
+            who, exact = who[some], exact[some]
+            d = np.concatenate([best[who], exact], axis=1)
+            i = np.concatenate([found[who], np.where(exact > -np.inf, rows, -1)], axis=1)
+            top = np.lexsort((i, -d), axis=1)[:, :k]
             best[who], found[who] = np.take_along_axis(d, top, 1), np.take_along_axis(i, top, 1)
 
         def descend(node: int, who: np.ndarray) -> None:
@@ -76,7 +93,7 @@ class VPTree:
                 first[who] = node
                 scan(rest, who)
                 return
-            far = np.linalg.norm(queries[who] - point, axis=1)
+            far = np.linalg.norm(scaled[who] - point, axis=1)
             inner = far < (rest[0][1] + rest[1][0]) / 2
             descend(rest[0][2], who[inner])
             descend(rest[1][2], who[~inner])
@@ -88,11 +105,11 @@ class VPTree:
                 if len(who):
                     scan(rest, who)
                 return
-            far = np.linalg.norm(queries[who] - point, axis=1)
+            far = np.linalg.norm(scaled[who] - point, axis=1)
             for low, high, child in rest:
                 bound = np.maximum(np.maximum(low - far, far - high), 0) * relax
-                worst = np.sqrt(best[who].max(axis=1))
-                go = who[bound <= worst + 1e-6 * (1 + worst)]  # rounding must not cost a neighbour
+                worst = np.sqrt(np.maximum(2 * norm - 2 * best[who].min(axis=1) * ratio[who], 0))
+                go = who[bound <= worst + 1e-6 * np.sqrt(norm)]  # rounding must not cost a neighbour
                 if len(go):
                     visit(child, go)
 
@@ -124,10 +141,9 @@ def _searcher(k: int, relax: float):
         unique, place = unique[by_first], np.argsort(by_first)[place]
         by_place = np.argsort(place, kind="stable")
         begins = np.searchsorted(place[by_place], np.arange(len(unique) + 1))
-        largest = rows.column("largest")[0].as_py()
         norm = np.einsum("ij,ij->i", unique, unique)
-        longer = np.concatenate([unique, np.sqrt(np.maximum(largest - norm, 0))[:, None]], axis=1)
-        _, found = VPTree(longer).search(np.concatenate([asked, np.zeros((len(asked), 1))], axis=1), k + 4, relax)
+        longer = np.concatenate([unique, np.sqrt(np.maximum(norm.max() - norm, 0))[:, None]], axis=1)
+        _, found = VPTree(longer).search(np.concatenate([asked, np.zeros((len(asked), 1))], axis=1), k + 1, relax)
         out_q, out_v, out_s = [], [], []
         for q, own, places in zip(asked, asked_ids, found, strict=True):
             places = places[places >= 0]
@@ -156,7 +172,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, relax: float =
     """The k rows of `vectors` (vec_id, embedding, ...) of largest inner product with each of `queries`.
 
     Returns query_id, rank (from 1), vec_id and score, best first, ties to the smaller
-    vec_id. Rows are dealt to shards by a hash of vec_id and each shard has its own tree;
+    vec_id. Rows are dealt by norm (powers of two), then to shards by a hash of vec_id, and each shard has its own tree;
     a subtree is left out if the triangle inequality's lower bound, times `relax`, is over
     the distance of the kth row so far. Each block of queries meets each shard once, so
     one task holds `shard_rows` rows and `block_queries` queries at most, about.
@@ -169,14 +185,18 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, relax: float =
     rows = vectors.where(valid(F.col("embedding")) & F.col("vec_id").isNotNull()).select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
     asked = queries.where(valid(F.col("embedding")) & F.col("vec_id").isNotNull()).dropDuplicates(["vec_id"]).select(F.col("vec_id").alias("query_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     square = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)
-    n, largest = rows.select(F.count("*"), F.max(square)).first()
-    shards = max(1, -(-n // shard_rows))
+    band = F.coalesce(F.floor(F.log2(F.least(square, F.lit(1e300))) / 2).cast("int"), F.lit(-10_000))
+    held = rows.groupBy(band.alias("band")).agg(F.count("*").alias("n")).collect()  # a double has some 2,000 powers of two
+    sizes = {r.band: -(-r.n // shard_rows) for r in held} or {0: 1}
     blocks = max(1, -(-asked.count() // block_queries))
-    keyed = rows.select("vec_id", "embedding", F.size("embedding").alias("dims"), F.pmod(F.xxhash64("vec_id"), F.lit(shards)).alias("shard"), F.lit(largest or 0.0).alias("largest"))
+    shards = F.create_map(*(F.lit(x) for pair in sizes.items() for x in pair))
+    keyed = rows.withColumn("band", band).withColumn("shards", shards[F.col("band")])
+    keyed = keyed.select("vec_id", "embedding", F.size("embedding").alias("dims"), "band", F.pmod(F.xxhash64("vec_id"), F.col("shards")).alias("shard"))
     keyed = keyed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     dealt = asked.select("query_id", "embedding", F.size("embedding").alias("dims"), F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block"))
-    dealt = dealt.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
-    keys = ["dims", "shard", "block"]
+    each = F.array(*(F.struct(F.lit(b).alias("band"), F.lit(n).cast("long").alias("n")) for b, n in sizes.items()))
+    dealt = dealt.withColumn("b", F.explode(each)).select("*", "b.band", F.explode(F.sequence(F.lit(0).cast("long"), F.col("b.n") - 1)).alias("shard")).drop("b")
+    keys = ["dims", "band", "shard", "block"]
     found = keyed.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInArrow(_searcher(k, relax), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -1,6 +1,7 @@
 """Searches, line dedup, token files and toxicity against plain restatements."""
 
 import math
+import time
 import zlib
 
 import numpy as np
@@ -45,6 +46,28 @@ def test_distinct_vectors_of_equal_score(spark):
         assert [r.vec_id for r in got] == list(range(20)) and {r.score for r in got} == {3.0}
 
 
+@pytest.mark.parametrize("norm", [30.0, 1e6])
+def test_vectors_of_very_unlike_length(spark, norm):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(2000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[7] *= norm
+    x[1000:] *= np.exp(rng.normal(size=(1000, 1)) * 0.6)
+    rows = [(i, [float(v) for v in own]) for i, own in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = nearest(rows, range(0, 2000, 40), 20)
+    for relax, least in ((1.0, 1.0), (vp_search.RELAX, 0.95)):
+        got = vp_search.nearest(df, df.where("vec_id % 40 = 0"), 20, relax, shard_rows=700).collect()
+        assert len({(r.query_id, r["rank"], r.vec_id) for r in got} & want if relax == 1.0 else {(r.query_id, r.vec_id) for r in got} & {(q, v) for q, _, v in want}) >= least * len(want)
+
+
+def test_near_ties_are_no_ties(spark):
+    rows = [(i, [1.0, i * 1e-13 + 1.0, float(i % 7)]) for i in range(400)] + [(1000, [1.0, 1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = vp_search.nearest(df, df.where("vec_id = 1000"), 20, 1.0).orderBy("rank").collect()
+    assert {(r.query_id, r["rank"], r.vec_id) for r in got} == nearest(rows, [1000], 20)
+
+
 def test_production_recall(spark):
     rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     got = {(r.query_id, r.vec_id) for r in vp_search.query(spark, "/root/testdata/sf0.1").collect()}
@@ -83,6 +106,15 @@ def test_line_dedup(spark):
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_line_dedup_is_linear_in_a_documents_lines(spark):
+    text = "\n".join(f"a line of its own, number {i % 8000}" for i in range(16_000))
+    rows = [(i, text) for i in range(3)] + [(0, "another row\n" + text)]
+    began = time.time()
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert time.time() - began < 20
+    assert sorted((r.doc_id, r.n_lines, r.n_dropped, len(r.text)) for r in got) == [(0, 16_000, 16_000, 0), (0, 16_001, 16_000, 11), (1, 16_000, 16_000, 0), (2, 16_000, 0, len(text))]
+
+
 def test_line_dedup_counts_documents_not_rows(spark):
     long = "This line has Over twenty signs"
     rows = [(1, long), (1, long), (2, long), (None, long)]
