@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import comparisons, evidence, imaging, views
+from . import comparisons, evidence, filling, imaging, views
 
-_MODULES = (views, imaging, evidence, comparisons)
+_MODULES = (views, imaging, evidence, comparisons, filling)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
