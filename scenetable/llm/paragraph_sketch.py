@@ -169,14 +169,19 @@ def likeness(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.nd
     return np.where(either > 0, (size_left - only[0]) / np.maximum(either, 1), 1.0)
 
 
-def fingerprints(keys: np.ndarray, counts: np.ndarray, sizes: np.ndarray) -> list[str]:
-    """`paragraphs:code points:cells` of each text; the cells are base64 of counts, digests and checks, little-endian."""
+def packed_cells(keys: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    """The cells of each text's sketch: how many digests (modulo 2^16), their xor, and 32 bits of their checks' xor, little-endian."""
     sketch = Sketches(np.full(len(counts), CELLS, np.int64))
     sketch.add(np.repeat(np.arange(len(counts)), counts), keys, np.ones(len(keys), np.int64))
-    packed = np.zeros(sketch.total, np.dtype([("n", "<i4"), ("key", "<u8"), ("check", "<u8")]))
-    packed["n"], packed["key"], packed["check"] = sketch.count, sketch.keys, sketch.checks
-    wide = HASHES * CELLS
-    return [f"{c}:{s}:{base64.b64encode(packed[k * wide : (k + 1) * wide].tobytes()).decode()}" for k, (c, s) in enumerate(zip(counts.tolist(), sizes.tolist(), strict=True))]
+    packed = np.zeros(sketch.total, np.dtype([("n", "<u2"), ("key", "<u8"), ("check", "<u4")]))
+    packed["n"], packed["key"], packed["check"] = sketch.count & 0xFFFF, sketch.keys, sketch.checks & np.uint64(0xFFFFFFFF)
+    raw, wide = packed.tobytes(), HASHES * CELLS * packed.dtype.itemsize
+    return [raw[k * wide : (k + 1) * wide] for k in range(len(counts))]
+
+
+def fingerprints(keys: np.ndarray, counts: np.ndarray, sizes: np.ndarray) -> list[str]:
+    """`paragraphs:code points:cells` of each text, the cells in base64."""
+    return [f"{c}:{s}:{base64.b64encode(cells).decode()}" for c, s, cells in zip(counts.tolist(), sizes.tolist(), packed_cells(keys, counts), strict=True)]
 
 
 def _select(side: tuple[np.ndarray, np.ndarray], at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -225,8 +230,9 @@ def _followed(ids: list, texts: list[str], after: list[str]) -> dict[str, list]:
     own, new, later = (_select(keys, np.array(a, np.int64)) for a in at)
     size, size_new, size_later = (np.array([len(t) for t in x], np.int64) for x in (texts, edited, after))
     return {
-        "doc_id": ids, "n_chars": sizes, "edited_sha256": [hashlib.sha256(t.encode()).hexdigest() for t in edited], "fingerprint": fingerprints(*own, size),
-        "edited_fingerprint": fingerprints(*new, size_new), "near_edited": likeness(own, new, size, size_new).tolist(), "near_next": likeness(own, later, size, size_later).tolist(),
+        "doc_id": ids, "n_chars": sizes, "parts": own[1].tolist(), "cells": packed_cells(*own),
+        "edited_chars": size_new.tolist(), "edited_parts": new[1].tolist(), "edited_cells": packed_cells(*new), "edited_sha": [hashlib.sha256(t.encode()).digest() for t in edited],
+        "near_edited": likeness(own, new, size, size_new).tolist(), "near_next": likeness(own, later, size, size_later).tolist(),
     }
 
 
@@ -243,9 +249,9 @@ def half_edited(docs: DataFrame) -> DataFrame:
     go through the shared folder, and only they are shuffled once more.
     """
     kind = dict(docs.dtypes)["doc_id"]
-    fields = f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    fields = f"doc_id {kind}, n_chars long, parts long, cells binary, edited_chars long, edited_parts long, edited_cells binary, edited_sha binary, near_edited double, near_next double"
     names = [f.split()[0] for f in fields.replace(f"doc_id {kind}", "doc_id x").split(", ")]
-    kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.float64(), pa.float64()]
 
     def batch_of(ids, texts, after, id_kind, edge):
         done = _followed(ids, texts, after) if ids else {c: [] for c in names}
@@ -281,7 +287,12 @@ def half_edited(docs: DataFrame) -> DataFrame:
     around = ranges.select("part", F.coalesce(F.lead("part").over(order), F.first("part").over(order)).alias("next"))
     firsts = edges.where("edge = 'first'").select(F.col("part").alias("next"), F.col("text").alias("after"))
     waiting = edges.where("edge = 'last'").select("doc_id", "text", "part").join(around, "part").join(firsts, "next").select("doc_id", "text", "after")
-    return found.where(F.col("edge").isNull()).select(*names).unionByName(waiting.mapInArrow(at_edges, fields))
+    rows = found.where(F.col("edge").isNull()).select(*names).unionByName(waiting.mapInArrow(at_edges, fields))
+    shown = lambda parts, chars, cells: F.concat_ws(":", parts, chars, F.base64(F.col(cells)))
+    return rows.select(
+        "doc_id", "n_chars", F.lower(F.hex("edited_sha")).alias("edited_sha256"), shown("parts", "n_chars", "cells").alias("fingerprint"),
+        shown("edited_parts", "edited_chars", "edited_cells").alias("edited_fingerprint"), "near_edited", "near_next",
+    )
 
 
 def query(spark, sf_dir):
