@@ -91,27 +91,34 @@ def energy_ratio(values: DataFrame, quantile: float = 0.95) -> DataFrame:
     return means.withColumn("ratio", F.when(F.col("ring") > 0, F.col("core") / F.col("ring")))
 
 
-def connected_components(mask: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """4-connected parts of masks: adds `label`, the least run id of the part.
+def run_labels(runs: DataFrame, reach: int = 0) -> DataFrame:
+    """The part of each run (frame_id, y, a, b, run) of a mask's rows: run, label, the least run id of its part.
 
-    Rows are first made runs of neighbours, so labels travel between runs, not pixels; each round
-    every run takes the least label of those it touches, then its label's label.
+    Runs touch those of the next row that they overlap, or with `reach` 1 meet at a corner. Each round every run takes the
+    least label of those it touches, then its label's label, until none changes. The runs must be a written table.
     """
-    w = Window.partitionBy("frame_id", "y").orderBy("x")
-    cells = mask.select(*PIXEL).distinct().withColumn("g", F.col("x") - F.row_number().over(w))
-    runs = cells.groupBy("frame_id", "y", "g").agg(F.min("x").alias("a"), F.max("x").alias("b"))
-    runs = checkpointed(runs.withColumn("run", F.xxhash64("frame_id", "y", "a")))
     below = runs.select("frame_id", (F.col("y") - 1).alias("y"), F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("run").alias("run2"))
-    touch = runs.join(below, ["frame_id", "y"]).where((F.col("a") <= F.col("b2")) & (F.col("a2") <= F.col("b"))).select("run", "run2")
+    touch = runs.join(below, ["frame_id", "y"]).where((F.col("a") <= F.col("b2") + reach) & (F.col("a2") <= F.col("b") + reach)).select("run", "run2")
     edges = checkpointed(touch.union(touch.select("run2", "run")))
     labels = checkpointed(runs.select("run", F.col("run").alias("label")))
-    for _ in range(most_rounds):
+    while True:
         near = edges.join(labels.select(F.col("run").alias("run2"), "label"), "run2").groupBy("run").agg(F.min("label").alias("m"))
-        step = labels.join(near, "run", "left").select("run", F.least("label", F.coalesce("m", "label")).alias("label"))
+        step = labels.join(near, "run", "left").select("run", F.least("label", F.coalesce("m", "label")).alias("label"), F.col("label").alias("old"))
         jump = step.select(F.col("run").alias("label"), F.col("label").alias("far"))
-        new = checkpointed(step.join(jump, "label", "left").select("run", F.least("label", F.coalesce("far", "label")).alias("label")))
-        changed = new.join(labels.withColumnRenamed("label", "old"), "run").where(F.col("label") != F.col("old")).limit(1).count()
-        labels = new
-        if not changed:
-            return cells.join(runs.select("frame_id", "y", "g", "run"), ["frame_id", "y", "g"]).join(labels, "run").select(*PIXEL, "label")
-    raise RuntimeError(f"labels still change after {most_rounds} rounds")
+        new = checkpointed(step.join(jump, "label", "left").select("run", F.least("label", F.coalesce("far", "label")).alias("label"), "old"))
+        labels = new.drop("old")
+        if not new.where(F.col("label") != F.col("old")).limit(1).count():
+            return labels
+
+
+def connected_components(mask: DataFrame, eight: bool = False) -> DataFrame:
+    """4-connected (or 8-connected) parts of masks: adds `label`, the least run id of the part.
+
+    Rows are first made runs of neighbours, so labels travel between runs, not pixels.
+    """
+    w = Window.partitionBy("frame_id", "y").orderBy("x")
+    cells = mask.select(*PIXEL).distinct().withColumn("g", F.col("x") - F.row_number().over(w))
+    runs = cells.groupBy("frame_id", "y", "g").agg(F.min("x").alias("a"), F.max("x").alias("b"))
+    runs = checkpointed(runs.withColumn("run", F.xxhash64("frame_id", "y", "a")))
+    labels = run_labels(runs, int(eight))
+    return cells.join(runs.select("frame_id", "y", "g", "run"), ["frame_id", "y", "g"]).join(labels, "run").select(*PIXEL, "label")
