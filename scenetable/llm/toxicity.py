@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -432,19 +433,18 @@ def scored(docs: DataFrame, net: Network) -> DataFrame:
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "__text", 2 << 20):
-            pieces = Pieces.of(Words(batch.column("__text")))
+        for batch in sliced(batches, "text", 2 << 20):
+            pieces = Pieces.of(Words(pc.fill_null(batch.column("text"), "")))
             starts, at = windows(pieces.begin)
             ends = np.repeat(pieces.begin[1:], np.diff(at))
             top = np.maximum.reduceat(net.logits(net.vectors(pieces), pieces.place, starts, ends), at[:-1])
             a, b = net.scale
             score = _sigmoid(a * top.astype(float) + b)
-            kept = [i for i, x in enumerate(batch.schema.names) if x != "__text"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), pa.array(score)], names=[*(batch.schema.names[i] for i in kept), "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], names=[*batch.schema.names, "score"])
         give_back()
 
     rows = docs.drop("score")
-    return rows.withColumn("__text", F.coalesce("text", F.lit(""))).mapInArrow(emit, ", ".join(f"`{c}` {t}" for c, t in [*rows.dtypes, ("score", "double")]))
+    return rows.mapInArrow(emit, ", ".join(f"`{c}` {t}" for c, t in [*rows.dtypes, ("score", "double")]))
 
 
 def query(spark, sf_dir):
