@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import NEAR, camera_axis, world_axis
 from .common import checkpointed, small
+from .mesh import with_corners
 from .visibility import unproject_pixels, zbuffer
 
 AXES = ("x", "y", "z")
@@ -25,10 +26,7 @@ def face_geometry(vertices: DataFrame, faces: DataFrame, least_area: float = 1e-
     Faces whose doubled area is `least_area` or less, or that name a missing or non-finite vertex, are left out.
     Three joins by (mesh_id, vid).
     """
-    rows = faces.select("mesh_id", "fid", "v0", "v1", "v2")
-    for k in range(3):
-        own = vertices.select("mesh_id", F.col("vid").alias(f"v{k}"), *(F.col(a).cast("double").alias(f"{a}{k}") for a in AXES))
-        rows = rows.join(own, ["mesh_id", f"v{k}"])
+    rows = with_corners(vertices, faces)
     side = lambda k: [F.col(f"{a}{k}") - F.col(f"{a}0") for a in AXES]
     p, q = side(1), side(2)
     cross = [p[1] * q[2] - p[2] * q[1], p[2] * q[0] - p[0] * q[2], p[0] * q[1] - p[1] * q[0]]

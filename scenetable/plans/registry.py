@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import comparisons, evidence, filling, grids, imaging, structure, views
+from . import comparisons, evidence, filling, grids, imaging, meshes, structure, surfaces, views
 
-_MODULES = (views, imaging, evidence, comparisons, filling, structure, grids)
+_MODULES = (views, imaging, evidence, comparisons, filling, structure, grids, meshes, surfaces)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

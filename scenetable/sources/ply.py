@@ -36,7 +36,11 @@ class _Range(InputPartition):
 
 
 class PlyDataSource(DataSource):
-    """Vertices of one PLY file, read by ranges of fixed-size rows. Options: path, rows_per_partition."""
+    """Vertices or triangles of one PLY file, read by ranges of fixed-size rows.
+
+    Options: path, rows_per_partition, and element: vertex (the default; point_id and the file's columns) or face (fid, v0, v1, v2).
+    Faces must be triangles in one list property; a binary file must end with their last row.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -51,10 +55,15 @@ class PlyDataSource(DataSource):
         name, _, columns = elements[0]
         if name != "vertex" or any(t.startswith("list") for _, t in columns):
             raise ValueError("the first element must be vertices of scalars")
+        if self.options.get("element", "vertex") == "face":
+            if len(elements) < 2 or elements[1][0] != "face" or len(elements[1][2]) != 1 or not elements[1][2][0][1].startswith("list"):
+                raise ValueError("the second element must be faces with one list property")
+            return StructType([StructField(c, LongType()) for c in ("fid", "v0", "v1", "v2")])
         return StructType([StructField("point_id", LongType()), *(StructField(c, LongType() if SCALARS[t][1] else DoubleType()) for c, t in columns)])
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        return _PlyReader(self.options["path"], int(self.options.get("rows_per_partition", "1000000")))
+        kind = _FaceReader if self.options.get("element", "vertex") == "face" else _PlyReader
+        return kind(self.options["path"], int(self.options.get("rows_per_partition", "1000000")))
 
 
 class _PlyReader(DataSourceReader):
@@ -81,3 +90,37 @@ class _PlyReader(DataSourceReader):
             f.seek(self.start + row.size * part.first)
             for i, values in enumerate(row.iter_unpack(f.read(row.size * (part.last - part.first))), part.first):
                 yield (i, *values)
+
+
+class _FaceReader(_PlyReader):
+    """Triangles: rows of a count and three vertex numbers, which are of one size, so ranges can be read."""
+
+    def __init__(self, path: str, rows: int):
+        super().__init__(path, rows)
+        with open(path, "rb") as f:
+            _, elements, _ = parse_header(f.read(1 << 16))
+            size = f.seek(0, 2)
+        order = "<" if "little" in self.kind else ">"
+        self.before, self.count = self.count, elements[1][1]
+        count, index = elements[1][2][0][1].split()[1:]
+        self.row = f"{order}{SCALARS[count][0]}3{SCALARS[index][0]}"
+        if self.kind != "ascii":
+            self.start += self.before * struct.calcsize(order + "".join(SCALARS[t][0] for _, t in self.columns))
+            if len(elements) == 2 and self.start + self.count * struct.calcsize(self.row) != size:
+                raise ValueError("the file does not end with its last triangle")
+
+    def read(self, part: _Range) -> Iterator[tuple]:
+        with open(self.path, "rb") as f:
+            f.seek(self.start)
+            if self.kind == "ascii":
+                for _ in range(self.before + part.first):
+                    f.readline()
+                rows = (tuple(map(int, f.readline().split())) for _ in range(part.last - part.first))
+            else:
+                size = struct.calcsize(self.row)
+                f.seek(size * part.first, 1)
+                rows = struct.iter_unpack(self.row, f.read(size * (part.last - part.first)))
+            for fid, row in enumerate(rows, part.first):
+                if len(row) != 4 or row[0] != 3:
+                    raise ValueError(f"face {fid} is no triangle")
+                yield (fid, *row[1:])
