@@ -113,28 +113,48 @@ def maximin_views(views: DataFrame, keys: list[str], k: int = 4) -> DataFrame:
     return chosen
 
 
-def separated_evidence(views: DataFrame, min_baseline: float = 0.10, min_angle: float = 5.0, count: int = 2) -> DataFrame:
-    """For each object the best-scoring pair of views far enough apart, grown greedily by score.
+def separated_evidence(views: DataFrame, min_baseline: float = 0.10, min_angle: float = 5.0, count: int = 2, both: bool = True) -> DataFrame:
+    """For each object the `count` views far enough apart from each other with the greatest sum of scores.
 
-    Rows: object_id, frame_id, score, px, py, pz (camera centres), dx, dy, dz (unit rays). Objects
-    without such a pair are left out.
+    Rows: object_id, frame_id, score, px, py, pz (camera centres), dx, dy, dz (rays). Two views are apart if their cameras are `min_baseline` and their
+    rays `min_angle` degrees apart (`both`, or either). A set grows from each pair that is apart, taking the best-scored view
+    apart from all chosen ones; of equal sums the one with the later frame_ids wins. Objects without such a set are left out.
+
+    Views are gone through by falling score, each against all later ones at once, and no further than a better sum is possible.
     """
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["score", "frame_id"], ascending=[False, True]).reset_index(drop=True)
-        at, ray = pdf[["px", "py", "pz"]].to_numpy(), pdf[["dx", "dy", "dz"]].to_numpy()
-        apart = lambda i, j: np.linalg.norm(at[i] - at[j]) >= min_baseline and np.degrees(np.arccos(np.clip(ray[i] @ ray[j], -1, 1))) >= min_angle
-        pairs = [(pdf.score[i] + pdf.score[j], -i, -j) for i in range(len(pdf)) for j in range(i + 1, len(pdf)) if apart(i, j)]
-        if not pairs:
-            return pdf.iloc[:0][["object_id", "frame_id"]]
-        _, i, j = max(pairs)
-        chosen = [-i, -j]
-        for n in range(len(pdf)):
-            if len(chosen) >= count:
+        at, ray, score, frames = pdf[["px", "py", "pz"]].to_numpy(float), pdf[["dx", "dy", "dz"]].to_numpy(float), pdf["score"].to_numpy(float), pdf["frame_id"].tolist()
+        if count == 1:
+            return pdf.iloc[:1][["object_id", "frame_id"]]
+        size = np.linalg.norm(ray, axis=1)
+
+        def apart(i: int, others: np.ndarray) -> np.ndarray:
+            far = np.linalg.norm(at[others] - at[i], axis=1) >= min_baseline
+            long = size[others] * size[i]
+            cosine = np.clip(ray[others] @ ray[i] / np.where(long > 1e-12, long, 1), -1, 1)
+            wide = np.where(long > 1e-12, np.degrees(np.arccos(cosine)), 0.0) >= min_angle
+            return far & wide if both else far | wide
+
+        best, picked, rest = None, [], float(score[: count - 2].sum())
+        for i in range(len(pdf) - 1):
+            if best is not None and score[i] + score[i + 1] + rest < best[0]:
                 break
-            if n not in chosen and all(apart(n, c) for c in chosen):
-                chosen.append(n)
-        return pdf.iloc[sorted(chosen)][["object_id", "frame_id"]]
+            later = np.arange(i + 1, len(pdf))
+            for j in later[apart(i, later)].tolist():
+                if best is not None and score[i] + score[j] + rest < best[0]:
+                    break
+                chosen = [i, j]
+                for n in range(len(pdf) if count > 2 else 0):
+                    if len(chosen) == count:
+                        break
+                    if n not in chosen and apart(n, np.array(chosen)).all():
+                        chosen.append(n)
+                key = (float(score[chosen].sum()), tuple(frames[k] for k in chosen))
+                if len(chosen) == count and (best is None or key > best):
+                    best, picked = key, chosen
+        return pdf.iloc[picked][["object_id", "frame_id"]]
 
     kinds = dict(views.dtypes)
     return views.groupBy("object_id").applyInPandas(grow, f"object_id {kinds['object_id']}, frame_id {kinds['frame_id']}")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geometry import NEAR, world_axis
+from ..functions.geometry import NEAR, camera_axis, world_axis
 from .common import checkpointed, small
 
 
@@ -74,6 +74,29 @@ def view_votes(projected: DataFrame, masks: DataFrame, min_votes: int = 2) -> Da
     return votes.withColumn("carved", F.col("votes") >= min_votes)
 
 
+def anchored_votes(points: DataFrame, anchors: DataFrame, cameras: DataFrame, masks: DataFrame, radius: float = 0.08, most_pixels: int = 3, depth_tolerance: float = 0.08, min_votes: int = 2) -> DataFrame:
+    """How many views accept each point that has an anchor within `radius`, and whether it is carved: point_id, anchor_id, matched, votes, carved.
+
+    A view accepts a point if it and its nearest anchor (anchor_id, x, y, z) both lie in the image and in the view's mask (frame_id, px, py), at most
+    `most_pixels` apart along either axis (matched), with depths at most `depth_tolerance` apart. Points meet anchors in a grid.
+    """
+    from .neighbors import nearest_within
+
+    near = nearest_within(points, anchors, radius).select("point_id", "anchor_id")
+    place = anchors.select("anchor_id", *(F.col(a).alias(f"a{a}") for a in "xyz"))
+    rows = project_points(points.select("point_id", "x", "y", "z").join(near, "point_id").join(place, "anchor_id"), cameras)
+    cams = small(cameras.select("frame_id", "fx", "fy", "cx", "cy", "w", "h", "r", "t"))
+    rows = rows.join(cams, "frame_id").withColumns({f"_{c}": camera_axis(i, F.col("ax"), F.col("ay"), F.col("az")) for i, c in enumerate("xyz")}).where(F.col("_z") > NEAR)
+    rows = rows.withColumns({"qx": F.rint(F.col("fx") * F.col("_x") / F.col("_z") + F.col("cx")), "qy": F.rint(F.col("fy") * F.col("_y") / F.col("_z") + F.col("cy"))})
+    rows = rows.where((F.col("qx") >= 0) & (F.col("qx") < F.col("w")) & (F.col("qy") >= 0) & (F.col("qy") < F.col("h")) & (F.greatest(F.abs(F.col("px") - F.col("qx")), F.abs(F.col("py") - F.col("qy"))) <= most_pixels))
+    rows = rows.select("frame_id", "point_id", "px", "py", F.col("qx").cast("int").alias("qx"), F.col("qy").cast("int").alias("qy"), (F.abs(F.col("depth") - F.col("_z")) <= depth_tolerance).alias("close"))
+    mask = masks.select("frame_id", "px", "py").distinct()
+    both = rows.join(mask, ["frame_id", "px", "py"], "left_semi").join(mask.withColumnsRenamed({"px": "qx", "py": "qy"}), ["frame_id", "qx", "qy"], "left_semi")
+    votes = both.groupBy("point_id").agg(F.count("*").alias("matched"), F.count_if("close").alias("votes"))
+    out = near.join(votes, "point_id", "left").select("point_id", "anchor_id", F.coalesce("matched", F.lit(0)).alias("matched"), F.coalesce("votes", F.lit(0)).alias("votes"))
+    return out.withColumn("carved", F.col("votes") >= min_votes)
+
+
 def split_by_boxes(points: DataFrame, boxes: DataFrame, cell: float = 1.0) -> DataFrame:
     """Label points (point_id, u, v) by boxes (mask, x0, y0, x1, y1, score): the nearest centre in half extents (at least 1) wins.
 

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import comparisons, evidence, filling, grids, imaging, meshes, structure, surfaces, views
+from . import association, comparisons, evidence, filling, grids, imaging, meshes, sequences, structure, surfaces, views
 
-_MODULES = (views, imaging, evidence, comparisons, filling, structure, grids, meshes, surfaces)
+_MODULES = (views, imaging, evidence, comparisons, filling, structure, grids, meshes, surfaces, sequences, association)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
