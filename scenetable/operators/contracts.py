@@ -52,6 +52,26 @@ def coverage(observed: DataFrame, assets: DataFrame) -> DataFrame:
     return observed.join(assets, "category", "full_outer").withColumn("action", action)
 
 
+def asset_coverage(observed: DataFrame, assets: DataFrame) -> DataFrame:
+    """How far assets cover the observed instances of each category, and what is to be done next.
+
+    observed: category, n; assets: category, asset_id, scope (individual or group), represented, state. Returns category, n, represented, individual (instances
+    that individual assets represent), status and next_action. No asset: missing, segment. Fewer represented than observed: undercovered,
+    segment; fewer by individual assets: undercovered, instance_split. Else covered, by the states of individual assets: a candidate is to be segmented, one segmented or
+    failed in review completed, a completed one reviewed. Categories with assets that were not observed are unassessed, none.
+    """
+    own = F.col("scope") == "individual"
+    held = assets.groupBy("category").agg(F.sum("represented").alias("represented"), F.sum(F.when(own, F.col("represented")).otherwise(0)).alias("individual"), F.collect_set(F.when(own, F.col("state"))).alias("states"))
+    has = lambda *s: F.arrays_overlap("states", F.array(*map(F.lit, s)))
+    next_ = (
+        F.when(F.col("n").isNull(), "none").when(F.col("represented").isNull() | (F.col("represented") < F.col("n")), "segment").when(F.col("individual") < F.col("n"), "instance_split")
+        .when(has("candidate"), "segment").when(has("segmented", "review_failed"), "complete").when(has("completed"), "review").otherwise("none")
+    )
+    status = F.when(F.col("n").isNull(), "unassessed").when(F.col("represented").isNull(), "missing").when(F.least("represented", "individual") < F.col("n"), "undercovered").otherwise("covered")
+    rows = observed.select("category", "n").join(held, "category", "full_outer")
+    return rows.select("category", "n", F.coalesce("represented", F.lit(0)).alias("represented"), F.coalesce("individual", F.lit(0)).alias("individual"), status.alias("status"), next_.alias("next_action"))
+
+
 def digest_issues(declared: DataFrame, actual: DataFrame) -> DataFrame:
     """Rows of `declared` (uri, sha256, size_bytes) that `actual` lacks or contradicts: uri and issue."""
     a = actual.select("uri", F.col("sha256").alias("_s"), F.col("size_bytes").alias("_n"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import checkpointed
@@ -28,35 +28,52 @@ def descendants(edges: DataFrame) -> DataFrame:
         span *= 2
 
 
-def topological_layers(edges: DataFrame, most_layers: int = 200) -> DataFrame:
+def topological_layers(edges: DataFrame) -> DataFrame:
     """The layer of every node of `edges` (front, back): 0 without incoming edges, else one after its latest front.
 
     Each round takes the nodes that no open edge enters. Edges left without such a node are a cycle, and raise.
     """
-    open_ = checkpointed(edges.select("front", "back").where(F.col("front") != F.col("back")).distinct())
+    nodes = edges.select(F.col("front").alias("node")).union(edges.select("back")).distinct()
+    return _peeled(nodes, edges)
+
+
+def _peeled(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     if edges.where(F.col("front") == F.col("back")).limit(1).count():
         raise ValueError("an edge leads to its own node")
-    nodes = checkpointed(open_.select(F.col("front").alias("node")).union(open_.select("back")).distinct())
-    done = None
-    for layer in range(most_layers):
-        if not nodes.limit(1).count():
-            return done if done is not None else nodes.withColumn("layer", F.lit(0))
+    open_, nodes = checkpointed(edges.select("front", "back").distinct()), checkpointed(nodes)
+    done, layer = nodes.limit(0).withColumn("layer", F.lit(0)), 0
+    while nodes.limit(1).count():
         free = checkpointed(nodes.join(open_.select(F.col("back").alias("node")), "node", "left_anti").withColumn("layer", F.lit(layer)))
         if not free.limit(1).count():
             raise ValueError("the graph has a cycle")
-        done = free if done is None else done.union(free)
+        done, layer = done.union(free), layer + 1
         nodes = checkpointed(nodes.join(free, "node", "left_anti"))
         open_ = checkpointed(open_.join(free.select(F.col("node").alias("front")), "front", "left_anti"))
-    raise ValueError(f"more than {most_layers} layers")
+    return done
 
 
-def stale_closure(needs: DataFrame, stale: DataFrame, most_rounds: int = 200) -> DataFrame:
-    """Nodes that are stale themselves or need, over any number of steps (node needs `needs`), one that is."""
+def peel_layers(candidates: DataFrame, edges: DataFrame, min_confidence: float = 0.5) -> DataFrame:
+    """The order in which objects (node, priority) are taken off: node, layer, place (from 1, by falling priority, then node, in the layer).
+
+    An edge (front, back, confidence, verified) of at least `min_confidence` between candidates puts its front before its back. One
+    that is not verified raises: what only an observation says orders nothing. Cycles raise.
+    """
+    ends = candidates.select("node")
+    strong = edges.where(F.col("confidence") >= min_confidence).join(ends.withColumnRenamed("node", "front"), "front", "left_semi").join(ends.withColumnRenamed("node", "back"), "back", "left_semi")
+    loose = strong.where(~F.coalesce("verified", F.lit(False))).select("front", "back").orderBy("front", "back").limit(5).collect()
+    if loose:
+        raise ValueError("edges without verified depth order remain: " + ", ".join(f"{r.front}->{r.back}" for r in loose))
+    layers = _peeled(ends.distinct(), strong).join(candidates.select("node", "priority"), "node")
+    order = Window.partitionBy("layer").orderBy(F.desc("priority"), "node")
+    return layers.select("node", "layer", F.row_number().over(order).alias("place"))
+
+
+def stale_closure(needs: DataFrame, stale: DataFrame) -> DataFrame:
+    """Nodes that are stale themselves or need, over any number of steps (node needs `needs`), one that is. A round without new nodes ends it."""
     found = checkpointed(stale.select("node").distinct())
     front = found
-    for _ in range(most_rounds):
+    while True:
         front = checkpointed(needs.join(front.select(F.col("node").alias("needs")), "needs").select("node").distinct().join(found, "node", "left_anti"))
         if not front.limit(1).count():
             return found
         found = checkpointed(found.union(front))
-    raise ValueError(f"needs are longer than {most_rounds} steps")
