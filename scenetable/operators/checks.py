@@ -31,10 +31,14 @@ def depth_order(relations: DataFrame, seen: DataFrame, masks: DataFrame, bin_px:
 
 
 def contact(rows: DataFrame, absolute: float = 0.05, fraction: float = 0.25, most_gap: float = 0.02) -> DataFrame:
-    """How an upper object (bottom, thickness; heights grow downward) stands on its support (top): adds penetration, gap, limit, excess, passed."""
-    gone, gap = F.greatest(F.lit(0.0), F.col("bottom") - F.col("top")), F.greatest(F.lit(0.0), F.col("top") - F.col("bottom"))
-    limit = F.least(F.lit(absolute), fraction * F.col("thickness"))
-    out = rows.withColumns({"penetration": gone, "gap": gap, "limit": limit}).withColumn("excess", F.greatest(F.lit(0.0), F.col("penetration") - F.col("limit")))
+    """How an upper object (bottom, thickness; heights grow downward) stands on its support (top): adds penetration, gap, limit, excess, passed.
+
+    A height that is missing leaves them null, and does not pass.
+    """
+    known = F.col("bottom").isNotNull() & F.col("top").isNotNull() & F.col("thickness").isNotNull()  # greatest and least pass over nulls
+    gone, gap = (F.when(known, F.greatest(F.lit(0.0), d)) for d in (F.col("bottom") - F.col("top"), F.col("top") - F.col("bottom")))
+    limit = F.when(known, F.least(F.lit(absolute), fraction * F.col("thickness")))
+    out = rows.withColumns({"penetration": gone, "gap": gap, "limit": limit}).withColumn("excess", F.when(known, F.greatest(F.lit(0.0), F.col("penetration") - F.col("limit"))))
     return out.withColumn("passed", F.coalesce((F.col("penetration") <= F.col("limit") + 1e-12) & (F.col("gap") <= most_gap + 1e-12), F.lit(False)))
 
 

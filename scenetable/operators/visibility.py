@@ -2,22 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import NEAR, camera_axis, world_axis
 from .common import checkpointed, small
 
 
-def project_points(points: DataFrame, cameras: DataFrame) -> DataFrame:
+def _reach(form: list[Column], constant: Column) -> Column:
+    """The largest value of a linear form over a box (l0 .. h2)."""
+    return sum((F.greatest(a * F.col(f"_l{i}"), a * F.col(f"_h{i}")) for i, a in enumerate(form)), constant)
+
+
+def _may_see() -> Column:
+    """Whether some point of a box can lie in a camera's image: the box is not wholly outside one side of its frustum."""
+    row, t = lambda i: [F.col(f"_r{3 * i + k}") for k in range(3)], [F.col(f"_t{i}") for i in range(3)]
+    deep = row(2)
+    out = _reach(deep, t[2]) > NEAR
+    for i, f, c, size in ((0, "fx", "cx", "w"), (1, "fy", "cy", "h")):
+        for sign, edge in ((1.0, F.col(c) + 0.5), (-1.0, F.col(size) - 0.5 - F.col(c))):  # a rounded pixel reaches half a pixel over
+            form = [sign * F.col(f) * a + edge * d for a, d in zip(row(i), deep, strict=True)]
+            out = out & (_reach(form, sign * F.col(f) * t[i] + edge * t[2]) >= -1e-6)
+    return out
+
+
+def project_points(points: DataFrame, cameras: DataFrame, cell: float | None = None) -> DataFrame:
     """Every point (x, y, z, ...) in every camera (frame_id, fx, fy, cx, cy, w, h, r, t) that sees it.
 
-    Adds frame_id, px, py (half-even rounded) and depth. Cameras are broadcast if they are few (checked).
+    Adds frame_id, px, py (half-even rounded) and depth. Cameras are broadcast if they are few (checked). With `cell`, only the boxes
+    of filled grid cells meet all cameras, and points meet the cameras whose frustum their cell's box can reach, by the cell's
+    numbers; that pays where a camera sees a small part of a large cloud.
     """
     flat = [F.col("r")[i].alias(f"_r{i}") for i in range(9)] + [F.col("t")[i].alias(f"_t{i}") for i in range(3)]  # once a camera, not once a pair
     cams = small(cameras.select("frame_id", "fx", "fy", "cx", "cy", "w", "h", *flat))
+    if cell is None:
+        pairs = points.crossJoin(cams)
+    else:
+        keys = [f"_g{a}" for a in "xyz"]
+        placed = points.withColumns({k: F.floor(F.col(a) / cell) for k, a in zip(keys, "xyz", strict=True)})
+        boxes = placed.groupBy(*keys).agg(*(f(a).alias(f"_{e}{i}") for i, a in enumerate("xyz") for e, f in (("l", F.min), ("h", F.max))))
+        near = boxes.crossJoin(cams).where(_may_see()).drop(*(f"_{e}{i}" for i in range(3) for e in "lh"))
+        pairs = placed.join(near, keys)
     axis = [F.col(f"_r{3 * i}") * F.col("x") + F.col(f"_r{3 * i + 1}") * F.col("y") + F.col(f"_r{3 * i + 2}") * F.col("z") + F.col(f"_t{i}") for i in range(3)]
-    rows = points.crossJoin(cams).withColumns({"_cx": axis[0], "_cy": axis[1], "depth": axis[2]}).where(F.col("depth") > NEAR)
+    rows = pairs.withColumns({"_cx": axis[0], "_cy": axis[1], "depth": axis[2]}).where(F.col("depth") > NEAR)
     rows = rows.withColumns({"px": F.rint(F.col("fx") * F.col("_cx") / F.col("depth") + F.col("cx")), "py": F.rint(F.col("fy") * F.col("_cy") / F.col("depth") + F.col("cy"))})
     rows = rows.where((F.col("px") >= 0) & (F.col("px") < F.col("w")) & (F.col("py") >= 0) & (F.col("py") < F.col("h")))
     return rows.withColumns({"px": F.col("px").cast("int"), "py": F.col("py").cast("int")}).select(*points.columns, "frame_id", "px", "py", "depth")

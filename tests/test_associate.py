@@ -91,3 +91,17 @@ def test_votes_need_mask_anchor_and_depth(spark):
     assert run(everywhere, depth_tolerance=0.05)[1] == (0, 2, 0, False)
     assert run(everywhere.where("frame_id = '0'"))[0] == (0, 1, 1, False)
     assert run(everywhere.where("px > 17")) == {0: (0, 0, 0, False), 1: (0, 0, 0, False), 2: (1, 2, 2, True)}
+
+
+def test_culled_projection_is_the_same(spark):
+    rng = np.random.default_rng(12)
+    cams = []
+    for k in range(6):
+        q = np.linalg.qr(rng.normal(size=(3, 3)))[0]
+        cams.append((str(k), 30.0, 40.0, 10.0, 9.0, 24, 18, (q * np.sign(np.linalg.det(q))).ravel().tolist(), rng.normal(size=3).tolist()))
+    cameras = spark.createDataFrame(cams, CAM)
+    points = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(rng.uniform(-4, 4, (3000, 3)))], "point_id long, x double, y double, z double")
+    whole = {tuple(r) for r in visibility.project_points(points, cameras).collect()}
+    for cell in (0.3, 1.0, 20.0):
+        assert {tuple(r) for r in visibility.project_points(points, cameras, cell).collect()} == whole
+    assert len(whole) > 100
