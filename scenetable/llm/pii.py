@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import staged, table
@@ -131,7 +131,8 @@ def find_spans(docs: DataFrame, disclosure: float = 0.95, removal: float = 0.99,
 
     Rows get a number when their base spans are written. Equal texts are paired once, with their
     number as weight. As n(e,t) <= n(e), a share of s needs n(t) <= n(e) (N / n(e))^(1 - s), and both
-    counts are at least `support`: pairs outside these bounds, which tell nothing, are not made.
+    counts are at least `support`: pairs outside these bounds, which tell nothing, are not made. Words meet told
+    terms by (row, term) and base spans by a sweep over positions, so time grows with a text's length.
     """
     text = F.coalesce("text", F.lit(""))
     base = docs.select("doc_id", text.alias("text")).withColumn("base", _base(F.col("text")))
@@ -156,14 +157,22 @@ def find_spans(docs: DataFrame, disclosure: float = 0.95, removal: float = 0.99,
     pairs = pairs.groupBy("e", "t", "n_e", "n_t").agg(F.sum("w").alias("n_et")).where(F.col("n_et") >= support).withColumn("share", share)
     telling = staged(pairs.where(F.col("share") >= disclosure).groupBy("t").agg(F.max("share").alias("share")))
 
-    told = in_docs.join(telling, "t").groupBy("row").agg(F.collect_list(F.struct("t", (F.col("share") >= removal).alias("gone"))).alias("told"))
-    both = base.join(told, "row", "left")
-    span = lambda m, k, kind: F.struct(m["start"].alias("start"), F.lit(k).alias("k"), m["stop"].alias("stop"), F.lit(kind).alias("kind"), m["value"].alias("value"))
-    words = F.filter(matches(F.col("text"), TERM), lambda m: F.exists("told", lambda x: x["t"] == term(m["value"])))
-    words = F.filter(words, lambda m: ~F.exists("base", lambda s: (s["start"] < m["stop"]) & (m["start"] < s["stop"])))
-    gone = lambda m: F.exists("told", lambda x: x["gone"] & (x["t"] == term(m["value"])))
-    extra = F.transform(words, lambda m: F.when(gone(m), span(m, len(KINDS) + 1, "remove")).otherwise(span(m, len(KINDS), "general")))
-    return both.select("doc_id", "text", F.when(F.col("told").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", extra))).alias("spans"), "base")
+    # of rows that hold a told term: their words with positions, of which those told are kept by (row, t)
+    told = staged(in_docs.join(telling, "t").select("row", "t", (F.col("share") >= removal).alias("gone")))
+    mine = base.join(told.select("row").distinct(), "row", "left_semi").select("row", "text", "base")
+    words = mine.select("row", F.explode(matches(F.col("text"), TERM)).alias("m")).select("row", "m.*", term(F.col("m.value")).alias("t"))
+    events = words.join(told, ["row", "t"]).select("row", "start", "stop", "value", "gone")
+    events = events.unionByName(mine.select("row", F.explode("base").alias("s")).select("row", "s.start", "s.stop"), allowMissingColumns=True)
+    # a word meets a base span that began before it and goes on, or one that begins within it
+    order = Window.partitionBy("row").orderBy("start")
+    basic = F.col("value").isNull()
+    before = F.max(F.when(basic, F.col("stop"))).over(order.rangeBetween(Window.unboundedPreceding, 0))
+    after = F.min(F.when(basic, F.col("start"))).over(order.rangeBetween(0, Window.unboundedFollowing))
+    free = events.withColumns({"before": before, "after": after}).where(~basic & (F.col("before").isNull() | (F.col("before") <= F.col("start"))) & (F.col("after").isNull() | (F.col("after") >= F.col("stop"))))
+    span = F.struct("start", F.when(F.col("gone"), len(KINDS) + 1).otherwise(len(KINDS)).alias("k"), "stop", F.when(F.col("gone"), "remove").otherwise("general").alias("kind"), "value")
+    extra = free.groupBy("row").agg(F.collect_list(span).alias("extra"))
+    both = base.join(extra, "row", "left")
+    return both.select("doc_id", "text", F.when(F.col("extra").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "extra"))).alias("spans"), "base")
 
 
 def coarser(value: Column) -> Column:
