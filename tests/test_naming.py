@@ -72,7 +72,7 @@ def test_depth_arrays_by_ranges_and_frames(spark, tmp_path):
 
 def test_manifests(spark, tmp_path):
     world = {
-        "world_id": "bedroom_4", "unknown": 1,
+        "world_id": "room_4", "unknown": 1,
         "objects": [
             {"id": "bed01", "name": {"zh": "床", "en": "Bed"}, "category": "bed", "bbox_scene": {"frame_id": "scene", "min": [0, 0, 0], "max": [1, 2, 3]}, "quality_gates": [{"gate": "mesh", "status": "passed", "report_sha256": "0" * 64, "metrics": {"faces": "10"}}]},
             {"id": "plant02", "name": {"en": "Plant"}, "aliases": ["plant"], "relations": [{"predicate": "OnTopOf", "target_object_id": "bed01", "confidence": 0.9, "verified": True}, {"predicate": "next-to it", "target_object_id": "nobody"}]},
@@ -80,6 +80,6 @@ def test_manifests(spark, tmp_path):
     }
     (tmp_path / "a.json").write_text(json.dumps(world))
     t = manifest.read_manifests(spark, str(tmp_path))
-    assert [(r.object_id, r.scoped_id, r.aliases, r.bbox_max) for r in t["objects"].orderBy("ord").collect()] == [("bed01", "bedroom_4:bed01", [], [1.0, 2.0, 3.0]), ("plant02", "bedroom_4:plant02", ["plant"], None)]
+    assert [(r.object_id, r.scoped_id, r.aliases, r.bbox_max) for r in t["objects"].orderBy("ord").collect()] == [("bed01", "room_4:bed01", [], [1.0, 2.0, 3.0]), ("plant02", "room_4:plant02", ["plant"], None)]
     assert [(r.subject, r.predicate, r.confidence, r.verified) for r in t["relations"].orderBy("ord").collect()] == [("plant02", "on_top_of", 0.9, True), ("plant02", "next_to_it", None, False)]
     assert t["gates"].first().metrics == {"faces": "10"} and [(r.object_id, r.issue) for r in t["issues"].collect()] == [("plant02", "relation leads nowhere")]
