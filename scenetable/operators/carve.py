@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import checkpointed
 from .pixels import PIXEL, close
 
 AXES = ("x", "y", "z")
@@ -115,3 +116,57 @@ def depth_bounded_close(support: DataFrame, anchors: DataFrame, scene: DataFrame
         return support.select(*PIXEL).distinct()
     envelope = depth_aware_splat(anchors, scene, splat + closing, absolute, relative)
     return support.select(*PIXEL).union(close(support, closing).join(envelope, PIXEL, "left_semi")).distinct()
+
+
+#: Fixed value: an object that matches fewer points than this is not taken for found.
+FEWEST_MATCHES = 25
+
+
+def grown(boxes: DataFrame, ratio: float, margin: float) -> DataFrame:
+    """`boxes` (x0, x1, y0, y1, z0, z1) widened on each side by `ratio` of their extent and `margin`."""
+    wide = {a: (F.col(f"{a}1") - F.col(f"{a}0")) * ratio + margin for a in AXES}
+    return boxes.withColumns({f"{a}0": F.col(f"{a}0") - wide[a] for a in AXES} | {f"{a}1": F.col(f"{a}1") + wide[a] for a in AXES})
+
+
+def near_objects(points: DataFrame, anchors: DataFrame, reach: float) -> DataFrame:
+    """The objects (object_id) that have an anchor within `reach` of each point: point_id, x, y, z, object_id, once each.
+
+    Anchors are first made boxes of cells whose diagonal is the reach. A point in such a cell, or within the reach of all of its box, needs no
+    look at anchors; only points that a box cannot tell meet the cell's anchors.
+    """
+    side = reach / math.sqrt(3) * (1 - 1e-9)
+    cell = [f"c{a}" for a in AXES]
+    at = {f"c{a}": F.floor(F.col(a) / side) for a in AXES}
+    held = anchors.select("object_id", *AXES).distinct().withColumns(at)
+    boxes = held.groupBy("object_id", *cell).agg(*(F.min(a).alias(f"lo{a}") for a in AXES), *(F.max(a).alias(f"hi{a}") for a in AXES))
+    spread = boxes.withColumns({f"h{a}": F.col(f"c{a}") for a in AXES})
+    for c in cell:
+        spread = spread.withColumn("_o", F.explode(F.sequence(F.lit(-2), F.lit(2)))).withColumn(c, F.col(c) + F.col("_o")).drop("_o")
+    near = sum(F.pow(F.greatest(F.lit(0.0), F.col(f"lo{a}") - F.col(a), F.col(a) - F.col(f"hi{a}")), 2) for a in AXES)
+    far = sum(F.pow(F.greatest(F.abs(F.col(f"hi{a}") - F.col(a)), F.abs(F.col(a) - F.col(f"lo{a}"))), 2) for a in AXES)
+    tried = points.select("point_id", *AXES).withColumns(at).join(spread, cell).where(near <= reach * reach).withColumn("sure", far <= reach * reach)
+    # One row for a point and object: told by a box, or by the cells left to look at.
+    told = tried.groupBy("point_id", "object_id", *AXES).agg(F.max("sure").alias("sure"), F.collect_set(F.when(~F.col("sure"), F.struct(*(f"h{a}" for a in AXES)))).alias("cells"))
+    look = told.where("not sure").select("point_id", *(F.col(a).alias(f"p{a}") for a in AXES), "object_id", F.explode("cells").alias("h")).select("*", *(F.col(f"h.h{a}").alias(f"c{a}") for a in AXES))
+    d2 = sum((F.col(a) - F.col(f"p{a}")) * (F.col(a) - F.col(f"p{a}")) for a in AXES)
+    found = look.join(held, ["object_id", *cell]).where(d2 <= reach * reach).select("point_id", *(f"p{a}" for a in AXES), "object_id").distinct()
+    return told.where("sure").select("point_id", *AXES, "object_id").union(found)
+
+
+def carve_objects(points: DataFrame, boxes: DataFrame, anchors: DataFrame, reach: float, fewest: int = FEWEST_MATCHES) -> DataFrame:
+    """The points (point_id, x, y, z) that objects take: inside the object's box and within `reach` of one of its own anchors.
+
+    boxes: object_id, ord, x0 .. z1 (closed); anchors: object_id, x, y, z. The first object by `ord`, then object_id, takes a point. An object of
+    `boxes` that takes fewer than `fewest` raises, as it is not there to be replaced. Returns point_id, object_id; a job counts matches while
+    it is built.
+    """
+    inside = F.lit(True)
+    for a in AXES:
+        inside = inside & F.col(a).between(F.col(f"{a}0"), F.col(f"{a}1"))
+    hits = near_objects(points, anchors, reach).join(boxes.select("object_id", "ord", *(f"{a}{i}" for a in AXES for i in (0, 1))), "object_id")
+    taken = checkpointed(hits.where(inside).groupBy("point_id").agg(F.min_by("object_id", F.struct("ord", "object_id")).alias("object_id")))
+    counts = boxes.select("object_id").distinct().join(taken.groupBy("object_id").agg(F.count("*").alias("n")), "object_id", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    short = counts.where(F.col("n") < fewest).orderBy("object_id").limit(5).collect()
+    if short:
+        raise ValueError("too few points match: " + ", ".join(f"{r.object_id} ({r.n})" for r in short))
+    return taken.select("point_id", "object_id")

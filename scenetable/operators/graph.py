@@ -77,3 +77,16 @@ def stale_closure(needs: DataFrame, stale: DataFrame) -> DataFrame:
         if not front.limit(1).count():
             return found
         found = checkpointed(found.union(front))
+
+
+def rootless(parents: DataFrame) -> DataFrame:
+    """Nodes on a cycle of (node, parent), or below one: node. Each node has one parent or none (null, or not a node itself).
+
+    Every node looks twice as far up each round; those that still find an ancestor farther up than there are nodes never end.
+    """
+    up = checkpointed(parents.where(F.col("parent").isNotNull()).select("node", F.col("parent").alias("up")).distinct())
+    reach, most = 1, up.count()
+    while reach <= most:
+        on = up.select(F.col("node").alias("up"), F.col("up").alias("far"))
+        up, reach = checkpointed(up.join(on, "up").select("node", F.col("far").alias("up"))), reach * 2
+    return up.select("node").distinct()

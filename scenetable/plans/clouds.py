@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import consensus, spacing
+from ..operators import carve, consensus, spacing
 from . import derived as D
 
 #: A cloud for each nation: points strewn over a slanted plane, at any depth across it.
@@ -18,6 +18,11 @@ PANES = """SELECT n_regionkey AS cloud, c_custkey AS point_id, (c_custkey * 7919
 SHEETS = """SELECT n_regionkey AS cloud, c_custkey AS point_id, (c_custkey * 7919 % 1009) / 10.0e0 AS x, (c_custkey * 10473 % 997) / 20.0e0 AS y,
  CASE WHEN c_custkey % 5 < 3 THEN 6.0e0 + (c_custkey % 7) / 8.0e0 ELSE (c_custkey * 631 % 499) / 20.0e0 END AS z FROM customer JOIN nation ON c_nationkey = n_nationkey"""
 
+#: A box for each nation's customers, over anchors at a twelfth of the points.
+BOXES = """SELECT n_nationkey AS ord, 'o' || n_nationkey AS object_id, (n_nationkey % 5) * 2.0e0 - 5.0e0 AS x0, (n_nationkey % 5) * 2.0e0 - 2.0e0 AS x1, -1.8e0 AS y0, CASE WHEN n_nationkey % 2 = 0 THEN 1.8e0 ELSE 0.9e0 END AS y1,
+ 4.0e0 + (n_nationkey {div} 5) * 0.8e0 AS z0, 5.5e0 + (n_nationkey {div} 5) * 0.8e0 AS z1 FROM nation"""
+ROOTS = f"SELECT 'o' || point_id % 25 AS object_id, x, y, z + 0.01e0 AS z FROM ({D.PTS}) WHERE point_id % 12 = 5"
+
 
 def _rows(spark, sf_dir, sql):
     for t in ("customer", "nation"):
@@ -47,9 +52,23 @@ def densest_slab(spark, sf_dir):
     return consensus.densest_slab(_rows(spark, sf_dir, SHEETS), ["cloud"])[1].select("cloud", "mode", "n_points", "kept", F.round("width", 6).alias("width"))
 
 
-QUERIES = {f.__name__: f for f in (largest_planar_part, consensus_planes, densest_slab)}
+def carved_objects(spark, sf_dir):
+    """What each object takes of the cloud, near its own anchors."""
+    anchors = D._read(spark, sf_dir, ROOTS, "lineitem")
+    boxes = carve.grown(_rows(spark, sf_dir, BOXES.format(div="div")), 0.05, 0.02)
+    out = carve.carve_objects(D.points(spark, sf_dir).select("point_id", "x", "y", "z"), boxes, anchors, 0.305)
+    return out.groupBy("object_id").agg(F.count("*").alias("n"), F.sum("point_id").alias("id_sum"))
+
+
+QUERIES = {f.__name__: f for f in (largest_planar_part, consensus_planes, densest_slab, carved_objects)}
 
 ORACLE = {
+    "carved_objects": f"""WITH b AS (SELECT ord, object_id, x0 - (x1 - x0) * 0.05e0 - 0.02e0 AS x0, x1 + (x1 - x0) * 0.05e0 + 0.02e0 AS x1, y0 - (y1 - y0) * 0.05e0 - 0.02e0 AS y0, y1 + (y1 - y0) * 0.05e0 + 0.02e0 AS y1, z0 - (z1 - z0) * 0.05e0 - 0.02e0 AS z0, z1 + (z1 - z0) * 0.05e0 + 0.02e0 AS z1 FROM ({BOXES.format(div="//")})),
+      a AS (SELECT DISTINCT object_id, ord, a.x, a.y, a.z, floor(a.x / 0.305e0) AS gx, floor(a.y / 0.305e0) AS gy, floor(a.z / 0.305e0) AS gz FROM ({ROOTS}) a JOIN b USING (object_id) WHERE a.x BETWEEN x0 - 0.4e0 AND x1 + 0.4e0 AND a.y BETWEEN y0 - 0.4e0 AND y1 + 0.4e0 AND a.z BETWEEN z0 - 0.4e0 AND z1 + 0.4e0),
+      g AS (SELECT a.*, gx + i.o AS cx, gy + j.o AS cy, gz + k.o AS cz FROM a, (SELECT unnest([-1, 0, 1]) AS o) i, (SELECT unnest([-1, 0, 1]) AS o) j, (SELECT unnest([-1, 0, 1]) AS o) k), p AS (SELECT *, floor(x / 0.305e0) AS cx, floor(y / 0.305e0) AS cy, floor(z / 0.305e0) AS cz FROM ({D.PTS})),
+      h AS (SELECT DISTINCT p.point_id, p.x, p.y, p.z, g.object_id, g.ord FROM p JOIN g USING (cx, cy, cz) WHERE (p.x - g.x) * (p.x - g.x) + (p.y - g.y) * (p.y - g.y) + (p.z - g.z) * (p.z - g.z) <= 0.305e0 * 0.305e0),
+      t AS (SELECT h.point_id, arg_min(h.object_id, h.ord) AS object_id FROM h JOIN b USING (object_id) WHERE h.x BETWEEN x0 AND x1 AND h.y BETWEEN y0 AND y1 AND h.z BETWEEN z0 AND z1 GROUP BY 1)
+      SELECT object_id, count(*) AS n, CAST(sum(point_id) AS BIGINT) AS id_sum FROM t GROUP BY 1""",
     "largest_planar_part": f"""WITH RECURSIVE p AS (SELECT cloud, point_id, y AS u, 0.8e0 * x - 0.6e0 * z AS v FROM ({STREWN})), d AS (SELECT a.cloud, a.point_id AS a, b.point_id AS b, sqrt((a.u - b.u) * (a.u - b.u) + (a.v - b.v) * (a.v - b.v)) AS d FROM p a JOIN p b ON a.cloud = b.cloud AND a.point_id <> b.point_id),
       e AS (SELECT * FROM d WHERE d <= {REACH}e0), r(cloud, a, b) AS (SELECT cloud, point_id, point_id FROM p UNION SELECT r.cloud, r.a, e.b FROM r JOIN e ON e.cloud = r.cloud AND e.a = r.b), l AS (SELECT cloud, a AS point_id, min(b) AS part FROM r GROUP BY 1, 2),
       s AS (SELECT cloud, part, count(*) AS n, sum(point_id) AS id_sum, row_number() OVER (PARTITION BY cloud ORDER BY count(*) DESC, part) AS k FROM l GROUP BY 1, 2),

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import association, checks, clouds, comparisons, evidence, filling, grids, imaging, meshes, naming, sequences, structure, surfaces, views
+from . import association, checks, clouds, comparisons, evidence, filling, grids, imaging, meshes, naming, planning, sequences, structure, surfaces, views
 
-_MODULES = (views, imaging, evidence, comparisons, filling, structure, grids, meshes, surfaces, sequences, association, naming, checks, clouds)
+_MODULES = (views, imaging, evidence, comparisons, filling, structure, grids, meshes, surfaces, sequences, association, naming, checks, clouds, planning)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from scenetable.operators import spacing
+from scenetable.operators import carve, spacing
 
 
 def _parts(rows, radius):
@@ -87,3 +87,27 @@ def test_largest_part_and_report(spark):
         spacing.radius_parts(df, [], 0.0, "xy")
     with pytest.raises(ValueError, match="normal"):
         spacing.in_plane(df, [0.0, 0.0, 0.0])
+
+
+def test_objects_take_what_is_near_their_own_anchors(spark):
+    rng = random.Random(9)
+    points = [(i, *(rng.uniform(0, 4) for _ in range(3))) for i in range(1500)]
+    anchors = [(o, *(rng.uniform(lo, lo + 2.5) for _ in range(3))) for o, lo, n in (("bed", 0, 60), ("rug", 1, 200)) for _ in range(n)]
+    anchors += [("bed", 1 + rng.random() * 0.05, 1.0, 1.0) for _ in range(80)] + [anchors[0]]
+    boxes = [("bed", 1, *[0.0, 2.5] * 3), ("rug", 0, *[1.0, 3.5] * 3)]
+    box = "object_id string, ord int, x0 double, x1 double, y0 double, y1 double, z0 double, z1 double"
+    frame = lambda rows, kind: spark.createDataFrame(rows, kind)
+    args = frame(points, "point_id long, x double, y double, z double"), frame(boxes, box), frame(anchors, "object_id string, x double, y double, z double")
+    want = {}
+    for i, *p in points:
+        for o, _, *b in sorted(boxes, key=lambda r: r[1]):
+            if all(lo <= c <= hi for c, lo, hi in zip(p, b[::2], b[1::2], strict=True)) and any(math.dist(p, q) <= 0.35 for a, *q in anchors if a == o):
+                want[i] = o
+                break
+    assert {r.point_id: r.object_id for r in carve.carve_objects(*args, 0.35).collect()} == want
+    assert min(list(want.values()).count(o) for o in ("bed", "rug")) >= 25
+    lone = args[1].union(frame([("lamp", 2, *[0.0, 4.0] * 3)], box))
+    with pytest.raises(ValueError, match=r"lamp \(0\)"):
+        carve.carve_objects(args[0], lone, args[2], 0.35)
+    wide = carve.grown(args[1].where("ord = 1"), 0.1, 0.5).first()
+    assert (wide.x0, wide.x1) == (-0.75, 3.25)
