@@ -80,7 +80,7 @@ def stale_closure(needs: DataFrame, stale: DataFrame) -> DataFrame:
 
 
 def rootless(parents: DataFrame) -> DataFrame:
-    """Nodes on a cycle of (node, parent), or below one: node. Each node has one parent or none (null, or not a node itself).
+    """Nodes on a cycle of (node, parent), or below one: node. A node without a parent (null), or whose parent is no node, ends there.
 
     Every node looks twice as far up each round; those that still find an ancestor farther up than there are nodes never end.
     """
@@ -88,5 +88,5 @@ def rootless(parents: DataFrame) -> DataFrame:
     reach, most = 1, up.count()
     while reach <= most:
         on = up.select(F.col("node").alias("up"), F.col("up").alias("far"))
-        up, reach = checkpointed(up.join(on, "up").select("node", F.col("far").alias("up"))), reach * 2
+        up, reach = checkpointed(up.join(on, "up").select("node", F.col("far").alias("up")).distinct()), reach * 2
     return up.select("node").distinct()
