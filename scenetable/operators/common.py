@@ -14,8 +14,17 @@ def small(df: DataFrame, most_rows: int = 10_000) -> DataFrame:
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
 
 
+def by_sort(df: DataFrame) -> DataFrame:
+    """`df` so hinted that its next join does not broadcast either side unless that is told to.
+
+    Spark takes exploded rows for as small as the rows they come from, and written rows for as small as their compressed
+    files, so by its estimate it would send whole images through the driver.
+    """
+    return df.hint("merge")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows as a table in the folder of spark.checkpoint.dir, which cuts the lineage of loops."""
+    """The rows as a table in the folder of spark.checkpoint.dir, which cuts the lineage of loops; joined by sort (`by_sort`)."""
     spark = df.sparkSession
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
@@ -23,4 +32,4 @@ def checkpointed(df: DataFrame) -> DataFrame:
         spark.conf.set("spark.checkpoint.dir", root)
     path = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return by_sort(spark.read.schema(df.schema).parquet(path))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import smoothstep
-from .common import checkpointed
+from .common import by_sort, checkpointed
 from .pixels import PIXEL, close, inner_boundary, run_labels
 
 #: Columns of a tile of the column pass.
@@ -56,7 +56,7 @@ def bounded_distance(mask: DataFrame, radius: int) -> DataFrame:
     gap = F.greatest(F.col("a") - F.col("x"), F.col("x") - F.col("b"), F.lit(0))
     rows = wide.groupBy("frame_id", "y", "x").agg(F.min(gap * gap).alias("g2")).withColumn("tile", F.floor(F.col("x") / TILE))
     kind = dict(mask.dtypes)["frame_id"]
-    return rows.groupBy("frame_id", "tile").applyInArrow(_column_pass(radius), f"frame_id {kind}, y int, x int, d2 long")
+    return by_sort(rows.groupBy("frame_id", "tile").applyInArrow(_column_pass(radius), f"frame_id {kind}, y int, x int, d2 long"))
 
 
 def soft_bands(core: DataFrame, protected: DataFrame, pixels: DataFrame, collar: int) -> DataFrame:
@@ -67,7 +67,7 @@ def soft_bands(core: DataFrame, protected: DataFrame, pixels: DataFrame, collar:
     the image `pixels` (frame_id, y, x) come out; those not named have weight 0.
     """
     near = bounded_distance(core, collar).join(pixels.select(*PIXEL), PIXEL, "left_semi")
-    kept = near.join(protected.select(*PIXEL).distinct().withColumn("p", F.lit(True)), PIXEL, "left")
+    kept = near.join(by_sort(protected.select(*PIXEL).distinct().withColumn("p", F.lit(True))), PIXEL, "left")
     band = F.when(F.col("d2") == 0, "core").when(F.col("p"), "protected_collar").otherwise("collar")
     weight = F.when(F.col("d2") == 0, 1.0).when(F.col("p"), 0.0).otherwise(smoothstep((collar + 1.0 - F.sqrt(F.col("d2").cast("double"))) / (collar + 1.0)))
     return kept.select(*PIXEL, band.alias("band"), weight.alias("weight"))
@@ -76,7 +76,7 @@ def soft_bands(core: DataFrame, protected: DataFrame, pixels: DataFrame, collar:
 def blend(previous: DataFrame, candidate: DataFrame, bands: DataFrame, values: list[str]) -> DataFrame:
     """`candidate` over `previous` (frame_id, y, x and values) by the bands' weights, rounded half even to 0 .. 255; elsewhere the previous."""
     new = candidate.select(*PIXEL, *(F.col(v).alias(f"new_{v}") for v in values))
-    rows = previous.select(*PIXEL, *values).join(bands.select(*PIXEL, "weight"), PIXEL, "left").join(new, PIXEL, "left")
+    rows = previous.select(*PIXEL, *values).join(by_sort(bands.select(*PIXEL, "weight")), PIXEL, "left").join(by_sort(new), PIXEL, "left")
     w = F.when(F.col(f"new_{values[0]}").isNotNull(), F.coalesce("weight", F.lit(0.0))).otherwise(0.0)
     mixed = [F.greatest(F.lit(0.0), F.least(F.lit(255.0), F.rint(F.coalesce(F.col(f"new_{v}"), F.lit(0)) * w + F.col(v) * (1 - w)))).alias(v) for v in values]
     return rows.select(*PIXEL, *mixed)
@@ -131,7 +131,7 @@ def enclosed_holes(mask: DataFrame, frames: DataFrame, min_pixels: int = 1, min_
     rows = box.withColumn("y", F.explode(F.sequence(F.greatest(F.col("y0") - 1, F.lit(0)), F.least(F.col("y1") + 1, F.col("h") - 1))))
     rows = rows.withColumns({"left": F.greatest(F.col("x0") - 1, F.lit(0)), "right": F.least(F.col("x1") + 1, F.col("w") - 1), "edge": (F.col("y") == F.greatest(F.col("y0") - 1, F.lit(0))) | (F.col("y") == F.least(F.col("y1") + 1, F.col("h") - 1))})
     held = runs.groupBy("frame_id", "y").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("runs"))  # at most half a row's pixels
-    gaps = rows.join(held, ["frame_id", "y"], "left").withColumn("runs", F.coalesce("runs", F.array().cast("array<struct<a:int,b:int>>")))
+    gaps = by_sort(rows).join(held, ["frame_id", "y"], "left").withColumn("runs", F.coalesce("runs", F.array().cast("array<struct<a:int,b:int>>")))
     starts = F.concat(F.array("left"), F.transform("runs", lambda r: r["b"] + 1))
     stops = F.concat(F.transform("runs", lambda r: r["a"] - 1), F.array("right"))
     gaps = gaps.select("frame_id", "y", "left", "right", "edge", "w", "h", F.explode(F.arrays_zip(starts.alias("a"), stops.alias("b"))).alias("g")).select("frame_id", "y", "left", "right", "edge", "w", "h", "g.a", "g.b").where(F.col("a") <= F.col("b"))
@@ -229,6 +229,6 @@ def shadow_collar(removal: DataFrame, support: DataFrame, protected: DataFrame,
     """
     from .pixels import ring
 
-    near = ring(removal, 0, radius).join(support.select(*PIXEL).distinct(), PIXEL, "left_semi")
-    own = near.join(protected.select(*PIXEL).distinct().withColumn("p", F.lit(True)), PIXEL, "left")
+    near = ring(removal, 0, radius).join(by_sort(support.select(*PIXEL).distinct()), PIXEL, "left_semi")
+    own = near.join(by_sort(protected.select(*PIXEL).distinct().withColumn("p", F.lit(True))), PIXEL, "left")
     return own.select(*PIXEL, F.col("p").isNull().alias("kept"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import by_sort, checkpointed
 
 PIXEL = ["frame_id", "y", "x"]
 
@@ -44,11 +44,11 @@ def close(mask: DataFrame, radius: int) -> DataFrame:
 
 def ring(mask: DataFrame, inner: int, outer: int) -> DataFrame:
     """Pixels at a Chebyshev distance over `inner` and up to `outer`."""
-    return dilate(mask, outer).join(dilate(mask, inner), PIXEL, "left_anti")
+    return dilate(mask, outer).join(by_sort(dilate(mask, inner)), PIXEL, "left_anti")
 
 
 def inner_boundary(mask: DataFrame) -> DataFrame:
-    return mask.distinct().join(erode(mask, 1), PIXEL, "left_anti")
+    return mask.distinct().join(by_sort(erode(mask, 1)), PIXEL, "left_anti")
 
 
 def mask_geometry(mask: DataFrame, keys: list[str]) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import distance, planes
+from ..operators.common import by_sort
 from . import derived as D
 from .filling import RGBD, _rgbd
 from .structure import _RAYS, _planes, _scene_cameras
@@ -16,7 +17,7 @@ BOXES = """SELECT CAST(s_suppkey AS BIGINT) AS frame_id, CAST(8 + s_suppkey % 7
 
 def _box(spark, sf_dir, name):
     rows = D._read(spark, sf_dir, BOXES, "supplier").withColumn("y", F.explode(F.sequence(f"{name}y0", f"{name}y1"))).withColumn("x", F.explode(F.sequence(f"{name}x0", f"{name}x1")))
-    return rows
+    return by_sort(rows)
 
 
 def _frame(spark, sf_dir):
@@ -65,7 +66,7 @@ def _texels(spark, sf_dir):
     """The dense grid: texels without samples are there too."""
     rows = D._read(spark, sf_dir, TEXELS.replace('"row"', "row"), "lineitem")
     grid = D.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("long").alias("plane_id"), F.explode(F.sequence(F.lit(0), F.lit(11))).alias("row")).withColumn("col", F.explode(F.sequence(F.lit(0), F.lit(9))))
-    return grid.join(rows, ["plane_id", "row", "col"], "left").withColumns({"observed": F.coalesce("observed", F.lit(False)), "v": F.coalesce("v", F.lit(0.0)), "u": F.coalesce("u", F.lit(0.0))})
+    return by_sort(grid).join(rows, ["plane_id", "row", "col"], "left").withColumns({"observed": F.coalesce("observed", F.lit(False)), "v": F.coalesce("v", F.lit(0.0)), "u": F.coalesce("u", F.lit(0.0))})
 
 
 def gradient_cost(spark, sf_dir):

@@ -135,3 +135,15 @@ def test_blur_and_normalised_fill(spark):
     want = np.where(seen, values, blur(values * seen) / blur(seen.astype(float)))
     full = {(x.row, x.col): x.v for x in distance.normalized_fill(grid(spark, values, seen), ["plane_id"], ["v"], 1.2).collect()}
     assert all(abs(full[y, x] - want[y, x]) < 1e-12 for y in range(6) for x in range(8))
+
+
+def test_exploded_masks_are_not_broadcast(spark):
+    """A mask made by exploding few rows looks as small as those to Spark."""
+    from pyspark.sql import functions as F
+
+    from scenetable.operators import pixels
+
+    steps = F.explode(F.sequence(F.lit(0), F.lit(5)))
+    mask = spark.range(3).select(F.col("id").alias("frame_id"), steps.alias("y")).select("*", steps.alias("x"))
+    for out in (pixels.inner_boundary(mask), pixels.ring(mask, 0, 1), distance.soft_bands(mask, mask, mask, 2), distance.bounded_distance(mask, 2).join(mask, pixels.PIXEL)):
+        assert out.count() and "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
