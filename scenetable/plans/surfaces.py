@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import carve, surface
+from ..operators.common import by_sort
 from . import derived as D
 from .filling import RGBD, _rgbd
 
@@ -54,7 +55,7 @@ def depth_splat_close(spark, sf_dir):
 def _colours(spark, sf_dir):
     seen = D._read(spark, sf_dir, COLOURS.replace('"row"', "row"), "lineitem")
     grid = D.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("long").alias("plane_id"), F.explode(F.sequence(F.lit(0), F.lit(11))).alias("row")).withColumn("col", F.explode(F.sequence(F.lit(0), F.lit(9))))
-    rows = grid.join(seen, ["plane_id", "row", "col"], "left").withColumn("observed", F.coalesce("observed", F.lit(False)))
+    rows = by_sort(grid).join(seen, ["plane_id", "row", "col"], "left").withColumn("observed", F.coalesce("observed", F.lit(False)))
     off = F.when((F.col("row") * 7 + F.col("col") * 3 + F.col("plane_id")) % 10 == 0, 60).otherwise(0)
     light = lambda base, du, dv: (F.lit(base) + du * F.col("col") + dv * F.col("row") + F.col("plane_id") % 20 + off).cast("double")
     return rows.select("plane_id", "row", "col", "observed", light(90, 2, 3).alias("r"), light(80, 3, 1).alias("g"), light(70, 1, 2).alias("b"))

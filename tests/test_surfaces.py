@@ -96,3 +96,10 @@ def test_planted_light_among_outliers(spark, degree):
     assert fit.first().n == seen.sum() and len(fit.first().coefficients) == 3 * (3 if degree == 1 else 10)
     with pytest.raises(ValueError):
         surface.illumination_surface(texels.where("col < 1 AND row < 9"), ["plane_id"], sizes)
+
+
+def test_grid_of_planes_is_not_broadcast(spark):
+    from scenetable.plans import surfaces
+
+    out = surfaces._colours(spark, "/root/testdata/sf0.001").where("observed")
+    assert out.count() and "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
