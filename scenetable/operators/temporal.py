@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import by_sort, checkpointed
 
 COLOURS = ("r", "g", "b")
 #: The thresholds of the checks.
@@ -30,7 +30,7 @@ def gather(at: DataFrame, images: DataFrame, on: dict[str, str], values: list[st
     rows = rows.withColumn("_c", F.explode(F.filter(F.array(*(corner(i, j) for j in (0, 1) for i in (0, 1))), lambda c: c["k"] > 0)))
     other = images.select(*(F.col(c).alias(f"_on{i}") for i, c in enumerate(on.values())), F.col("y").alias("_py"), F.col("x").alias("_px"), *(F.col(v).alias(f"_{v}") for v in values))
     same = [F.col(a) == F.col(f"_on{i}") for i, a in enumerate(on)] + [F.col("_c.y") == F.col("_py"), F.col("_c.x") == F.col("_px")]
-    joined = rows.join(other, same, "left")
+    joined = rows.join(by_sort(other), same, "left")
     whole = F.count(f"_{values[0]}") == F.count("*")
     return joined.groupBy(*_AT).agg(*(F.when(whole, F.sum(F.col("_c.k") * F.col(f"_{v}"))).alias(v) for v in values))
 
@@ -43,7 +43,7 @@ def flow_validity(flow: DataFrame, regions: DataFrame, sizes: DataFrame, absolut
     absolute + relative * flow length; overlapping if the nearest target pixel is of the same region; valid if both. Returns src, dst, y, x,
     region, tx, ty, w, h, fb_error, consistent, overlap, valid.
     """
-    own = flow.join(regions.select(F.col("frame_id").alias("src"), "y", "x", "region"), ["src", "y", "x"]).join(sizes.select(F.col("frame_id").alias("src"), "w", "h"), "src")
+    own = flow.join(by_sort(regions.select(F.col("frame_id").alias("src"), "y", "x", "region")), ["src", "y", "x"]).join(sizes.select(F.col("frame_id").alias("src"), "w", "h"), "src")
     own = checkpointed(own.withColumns({"tx": F.col("x") + F.col("dx"), "ty": F.col("y") + F.col("dy")}))
     back = gather(own, flow, {"dst": "src", "src": "dst"}, ["dx", "dy"]).withColumnsRenamed({"dx": "bx", "dy": "by"})
     rows = own.join(back, _AT)
@@ -54,7 +54,7 @@ def flow_validity(flow: DataFrame, regions: DataFrame, sizes: DataFrame, absolut
     held = lambda c, n: F.greatest(F.lit(0.0), F.least(F.col(n) - 1.0, F.rint(c))).cast("int")
     rows = rows.withColumns({"_ny": held("ty", "h"), "_nx": held("tx", "w")})
     there = regions.select(F.col("frame_id").alias("dst"), F.col("y").alias("_ny"), F.col("x").alias("_nx"), "region", F.lit(True).alias("_hit"))
-    rows = rows.join(there, ["dst", "_ny", "_nx", "region"], "left").withColumn("overlap", F.col("inside") & F.col("_hit").isNotNull())
+    rows = rows.join(by_sort(there), ["dst", "_ny", "_nx", "region"], "left").withColumn("overlap", F.col("inside") & F.col("_hit").isNotNull())
     return rows.select(*_AT, "region", "tx", "ty", "w", "h", "fb_error", "consistent", "overlap", (F.col("consistent") & F.col("overlap")).alias("valid"))
 
 
@@ -148,7 +148,7 @@ def temporal_pairs(flow: DataFrame, regions: DataFrame, sizes: DataFrame, images
     bent = gather(valid, slopes, {"dst": "frame_id"}, list(COLOURS)).withColumnsRenamed({c: f"bent_{c}" for c in COLOURS})
     own = images.select(F.col("frame_id").alias("src"), "y", "x", *COLOURS)
     steep = slopes.select(F.col("frame_id").alias("src"), "y", "x", *(F.col(c).alias(f"own_{c}") for c in COLOURS))
-    pixels = checkpointed(valid.select(*_AT, "region").join(own, ["src", "y", "x"]).join(steep, ["src", "y", "x"]).join(warped, _AT).join(bent, _AT))
+    pixels = checkpointed(valid.select(*_AT, "region").join(by_sort(own), ["src", "y", "x"]).join(by_sort(steep), ["src", "y", "x"]).join(by_sort(warped), _AT).join(by_sort(bent), _AT))
     ready = cover.where("_few IS NULL").select("src", "dst")
     fits = checkpointed(_exposures(pixels.join(ready, ["src", "dst"], "left_semi").where("region = 'control'")))
     corrected = pixels.join(fits.where("reason IS NULL").drop("reason"), ["src", "dst"])
@@ -178,13 +178,13 @@ def temporal_triplets(triplets: DataFrame, pixels: DataFrame, regions: DataFrame
     t = THRESHOLDS | (limits or {})
     sides = {"previous": "p", "following": "n"}
     good = validity.where("valid").select(F.col("src").alias("centre"), F.col("dst").alias("_d"), "y", "x", "region")
-    both = triplets.join(good.withColumnRenamed("_d", "previous"), ["centre", "previous"]).join(good.withColumnRenamed("_d", "following"), ["centre", "following", "y", "x", "region"])
+    both = triplets.join(by_sort(good.withColumnRenamed("_d", "previous")), ["centre", "previous"]).join(by_sort(good.withColumnRenamed("_d", "following")), ["centre", "following", "y", "x", "region"])
     counts = both.groupBy("previous", "centre", "following").agg(*(F.count_if(F.col("region") == r).alias(f"{r}_valid") for r in ("core", "control")))
     whole = regions.groupBy(F.col("frame_id").alias("centre")).agg(*(F.count_if(F.col("region") == r).alias(f"{r}_pixels") for r in ("core", "control")))
     mine = both
     for side, k in sides.items():
         other = pixels.select(F.col("src").alias("centre"), F.col("dst").alias(side), "y", "x", "region", *(F.col(f"fixed_{c}").alias(f"{k}_{c}") for c in COLOURS), *([F.col(c) for c in COLOURS] if k == "p" else []))
-        mine = mine.join(other, ["centre", side, "y", "x", "region"])
+        mine = mine.join(by_sort(other), ["centre", side, "y", "x", "region"])
     off = sum(F.abs(F.col(c) - (F.col(f"p_{c}") + F.col(f"n_{c}")) / 2) for c in COLOURS) / 3
     of = lambda region: F.when(F.col("region") == region, F.col("off"))
     found = mine.withColumn("off", off).groupBy("previous", "centre", "following").agg(*(f(of(r)).alias(f"{r}_{n}") for r in ("core", "control") for n, f in (("mean", F.avg), ("difference_p95", lambda c: F.percentile(c, 0.95)))))

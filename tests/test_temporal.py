@@ -108,3 +108,14 @@ def test_affine_rejects_the_implausible():
     a, b = temporal.robust_affine(x, y)
     assert abs(a - 1.3) < 0.01 and abs(b + 7) < 0.5
     assert "bounds" in temporal.robust_affine(x, 3 * x) and "ill" in temporal.robust_affine(np.ones(50), y[:50]) and "two" in temporal.robust_affine(x[:1], y[:1])
+
+
+def test_exploded_images_are_not_broadcast(spark):
+    """An image made by exploding few rows looks as small as those to Spark."""
+    from pyspark.sql import functions as F
+
+    steps = F.explode(F.sequence(F.lit(0), F.lit(5)))
+    image = spark.range(3).select(F.col("id").alias("frame_id"), steps.alias("y")).select("*", steps.alias("x"), F.lit(1.0).alias("v"))
+    at = image.selectExpr("frame_id AS src", "frame_id AS dst", "y", "x", "x + 0.5 AS tx", "y + 0.5 AS ty", "6 AS w", "6 AS h")
+    out = temporal.gather(at, image, {"dst": "frame_id"}, ["v"])
+    assert out.count() == 108 and "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
