@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import prefill
+from ..operators.common import checkpointed
 from . import derived as D
 
 #: RGB-D pixels of 64 x 64: a frame for every supplier, eight frames a scene, cameras in a row.
@@ -41,7 +42,7 @@ def reproject_nearest(spark, sf_dir):
 
 
 def _filled(spark, sf_dir):
-    px = _rgbd(spark, sf_dir)
+    px = checkpointed(_rgbd(spark, sf_dir))
     return prefill.donor_prefill(px, _cameras(spark, sf_dir), px.where(REMOVED), px.where(OBJECT), _views(spark, sf_dir))
 
 

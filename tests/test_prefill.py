@@ -89,3 +89,17 @@ def test_guard_keeps_what_both_exclusions_support(spark):
     assert all(labels[0, x] == ("measured" if x >= 18 else "residual") and labels[1, x] == "residual" for x in range(40))
     few = prefill.donor_prefill(pixels, cams, removal, exclusion, views, stride=1, splat=0, min_retention=0.9)[1].where("frame_id = 0").first()
     assert (few.passed, few.failure_reason) == (False, "boundary_guard_retention_below_minimum")
+
+
+@pytest.mark.parametrize("splat", [0, 1, 2])
+def test_targets_and_tiles(spark, splat):
+    """Frames wider and higher than a tile, and only the asked pixels: the same rows as all pixels give."""
+    cams, rows = scene(np.random.default_rng(5), 3, 70, 72)
+    px, cameras = spark.createDataFrame(rows, PIXELS), spark.createDataFrame(cams, CAMERAS)
+    views = spark.createDataFrame([(a, b) for a in range(3) for b in range(3) if a != b], "donor_id long, frame_id long")
+    every = {tuple(r) for r in prefill.reproject_pixels(px, cameras, views, 2, splat).collect()}
+    best = plainly(cams, rows, 2, splat)
+    assert {(*r[:4], round(r[4], 9), *r[5:]) for r in every} == best and any(r[2] >= 64 for r in every) and any(r[3] >= 64 for r in every)
+    asked = {(f, y, x) for f in range(3) for y in range(60, 68) for x in range(50, 70)}
+    some = prefill.reproject_pixels(px, cameras, views, 2, splat, spark.createDataFrame(sorted(asked), "frame_id long, y int, x int")).collect()
+    assert some and {tuple(r) for r in some} == {r for r in every if (r[0], r[2], r[3]) in asked}
