@@ -32,12 +32,13 @@ def robust_bounds(points: DataFrame, keys: list[str], low: float = 0.02, high: f
 def weighted_median(rows: DataFrame, keys: list[str], value: str, weight: str) -> DataFrame:
     """The first value, in order, at which the running weight reaches half of the whole.
 
-    Equal values are summed first, so a large group sorts its distinct values only.
+    Equal values are summed first, so a large group sorts its distinct values only. Sums of doubles depend on the order of rows, which
+    tells where the half is met exactly; decimal weights are summed exactly.
     """
     each = rows.groupBy(*keys, value).agg(F.sum(weight).alias("_w"))
     run = F.sum("_w").over(Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
-    half = F.sum("_w").over(Window.partitionBy(*keys)) / 2
-    return each.withColumns({"_r": run, "_h": half}).where(F.col("_r") >= F.col("_h")).groupBy(*keys).agg(F.min(value).alias("median"))
+    whole = F.sum("_w").over(Window.partitionBy(*keys))
+    return each.withColumns({"_r": run, "_h": whole}).where(2 * F.col("_r") >= F.col("_h")).groupBy(*keys).agg(F.min(value).alias("median"))
 
 
 def plane_peaks(offsets: DataFrame, keys: list[str], width: float = 0.1, most: int = 16, min_share: float = 0.05) -> DataFrame:

@@ -79,7 +79,8 @@ def robust_bounds(spark, sf_dir):
 
 
 def weighted_median_price(spark, sf_dir):
-    return fuse.weighted_median(D.points(spark, sf_dir), ["supp"], "quantity", "discount").select("supp", F.col("median").alias("median_quantity"))
+    rows = D.points(spark, sf_dir).withColumn("discount", F.col("discount").cast("decimal(12,2)"))  # exact sums
+    return fuse.weighted_median(rows, ["supp"], "quantity", "discount").select("supp", F.col("median").alias("median_quantity"))
 
 
 def plane_peaks(spark, sf_dir):
@@ -172,9 +173,9 @@ ORACLE = {
       SELECT part, count(*) AS support, round(quantile_cont(z, 0.5), 6) AS depth, round(quantile_cont(discount, 0.5), 6) AS v FROM i GROUP BY part HAVING count(*) >= 2""",
     "robust_bounds": f"""WITH v AS ({D.VECS_DUCK}), q AS (SELECT label, count(*) AS n, {', '.join(f'quantile_cont({a}, 0.02) AS {a}0, quantile_cont({a}, 0.98) AS {a}1' for a in 'xyz')} FROM v GROUP BY label)
       SELECT label, n, {', '.join(f'round({a}0, 6) AS {a}0, round({a}1, 6) AS {a}1, round(({a}0 + {a}1) / 2, 6) AS {a}c, round(greatest({a}1 - {a}0, 1e-5), 6) AS {a}e' for a in 'xyz')} FROM q""",
-    "weighted_median_price": """WITH e AS (SELECT l_suppkey AS supp, l_quantity AS q, sum(l_discount) AS w FROM lineitem GROUP BY 1, 2),
-      r AS (SELECT supp, q, sum(w) OVER (PARTITION BY supp ORDER BY q ROWS UNBOUNDED PRECEDING) AS c, sum(w) OVER (PARTITION BY supp) / 2 AS h FROM e)
-      SELECT supp, min(q) AS median_quantity FROM r WHERE c >= h GROUP BY supp""",
+    "weighted_median_price": """WITH e AS (SELECT l_suppkey AS supp, l_quantity AS q, sum(CAST(l_discount AS DECIMAL(12, 2))) AS w FROM lineitem GROUP BY 1, 2),
+      r AS (SELECT supp, q, sum(w) OVER (PARTITION BY supp ORDER BY q ROWS UNBOUNDED PRECEDING) AS c, sum(w) OVER (PARTITION BY supp) AS h FROM e)
+      SELECT supp, min(q) AS median_quantity FROM r WHERE 2 * c >= h GROUP BY supp""",
     "plane_peaks": f"""WITH pts AS ({D.PTS}), b AS (SELECT obj, CAST(floor(x / 0.5e0) AS BIGINT) AS bin, CAST(count(*) AS DOUBLE) AS w FROM pts GROUP BY 1, 2),
       s AS (SELECT obj, bin + d AS bin, sum(w * k) / 9 AS s FROM b CROSS JOIN (VALUES (-2, 1.0e0), (-1, 2.0e0), (0, 3.0e0), (1, 2.0e0), (2, 1.0e0)) t(d, k) GROUP BY 1, 2),
       n AS (SELECT *, CASE WHEN lag(bin) OVER w = bin - 1 THEN lag(s) OVER w ELSE 0 END AS p, CASE WHEN lead(bin) OVER w = bin + 1 THEN lead(s) OVER w ELSE 0 END AS q, max(s) OVER (PARTITION BY obj) AS t FROM s WINDOW w AS (PARTITION BY obj ORDER BY bin)),

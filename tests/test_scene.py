@@ -169,3 +169,13 @@ def test_times_and_paths(spark):
     got = spark.createDataFrame(rows, "t string, p string").select(F.unix_seconds(zoned_timestamp(F.col("t"))).alias("t"), rebase_path(F.col("p"), "/a/b/", "/n").alias("p")).collect()
     assert [r.t for r in got] == [1704164645, 1704164645, None, None, None, None]
     assert [r.p for r in got] == ["/n/c", "/n", "/a/bc", None, "", "/x/a/b"]
+
+
+def test_weighted_median_meets_the_half_exactly(spark, tmp_path):
+    """0.01 + 0.06 is half of 0.14; as doubles it falls short."""
+    from scenetable.plans import views
+
+    rows = [(1, k, "N", 1, 1, float(q), 1.0, w) for k, (q, w) in enumerate([(1, 0.01), (2, 0.06), (3, 0.07)])]
+    kinds = "l_orderkey long, l_linenumber int, l_returnflag string, l_suppkey long, l_partkey long, l_quantity double, l_extendedprice double, l_discount double"
+    spark.createDataFrame(rows, kinds).coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    assert [tuple(r) for r in views.weighted_median_price(spark, str(tmp_path)).collect()] == [(1, 2.0)]
