@@ -23,19 +23,39 @@ def mask_partition(base: DataFrame, extra: DataFrame) -> DataFrame:
     return both.select(*PIXEL, F.when(F.col("k") == 3, "both").when(F.col("k") == 1, "base").otherwise("extra").alias("part"))
 
 
+#: Rows and columns of a tile of a frame; the keys of a pixel in a tile.
+TILE, TILED = 64, ["frame_id", "ty", "tx", "y", "x"]
+
+
+def tiled(rows: DataFrame, reach: int) -> DataFrame:
+    """`rows` shuffled by the tiles (ty, tx) of their frame, to each tile that has pixels within `reach` (Chebyshev) of theirs.
+
+    What spreads over neighbours within a tile afterwards, grouped by TILED, needs no shuffle of its copies. The number of partitions is
+    given, as Spark would join small ones that grow by the copies.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    near = lambda c: F.explode(F.sequence(F.floor((F.col(c) - reach) / TILE), F.floor((F.col(c) + reach) / TILE)))
+    return rows.withColumn("ty", near("y")).withColumn("tx", near("x")).repartition(parts, "frame_id", "ty", "tx")
+
+
+def own(axis: str) -> Column:
+    """Whether a pixel lies in its tile along an axis, not beside it."""
+    return F.floor(F.col(axis) / TILE) == F.col(f"t{axis}")
+
+
 def dilate(mask: DataFrame, radius: int) -> DataFrame:
-    """Chebyshev dilation, rows first and then columns: 2 (2r + 1) copies a pixel, not (2r + 1)^2."""
+    """Chebyshev dilation by tiles, rows first and then columns: 2 (2r + 1) copies a pixel, not (2r + 1)^2, and none is shuffled."""
     steps = F.explode(F.sequence(F.lit(-radius), F.lit(radius)))
-    wide = mask.select("frame_id", "y", "x", steps.alias("d")).select("frame_id", "y", (F.col("x") + F.col("d")).alias("x")).distinct()
-    return wide.select("frame_id", "y", "x", steps.alias("d")).select("frame_id", (F.col("y") + F.col("d")).alias("y"), "x").distinct()
+    wide = tiled(mask.select(*PIXEL), radius).select(*TILED, steps.alias("d")).select(*TILED[:4], (F.col("x") + F.col("d")).alias("x")).where(own("x")).distinct()
+    return wide.select(*TILED, steps.alias("d")).select(*TILED[:3], (F.col("y") + F.col("d")).alias("y"), "x").where(own("y")).distinct().select(*PIXEL)
 
 
 def erode(mask: DataFrame, radius: int) -> DataFrame:
     """Pixels whose whole Chebyshev neighbourhood is in the mask."""
     steps = F.explode(F.sequence(F.lit(-radius), F.lit(radius)))
     full = 2 * radius + 1
-    rows = mask.distinct().select("frame_id", "y", "x", steps.alias("d")).groupBy("frame_id", "y", (F.col("x") + F.col("d")).alias("x")).count().where(F.col("count") == full)
-    return rows.select("frame_id", "y", "x", steps.alias("d")).groupBy("frame_id", (F.col("y") + F.col("d")).alias("y"), "x").count().where(F.col("count") == full).select(*PIXEL)
+    rows = tiled(mask.select(*PIXEL), radius).distinct().select(*TILED, steps.alias("d")).groupBy(*TILED[:4], (F.col("x") + F.col("d")).alias("x")).count().where(own("x") & (F.col("count") == full))
+    return rows.select(*TILED, steps.alias("d")).groupBy(*TILED[:3], (F.col("y") + F.col("d")).alias("y"), "x").count().where(own("y") & (F.col("count") == full)).select(*PIXEL)
 
 
 def close(mask: DataFrame, radius: int) -> DataFrame:

@@ -103,3 +103,27 @@ def test_grid_of_planes_is_not_broadcast(spark):
 
     out = surfaces._colours(spark, "/root/testdata/sf0.001").where("observed")
     assert out.count() and "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stencils_shuffle_pixels_once(spark):
+    """By tiles, over their borders and left of 0: the plain results, and one exchange for both passes."""
+    from scenetable.operators import pixels
+
+    rng = np.random.default_rng(4)
+    places = sorted({(int(f), int(y), int(x)) for f, y, x in zip(rng.integers(0, 2, 900), rng.integers(-6, 140, 900), rng.integers(50, 80, 900), strict=True)})
+    depth = {p: float(v) for p, v in zip(places, rng.random(len(places)) + 1, strict=True)}
+    rows = spark.createDataFrame([(*p, d) for p, d in depth.items()], "frame_id long, y int, x int, depth double")
+    around = lambda p, r: [(p[0], p[1] + j, p[2] + i) for j in range(-r, r + 1) for i in range(-r, r + 1)]
+    wide, least = pixels.dilate(rows, 3), carve._spread_least(rows, 3)
+    assert {tuple(r) for r in wide.collect()} == {q for p in places for q in around(p, 3)}
+    assert {tuple(r) for r in least.collect()} == {(*q, min(depth[p] for p in around(q, 3) if p in depth)) for q in {q for p in places for q in around(p, 3)}}
+    full = {p for q in places for p in around(q, 2)}
+    assert {tuple(r) for r in pixels.erode(pixels.dilate(rows, 2), 1).collect()} == {p for p in full if all(q in full for q in around(p, 1))}
+    got = {(r.frame_id, r.y, r.x): r.jump for r in carve.depth_edges(rows, 0.1).collect()}
+    assert got.keys() == depth.keys()
+    for p, jump in got.items():
+        near = [depth[q] for q in around(p, 1) if q in depth]
+        assert abs(jump - (max(near) - min(near)) / depth[p]) < 1e-12
+    for out in (wide, least):
+        assert out._jdf.queryExecution().sparkPlan().toString().count("REPARTITION") == 1
+        assert out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].count("Exchange") == 1
