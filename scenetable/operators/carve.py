@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_sort, checkpointed
+from .common import by_sort, checkpointed, small
 from .pixels import PIXEL, TILED, close, own, tiled
 
 AXES = ("x", "y", "z")
@@ -129,43 +129,54 @@ def grown(boxes: DataFrame, ratio: float, margin: float) -> DataFrame:
     return boxes.withColumns({f"{a}0": F.col(f"{a}0") - wide[a] for a in AXES} | {f"{a}1": F.col(f"{a}1") + wide[a] for a in AXES})
 
 
-def near_objects(points: DataFrame, anchors: DataFrame, reach: float) -> DataFrame:
-    """The objects (object_id) that have an anchor within `reach` of each point: point_id, x, y, z, object_id, once each.
+def near_objects(places: DataFrame, boxes: DataFrame, anchors: DataFrame, reach: float) -> DataFrame:
+    """The objects of `boxes` (object_id, ord, x0 .. z1, closed) that have a place (x, y, z) in their box and one of their own anchors
+    within `reach` of it: x, y, z, object_id, ord, once each if places and boxes are.
 
-    Anchors are first made boxes of cells whose diagonal is the reach. A point in such a cell, or within the reach of all of its box, needs no
-    look at anchors; only points that a box cannot tell meet the cell's anchors.
+    Places and each object's anchors are first made boxes of cells whose diagonal is the reach. A cell of places that is within the reach of all of
+    a cell of anchors needs no look at either, and none out of it; only places of cells that neither tells meet the cells' anchors.
     """
     side = reach / math.sqrt(3) * (1 - 1e-9)
     cell = [f"c{a}" for a in AXES]
     at = {f"c{a}": F.floor(F.col(a) / side) for a in AXES}
-    held = anchors.select("object_id", *AXES).distinct().withColumns(at)
-    boxes = held.groupBy("object_id", *cell).agg(*(F.min(a).alias(f"lo{a}") for a in AXES), *(F.max(a).alias(f"hi{a}") for a in AXES))
-    spread = boxes.withColumns({f"h{a}": F.col(f"c{a}") for a in AXES})
+    bounds = lambda e: [f(a).alias(f"{e}{n}{a}") for a in AXES for n, f in (("lo", F.min), ("hi", F.max))]
+    ends = [f"{a}{i}" for a in AXES for i in (0, 1)]
+    owned = boxes.select("object_id", "ord", *ends)
+    close = F.lit(True)
+    for a in AXES:
+        close = close & F.col(a).between(F.col(f"{a}0") - 2 * reach, F.col(f"{a}1") + 2 * reach)
+    held = checkpointed(anchors.select("object_id", *AXES).distinct().join(owned, "object_id").where(close).select("object_id", *AXES).distinct().withColumns(at))
+    spread = held.groupBy("object_id", *cell).agg(*bounds("a")).withColumns({f"h{a}": F.col(f"c{a}") for a in AXES})
     for c in cell:
         spread = spread.withColumn("_o", F.explode(F.sequence(F.lit(-2), F.lit(2)))).withColumn(c, F.col(c) + F.col("_o")).drop("_o")
-    near = sum(F.pow(F.greatest(F.lit(0.0), F.col(f"lo{a}") - F.col(a), F.col(a) - F.col(f"hi{a}")), 2) for a in AXES)
-    far = sum(F.pow(F.greatest(F.abs(F.col(f"hi{a}") - F.col(a)), F.abs(F.col(a) - F.col(f"lo{a}"))), 2) for a in AXES)
-    tried = points.select("point_id", *AXES).withColumns(at).join(spread, cell).where(near <= reach * reach).withColumn("sure", far <= reach * reach)
-    # One row for a point and object: told by a box, or by the cells left to look at.
-    told = tried.groupBy("point_id", "object_id", *AXES).agg(F.max("sure").alias("sure"), F.collect_set(F.when(~F.col("sure"), F.struct(*(f"h{a}" for a in AXES)))).alias("cells"))
-    look = told.where("not sure").select("point_id", *(F.col(a).alias(f"p{a}") for a in AXES), "object_id", F.explode("cells").alias("h")).select("*", *(F.col(f"h.h{a}").alias(f"c{a}") for a in AXES))
+    placed = places.select(*AXES).withColumns(at)
+    low, high = ({a: F.col(f"{e}{a}") for a in AXES} for e in ("plo", "phi"))
+    near = sum(F.pow(F.greatest(F.lit(0.0), F.col(f"alo{a}") - high[a], low[a] - F.col(f"ahi{a}")), 2) for a in AXES)
+    far = sum(F.pow(F.greatest(F.abs(F.col(f"ahi{a}") - low[a]), F.abs(high[a] - F.col(f"alo{a}"))), 2) for a in AXES)
+    # Distances of boxes are rounded another way than those of points, so a hair's breadth is left to the points.
+    tried = spread.join(placed.groupBy(*cell).agg(*bounds("p")), cell).where(near <= reach * reach * (1 + 1e-9)).withColumn("sure", far <= reach * reach * (1 - 1e-9))
+    told = tried.groupBy("object_id", *cell).agg(F.max("sure").alias("sure"), F.collect_set(F.when(~F.col("sure"), F.struct(*(f"h{a}" for a in AXES)))).alias("cells"))
+    told = checkpointed(told.withColumn("cells", F.when(~F.col("sure"), F.col("cells"))))
+    inside = F.lit(True)
+    for a in AXES:
+        inside = inside & F.col(a).between(F.col(f"{a}0"), F.col(f"{a}1"))
+    claims = placed.join(told.join(owned, "object_id"), cell).where(inside).select("object_id", "ord", *AXES, "sure", "cells")
+    look = claims.where("not sure").select("object_id", "ord", *(F.col(a).alias(f"p{a}") for a in AXES), F.explode("cells").alias("h")).select("*", *(F.col(f"h.h{a}").alias(f"c{a}") for a in AXES))
     d2 = sum((F.col(a) - F.col(f"p{a}")) * (F.col(a) - F.col(f"p{a}")) for a in AXES)
-    found = look.join(held, ["object_id", *cell]).where(d2 <= reach * reach).select("point_id", *(f"p{a}" for a in AXES), "object_id").distinct()
-    return told.where("sure").select("point_id", *AXES, "object_id").union(found)
+    found = look.join(held, ["object_id", *cell]).where(d2 <= reach * reach).select(*(F.col(f"p{a}").alias(a) for a in AXES), "object_id", "ord").distinct()
+    return claims.where("sure").select(*AXES, "object_id", "ord").union(found)
 
 
 def carve_objects(points: DataFrame, boxes: DataFrame, anchors: DataFrame, reach: float, fewest: int = FEWEST_MATCHES) -> DataFrame:
     """The points (point_id, x, y, z) that objects take: inside the object's box and within `reach` of one of its own anchors.
 
     boxes: object_id, ord, x0 .. z1 (closed); anchors: object_id, x, y, z. The first object by `ord`, then object_id, takes a point. An object of
-    `boxes` that takes fewer than `fewest` raises, as it is not there to be replaced. Returns point_id, object_id; a job counts matches while
-    it is built.
+    `boxes` that takes fewer than `fewest` raises, as it is not there to be replaced. Points of one place are looked at once. Returns point_id,
+    object_id; jobs run while it is built.
     """
-    inside = F.lit(True)
-    for a in AXES:
-        inside = inside & F.col(a).between(F.col(f"{a}0"), F.col(f"{a}1"))
-    hits = near_objects(points, anchors, reach).join(boxes.select("object_id", "ord", *(f"{a}{i}" for a in AXES for i in (0, 1))), "object_id")
-    taken = checkpointed(hits.where(inside).groupBy("point_id").agg(F.min_by("object_id", F.struct("ord", "object_id")).alias("object_id")))
+    taken = near_objects(points.select(*AXES).distinct(), boxes, anchors, reach).groupBy(*AXES).agg(F.min(F.struct("ord", "object_id")).alias("first"))
+    hits = points.select("point_id", *AXES).join(small(checkpointed(taken), 500_000), [*AXES])
+    taken = checkpointed(hits.groupBy("point_id").agg(F.min("first").alias("first")).select("point_id", "first.object_id"))
     counts = boxes.select("object_id").distinct().join(taken.groupBy("object_id").agg(F.count("*").alias("n")), "object_id", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     short = counts.where(F.col("n") < fewest).orderBy("object_id").limit(5).collect()
     if short:

@@ -111,3 +111,14 @@ def test_objects_take_what_is_near_their_own_anchors(spark):
         carve.carve_objects(args[0], lone, args[2], 0.35)
     wide = carve.grown(args[1].where("ord = 1"), 0.1, 0.5).first()
     assert (wide.x0, wide.x1) == (-0.75, 3.25)
+
+
+def test_points_of_one_place_are_looked_at_once(spark, monkeypatch):
+    points = spark.range(3000).selectExpr("id AS point_id", "(id % 10) * 1.0D AS x", "0.0D AS y", "0.0D AS z")
+    boxes = spark.createDataFrame([("a", 1, 0.0, 6.0), ("b", 0, 5.0, 9.0)], "object_id string, ord int, x0 double, x1 double").selectExpr("*", "-1.0D AS y0", "1.0D AS y1", "-1.0D AS z0", "1.0D AS z1")
+    anchors = spark.createDataFrame([("a", 2.0, 0.3, 0.0), ("a", 5.0, 0.0, 0.2), ("a", 8.0, 0.0, 0.0), ("b", 5.0, 0.5, 0.0), ("b", 7.0, 0.0, -0.51)], "object_id string, x double, y double, z double")
+    looked, plain = [], carve.near_objects
+    monkeypatch.setattr(carve, "near_objects", lambda places, *rest: looked.append(places.count()) or plain(places, *rest))
+    taken = carve.carve_objects(points, boxes, anchors, 0.5).groupBy("object_id").agg(F.count("*").alias("n"), F.min(F.col("point_id") % 10).alias("lo"), F.max(F.col("point_id") % 10).alias("hi")).collect()
+    assert sorted(map(tuple, taken)) == [("a", 300, 2, 2), ("b", 300, 5, 5)]
+    assert looked == [10]
