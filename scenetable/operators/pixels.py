@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -111,24 +114,68 @@ def energy_ratio(values: DataFrame, quantile: float = 0.95) -> DataFrame:
     return means.withColumn("ratio", F.when(F.col("ring") > 0, F.col("core") / F.col("ring")))
 
 
+def _band_parts(reach: int) -> Callable[[pa.Table], pa.Table]:
+    def joined(rows: pa.Table) -> pa.Table:
+        """The least run id of each run's part within the band: runs of two rows in turn are gone through side by side."""
+        rows = rows.sort_by([("y", "ascending"), ("a", "ascending")])
+        y, a, b, run = (rows.column(c).to_pylist() for c in ("y", "a", "b", "run"))
+        up = list(range(len(run)))
+
+        def root(i: int) -> int:
+            while up[i] != i:
+                up[i] = i = up[up[i]]
+            return i
+
+        at = {}
+        for i, v in enumerate(y):
+            at.setdefault(v, [i, i])[1] = i + 1
+        for v, (i, last) in at.items():
+            j, end = at.get(v - 1, (0, 0))
+            while i < last and j < end:
+                if a[i] <= b[j] + reach and a[j] <= b[i] + reach:
+                    p, q = root(i), root(j)
+                    if run[p] <= run[q]:
+                        up[q] = p
+                    else:
+                        up[p] = q
+                if b[i] < b[j]:
+                    i += 1
+                else:
+                    j += 1
+        return pa.table([rows.column("run"), pa.array([run[root(i)] for i in range(len(run))], pa.int64())], names=["run", "label"])
+
+    return joined
+
+
 def run_labels(runs: DataFrame, reach: int = 0) -> DataFrame:
     """The part of each run (frame_id, y, a, b, run) of a mask's rows: run, label, the least run id of its part.
 
-    Runs touch those of the next row that they overlap, or with `reach` 1 meet at a corner. Each round every run takes the
-    least label of those it touches, then its label's label, until none changes. The runs must be a written table.
+    Runs touch those of the next row that they overlap, or with `reach` 1 meet at a corner. Parts are found in bands of TILE rows of a frame first.
+    Parts that touch over a band's edge are then joined: each round every part takes the least label of those it touches, then its label's
+    label, until none changes. Only parts at edges go through the rounds. The runs must be a written table.
     """
-    below = runs.select("frame_id", (F.col("y") - 1).alias("y"), F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("run").alias("run2"))
-    touch = runs.join(below, ["frame_id", "y"]).where((F.col("a") <= F.col("b2") + reach) & (F.col("a2") <= F.col("b") + reach)).select("run", "run2")
-    edges = checkpointed(touch.union(touch.select("run2", "run")))
-    labels = checkpointed(runs.select("run", F.col("run").alias("label")))
+    parts = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    band = F.floor(F.col("y") / TILE)
+    rows = runs.select("frame_id", "y", "a", "b", "run").withColumn("band", band).repartition(parts, "frame_id", "band")
+    local = checkpointed(rows.groupBy("frame_id", "band").applyInArrow(_band_parts(reach), "run long, label long"))
+    edge = runs.where((F.col("y") % TILE == 0) | ((F.col("y") + 1) % TILE == 0)).select("frame_id", "y", "a", "b", "run")
+    edge = edge.join(local.withColumnRenamed("label", "part"), "run")
+    above = edge.where((F.col("y") + 1) % TILE == 0).select("frame_id", (F.col("y") + 1).alias("y"), F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("part").alias("part2"))
+    touch = edge.where(F.col("y") % TILE == 0).join(above, ["frame_id", "y"]).where((F.col("a") <= F.col("b2") + reach) & (F.col("a2") <= F.col("b") + reach)).select("part", "part2")
+    edges = checkpointed(touch.union(touch.select("part2", "part")).distinct())
+    if not edges.limit(1).count():
+        return local
+    labels = checkpointed(edges.select("part", F.col("part").alias("label")).distinct())
     while True:
-        near = edges.join(labels.select(F.col("run").alias("run2"), "label"), "run2").groupBy("run").agg(F.min("label").alias("m"))
-        step = labels.join(near, "run", "left").select("run", F.least("label", F.coalesce("m", "label")).alias("label"), F.col("label").alias("old"))
-        jump = step.select(F.col("run").alias("label"), F.col("label").alias("far"))
-        new = checkpointed(step.join(jump, "label", "left").select("run", F.least("label", F.coalesce("far", "label")).alias("label"), "old"))
+        near = edges.join(labels.select(F.col("part").alias("part2"), "label"), "part2").groupBy("part").agg(F.min("label").alias("m"))
+        step = labels.join(near, "part", "left").select("part", F.least("label", F.coalesce("m", "label")).alias("label"), F.col("label").alias("old"))
+        jump = step.select(F.col("part").alias("label"), F.col("label").alias("far"))
+        new = checkpointed(step.join(jump, "label", "left").select("part", F.least("label", F.coalesce("far", "label")).alias("label"), "old"))
         labels = new.drop("old")
         if not new.where(F.col("label") != F.col("old")).limit(1).count():
-            return labels
+            break
+    far = labels.withColumnRenamed("label", "far")
+    return local.join(far.withColumnRenamed("part", "label"), "label", "left").select("run", F.coalesce("far", "label").alias("label"))
 
 
 def connected_components(mask: DataFrame, eight: bool = False) -> DataFrame:
