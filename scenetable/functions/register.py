@@ -41,10 +41,15 @@ class RasterTriangle:
         if any(c is None or not math.isfinite(c) for c in corners):
             return
         left, right = max(math.ceil(min(x0, x1, x2)), 0), min(math.floor(max(x0, x1, x2)), w - 1)
+        top, bottom = max(math.ceil(min(y0, y1, y2)), 0), min(math.floor(max(y0, y1, y2)), h - 1)
+        if left > right:
+            return
         across = np.arange(left, right + 1)
-        for y in range(max(math.ceil(min(y0, y1, y2)), 0), min(math.floor(max(y0, y1, y2)), h - 1) + 1):
-            for x in across[inside_triangle(across, np.full(len(across), y), corners)].tolist():
-                yield y, x
+        step = max(1, (1 << 16) // len(across))  # rows tested at a time
+        for y in range(top, bottom + 1, step):
+            down = np.arange(y, min(y + step, bottom + 1))
+            yy, xx = np.nonzero(inside_triangle(across[None, :], down[:, None], corners))
+            yield from zip((yy + y).tolist(), (xx + left).tolist(), strict=True)
 
 
 @udtf(returnType="y int, x int", useArrow=False)

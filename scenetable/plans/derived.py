@@ -25,6 +25,22 @@ def _read(spark: SparkSession, sf_dir: str, sql: str, table: str) -> DataFrame:
     return spark.sql(sql.replace(f"FROM {table}", f"FROM scene_{table}"))
 
 
+#: Rows of a partition that is sorted and grouped in one task.
+PART_ROWS = 250_000
+
+
+def parts(spark: SparkSession, rows: int) -> int:
+    """How many partitions so many rows take: more as they grow, so that what a task sorts does not grow with the table."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // PART_ROWS))
+
+
+def spread(spark: SparkSession, sf_dir: str, sql: str, table: str, keys: list[str]) -> DataFrame:
+    """`_read` of a table dealt by the SQL expressions that `sql` groups by first, in `parts` of its rows (which the files tell)."""
+    rows = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    rows.repartition(parts(spark, rows.count()), *map(F.expr, keys)).createOrReplaceTempView(f"scene_dealt_{table}")
+    return spark.sql(sql.replace(f"FROM {table}", f"FROM scene_dealt_{table}"))
+
+
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, PTS, "lineitem")
 

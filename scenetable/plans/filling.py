@@ -17,7 +17,8 @@ REMOVED, OBJECT = "x BETWEEN 18 AND 45 AND y BETWEEN 18 AND 45", "x BETWEEN 28 +
 
 
 def _rgbd(spark, sf_dir):
-    return D._read(spark, sf_dir, RGBD.format(div="div"), "lineitem")
+    """The pixels, dealt by frame, row and column before they are grouped: joins by pixel need no other shuffle of them."""
+    return D.spread(spark, sf_dir, RGBD.format(div="div"), "lineitem", ["CAST(l_suppkey AS BIGINT)", "CAST((l_orderkey % 4096) div 64 AS INTEGER)", "CAST(l_orderkey % 64 AS INTEGER)"])
 
 
 def _cameras(spark, sf_dir):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import distance, planes
-from ..operators.common import by_sort
+from ..operators.common import by_sort, checkpointed
 from . import derived as D
 from .filling import RGBD, _rgbd
 from .structure import _RAYS, _planes, _scene_cameras
@@ -16,7 +16,9 @@ BOXES = """SELECT CAST(s_suppkey AS BIGINT) AS frame_id, CAST(8 + s_suppkey % 7
 
 
 def _box(spark, sf_dir, name):
-    rows = D._read(spark, sf_dir, BOXES, "supplier").withColumn("y", F.explode(F.sequence(f"{name}y0", f"{name}y1"))).withColumn("x", F.explode(F.sequence(f"{name}x0", f"{name}x1")))
+    boxes = D._read(spark, sf_dir, BOXES, "supplier")
+    # A box becomes some hundreds of pixels, and a file of one row group is one task.
+    rows = boxes.repartition(D.parts(spark, boxes.count() * 600), "frame_id").withColumn("y", F.explode(F.sequence(f"{name}y0", f"{name}y1"))).withColumn("x", F.explode(F.sequence(f"{name}x0", f"{name}x1")))
     return by_sort(rows)
 
 
@@ -38,7 +40,7 @@ def bounded_distance(spark, sf_dir):
 def soft_band_blend(spark, sf_dir):
     """Core, collar and protected collar of each frame's box, and what the blend leaves."""
     px = _rgbd(spark, sf_dir).select("frame_id", "y", "x", "r", "g")
-    bands = distance.soft_bands(_box(spark, sf_dir, "a").select("frame_id", "y", "x"), px.where("r >= 200"), px, 6)
+    bands = checkpointed(distance.soft_bands(_box(spark, sf_dir, "a").select("frame_id", "y", "x"), px.where("r >= 200"), px, 6))
     out = distance.blend(px, px.select("frame_id", "y", "x", F.col("g").alias("r"), F.col("r").alias("g")), bands, ["r", "g"])
     return out.join(bands, ["frame_id", "y", "x"]).groupBy("frame_id", "band").agg(F.count("*").alias("n"), F.round(F.sum("weight"), 6).alias("weight"), F.sum("r").cast("long").alias("r"), F.sum("g").cast("long").alias("g"))
 

@@ -62,7 +62,8 @@ def mesh_silhouette(spark, sf_dir):
 def raster_in_sql(spark, sf_dir):
     """2.13: the registered functions in SQL text, a table function in LATERAL."""
     register(spark)
-    D.table(spark, sf_dir, "part").createOrReplaceTempView("scene_part")
+    rows = D.table(spark, sf_dir, "part")
+    rows.repartition(D.parts(spark, rows.count() * 50)).createOrReplaceTempView("scene_part")  # a triangle becomes some 50 pixels, and a file of one row group is one task
     return spark.sql("""
         WITH t AS (SELECT p_partkey, p_size, p_partkey % 53 + 0.25D AS x0, p_partkey % 41 + 0.5D AS y0, p_partkey % 53 + p_size % 13 - 4.0D AS x1, p_partkey % 41 + p_size % 7 + 2.0D AS y1, p_partkey % 53 + p_size % 5 * 2.0D AS x2, p_partkey % 41 - p_size % 11 + 5.0D AS y2 FROM scene_part)
         SELECT p_size, count(*) AS n, sum(y * 64 + x) AS places, round(sum(scene_smoothstep(x / 64.0D)), 6) AS soft, round(avg(scene_bbox_iou(x0, y0, x0 + 9, y0 + 9, x, y, x + 7D, y + 5D)), 9) AS iou

@@ -44,3 +44,23 @@ def test_parts_over_bands_are_joined(spark):
         for r in pixels.connected_components(spark.createDataFrame([(1, *p) for p in cells], PIXEL), eight).collect():
             got.setdefault(r.label, set()).add((r.y, r.x))
         assert {frozenset(v) for v in got.values()} == want
+
+
+def test_boxes_and_triangles_are_dealt_before_they_grow(spark):
+    sf = "/root/testdata/sf0.001"
+    from scenetable.plans import grids
+
+    assert "REPARTITION_BY_NUM" in _plan(grids._box(spark, sf, "a"))
+    assert "REPARTITION_BY_NUM" in _plan(registry.queries()["raster_in_sql"](spark, sf))
+    assert derived.parts(spark, 10 * derived.PART_ROWS) == 10
+
+
+def test_triangle_pixels_in_blocks_of_rows():
+    corners = (1.0, 0.0, 900.0, 40.0, 30.0, 500.0)
+    raster = RasterTriangle.func if hasattr(RasterTriangle, "func") else RasterTriangle
+    got = list(raster().eval(*corners, 1000, 600))
+    y, x = np.mgrid[0:600, 0:1000]
+    from scenetable.operators.mesh import inside_triangle
+
+    assert got == [tuple(p) for p in np.argwhere(inside_triangle(x, y, list(corners))).tolist()]
+    assert list(raster().eval(-9.0, 0.0, -3.0, 0.0, -5.0, 4.0, 10, 10)) == []
