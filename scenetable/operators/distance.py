@@ -25,14 +25,19 @@ def _row_runs(mask: DataFrame) -> DataFrame:
     return cells.groupBy("frame_id", "y", "g").agg(F.min("x").alias("a"), F.max("x").alias("b")).drop("g")
 
 
-def _column_pass(radius: int) -> Callable[[pa.Table], pa.Table]:
+def _tile_pass(radius: int) -> Callable[[pa.Table], pa.Table]:
     def lowest(rows: pa.Table) -> pa.Table:
-        """d2 = least g2(y') + (y - y')^2 over |y - y'| <= radius, all columns of the tile at once."""
-        y, x, g2 = (rows.column(c).to_numpy().astype(np.int64) for c in ("y", "x", "g2"))
-        top, left = int(y.min()) - radius, int(x.min())
+        """d2 = least (x - x')^2 + (y - y')^2 of mask pixels up to `radius` along either axis, all pixels of the tile at once."""
+        y, x, tile = (rows.column(c).to_numpy().astype(np.int64) for c in ("y", "x", "tile"))
+        top, left = int(y.min()) - radius, int(tile[0]) * TILE
         far = (radius + 1) ** 2
-        held = np.full((int(y.max()) + radius - top + 1, int(x.max()) - left + 1), far)
-        held[y - top, x - left] = g2
+        held = np.zeros((int(y.max()) + radius - top + 1, TILE + 2 * radius), bool)
+        held[y - top, x - left + radius] = True
+        at = np.arange(held.shape[1])
+        before = np.maximum.accumulate(np.where(held, at, -far), axis=1)[:, radius : radius + TILE]
+        after = np.minimum.accumulate(np.where(held, at, len(at) + far)[:, ::-1], axis=1)[:, ::-1][:, radius : radius + TILE]
+        at = at[radius : radius + TILE]
+        held = np.minimum(np.minimum(at - before, after - at), radius + 1) ** 2
         best = held.copy()
         for d in range(1, min(radius, len(held) - 1) + 1):
             np.minimum(best[d:], held[:-d] + d * d, out=best[d:])
@@ -47,16 +52,15 @@ def _column_pass(radius: int) -> Callable[[pa.Table], pa.Table]:
 def bounded_distance(mask: DataFrame, radius: int) -> DataFrame:
     """Squared Euclidean distances to the nearest pixel of each frame's mask (frame_id, y, x), up to `radius`: frame_id, y, x, d2.
 
-    The distance is separable: the row pass takes runs, not pixels, to the least horizontal distance; the column pass
-    is done tile by tile of 64 columns of a frame, all of a tile's columns at once. Work goes with pixels x radius;
-    a task holds one tile. Pixels beyond the frame come out too; join them with the image. The mask has 0.
+    Mask pixels go to the tiles of 64 columns of a frame that they can reach; the separable distance is done tile by tile, rows first and then
+    columns. No pixel is copied for its neighbours but in its tile's array; a task holds one tile. The number of partitions is given, as Spark
+    would join small ones that grow by the distances. Pixels beyond the frame come out too; join them with the image. The mask has 0.
     """
-    runs = _row_runs(mask)
-    wide = runs.select("frame_id", "y", "a", "b", F.explode(F.sequence(F.col("a") - radius, F.col("b") + radius)).alias("x"))
-    gap = F.greatest(F.col("a") - F.col("x"), F.col("x") - F.col("b"), F.lit(0))
-    rows = wide.groupBy("frame_id", "y", "x").agg(F.min(gap * gap).alias("g2")).withColumn("tile", F.floor(F.col("x") / TILE))
+    parts = int(mask.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tiles = F.explode(F.sequence(F.floor((F.col("x") - radius) / TILE), F.floor((F.col("x") + radius) / TILE)))
+    rows = mask.select(*PIXEL).withColumn("tile", tiles).repartition(parts, "frame_id", "tile")
     kind = dict(mask.dtypes)["frame_id"]
-    return by_sort(rows.groupBy("frame_id", "tile").applyInArrow(_column_pass(radius), f"frame_id {kind}, y int, x int, d2 long"))
+    return by_sort(rows.groupBy("frame_id", "tile").applyInArrow(_tile_pass(radius), f"frame_id {kind}, y int, x int, d2 long"))
 
 
 def soft_bands(core: DataFrame, protected: DataFrame, pixels: DataFrame, collar: int) -> DataFrame:

@@ -46,6 +46,12 @@ def test_parts_over_bands_are_joined(spark):
         assert {frozenset(v) for v in got.values()} == want
 
 
+def test_distances_shuffle_mask_pixels_not_copies(spark):
+    mask = spark.range(64 * 64).selectExpr("1L AS frame_id", "CAST(id div 64 AS INT) AS y", "CAST(id % 64 AS INT) AS x")
+    plan = _plan(distance.bounded_distance(mask, 8))
+    assert "REPARTITION_BY_NUM" in plan and "HashAggregate" not in plan and "Window" not in plan
+
+
 def test_boxes_and_triangles_are_dealt_before_they_grow(spark):
     sf = "/root/testdata/sf0.001"
     from scenetable.plans import grids
