@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import checks, visibility
+from ..operators.common import checkpointed
 from . import derived as D
 from .filling import OBJECT, REMOVED, RGBD, _rgbd
 
@@ -18,8 +19,9 @@ CROPS = """SELECT user_id AS object_id, event_id AS frame_id, (event_id % 101) /
 
 def depth_order(spark, sf_dir):
     """Which object of the cloud stands before which, in every frame."""
-    cloud = D._read(spark, sf_dir, CLOUD, "lineitem")
-    seen = visibility.project_points(cloud, D.cameras(spark, sf_dir))
+    cloud = D._read(spark, sf_dir, CLOUD, "lineitem").distinct()  # points of one place are seen alike; dealt anew, as each becomes a row a camera
+    keys = ["frame_id", "obj", "px", "py"]
+    seen = checkpointed(visibility.zbuffer(visibility.project_points(cloud, D.cameras(spark, sf_dir)), keys))
     masks = seen.where("(px + py) % 3 <> 0").select("frame_id", "obj", "px", "py")
     frames = D.table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("frame_id"))
     pairs = frames.select("frame_id", F.explode(F.array(*(F.struct(F.lit(a).alias("front"), F.lit(b).alias("rear")) for a, b in (("A", "R"), ("A", "N"), ("N", "Q"))))).alias("p")).select("frame_id", "p.*")

@@ -70,3 +70,12 @@ def test_triangle_pixels_in_blocks_of_rows():
 
     assert got == [tuple(p) for p in np.argwhere(inside_triangle(x, y, list(corners))).tolist()]
     assert list(raster().eval(-9.0, 0.0, -3.0, 0.0, -5.0, 4.0, 10, 10)) == []
+
+
+def test_depth_order_projects_a_place_once(spark, monkeypatch):
+    from scenetable.operators import visibility
+
+    seen, plain = [], visibility.project_points
+    monkeypatch.setattr(visibility, "project_points", lambda points, cameras: seen.append(points) or plain(points, cameras))
+    registry.queries()["depth_order"](spark, "/root/testdata/sf0.001")
+    assert [p.groupBy(*p.columns).agg(F.count("*").alias("n")).where("n > 1").count() for p in seen] == [0]
