@@ -72,6 +72,16 @@ def test_triangle_pixels_in_blocks_of_rows():
     assert list(raster().eval(-9.0, 0.0, -3.0, 0.0, -5.0, 4.0, 10, 10)) == []
 
 
+def test_equal_normals_are_summed_before_the_rounds(spark, monkeypatch):
+    rows = [(*n, 1.0) for n in ((1.0, 0.0, 0.0), (0.0, 1.0, 0.0), (0.0, 0.0, -1.0)) for _ in range(40)]
+    faces = spark.createDataFrame(rows, "nx double, ny double, nz double, area double")
+    written, plain = [], planes.checkpointed
+    monkeypatch.setattr(planes, "checkpointed", lambda df: written.append(plain(df)) or written[-1])
+    axes, areas = planes.dominant_axes(faces)
+    assert areas == [40.0] * 3 and np.allclose(np.abs(axes).sum(axis=0), 1)
+    assert [w.count() for w in written] == [3]
+
+
 def test_depth_order_projects_a_place_once(spark, monkeypatch):
     from scenetable.operators import visibility
 
