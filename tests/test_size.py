@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from scenetable.functions.register import RasterTriangle
-from scenetable.operators import distance, pixels, planes
+from scenetable.operators import consensus, distance, graph, neighbors, pixels, planes, visibility
 from scenetable.plans import derived, registry
 
 PIXEL = "frame_id long, y int, x int"
@@ -89,3 +89,23 @@ def test_depth_order_projects_a_place_once(spark, monkeypatch):
     monkeypatch.setattr(visibility, "project_points", lambda points, cameras: seen.append(points) or plain(points, cameras))
     registry.queries()["depth_order"](spark, "/root/testdata/sf0.001")
     assert [p.groupBy(*p.columns).agg(F.count("*").alias("n")).where("n > 1").count() for p in seen] == [0]
+
+
+def test_nearest_anchors_of_dense_cells_without_all_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    near, far = rng.normal(0, 0.01, (500, 3)), rng.normal(0.2, 0.3, (200, 3))
+    pts = np.concatenate([near, near[:50], far])
+    anc = np.concatenate([rng.normal(0.03, 0.01, (300, 3)), rng.normal(0.2, 0.3, (50, 3)), near[:5], near[:5]])
+    monkeypatch.setattr(neighbors, "FEW", 0)
+    work, plain = [], neighbors._judged
+    monkeypatch.setattr(neighbors, "_judged", lambda pairs, radius: work.append(plain(pairs, radius)) or work[-1])
+    frame = lambda rows, name: spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(rows)] + [(9000, None, 0.0, 0.0), (9001, float("nan"), 0.0, 0.0)], f"{name} long, x double, y double, z double")
+    got = {r.point_id: (r.anchor_id, r.d2) for r in neighbors.nearest_within(frame(pts, "point_id"), frame(anc, "anchor_id"), 0.1).collect()}
+    want = {}
+    for i, p in enumerate(pts):
+        d = (p - anc) ** 2
+        d2 = d[:, 0] + d[:, 1] + d[:, 2]
+        if d2.min() <= 0.1 * 0.1:
+            want[i] = (int(d2.argmin()), float(d2.min()))
+    assert got == want
+    assert work[-1].agg(F.sum("n")).first()[0] <= neighbors.EACH * len(np.unique(pts, axis=0)) < work[0].agg(F.sum("n")).first()[0]
