@@ -23,6 +23,15 @@ def by_sort(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
+#: Rows of a partition that is sorted and grouped in one task.
+PART_ROWS = 250_000
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """`df` dealt by keys in more partitions as its rows (counted) grow, so that what a task sorts does not grow with them."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // PART_ROWS)), *keys)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows as a table in the folder of spark.checkpoint.dir, which cuts the lineage of loops; joined by sort (`by_sort`)."""
     spark = df.sparkSession

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import NEAR, camera_axis, world_axis
-from .common import checkpointed, small
+from .common import by_sort, checkpointed, dealt, small
 
 
 def _reach(form: list[Column], constant: Column) -> Column:
@@ -128,16 +128,24 @@ def split_by_boxes(points: DataFrame, boxes: DataFrame, cell: float = 1.0) -> Da
     """Label points (point_id, u, v) by boxes (mask, x0, y0, x1, y1, score): the nearest centre in half extents (at least 1) wins.
 
     Score, then name break ties. Of boxes alike in place and score only the first name can win, so they
-    are counted and joined once. Points meet boxes by grid cells of `cell`. Returns point_id, label
-    (null outside all boxes) and n_boxes, one row a point.
+    are counted and joined once. Points meet the list of boxes of their grid cell of `cell`, so they are dealt by
+    point_id once and never multiplied. Returns point_id, label (null outside all boxes) and n_boxes, one row a point.
     """
     each = boxes.groupBy("x0", "y0", "x1", "y1", "score").agg(F.min("mask").alias("mask"), F.count("*").alias("n"))
     at = lambda c: F.floor(c / cell)
     cells = each.withColumn("cx", F.explode(F.sequence(at(F.col("x0")), at(F.col("x1"))))).withColumn("cy", F.explode(F.sequence(at(F.col("y0")), at(F.col("y1")))))
-    half = lambda a, b: F.greatest((F.col(b) - F.col(a)) / 2, F.lit(1.0))
-    du, dv = (F.col("u") - (F.col("x0") + F.col("x1")) / 2) / half("x0", "x1"), (F.col("v") - (F.col("y0") + F.col("y1")) / 2) / half("y0", "y1")
-    inside = F.col("u").between(F.col("x0"), F.col("x1")) & F.col("v").between(F.col("y0"), F.col("y1"))
-    held = points.withColumns({"cx": at(F.col("u")), "cy": at(F.col("v"))}).join(small(cells), ["cx", "cy"], "left")
-    held = held.withColumn("in", F.coalesce(inside, F.lit(False)))
-    order = F.when(F.col("in"), F.struct((du * du + dv * dv) - F.col("score") * 1e-9, "mask"))
-    return held.groupBy("point_id").agg(F.min_by("mask", order).alias("label"), F.coalesce(F.sum(F.when(F.col("in"), F.col("n"))), F.lit(0)).alias("n_boxes"))
+    few = cells.limit(10_001).count() <= 10_000
+    lists = cells.groupBy("cx", "cy").agg(F.collect_list(F.struct("x0", "y0", "x1", "y1", "score", "mask", "n")).alias("boxes"))
+    half = lambda a, b: F.greatest((b - a) / 2, F.lit(1.0))
+
+    def inside(b: Column) -> Column:
+        return F.col("u").between(b["x0"], b["x1"]) & F.col("v").between(b["y0"], b["y1"])
+
+    def order(b: Column) -> Column:
+        du, dv = (F.col("u") - (b["x0"] + b["x1"]) / 2) / half(b["x0"], b["x1"]), (F.col("v") - (b["y0"] + b["y1"]) / 2) / half(b["y0"], b["y1"])
+        return F.struct(((du * du + dv * dv) - b["score"] * 1e-9).alias("far"), b["mask"].alias("mask"), b["n"].alias("n"))
+
+    held = dealt(points.select("point_id", "u", "v"), "point_id").withColumns({"cx": at(F.col("u")), "cy": at(F.col("v"))})
+    held = held.join(F.broadcast(lists) if few else by_sort(lists), ["cx", "cy"], "left").select("point_id", F.transform(F.filter("boxes", inside), order).alias("in"))
+    rows = held.select("point_id", F.array_min("in").alias("best"), F.coalesce(F.aggregate("in", F.lit(0).cast("long"), lambda n, b: n + b["n"]), F.lit(0)).alias("n"))
+    return rows.groupBy("point_id").agg(F.min_by("best.mask", "best").alias("label"), F.sum("n").alias("n_boxes"))

@@ -109,3 +109,17 @@ def test_nearest_anchors_of_dense_cells_without_all_pairs(spark, monkeypatch):
             want[i] = (int(d2.argmin()), float(d2.min()))
     assert got == want
     assert work[-1].agg(F.sum("n")).first()[0] <= neighbors.EACH * len(np.unique(pts, axis=0)) < work[0].agg(F.sum("n")).first()[0]
+
+
+def test_points_in_many_boxes_are_dealt_once(spark):
+    boxes = [(f"m{i:02}", i / 10, 0.0, i / 10 + 1.5, 1.0, 0.5 + i % 2) for i in range(20)] + [("a", 0.0, 0.0, 1.5, 1.0, 0.5)]
+    pts = [(i, (i * 7 % 90) / 20 - 0.5, (i * 13 % 30) / 20 - 0.2) for i in range(300)] + [(5, 1.0, 0.5), (400, None, 0.1), (401, float("nan"), 0.1)]
+    out = visibility.split_by_boxes(spark.createDataFrame(pts, "point_id long, u double, v double"), spark.createDataFrame(boxes, "mask string, x0 double, y0 double, x1 double, y1 double, score double"))
+    assert "REPARTITION_BY_NUM" in _plan(out)
+    want = {i: [] for i, *_ in pts}
+    for i, u, v in pts:
+        for m, x0, y0, x1, y1, score in boxes:
+            if u is not None and x0 <= u <= x1 and y0 <= v <= y1:
+                du, dv = (u - (x0 + x1) / 2) / max((x1 - x0) / 2, 1.0), (v - (y0 + y1) / 2) / max((y1 - y0) / 2, 1.0)
+                want[i].append(((du * du + dv * dv) - score * 1e-9, m))
+    assert {r.point_id: (r.label, r.n_boxes) for r in out.collect()} == {i: (min(w)[1] if w else None, len(w)) for i, w in want.items()}
