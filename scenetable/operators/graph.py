@@ -5,7 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import by_sort, checkpointed, small
+
+#: Rows of one key from which they are not gathered in one task.
+HEAVY = 100_000
+
+
+def _heavy(rows: DataFrame, key: str) -> DataFrame | None:
+    """The keys of over HEAVY rows; None if there are none."""
+    found = checkpointed(rows.groupBy(key).agg(F.count("*").alias("_c")).where(F.col("_c") > HEAVY).select(key))
+    return found if found.limit(1).count() else None
+
+
+def _met(rows: DataFrame, other: DataFrame, key: str, heavy: DataFrame | None, how: str = "inner") -> DataFrame:
+    """`rows` joined to `other`, but those of `heavy` keys stay where they are: what they meet is broadcast.
+
+    That is some row for each of HEAVY rows of the result, or one a key where `other` has no repeats.
+    """
+    if heavy is None:
+        return rows.join(other, key, how)
+    many = F.broadcast(heavy)
+    usual = by_sort(rows.join(many, key, "left_anti")).join(other.join(many, key, "left_anti"), key, how)
+    return usual.unionByName(rows.join(many, key, "left_semi").join(F.broadcast(other.join(many, key, "left_semi")), key, how))
 
 
 def descendants(edges: DataFrame) -> DataFrame:
@@ -13,7 +34,8 @@ def descendants(edges: DataFrame) -> DataFrame:
 
     Reach doubles each round: a shortest path of more than `span` steps begins with one of exactly `span`,
     so only pairs at that depth are joined on. It is done when there are none. A cycle raises: a node would be
-    its own ancestor. Null ends are left out. Each round is written, so jobs run while the result is built.
+    its own ancestor. Null ends are left out. Each round is written, so jobs run while the result is built. An ancestor
+    of very many nodes is not gathered for the join (`_met`).
     """
     known = edges.where(F.col("parent").isNotNull() & F.col("node").isNotNull())
     reach, span = checkpointed(known.select(F.col("parent").alias("ancestor"), "node", F.lit(1).alias("depth")).distinct()), 1
@@ -24,7 +46,7 @@ def descendants(edges: DataFrame) -> DataFrame:
         if not front.limit(1).count():
             return reach
         on = reach.select(F.col("ancestor").alias("via"), "node", (F.col("depth") + span).alias("depth"))
-        reach = checkpointed(reach.union(front.join(on, "via").select("ancestor", "node", "depth")).groupBy("ancestor", "node").agg(F.min("depth").alias("depth")))
+        reach = checkpointed(reach.union(_met(on, front, "via", _heavy(on, "via")).select("ancestor", "node", "depth")).groupBy("ancestor", "node").agg(F.min("depth").alias("depth")))
         span *= 2
 
 

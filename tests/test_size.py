@@ -123,3 +123,19 @@ def test_points_in_many_boxes_are_dealt_once(spark):
                 du, dv = (u - (x0 + x1) / 2) / max((x1 - x0) / 2, 1.0), (v - (y0 + y1) / 2) / max((y1 - y0) / 2, 1.0)
                 want[i].append(((du * du + dv * dv) - score * 1e-9, m))
     assert {r.point_id: (r.label, r.n_boxes) for r in out.collect()} == {i: (min(w)[1] if w else None, len(w)) for i, w in want.items()}
+
+
+def test_descendants_of_heavy_ancestors(spark, monkeypatch):
+    monkeypatch.setattr(graph, "HEAVY", 4)
+    met, plain = [], graph._met
+    monkeypatch.setattr(graph, "_met", lambda *a, **b: met.append(a[3]) or plain(*a, **b))
+    above = {i: (i - 1) // 3 for i in range(1, 120)}
+    want = set()
+    for i in above:
+        at, depth = i, 0
+        while at in above:
+            at, depth = above[at], depth + 1
+            want.add((at, i, depth))
+    out = graph.descendants(spark.createDataFrame([(p, i) for i, p in above.items()], "parent long, node long"))
+    assert {(r.ancestor, r.node, r.depth) for r in out.collect()} == want and out.count() == len(want)
+    assert any(h is not None for h in met)
