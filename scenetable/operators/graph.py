@@ -63,14 +63,15 @@ def _peeled(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     if edges.where(F.col("front") == F.col("back")).limit(1).count():
         raise ValueError("an edge leads to its own node")
     open_, nodes = checkpointed(edges.select("front", "back").distinct()), checkpointed(nodes)
+    heavy = _heavy(open_, "front")
     done, layer = nodes.limit(0).withColumn("layer", F.lit(0)), 0
     while nodes.limit(1).count():
-        free = checkpointed(nodes.join(open_.select(F.col("back").alias("node")), "node", "left_anti").withColumn("layer", F.lit(layer)))
+        free = checkpointed(nodes.join(open_.select(F.col("back").alias("node")).distinct(), "node", "left_anti").withColumn("layer", F.lit(layer)))
         if not free.limit(1).count():
             raise ValueError("the graph has a cycle")
         done, layer = done.union(free), layer + 1
         nodes = checkpointed(nodes.join(free, "node", "left_anti"))
-        open_ = checkpointed(open_.join(free.select(F.col("node").alias("front")), "front", "left_anti"))
+        open_ = checkpointed(_met(open_, free.select(F.col("node").alias("front")), "front", heavy, "left_anti"))
     return done
 
 
@@ -81,13 +82,23 @@ def peel_layers(candidates: DataFrame, edges: DataFrame, min_confidence: float =
     that is not verified raises: what only an observation says orders nothing. Cycles raise.
     """
     ends = candidates.select("node")
-    strong = edges.where(F.col("confidence") >= min_confidence).join(ends.withColumnRenamed("node", "front"), "front", "left_semi").join(ends.withColumnRenamed("node", "back"), "back", "left_semi")
+    strong = checkpointed(edges.where(F.col("confidence") >= min_confidence).select("front", "back", "verified"))
+    heavy = {side: _heavy(strong, side) for side in ("front", "back")}
+    for side, many in heavy.items():
+        strong = by_sort(_met(strong, ends.withColumnRenamed("node", side), side, many, "left_semi"))
+    strong = checkpointed(strong)
     loose = strong.where(~F.coalesce("verified", F.lit(False))).select("front", "back").orderBy("front", "back").limit(5).collect()
     if loose:
         raise ValueError("edges without verified depth order remain: " + ", ".join(f"{r.front}->{r.back}" for r in loose))
     layers = _peeled(ends.distinct(), strong).join(candidates.select("node", "priority"), "node")
-    order = Window.partitionBy("layer").orderBy(F.desc("priority"), "node")
-    return layers.select("node", "layer", F.row_number().over(order).alias("place"))
+    # A layer is numbered in ranges, each by itself, after the rows of the ranges before it.
+    order = [F.desc("priority"), F.col("node")]
+    dealt = checkpointed(layers.repartitionByRange("layer", *order).withColumn("_range", F.spark_partition_id()))
+    sizes = dealt.groupBy("layer", "_range").agg(F.count("*").alias("c"))
+    earlier = F.sum("c").over(Window.partitionBy("layer").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    first = checkpointed(sizes.select("layer", "_range", F.coalesce(earlier, F.lit(0)).alias("first")))
+    within = F.row_number().over(Window.partitionBy("layer", "_range").orderBy(*order))
+    return dealt.join(small(first), ["layer", "_range"]).select("node", "layer", (F.col("first") + within).cast("int").alias("place"))
 
 
 def stale_closure(needs: DataFrame, stale: DataFrame) -> DataFrame:

@@ -139,3 +139,17 @@ def test_descendants_of_heavy_ancestors(spark, monkeypatch):
     out = graph.descendants(spark.createDataFrame([(p, i) for i, p in above.items()], "parent long, node long"))
     assert {(r.ancestor, r.node, r.depth) for r in out.collect()} == want and out.count() == len(want)
     assert any(h is not None for h in met)
+
+
+def test_peeled_layers_are_numbered_in_ranges_and_heavy_fronts_stay(spark, monkeypatch):
+    monkeypatch.setattr(graph, "HEAVY", 3)
+    nodes = [("hub", 1)] + [(f"n{i:03}", i % 5 if i % 9 else None) for i in range(200)]
+    edges = [("gone", f"n{i:03}", 0.9, False) for i in range(200)] + [("hub", f"n{i:03}", 0.9, True) for i in range(200)] + [(f"n{i:03}", "n199", 0.9, True) for i in range(50)]
+    out = graph.peel_layers(spark.createDataFrame(nodes, "node string, priority int"), spark.createDataFrame(edges, "front string, back string, confidence double, verified boolean"))
+    assert "_range" in _plan(out)
+    layer = {n: 0 if n == "hub" else 2 if n == "n199" else 1 for n, _ in nodes}
+    want, seen = {}, {}
+    for n, _ in sorted(nodes, key=lambda r: (r[1] is None, -(r[1] or 0), r[0])):
+        seen[layer[n]] = seen.get(layer[n], 0) + 1
+        want[n] = (layer[n], seen[layer[n]])
+    assert {r.node: (r.layer, r.place) for r in out.collect()} == want
