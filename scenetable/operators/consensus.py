@@ -65,7 +65,8 @@ def _near(rows: DataFrame, keys: list[str], planes: DataFrame) -> DataFrame:
 
 
 def _enough(rows: DataFrame, keys: list[str]) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.count("*").alias("c"), F.max("fewest").alias("f")).where("c >= f").select(*keys)
+    """The clouds of enough rows, broadcast if they are few: a sort by cloud would gather each in one task."""
+    return small(checkpointed(rows.groupBy(*keys).agg(F.count("*").alias("c"), F.max("fewest").alias("f")).where("c >= f").select(*keys)))
 
 
 def consensus_planes(points: DataFrame, keys: list[str], trials: int = 256, min_fraction: float = 0.15, seed: int = 7) -> tuple[DataFrame, DataFrame]:
@@ -93,10 +94,10 @@ def consensus_planes(points: DataFrame, keys: list[str], trials: int = 256, min_
     middles = rows.join(small(rivals, 1000), keys).where(_off() <= F.col("tolerance")).groupBy(*keys, "trial").agg(F.percentile(_off(), 0.5).alias("m"))
     one = middles.groupBy(*keys).agg(F.min_by("trial", F.struct("m", "trial")).alias("trial"))
     first = checkpointed(_near(rows, keys, checkpointed(rivals.join(one, [*keys, "trial"]).select(*keys, "nx", "ny", "nz", "offset"))))
-    first = first.join(checkpointed(_enough(first, keys)), keys, "left_semi")
+    first = first.join(_enough(first, keys), keys, "left_semi")
     fit = _fitted(first, keys)
     near = checkpointed(_near(rows, keys, fit))
-    again = checkpointed(_enough(near, keys))
+    again = _enough(near, keys)
     refit = _fitted(near.join(again, keys, "left_semi"), keys)
     last = checkpointed(_near(rows, keys, refit).unionByName(first.join(again, keys, "left_anti")))
     last = last.join(_enough(last, keys), keys, "left_semi")

@@ -8,7 +8,7 @@ from math import ceil, sqrt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import checkpointed, small
 
 
 def in_plane(points: DataFrame, normal: list[float]) -> DataFrame:
@@ -170,7 +170,7 @@ def largest_planar_part(points: DataFrame, keys: list[str], normal: list[float],
     flat = in_plane(points, normal)
     parts = checkpointed(radius_parts(flat, keys, radius))
     sizes = checkpointed(parts.groupBy(*keys, "part").agg(F.count("*").alias("n")))
-    top = sizes.groupBy(*keys).agg(F.min_by("part", F.struct(-F.col("n"), F.col("part"))).alias("part"))
+    top = small(checkpointed(sizes.groupBy(*keys).agg(F.min_by("part", F.struct(-F.col("n"), F.col("part"))).alias("part"))))  # a sort by part would gather the largest
     kept = parts.join(top, [*keys, "part"], "left_semi").select(*keys, "point_id")
     totals = sizes.groupBy(*keys).agg(F.sum("n").alias("n_points"), F.count("*").alias("n_parts"), F.max("n").alias("largest"), F.max("part").alias("_any"))
     second = sizes.join(top, [*keys, "part"], "left_anti").groupBy(*keys).agg(F.max("n").alias("second"))

@@ -153,3 +153,10 @@ def test_peeled_layers_are_numbered_in_ranges_and_heavy_fronts_stay(spark, monke
         seen[layer[n]] = seen.get(layer[n], 0) + 1
         want[n] = (layer[n], seen[layer[n]])
     assert {r.node: (r.layer, r.place) for r in out.collect()} == want
+
+
+def test_points_of_a_cloud_are_not_sorted_by_cloud(spark):
+    rows = [(c, i + 100 * c, (i * 37 % 50) / 5.0, (i * 11 % 47) / 5.0, 1.0 if i % 4 else 9.0 + i) for c in (0, 1) for i in range(100)]
+    kept, report = consensus.consensus_planes(spark.createDataFrame(rows, "cloud int, point_id long, x double, y double, z double"), ["cloud"], trials=64)
+    assert "SortMergeJoin [cloud" not in _plan(kept) + _plan(report)
+    assert {r.point_id for r in kept.collect()} == {i for _, i, *_, z in rows if z == 1.0}
