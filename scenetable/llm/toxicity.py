@@ -14,11 +14,11 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import shingles
-from .common import give_back, sliced, table
+from .common import give_back, sliced, staged, table
 from .shingles import Words, mix
 
 #: Words of a window, and how far the next window begins: every word is in two windows. A long word counts by its pieces.
@@ -114,6 +114,17 @@ class Network:
     p: dict[str, np.ndarray] = field(default_factory=dict)
     scale: tuple[float, float] = (1.0, 0.0)
 
+    def __getstate__(self) -> tuple:
+        """What is pickled: of the embeddings only the rows that are not all zero, so that little passes through the driver."""
+        held = {k: np.flatnonzero(self.p[k].any(axis=1)).astype(np.int32) for k in ("word", "char") if k in self.p}
+        return {k: v[held[k]] if k in held else v for k, v in self.p.items()}, held, self.scale
+
+    def __setstate__(self, state: tuple) -> None:
+        self.p, held, self.scale = dict(state[0]), *state[1:]
+        for k, at in held.items():
+            self.p[k], rows = np.zeros((BUCKETS, self.p[k].shape[1]), self.p[k].dtype), self.p[k]
+            self.p[k][at] = rows
+
     @classmethod
     def fresh(cls, word_odds: np.ndarray, run_odds: np.ndarray, seed: int = 11) -> Network:
         """The first dimension of each embedding starts at the shrunken log odds of its bucket in the sample."""
@@ -382,27 +393,23 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame | Non
     Open are rows whose crc32(doc_id as text) mod 4 is not 2. Only ids and lengths are joined to
     the labels. Of each label the first rows by a hash of doc_id are chosen: TRAIN_TOXIC and
     TRAIN_CLEAN at most, of up to TRAIN_CHARS characters each and TRAIN_ALL_CHARS together;
-    their texts are then picked out by their ids. A doc_id with both labels is toxic; of
+    their texts are then picked out by their ids, which a broadcast join holds, not the plan. A doc_id with both labels is toxic; of
     texts repeated under a doc_id the shortest counts. None if a label has no rows.
     """
     open_ = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2
     known = labels.where(open_ & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("toxic"))
     text = F.struct(F.char_length("text").alias("n"), F.xxhash64("text").alias("tx")).alias("t")
-    rows = docs.where(open_ & F.col("text").isNotNull()).select("doc_id", text).groupBy("doc_id").agg(F.min("t").alias("t")).select("doc_id", "t.n", "t.tx").join(known, "doc_id")
-    n, toxic = rows.agg(F.count("*"), F.sum("toxic")).first()
-    small = rows.where(F.col("n") <= TRAIN_CHARS).orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = {}
-    for y, most in ((1, TRAIN_TOXIC), (0, TRAIN_CLEAN)):
-        chars = 0
-        for r in small.where(F.col("toxic") == y).limit(most).collect():
-            chars += r.n
-            if chars <= TRAIN_ALL_CHARS:
-                chosen[r.doc_id] = (r.tx, y)
-    if len({y for _, y in chosen.values()}) < 2:
+    rows = staged(docs.where(open_ & F.col("text").isNotNull()).select("doc_id", text).groupBy("doc_id").agg(F.min("t").alias("t")).select("doc_id", "t.n", "t.tx").join(known, "doc_id"))
+    first = [F.xxhash64("doc_id"), F.col("doc_id")]
+    small = [rows.where((F.col("n") <= TRAIN_CHARS) & (F.col("toxic") == y)).orderBy(*first).limit(most) for y, most in ((1, TRAIN_TOXIC), (0, TRAIN_CLEAN))]
+    # The window has a bounded number of rows: the limits come first.
+    chars = F.sum("n").over(Window.partitionBy("toxic").orderBy(*first))
+    chosen = staged(small[0].unionByName(small[1]).withColumn("chars", chars).where(F.col("chars") <= TRAIN_ALL_CHARS).select("doc_id", "tx", "toxic"))
+    if chosen.agg(F.count_distinct("toxic")).first()[0] < 2:
         return None, 0.0
-    ids = docs.sparkSession.createDataFrame([(i, tx, y) for i, (tx, y) in chosen.items()], f"doc_id {dict(docs.dtypes)['doc_id']}, tx long, toxic int")
-    picked = docs.where(F.col("doc_id").isin(list(chosen))).select("doc_id", "text", F.xxhash64("text").alias("tx"))
-    return picked.join(F.broadcast(ids), ["doc_id", "tx"]).dropDuplicates(["doc_id"]).select("doc_id", "text", "toxic"), toxic / n
+    n, toxic = rows.agg(F.count("*"), F.sum("toxic")).first()
+    picked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where(F.xxhash64("text") == F.col("tx"))
+    return picked.dropDuplicates(["doc_id"]).select("doc_id", "text", "toxic"), toxic / n
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Network:
@@ -420,9 +427,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Network:
         shingles.shrink()
         del held
         give_back()
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((net.p, net.scale))], pa.binary())], names=["net"])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(net)], pa.binary())], names=["net"])
 
-    return Network(*pickle.loads(rows.repartition(1).mapInArrow(learn, "net binary").first()["net"]))
+    return pickle.loads(rows.repartition(1).mapInArrow(learn, "net binary").first()["net"])
 
 
 def scored(docs: DataFrame, net: Network) -> DataFrame:

@@ -1,6 +1,7 @@
 """Searches, line dedup, token files and toxicity against plain restatements."""
 
 import math
+import pickle
 import time
 import zlib
 
@@ -163,6 +164,20 @@ def test_toxicity_learns_and_handles_edges(spark):
     assert toxicity.scored(docs.limit(5), blind).select("score").distinct().count() == 1
 
 
+def test_toxicity_sends_little_through_the_driver(spark):
+    """The plan holds no list of ids, and of a network's embeddings only rows with a meaning are pickled."""
+    rows = [(i, ("you vile idiot " if i % 3 == 0 else "a quiet morning ") * 5, int(i % 3 == 0)) for i in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    sample, prior = toxicity.training_sample(docs, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+    plan = sample._jdf.queryExecution().toString()
+    assert " IN (" not in plan and "INSET" not in plan and "LocalTableScan" not in plan
+    held = sorted(map(tuple, sample.collect()))
+    net = toxicity.train([t for _, t, _ in held], [y for *_, y in held], prior)
+    sent = pickle.dumps(net)
+    back = pickle.loads(sent)
+    assert len(sent) < 1 << 20 and back.scale == net.scale and all((back.p[k] == net.p[k]).all() for k in net.p)
+
+
 def test_toxicity_reads_whole_words(spark):
     rng = np.random.default_rng(4)
     word = lambda signs="abcdefgh", n=6: "".join(rng.choice(list(signs), n))
