@@ -27,8 +27,8 @@ WINDOW, STRIDE = 32, 16
 HIDDEN, WORD_DIMS, CHAR_DIMS, BUCKETS = 8, 6, 6, 1 << 18
 #: Lengths of the character runs, which begin at every character of a word.
 RUNS = (2, 3, 4, 5, 6, 7, 8)
-#: Characters of a word that a step takes the runs of; distinct pieces, and sample texts, read at a time.
-PIECE, READ_PIECES, READ_TEXTS = 16, 1 << 14, 32
+#: Characters of a word that a step takes the runs of; distinct pieces, sample texts, and bytes of texts to score, read at a time.
+PIECE, READ_PIECES, READ_TEXTS, READ_BYTES = 16, 1 << 14, 32, 1 << 19
 #: The bounded sample that labels are learned from: rows of each label, their longest text, and the characters of all of a label.
 TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS, TRAIN_ALL_CHARS = 1200, 2000, 20_000, 3_500_000
 #: Share of words whose own embedding is held back in training.
@@ -71,6 +71,15 @@ class Pieces:
         sums = np.concatenate([[np.uint64(0)], np.cumsum(spread)])[chars]
         return cls(bucket, place.reshape(-1), at[words.begin], keys, (np.repeat(first, count) + PIECE * nth)[some], np.repeat(stop, count)[some], chars, sums)
 
+    def taken(self, at: np.ndarray) -> Pieces:
+        """The pieces at `at`, in that order, as those of one text; only the characters of their runs are held."""
+        held, place = np.unique(self.place[at], return_inverse=True)
+        first = self._first[held]
+        size = np.minimum(self._stop[held] - first, PIECE + max(RUNS) - 1) + 1
+        begin = np.cumsum(size) - size
+        chars = np.arange(size.sum()) + np.repeat(first - begin, size)
+        return Pieces(self.bucket[held], place.reshape(-1), np.array([0, len(at)]), self._key[held], begin, begin + size - 1, self._bytes[chars], self._sums[chars])
+
     @classmethod
     def joined(cls, parts: list[Pieces]) -> Pieces:
         """The pieces of consecutive batches as those of one batch."""
@@ -80,7 +89,7 @@ class Pieces:
         key, some, again = np.unique(np.concatenate([p._key for p in parts]), return_index=True, return_inverse=True)
         place = again.reshape(-1)[np.concatenate([p.place + h for p, h in zip(parts, held, strict=False)])]
         first, stop = (np.concatenate([getattr(p, name) + c for p, c in zip(parts, chars, strict=False)])[some] for name in ("_first", "_stop"))
-        shingles._grow(1 + max(int(p._bytes[-1]) for p in parts))
+        shingles._grow(1 + max(int(p._bytes.max(initial=0)) for p in parts))
         texts = np.concatenate([[0], *(p.begin[1:] + b for p, b in zip(parts, begin, strict=False))])
         return cls(np.concatenate([p.bucket for p in parts])[some], place, texts, key, first, stop, np.concatenate([p._bytes for p in parts]), np.concatenate([p._sums for p in parts]))
 
@@ -233,6 +242,12 @@ class Network:
             out[a : a + most] += (share * part).sum(axis=0) / np.maximum(share.sum(axis=0), 1e-9)
         return out
 
+    def top(self, pieces: Pieces) -> np.ndarray:
+        """The largest logit of each text's windows."""
+        starts, at = windows(pieces.begin)
+        ends = np.repeat(pieces.begin[1:], np.diff(at))
+        return np.maximum.reduceat(self.logits(self.vectors(pieces), pieces.place, starts, ends), at[:-1])
+
     def backward(self, x, mask, y, weight):
         """Loss gradients for windows of (steps, n) inputs."""
         p, h = self.p, HIDDEN
@@ -291,16 +306,39 @@ def _odds(seen: Iterable[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> tuple
     return np.where(often, np.log(pos / neg) - np.log(rate / (1 - rate)), 0).astype(np.float32), often
 
 
-def _runs_held(pieces: Pieces) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _read(texts: list[str]) -> Iterator[tuple[int, Pieces]]:
+    """The number of the first text and the pieces of a few texts at a time.
+
+    Pieces take some thirty bytes a character, so a pass reads the sample again and holds few of them.
+    """
+    for a in range(0, len(texts), READ_TEXTS):
+        yield a, Pieces.of(Words(pa.array(texts[a : a + READ_TEXTS], pa.string())))
+
+
+def _words_held(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Buckets of words and the documents that hold them, for a few documents at a time."""
+    for first, pieces in _read(texts):
+        yield pieces.bucket[pieces.place], first + np.repeat(np.arange(len(pieces.begin) - 1), np.diff(pieces.begin))
+
+
+def _runs_held(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Buckets of runs and the documents that hold them, for a few documents at a time."""
-    part = pieces.begin[1:] // (READ_PIECES // 4)
-    cuts = np.concatenate([np.flatnonzero(np.diff(part, prepend=-1)), [len(part)]])
-    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        own = pieces.place[pieces.begin[a] : pieces.begin[b]].astype(np.int64)
-        pairs = np.unique(own << 31 | np.repeat(np.arange(a, b), np.diff(pieces.begin[a : b + 1])))
-        runs = list(pieces.runs(pairs >> 31))
-        docs = pairs & ((1 << 31) - 1)
-        yield np.concatenate([r for _, r in runs]), np.concatenate([docs[o] for o, _ in runs])
+    for first, pieces in _read(texts):
+        part = pieces.begin[1:] // (READ_PIECES // 4)
+        cuts = np.concatenate([np.flatnonzero(np.diff(part, prepend=-1)), [len(part)]])
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            own = pieces.place[pieces.begin[a] : pieces.begin[b]].astype(np.int64)
+            pairs = np.unique(own << 31 | np.repeat(np.arange(a, b), np.diff(pieces.begin[a : b + 1])))
+            runs = list(pieces.runs(pairs >> 31))
+            docs = first + (pairs & ((1 << 31) - 1))
+            yield np.concatenate([r for _, r in runs]), np.concatenate([docs[o] for o, _ in runs])
+
+
+def _untrained() -> Network:
+    """Nothing known: every text alike, and none toxic."""
+    net = Network.fresh(np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32))
+    net.scale = (0.0, -5.0)
+    return net
 
 
 def train(texts: list[str], labels: list[int], prior: float, epochs: int = 4, least_steps: int = 320, seed: int = 5) -> Network:
@@ -310,53 +348,57 @@ def train(texts: list[str], labels: list[int], prior: float, epochs: int = 4, le
     text and one at random from clean ones, are what the network learns from; a logistic
     curve then maps the largest logit of a text to its probability.
     """
+    if not len(texts):
+        return _untrained()
     y = np.array(labels, np.float32)
-    parts = [Pieces.of(Words(pa.array(texts[a : a + READ_TEXTS], pa.string()))) for a in range(0, len(texts), READ_TEXTS)]
-    pieces = Pieces.joined(parts or [Pieces.of(Words(pa.array([], pa.string())))])
-    del parts
-    if not len(pieces.bucket) or not len(y):
-        net = Network.fresh(np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32))
-        net.scale = (0.0, -5.0)  # nothing known: every text alike, and none toxic
-        return net
-    bucket, place, begin = pieces.bucket, pieces.place, pieces.begin
-    doc = np.repeat(np.arange(len(texts)), np.diff(begin))
-    (word_odds, word_often), (run_odds, run_often) = _odds([(bucket[place], doc)], y), _odds(_runs_held(pieces), y)
+    (word_odds, word_often), (run_odds, run_often) = _odds(_words_held(texts), y), _odds(_runs_held(texts), y)
     net = Network.fresh(word_odds, run_odds)
     net.p["word"][~word_often], net.p["char"][~run_often] = 0, 0
-    starts, at = windows(begin)
-    ends = np.repeat(begin[1:], np.diff(at))
-    odds = net.vectors(pieces)[:, [0, WORD_DIMS]].sum(axis=1)
-    sums = np.concatenate([[0], np.cumsum(np.maximum(odds[place], 0))])
-    heat = sums[np.minimum(starts + WINDOW, ends)] - sums[np.minimum(starts, ends)]
     rng = np.random.default_rng(seed)
-    chosen, truth = [], []
-    for d in range(len(texts)):
-        own = np.arange(at[d], at[d + 1])
-        hot = own[np.argsort(-heat[own], kind="stable")[:2]]
-        extra = rng.choice(own, 1) if not y[d] else own[:0]
-        chosen += [*hot, *extra]
-        truth += [y[d]] * (len(hot) + len(extra))
-    chosen, truth = np.array(chosen), np.array(truth, np.float32)
+    kept, masks, truth = [], [], []
+    total = np.zeros(1, np.float32)
+    for first, pieces in _read(texts):
+        starts, at = windows(pieces.begin)
+        ends = np.repeat(pieces.begin[1:], np.diff(at))
+        odds = net.vectors(pieces)[:, [0, WORD_DIMS]].sum(axis=1)
+        sums = np.cumsum(np.concatenate([total, np.maximum(odds[pieces.place], 0)]))
+        total, sums = sums[-1:], sums.astype(float)
+        heat = sums[np.minimum(starts + WINDOW, ends)] - sums[np.minimum(starts, ends)]
+        chosen = []
+        for d in range(len(at) - 1):
+            own = np.arange(at[d], at[d + 1])
+            hot = own[np.argsort(-heat[own], kind="stable")[:2]]
+            extra = rng.choice(own, 1) if not y[first + d] else own[:0]
+            chosen += [*hot, *extra]
+            truth += [y[first + d]] * (len(hot) + len(extra))
+        where = starts[chosen] + np.arange(WINDOW)[:, None]
+        masks.append(where < ends[chosen])
+        kept.append(pieces.taken(where.T[masks[-1].T]))
+    pieces = Pieces.joined(kept)
+    del kept
+    if not len(pieces.bucket):
+        return _untrained()
+    inside, truth = np.concatenate(masks, axis=1), np.array(truth, np.float32)
+    place = np.zeros(inside.shape, np.int64)  # of each window's words
+    place.T[inside.T] = pieces.place
     weight = np.where(truth > 0, len(truth) / max(1.0, 2 * truth.sum()), len(truth) / max(1.0, 2 * (1 - truth).sum())).astype(np.float32)
     moments: dict = {}
     blank = int(np.flatnonzero(~word_often)[0])  # a bucket without a meaning
-    i, batches = 0, -(-len(chosen) // 128)
+    i, batches = 0, -(-len(truth) // 128)
     rounds = max(epochs, -(-least_steps // batches))  # small samples are gone through more often
     for _ in range(rounds):
-        order = rng.permutation(len(chosen))
+        order = rng.permutation(len(truth))
         for a in range(0, len(order), 128):
-            some = chosen[order[a : a + 128]]
-            where = starts[some] + np.arange(WINDOW)[:, None]
-            mask = where < ends[some]
-            w = place[np.minimum(where, len(place) - 1)]
+            some = order[a : a + 128]
+            mask, w = inside[:, some], place[:, some]
             read, again = np.unique(w, return_inverse=True)
             runs = list(pieces.runs(read))
             again = again.reshape(w.shape)
             chars = net.strongest(len(read), runs)
             held = net.winners(chars, runs)
-            own = np.where(rng.random(w.shape) < UNSEEN, blank, bucket[w])  # so that runs are learned without the words too
+            own = np.where(rng.random(w.shape) < UNSEEN, blank, pieces.bucket[w])  # so that runs are learned without the words too
             x = np.concatenate([net.p["word"][own], chars[again]], axis=2)
-            g, dx = net.backward(x, mask, truth[order[a : a + 128]], weight[order[a : a + 128]])
+            g, dx = net.backward(x, mask, truth[some], weight[some])
             i += 1
             left = max(0.1, 1 - i / (rounds * batches))
             net.step(g, moments, 0.01 * left, i)
@@ -364,10 +406,10 @@ def train(texts: list[str], labels: list[int], prior: float, epochs: int = 4, le
             flat = dx.reshape(-1, dx.shape[2])
             np.add.at(net.p["word"], own.ravel(), -rate * flat[:, :WORD_DIMS])
             own = held[again.ravel()]
-            some = own.min(axis=1) >= 0
-            np.add.at(net.p["char"], (own[some], np.arange(CHAR_DIMS)), -rate * flat[some, WORD_DIMS:])
+            told = own.min(axis=1) >= 0
+            np.add.at(net.p["char"], (own[told], np.arange(CHAR_DIMS)), -rate * flat[told, WORD_DIMS:])
             net.p["word"][~word_often], net.p["char"][~run_often] = 0, 0  # rare ones stay without a meaning
-    top = np.maximum.reduceat(net.logits(net.vectors(pieces), place, starts, ends), at[:-1])
+    top = np.concatenate([net.top(pieces) for _, pieces in _read(texts)])
     net.scale = _logistic(top.astype(float), y.astype(float), prior)
     return net
 
@@ -440,13 +482,10 @@ def scored(docs: DataFrame, net: Network) -> DataFrame:
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text", 2 << 20):
+        for batch in sliced(batches, "text", READ_BYTES):
             pieces = Pieces.of(Words(pc.fill_null(batch.column("text"), "")))
-            starts, at = windows(pieces.begin)
-            ends = np.repeat(pieces.begin[1:], np.diff(at))
-            top = np.maximum.reduceat(net.logits(net.vectors(pieces), pieces.place, starts, ends), at[:-1])
             a, b = net.scale
-            score = _sigmoid(a * top.astype(float) + b)
+            score = _sigmoid(a * net.top(pieces).astype(float) + b)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], names=[*batch.schema.names, "score"])
         give_back()
 

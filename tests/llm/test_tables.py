@@ -3,7 +3,9 @@
 import math
 import pickle
 import time
+import tracemalloc
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -178,6 +180,34 @@ def test_toxicity_sends_little_through_the_driver(spark):
     assert len(sent) < 1 << 20 and back.scale == net.scale and all((back.p[k] == net.p[k]).all() for k in net.p)
 
 
+def test_toxicity_holds_few_pieces():
+    """Training and scoring take little memory beside the texts: neither holds the pieces of all of them at once."""
+    rng = np.random.default_rng(8)
+    words = np.array(["".join(rng.choice(list("abcdefgh"), int(n))) for n in rng.integers(1, 9, 20_000)])
+    texts = [" ".join(rng.choice(words, 600)) + (" zorqu" if i % 2 else "") for i in range(1200)]
+    net = toxicity.train(texts[:40], [i % 2 for i in range(40)], 0.5, epochs=1, least_steps=1)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    emit = {}
+    docs = SimpleNamespace(drop=lambda _: docs, dtypes=[("text", "string")], mapInArrow=lambda f, _: emit.setdefault("it", f))
+    toxicity.scored(docs, net)
+    for work in (lambda: toxicity.train(texts, [i % 2 for i in range(len(texts))], 0.5, epochs=1, least_steps=1), lambda: sum(b.num_rows for b in emit["it"](iter([batch])))):
+        tracemalloc.start()
+        work()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 90e6, peak
+
+
+def test_toxicity_taken_pieces_have_the_same_runs():
+    pieces = toxicity.Pieces.of(toxicity.Words(pa.array(["an idiot's word", "", "abcdefghijklmnopqrstuvwxyz" * 3 + " and é天x" * 9])))
+    at = np.array([7, 1, 1, 0, 5, len(pieces.place) - 1])
+    some = toxicity.Pieces.joined([pieces.taken(at[:4]), pieces.taken(at[:0]), pieces.taken(at[4:])])
+    runs = lambda held, places: [[r[o == k].tolist() for k in range(len(places))] for o, r in held.runs(places)]
+    assert (some.bucket[some.place] == pieces.bucket[pieces.place[at]]).all()
+    assert runs(some, some.place) == runs(pieces, pieces.place[at])
+    assert toxicity.train(["", " "], [0, 1], 0.5).scale == toxicity.train([], [], 0.0).scale
+
+
 def test_toxicity_reads_whole_words(spark):
     rng = np.random.default_rng(4)
     word = lambda signs="abcdefgh", n=6: "".join(rng.choice(list(signs), n))
