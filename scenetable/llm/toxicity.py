@@ -309,7 +309,7 @@ def _odds(seen: Iterable[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> tuple
 def _read(texts: list[str]) -> Iterator[tuple[int, Pieces]]:
     """The number of the first text and the pieces of a few texts at a time.
 
-    Pieces take some thirty bytes a character, so a pass reads the sample again and holds few of them.
+    Pieces take some twenty bytes a character, so a pass reads the sample again and holds few of them.
     """
     for a in range(0, len(texts), READ_TEXTS):
         yield a, Pieces.of(Words(pa.array(texts[a : a + READ_TEXTS], pa.string())))
