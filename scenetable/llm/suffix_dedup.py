@@ -24,6 +24,8 @@ from .shingles import mix
 LENGTH, GRAM = 50, 24
 #: Bytes of text in a block, and about as many in what a range's task gets at a time.
 BLOCK_BYTES, RANGE_BYTES = 1 << 20, 3 << 20
+#: Bytes of a range's text that one suffix array takes, and of text in a bucket of blocks.
+PART_BYTES, BUCKET_BYTES = 1 << 20, 24 << 20
 #: Suffixes are sorted by so many bytes first; ties are told apart by ranks of the cover sample.
 PERIOD = 16
 _WORDS = -(-LENGTH // 8)
@@ -268,45 +270,92 @@ def _pack(runs: Runs, some: np.ndarray, owner: np.ndarray, text: np.ndarray | No
     parts = [np.array([len(some)], "<u4").tobytes(), begin.astype("<u4").tobytes(), count.astype("<u4").tobytes(), owner.astype("<i8").tobytes()]
     if text is not None:
         size = count + LENGTH - 1
-        parts.append(text[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())].tobytes())
+        parts += [runs.hash[some].astype(np.uint8).tobytes(), text[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())].tobytes()]
     return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
 
 
 def _unpack(blob) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of a blob: begin, windows, document; then a byte of each one's minimizer and all their text."""
     raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob.as_buffer()), np.uint8)
     n = int(raw[:4].view("<u4")[0])
     cut = lambda a, b, t: np.frombuffer(raw[a:b].tobytes(), t)
     return cut(4, 4 + 4 * n, "<u4").astype(np.int64), cut(4 + 4 * n, 4 + 8 * n, "<u4").astype(np.int64), cut(4 + 8 * n, 4 + 16 * n, "<i8"), raw[4 + 16 * n :]
 
 
+def _later(text: bytes, count: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which windows of some runs (their bytes joined in `text`) a smaller document has too: run, first window, windows.
+
+    Runs of equal bytes are one in the suffix array, that of their smallest document; all windows of the others are later.
+    """
+    size = count + LENGTH - 1
+    stops = np.cumsum(size)
+    known: dict[bytes, int] = {}
+    same = np.array([known.setdefault(text[a:b], len(known)) for a, b in zip((stops - size).tolist(), stops.tolist(), strict=True)], np.int64)
+    least = np.full(len(known), np.iinfo(np.int64).max)
+    np.minimum.at(least, same, owner)
+    whole = np.flatnonzero(owner > least[same])
+    every = (whole, np.zeros(len(whole), np.int64), count[whole])
+    if least.min() == least.max():
+        return every
+    once = np.frombuffer(b"".join(known), np.uint8)
+    width = np.array([len(x) - LENGTH + 1 for x in known], np.int64)
+    place = np.cumsum(width + LENGTH - 1) - (width + LENGTH - 1)
+    del known
+    windows = np.repeat(place - (np.cumsum(width) - width), width) + np.arange(width.sum())
+    run = np.zeros(len(once), np.int32)
+    run[windows] = np.repeat(np.arange(len(width)), width)
+    suffixes, classes = equal_windows(once, windows)
+    owners = least[run[suffixes]]
+    heads = np.flatnonzero(np.concatenate([[True], classes[1:] != classes[:-1]]))
+    first = np.minimum.reduceat(owners, heads)
+    hit = np.zeros(len(once) + 1, bool)
+    hit[suffixes[owners > first[classes]]] = True
+    # runs of removable windows inside each run, for all that have its bytes and are not later as a whole
+    edge = np.diff(np.concatenate([[False], hit]).astype(np.int8))
+    a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    r = run[a]
+    kept = np.flatnonzero(owner == least[same])
+    low, high = np.searchsorted(r, same[kept]), np.searchsorted(r, same[kept], side="right")
+    n = high - low
+    at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    return tuple(np.concatenate(x) for x in zip(every, (np.repeat(kept, n), a[at] - place[r[at]], (b - a)[at]), strict=True))
+
+
 def _removable(rows: pa.Table) -> pa.Table:
-    """For each block's runs of a range: where windows begin that a smaller document has too, as (begin, windows) in the block."""
+    """For each block's runs of a range: where windows begin that a smaller document has too, as (begin, windows) in the block.
+
+    Runs of one minimizer are searched together, about PART_BYTES of text at a time.
+    """
     blobs = [_unpack(b) for b in rows.column("blob")]
+    begin, count = (np.concatenate([x[k] for x in blobs]) for k in range(2))
+    blob = np.repeat(np.arange(len(blobs)), [len(x[0]) for x in blobs])
     if rows.column("range")[0].as_py() < 0:
-        found = [(b, c) for b, c, _, _ in blobs]
+        found = [(np.arange(len(begin)), np.zeros(len(begin), np.int64), count)]
     else:
-        begin, count, owner = (np.concatenate([x[k] for x in blobs]) for k in range(3))
-        text = np.concatenate([x[3] for x in blobs])
+        owner = np.concatenate([x[2] for x in blobs])
+        key = np.concatenate([x[3][: len(x[0])] for x in blobs])
+        text = np.concatenate([x[3][len(x[0]) :] for x in blobs])
+        del blobs
         size = count + LENGTH - 1
         place = np.cumsum(size) - size
-        windows = np.repeat(place - (np.cumsum(count) - count), count) + np.arange(count.sum())
-        run = np.zeros(len(text), np.int32)
-        run[windows] = np.repeat(np.arange(len(count)), count)
-        suffixes, classes = equal_windows(text, windows)
-        owners = owner[run[suffixes]]
-        heads = np.flatnonzero(np.concatenate([[True], classes[1:] != classes[:-1]]))
-        least = np.minimum.reduceat(owners, heads)
-        hit = np.zeros(len(text) + 1, bool)
-        hit[suffixes[owners > least[classes]]] = True
-        # runs of removable windows inside each run
-        edge = np.diff(np.concatenate([[False], hit]).astype(np.int8))
-        a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        r = run[a]
-        where = begin[r] + a - place[r]
-        stops = np.searchsorted(r, np.cumsum([0, *(len(x[0]) for x in blobs)]))
-        found = [(where[i:j], (b - a)[i:j]) for i, j in zip(stops[:-1], stops[1:], strict=True)]
-    packed = [w.astype("<u4").tobytes() + c.astype("<u4").tobytes() for w, c in found]
-    return pa.table([rows.column("block"), pa.array(packed, pa.binary())], names=["block", "spans"])
+        order = np.argsort(key, kind="stable")
+        new = np.flatnonzero(np.diff(key[order], prepend=-1))
+        part = (np.cumsum(size[order]) - size[order])[new] // PART_BYTES
+        edges = [*new[np.flatnonzero(np.diff(part, prepend=-1))], len(order)]
+        found = []
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            some = order[a:b]
+            n = size[some]
+            own = text[np.repeat(place[some] - (np.cumsum(n) - n), n) + np.arange(n.sum())].tobytes()
+            r, at, wide = _later(own, count[some], owner[some])
+            found.append((some[r], at, wide))
+    run, at, wide = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.argsort(blob[run], kind="stable")
+    run, at, wide = run[order], at[order], wide[order]
+    used, heads = np.unique(blob[run], return_index=True)
+    edges = [*heads, len(run)]
+    packed = [(begin[run[a:b]] + at[a:b]).astype("<u4").tobytes() + wide[a:b].astype("<u4").tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    return pa.table([rows.column("block").take(pa.array(used, pa.int64())), pa.array(packed, pa.binary())], names=["block", "spans"])
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,12 +394,14 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
 
     Texts are packed into blocks, kept in a table that is bucketed by block, so that the
     replies of both exchanges (recurring minimizers, removable windows) are joined to it
-    without shuffling texts again. A block sends each distinct run once, whatever the
-    number of its documents that hold it.
+    without shuffling texts again. There are more buckets as the texts grow, so that a task reads
+    no more of them. A block sends each distinct run once, whatever the number of its documents
+    that hold it; of runs that several blocks sent, a range puts one into its suffix array.
     """
     spark = docs.sparkSession
     raw = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("text"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    given = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(given, (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BUCKET_BYTES)
     name = "blocks_" + shared_dir(spark).rpartition("/")[2]
     cut = raw.where(F.col("doc_id").isNotNull()).mapInArrow(_blocks, _BLOCK)
     cut.repartition(parts, "block").write.option("compression", "zstd").bucketBy(parts, "block").saveAsTable(name)
@@ -358,7 +409,8 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     ranges = max(64, (blocks.agg(F.sum("n")).first()[0] or 0) // RANGE_BYTES)
 
     def with_replies(replies: DataFrame, what) -> DataFrame:
-        held = replies.groupBy(F.col("block").alias("__b")).agg(F.collect_list(what).alias("replies"))
+        dealt = replies.repartition(parts, "block") if parts > given else replies
+        held = dealt.groupBy(F.col("block").alias("__b")).agg(F.collect_list(what).alias("replies"))
         return blocks.join(held.hint("shuffle_hash"), blocks["block"] == held["__b"], "left").drop("__b")
 
     asked = blocks.mapInArrow(_minimizers(ranges), "range int, block long, blob binary")

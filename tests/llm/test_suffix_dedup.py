@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from scenetable.llm import suffix_dedup as S
 
@@ -70,3 +71,34 @@ def test_planted_copies(spark):
 def test_tables(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
     assert got(S.dedup_substrings(spark.createDataFrame(docs, "doc_id long, text string"))) == brute(docs)
+
+
+def test_memory_of_a_range_does_not_grow_with_what_recurs(spark, monkeypatch):
+    """Equal runs of many blocks are one in the suffix array, and a range is searched by parts."""
+    rng = random.Random(9)
+    base = "".join(rng.choice("abcdefgh ") for _ in range(6000))
+    docs = [(i, base[rng.randint(0, 40) : 5900 + rng.randint(0, 90)] + f"{i:05}" + base[3000 + i : 3600]) for i in range(30)] + [(7, base), (-1, base[2000:2300])]
+    seen, plain = [], S.equal_windows
+    monkeypatch.setattr(S, "equal_windows", lambda text, at: seen.append(len(text)) or plain(text, at))
+    monkeypatch.setattr(S, "BLOCK_BYTES", 7000)
+    monkeypatch.setattr(S, "PART_BYTES", 4000)
+    texts = {d: np.frombuffer(t.encode(), np.uint8) for d, t in docs}
+    rows, block = [], 0
+    for d, t in texts.items():
+        block += 1
+        runs = S.Runs(t, np.array([len(t)]))
+        every = np.arange(len(runs.begin))
+        rows.append((0, block, S._pack(runs, every, np.full(len(every), d), t)))
+    sent = pa.table({"range": pa.array([r[0] for r in rows], pa.int32()), "block": [r[1] for r in rows], "blob": pa.array([r[2] for r in rows], pa.binary())})
+    got_spans = {(b, p + k) for b, raw in zip(*S._removable(sent).to_pydict().values(), strict=True) for p, n in np.frombuffer(raw, "<u4").reshape(2, -1).T.tolist() for k in range(n)}
+    least, want = {}, set()
+    for d, t in sorted(texts.items()):
+        for i in range(len(t) - 49):
+            least.setdefault(t[i : i + 50].tobytes(), d)
+    for k, (d, t) in enumerate(texts.items()):
+        want |= {(k + 1, i) for i in range(len(t) - 49) if least[t[i : i + 50].tobytes()] < d}
+    assert got_spans == want
+    sent_bytes = sum(int((S.Runs(t, np.array([len(t)])).count + 49).sum()) for t in texts.values())
+    assert max(seen) < sent_bytes / 20
+    monkeypatch.setattr(S, "BUCKET_BYTES", 20_000)
+    assert got(S.dedup_substrings(spark.createDataFrame(docs, "doc_id long, text string"))) == brute(docs)
