@@ -18,6 +18,7 @@ FLOW = """SELECT src, dst, y, x, (dst - src) * 0.5e0 + CASE WHEN dst < src AND n
 
 def _grid(spark, sf_dir):
     rows = D.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("long").alias("frame_id"), F.col("s_nationkey").alias("nation"))
+    rows = rows.repartition(D.parts(spark, rows.count() * 48 * 48), "frame_id")  # dealt before each row becomes an image
     rows.withColumn("y", F.explode(F.sequence(F.lit(0), F.lit(47)))).withColumn("x", F.explode(F.sequence(F.lit(0), F.lit(47)))).createOrReplaceTempView("scene_grid")
     steps = rows.withColumn("dst", F.explode(F.array(F.col("frame_id") - 1, F.col("frame_id") + 1))).withColumnRenamed("frame_id", "src").where("src div 8 = dst div 8")
     steps = steps.join(rows.select(F.col("frame_id").alias("dst")), "dst", "left_semi")

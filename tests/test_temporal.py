@@ -119,3 +119,36 @@ def test_exploded_images_are_not_broadcast(spark):
     at = image.selectExpr("frame_id AS src", "frame_id AS dst", "y", "x", "x + 0.5 AS tx", "y + 0.5 AS ty", "6 AS w", "6 AS h")
     out = temporal.gather(at, image, {"dst": "frame_id"}, ["v"])
     assert out.count() == 108 and "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def _dealt_by(df):
+    """The columns by which the plan of `df` deals rows."""
+    import re
+
+    return {c for keys in re.findall(r"hashpartitioning\(([^)]*)\)", df._jdf.queryExecution().executedPlan().toString()) for c in re.findall(r"([A-Za-z_]\w*)#", keys)}
+
+
+def test_flows_are_written_and_shuffled_as_packed_images(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    flow = {k: rng.normal(0, 2, (H, W, 2)) for k in ((0, 1), (1, 0), (1, 2), (2, 1), (2, 3))}  # nothing leads back from 3, which has no regions
+    steps, regions, sizes, _ = frames(spark, {0: pattern(), 1: pattern(), 2: pattern()}, flow)
+    written, plain = [], temporal.checkpointed
+    monkeypatch.setattr(temporal, "checkpointed", lambda df: written.append(plain(df)) or written[-1])
+    out = temporal.flow_validity(steps.coalesce(1), regions, sizes)
+    assert [w.count() for w in written] == [len(flow)] and not {"y", "x"} & _dealt_by(out)
+    rows = {(r.src, r.dst, r.y, r.x): r for r in out.collect()}
+    scattered = temporal.flow_validity(steps.repartition(5, "y", "x"), regions.repartition(3, "x"), sizes)
+    assert {(r.src, r.dst, r.y, r.x): r for r in scattered.collect()} == rows
+    assert len(rows) == len(flow) * sum(region(*p) is not None for p in PLACES)
+    assert all(r.fb_error is None and not (r.consistent or r.overlap or r.valid) for k, r in rows.items() if k[:2] == (2, 3))
+
+
+def test_packed_pixels_come_back(spark):
+    rows = [(f"k{i % 3}", i % 2, i // 7, i % 7, None if i == 5 else i * 0.37, float("nan") if i == 6 else -i) for i in range(50)] + [(None, 0, 1, 1, 1.0, 1.0), ("k0", 0, None, 1, 1.0, 1.0)]
+    df = spark.createDataFrame([(*r[:5], float(r[5])) for r in rows], "name string, part int, y int, x int, dx double, dy double")
+    got = {}
+    for r in temporal.packed(df, ["name", "part"], temporal._FLOW).collect():
+        y, x, dx, dy = temporal._unpacked(r.n, bytes(r.blob), temporal._FLOW)
+        got |= {(r.name, r.part, *p): (u, v) for *p, u, v in zip(y.tolist(), x.tolist(), dx.tolist(), dy.tolist(), strict=True)}
+    assert set(got) == {r[:4] for r in rows[:50]}
+    assert all(got[r[:4]] == pytest.approx((np.nan if r[4] is None else r[4], r[5]), nan_ok=True) for r in rows[:50])
