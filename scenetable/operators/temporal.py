@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import PART_ROWS, by_sort, checkpointed
@@ -227,15 +226,33 @@ def _shares(rows: DataFrame) -> DataFrame:
     return rows.withColumns({f"{r}_{c}_fraction": share(f"{r}_{c}", f"{r}_pixels") for r in ("core", "control") for c in ("overlap", "consistent", "valid")})
 
 
+def _slopes(image: _Pixels) -> np.ndarray:
+    """The length of the Sobel gradient (over 8) of each colour at each pixel; the next pixels of its row and column count, at an end itself."""
+
+    def beside(values: np.ndarray, line: np.ndarray, along: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.lexsort((along, line))
+        same = line[order][1:] == line[order][:-1]
+        before, after = values.copy(), values.copy()
+        before[order[1:][same]], after[order[:-1][same]] = values[order[:-1][same]], values[order[1:][same]]
+        return before, after
+
+    before, after = beside(image.values, image.y, image.x)
+    d, s = after - before, before + 2 * image.values + after
+    above, below = beside(np.concatenate([d, s], 1), image.x, image.y)
+    across, down = (above[:, :3] + 2 * d + below[:, :3]) / 8, (below[:, 3:] - above[:, 3:]) / 8
+    return np.sqrt(across * across + down * down)
+
+
 def colour_gradient(images: DataFrame) -> DataFrame:
-    """The length of the Sobel gradient (over 8) of each colour of dense images, edges repeated: frame_id, y, x, r, g, b. Two windows."""
-    row, col = Window.partitionBy("frame_id", "y").orderBy("x"), Window.partitionBy("frame_id", "x").orderBy("y")
-    before, after = (lambda c, w, f=f: F.coalesce(f(c).over(w), F.col(c)) for f in (F.lag, F.lead))
-    steps = images.select("frame_id", "y", "x", *(F.col(c).cast("double").alias(c) for c in COLOURS))
-    steps = steps.withColumns({f"d{c}": after(c, row) - before(c, row) for c in COLOURS} | {f"s{c}": before(c, row) + 2 * F.col(c) + after(c, row) for c in COLOURS})
-    across = lambda c: (before(f"d{c}", col) + 2 * F.col(f"d{c}") + after(f"d{c}", col)) / 8
-    down = lambda c: (after(f"s{c}", col) - before(f"s{c}", col)) / 8
-    return steps.select("frame_id", "y", "x", *(F.sqrt(across(c) * across(c) + down(c) * down(c)).alias(c) for c in COLOURS))
+    """The length of the Sobel gradient (over 8) of each colour of dense images, edges repeated: frame_id, y, x, r, g, b. A task holds one image."""
+    text = f"frame_id {dict(images.dtypes)['frame_id']}, y int, x int, r double, g double, b double"
+    schema = _schema(text)
+
+    def bent(rows: pa.Table) -> pa.Table:
+        image = _Pixels(list(zip(rows["n"].to_pylist(), rows["blob"].to_pylist(), strict=True)), _IMAGE)
+        return _table(schema, [({"frame_id": rows["frame_id"][0].as_py()}, {"y": image.y, "x": image.x} | dict(zip(COLOURS, _slopes(image).T, strict=True)))])
+
+    return packed(images, ["frame_id"], _IMAGE).groupBy("frame_id").applyInArrow(bent, text)
 
 
 def robust_affine(x: np.ndarray, y: np.ndarray, rounds: int = 8) -> tuple[float, float] | str:
@@ -264,20 +281,58 @@ def robust_affine(x: np.ndarray, y: np.ndarray, rounds: int = 8) -> tuple[float,
     return a, b
 
 
-def _exposures(rows: DataFrame) -> DataFrame:
-    """The exposure of each pair from its valid control pixels (own and warped colours): src, dst, gain, offset (arrays by colour), reason.
+def _p95(values: np.ndarray) -> float | None:
+    return float(np.quantile(values, 0.95)) if len(values) else None
 
-    A task holds one ring of one pair, whose size the image bounds.
-    """
 
-    def fit(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        found = [robust_affine(pdf[f"warped_{c}"].to_numpy(float), pdf[c].to_numpy(float)) for c in COLOURS]
-        reason = next((f for f in found if isinstance(f, str)), None)
-        gain, offset = (None, None) if reason else ([f[0] for f in found], [f[1] for f in found])
-        return pd.DataFrame([(*key, gain, offset, reason)], columns=["src", "dst", "gain", "offset", "reason"])
+def _mean(values: np.ndarray) -> float | None:
+    return float(values.mean()) if len(values) else None
+
 
-    kind = dict(rows.dtypes)["src"]
-    return rows.groupBy("src", "dst").applyInPandas(fit, f"src {kind}, dst {kind}, gain array<double>, offset array<double>, reason string")
+def _known(values: np.ndarray) -> np.ndarray:
+    return values[~np.isnan(values)]
+
+
+def _compared(rows: pa.Table, t: dict[str, float]) -> Iterator[tuple[dict, dict[str, dict]]]:
+    """Each directed pair of a group of `_by_pair`: its counts, measures and reason; its valid pixels by region, corrected, if it has an exposure."""
+    flows, regions, sizes, images = _held(rows)
+    pairs: dict[tuple, dict[str, dict]] = {}
+    for (src, dst, name), columns in _followed(flows, regions, sizes, 1.5, 0.01):
+        pairs.setdefault((src, dst), {})[name] = columns
+    slopes = {frame: _slopes(image) for frame, image in images.items()}
+    for (src, dst), parts in pairs.items():
+        out = {"src": src, "dst": dst}
+        for r in ("core", "control"):
+            c = parts.get(r, {"y": [], "overlap": np.zeros(0, bool), "consistent": np.zeros(0, bool), "valid": np.zeros(0, bool), "fb_error": np.zeros(0)})
+            out |= {f"{r}_pixels": len(c["y"]), **{f"{r}_{k}": int(c[k].sum()) for k in ("overlap", "consistent", "valid")}, f"{r}_fb_p95": _p95(c["fb_error"][c["valid"]])}
+        if not out["core_pixels"] or not out["control_pixels"]:
+            out["reason"] = "a region is empty"
+        else:
+            out["reason"] = next((f"too few valid {r} pixels" for r in ("core", "control") if out[f"{r}_valid"] < t["region_pixels"]), None)
+        seen = {}
+        for name, c in parts.items() if not out["reason"] and src in images and dst in images else ():
+            w, h = sizes[src]
+            y, x, tx, ty = (c[k][c["valid"]] for k in ("y", "x", "tx", "ty"))
+            at, there = images[src].find(y, x)
+            at, y, x, tx, ty = at[there], y[there], x[there], tx[there], ty[there]
+            seen[name] = {"y": y, "x": x, "own": images[src].values[at], "steep": slopes[src][at], "warped": images[dst].read(images[dst].values, tx, ty, w, h), "bent": images[dst].read(slopes[dst], tx, ty, w, h)}
+        ring = seen.get("control")
+        if not out["reason"] and ring is not None and len(ring["y"]):
+            found = [robust_affine(ring["warped"][:, k], ring["own"][:, k]) for k in range(len(COLOURS))]
+            out["reason"] = next((f for f in found if isinstance(f, str)), None)
+            if not out["reason"]:
+                gain, offset = np.array(found).T
+                for s in seen.values():
+                    s["fixed"] = s["warped"] * gain + offset
+                    s["colour"], s["slope"] = np.abs(s["own"] - s["fixed"]).sum(1) / 3, np.abs(s["steep"] - s["bent"] * np.abs(gain)).sum(1) / 3
+        fixed = {name: s for name, s in seen.items() if "fixed" in s}
+        for r in ("core", "control"):
+            if r in fixed:
+                colour, slope = _known(fixed[r]["colour"]), _known(fixed[r]["slope"])
+                out |= {f"{r}_colour_mean": _mean(colour), f"{r}_colour_p95": _p95(colour)}
+                if r == "core":
+                    out |= {"core_gradient_mean": _mean(slope), "core_gradient_p95": _p95(slope), "bad_pixel_fraction": _mean((colour > t["bad_pixel"]).astype(float))}
+        yield out, fixed
 
 
 def _gates(gates: list[tuple[str, Column]]) -> Column:
@@ -291,33 +346,30 @@ def temporal_pairs(flow: DataFrame, regions: DataFrame, sizes: DataFrame, images
     images: frame_id, y, x, r, g, b, dense. The valid pixels' colours and gradients are read in the other frame; a gain and
     offset by colour from the control ring correct them. Returns one row a directed pair: the columns of `pair_coverage`, colour and
     gradient measures, evaluable, reason, failed_gates, passed; and the valid pixels with corrected colours, for `temporal_triplets`.
+    Both are found anew where they are read, by tasks that hold two images at a time; only packed flows are written.
     A pair with an empty region, fewer valid pixels than region_pixels, or no plausible exposure is not evaluable and does not pass.
     """
     t = THRESHOLDS | (limits or {})
-    validity = checkpointed(flow_validity(flow, regions, sizes))
-    cover = pair_coverage(validity)
-    enough = F.when((F.col("core_pixels") == 0) | (F.col("control_pixels") == 0), "a region is empty").when(F.col("core_valid") < t["region_pixels"], "too few valid core pixels").when(F.col("control_valid") < t["region_pixels"], "too few valid control pixels")
-    cover = checkpointed(cover.withColumn("_few", enough))
-    valid = checkpointed(validity.where("valid"))
-    warped = gather(valid, images, {"dst": "frame_id"}, list(COLOURS)).withColumnsRenamed({c: f"warped_{c}" for c in COLOURS})
-    slopes = checkpointed(colour_gradient(images))
-    bent = gather(valid, slopes, {"dst": "frame_id"}, list(COLOURS)).withColumnsRenamed({c: f"bent_{c}" for c in COLOURS})
-    own = images.select(F.col("frame_id").alias("src"), "y", "x", *COLOURS)
-    steep = slopes.select(F.col("frame_id").alias("src"), "y", "x", *(F.col(c).alias(f"own_{c}") for c in COLOURS))
-    pixels = checkpointed(valid.select(*_AT, "region").join(by_sort(own), ["src", "y", "x"]).join(by_sort(steep), ["src", "y", "x"]).join(by_sort(warped), _AT).join(by_sort(bent), _AT))
-    ready = cover.where("_few IS NULL").select("src", "dst")
-    fits = checkpointed(_exposures(pixels.join(ready, ["src", "dst"], "left_semi").where("region = 'control'")))
-    corrected = pixels.join(fits.where("reason IS NULL").drop("reason"), ["src", "dst"])
-    fixed = {c: F.col(f"warped_{c}") * F.col("gain")[k] + F.col("offset")[k] for k, c in enumerate(COLOURS)}
-    colour = sum(F.abs(F.col(c) - fixed[c]) for c in COLOURS) / 3
-    slope = sum(F.abs(F.col(f"own_{c}") - F.col(f"bent_{c}") * F.abs(F.col("gain")[k])) for k, c in enumerate(COLOURS)) / 3
-    corrected = checkpointed(corrected.withColumns({"colour": colour, "slope": slope} | {f"fixed_{c}": v for c, v in fixed.items()}).select(*_AT, "region", *COLOURS, *(f"fixed_{c}" for c in COLOURS), "colour", "slope"))
-    of = lambda region, c: F.when(F.col("region") == region, F.col(c))
-    metrics = corrected.groupBy("src", "dst").agg(
-        F.avg(of("control", "colour")).alias("control_colour_mean"), F.percentile(of("control", "colour"), 0.95).alias("control_colour_p95"), F.avg(of("core", "colour")).alias("core_colour_mean"), F.percentile(of("core", "colour"), 0.95).alias("core_colour_p95"),
-        F.avg(of("core", "slope")).alias("core_gradient_mean"), F.percentile(of("core", "slope"), 0.95).alias("core_gradient_p95"), F.avg((of("core", "colour") > t["bad_pixel"]).cast("double")).alias("bad_pixel_fraction"),
-    ).withColumn("core_excess_p95", F.col("core_colour_p95") - F.col("control_colour_p95"))
-    rows = cover.join(fits.select("src", "dst", "reason"), ["src", "dst"], "left").join(metrics, ["src", "dst"], "left").withColumn("reason", F.coalesce("_few", "reason")).drop("_few").withColumn("evaluable", F.col("reason").isNull())
+    kinds = dict(flow.dtypes)
+    key = f"src {kinds['src']}, dst {kinds['dst']}"
+    groups = _by_pair(_steps(flow), regions, sizes, images)
+    counts = [f"{r}_{c} {kind}" for r in ("core", "control") for c, kind in (("pixels", "long"), ("overlap", "long"), ("consistent", "long"), ("valid", "long"), ("fb_p95", "double"))]
+    measures = ["control_colour_mean", "control_colour_p95", "core_colour_mean", "core_colour_p95", "core_gradient_mean", "core_gradient_p95", "bad_pixel_fraction"]
+    summary = ", ".join([key, *counts, "reason string", *(f"{m} double" for m in measures)])
+    single = ", ".join([key, "y int, x int, region string", *(f"{c} double" for c in (*COLOURS, *(f"fixed_{c}" for c in COLOURS), "colour", "slope"))])
+    summary_schema, single_schema = _schema(summary), _schema(single)
+
+    def judged(rows: pa.Table) -> pa.Table:
+        return pa.Table.from_pylist([{f.name: out.get(f.name) for f in summary_schema} for out, _ in _compared(rows, t)], summary_schema)
+
+    def fixed(rows: pa.Table) -> pa.Table:
+        columns = lambda s: {k: s[k] for k in ("y", "x", "colour", "slope")} | {c: s["own"][:, k] for k, c in enumerate(COLOURS)} | {f"fixed_{c}": s["fixed"][:, k] for k, c in enumerate(COLOURS)}
+        return _table(single_schema, [({"src": out["src"], "dst": out["dst"], "region": name}, columns(s)) for out, parts in _compared(rows, t) for name, s in parts.items()])
+
+    corrected = groups.applyInArrow(fixed, single)
+    rows = _shares(groups.applyInArrow(judged, summary))
+    rows = rows.select("src", "dst", *(c.split()[0] for c in counts), *(c for c in rows.columns if c.endswith("_fraction") and c != "bad_pixel_fraction"), "reason", *measures)
+    rows = rows.withColumn("core_excess_p95", F.col("core_colour_p95") - F.col("control_colour_p95")).withColumn("evaluable", F.col("reason").isNull())
     gates = [(f"{r}_valid_fraction", F.col(f"{r}_valid_fraction") >= t[f"{r}_valid_fraction"]) for r in ("core", "control")]
     gates += [(c, F.col(c) <= t[c]) for c in ("control_colour_p95", "core_colour_p95", "core_excess_p95", "core_gradient_p95", "bad_pixel_fraction")]
     rows = rows.withColumn("failed_gates", F.when(F.col("evaluable"), _gates(gates)))

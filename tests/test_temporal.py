@@ -152,3 +152,14 @@ def test_packed_pixels_come_back(spark):
         got |= {(r.name, r.part, *p): (u, v) for *p, u, v in zip(y.tolist(), x.tolist(), dx.tolist(), dy.tolist(), strict=True)}
     assert set(got) == {r[:4] for r in rows[:50]}
     assert all(got[r[:4]] == pytest.approx((np.nan if r[4] is None else r[4], r[5]), nan_ok=True) for r in rows[:50])
+
+
+def test_pairs_write_and_shuffle_packed_images_only(spark, monkeypatch):
+    images = {f: pattern(f) for f in range(3)}
+    steps, regions, sizes, pixels = frames(spark, images, {(a, b): moved(float(b - a)) for a in range(3) for b in (a - 1, a + 1) if 0 <= b < 3})
+    written, plain = [], temporal.checkpointed
+    monkeypatch.setattr(temporal, "checkpointed", lambda df: written.append(plain(df)) or written[-1])
+    pairs, valid = temporal.temporal_pairs(steps.coalesce(1), regions, sizes, pixels, {"region_pixels": 40})
+    assert [w.count() for w in written] == [4] and not {"y", "x"} & (_dealt_by(pairs) | _dealt_by(valid))
+    assert all(r.passed for r in pairs.collect()) and {(r.src, r.dst) for r in valid.select("src", "dst").distinct().collect()} == {(0, 1), (1, 0), (1, 2), (2, 1)}
+    assert valid.where("region = 'core'").first().asDict().keys() == {"src", "dst", "y", "x", "region", "r", "g", "b", "fixed_r", "fixed_g", "fixed_b", "colour", "slope"}
