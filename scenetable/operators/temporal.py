@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -376,6 +376,31 @@ def temporal_pairs(flow: DataFrame, regions: DataFrame, sizes: DataFrame, images
     return rows.withColumn("passed", F.col("evaluable") & (F.size("failed_gates") == 0)), corrected
 
 
+def _second_differences(schema: pa.Schema) -> Callable[[pa.Table], pa.Table]:
+    """Of a triplet's packed pixels: how many are valid on both sides by region, and how far the corrected ones lie from their mean."""
+
+    def found(rows: pa.Table) -> pa.Table:
+        held: dict[tuple, list] = {}
+        for r in rows.to_pylist():
+            held.setdefault((r["kind"], r["_d"], r["region"]), []).append((r["n"], r["blob"]))
+        out = {k: rows[k][0].as_py() for k in ("previous", "centre", "following")}
+        for r in ("core", "control"):
+            of = lambda kind, side, r=r: _Pixels(held[kind, out[side], r], _PLACE if kind == "valid" else _FIXED) if (kind, out[side], r) in held else None
+            p, n = of("valid", "previous"), of("valid", "following")
+            both = n.find(p.y, p.x)[1] if p and n else np.zeros(0, bool)
+            out |= {f"{r}_valid": int(both.sum()), f"{r}_mean": None, f"{r}_difference_p95": None}
+            a, b = of("fixed", "previous"), of("fixed", "following")
+            if both.any() and a and b:
+                y, x = p.y[both], p.x[both]
+                (i, here), (j, there) = a.find(y, x), b.find(y, x)
+                i, j = i[here & there], j[here & there]
+                off = _known(np.abs(a.values[i, :3] - (a.values[i, 3:] + b.values[j, 3:]) / 2).sum(1) / 3)
+                out |= {f"{r}_mean": _mean(off), f"{r}_difference_p95": _p95(off)}
+        return pa.Table.from_pylist([out], schema)
+
+    return found
+
+
 def temporal_triplets(triplets: DataFrame, pixels: DataFrame, regions: DataFrame, validity: DataFrame, limits: dict[str, float] | None = None) -> DataFrame:
     """How far the centre of each triplet (previous, centre, following) lies from the mean of its neighbours, both warped and corrected.
 
@@ -384,20 +409,16 @@ def temporal_triplets(triplets: DataFrame, pixels: DataFrame, regions: DataFrame
     a triplet with too few valid pixels or without both exposures is not evaluable and does not pass.
     """
     t = THRESHOLDS | (limits or {})
-    sides = {"previous": "p", "following": "n"}
-    good = validity.where("valid").select(F.col("src").alias("centre"), F.col("dst").alias("_d"), "y", "x", "region")
-    both = triplets.join(by_sort(good.withColumnRenamed("_d", "previous")), ["centre", "previous"]).join(by_sort(good.withColumnRenamed("_d", "following")), ["centre", "following", "y", "x", "region"])
-    counts = both.groupBy("previous", "centre", "following").agg(*(F.count_if(F.col("region") == r).alias(f"{r}_valid") for r in ("core", "control")))
     whole = regions.groupBy(F.col("frame_id").alias("centre")).agg(*(F.count_if(F.col("region") == r).alias(f"{r}_pixels") for r in ("core", "control")))
-    mine = both
-    for side, k in sides.items():
-        other = pixels.select(F.col("src").alias("centre"), F.col("dst").alias(side), "y", "x", "region", *(F.col(f"fixed_{c}").alias(f"{k}_{c}") for c in COLOURS), *([F.col(c) for c in COLOURS] if k == "p" else []))
-        mine = mine.join(by_sort(other), ["centre", side, "y", "x", "region"])
-    off = sum(F.abs(F.col(c) - (F.col(f"p_{c}") + F.col(f"n_{c}")) / 2) for c in COLOURS) / 3
-    of = lambda region: F.when(F.col("region") == region, F.col("off"))
-    found = mine.withColumn("off", off).groupBy("previous", "centre", "following").agg(*(f(of(r)).alias(f"{r}_{n}") for r in ("core", "control") for n, f in (("mean", F.avg), ("difference_p95", lambda c: F.percentile(c, 0.95)))))
+    parts = max(regions.sparkSession.sparkContext.defaultParallelism, -(-4 * regions.count() // PART_ROWS))
+    blobs = packed(validity.where("valid"), ["src", "dst", "region"], _PLACE).withColumn("kind", F.lit("valid")).union(packed(pixels, ["src", "dst", "region"], _FIXED).withColumn("kind", F.lit("fixed")))
+    blobs = blobs.withColumnsRenamed({"src": "centre", "dst": "_d"}).repartition(parts, "centre")
+    mine = blobs.join(by_sort(triplets.select("previous", "centre", "following").distinct().withColumnRenamed("centre", "_c")), (F.col("centre") == F.col("_c")) & ((F.col("_d") == F.col("previous")) | (F.col("_d") == F.col("following")))).drop("_c")
+    kinds = dict(triplets.dtypes) | {"centre": dict(blobs.dtypes)["centre"]}
+    text = ", ".join([f"previous {kinds['previous']}, centre {kinds['centre']}, following {kinds['following']}, core_valid long, control_valid long", *(f"{r}_{n} double" for r in ("core", "control") for n in ("mean", "difference_p95"))])
+    found = mine.groupBy("previous", "centre", "following").applyInArrow(_second_differences(_schema(text)), text)
     count = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    rows = triplets.join(counts, ["previous", "centre", "following"], "left").join(whole, "centre", "left").join(found, ["previous", "centre", "following"], "left")
+    rows = triplets.join(by_sort(whole), "centre", "left").join(by_sort(found), ["previous", "centre", "following"], "left")
     rows = rows.select("previous", "centre", "following", *(count(f"{r}_{c}") for r in ("core", "control") for c in ("pixels", "valid")), *(f"{r}_{c}" for r in ("core", "control") for c in ("mean", "difference_p95")))
     rows = rows.withColumns({f"{r}_valid_fraction": F.when(F.col(f"{r}_pixels") > 0, F.col(f"{r}_valid") / F.col(f"{r}_pixels")).otherwise(0.0) for r in ("core", "control")} | {"excess_p95": F.col("core_difference_p95") - F.col("control_difference_p95")})
     reason = F.when(F.col("core_valid") < t["region_pixels"], "too few valid core pixels").when(F.col("control_valid") < t["region_pixels"], "too few valid control pixels").when(F.col("core_mean").isNull() | F.col("control_mean").isNull(), "an exposure fit is missing")

@@ -163,3 +163,24 @@ def test_pairs_write_and_shuffle_packed_images_only(spark, monkeypatch):
     assert [w.count() for w in written] == [4] and not {"y", "x"} & (_dealt_by(pairs) | _dealt_by(valid))
     assert all(r.passed for r in pairs.collect()) and {(r.src, r.dst) for r in valid.select("src", "dst").distinct().collect()} == {(0, 1), (1, 0), (1, 2), (2, 1)}
     assert valid.where("region = 'core'").first().asDict().keys() == {"src", "dst", "y", "x", "region", "r", "g", "b", "fixed_r", "fixed_g", "fixed_b", "colour", "slope"}
+
+
+def test_triplets_shuffle_packed_pixels_only(spark):
+    images = {f: pattern(f) for f in range(4)}
+    images[2] = images[2] + 8.0 * (np.arange(W) % 2)[None, :, None]
+    steps, regions, sizes, pixels = frames(spark, images, {(a, b): moved(float(b - a)) for a in range(4) for b in (a - 1, a + 1) if 0 <= b < 4})
+    limits = {"region_pixels": 40}
+    valid = temporal.temporal_pairs(steps, regions, sizes, pixels, limits)[1]
+    triplets = spark.createDataFrame([(0, 1, 2), (1, 2, 3), (5, 6, 7)], "previous int, centre int, following int")
+    out = temporal.temporal_triplets(triplets, valid, regions, temporal.flow_validity(steps, regions, sizes), limits)
+    assert not {"y", "x"} & _dealt_by(out)
+    held = {(r.src, r.dst, r.y, r.x): r for r in valid.collect()}
+    got = {r.centre: r for r in out.collect()}
+    for p, c, n in ((0, 1, 2), (1, 2, 3)):
+        off = {k: [] for k in ("core", "control")}
+        for (s, d, y, x), r in held.items():
+            if (s, d) == (c, p) and (o := held.get((c, n, y, x))):
+                off[r.region].append(sum(abs(r[k] - (r[f"fixed_{k}"] + o[f"fixed_{k}"]) / 2) for k in "rgb") / 3)
+        assert (got[c].core_valid, got[c].control_valid) == (len(off["core"]), len(off["control"]))
+        assert got[c].core_mean == pytest.approx(np.mean(off["core"])) and got[c].control_difference_p95 == pytest.approx(np.quantile(off["control"], 0.95))
+    assert (got[6].core_valid, got[6].evaluable, got[6].reason) == (0, False, "too few valid core pixels")
