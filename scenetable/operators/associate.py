@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import camera_center
-from .common import checkpointed, small
+from .common import by_sort, checkpointed, small
 from .match import assign, pair_scores, separated_evidence
 from .pixels import dilate
 from .visibility import visible_pixels
@@ -29,9 +29,9 @@ def pair_metrics(seen: DataFrame, masks: DataFrame, detections: DataFrame, dilat
     sizes = shown.groupBy("frame_id", "obj").agg(_box("px", "py").alias("box_a"), F.min("depth").alias("depth_min"), F.percentile("depth", 0.5).alias("depth_median"), F.max("depth").alias("depth_max"))
     mask = masks.select("frame_id", "detection_id", F.col("y").alias("py"), F.col("x").alias("px")).distinct()
     areas = mask.groupBy("frame_id", "detection_id").agg(F.count("*").alias("n_mask"), _box("px", "py").alias("box_b"))
-    hits = shown.join(mask, ["frame_id", "px", "py"]).groupBy("frame_id", "obj", "detection_id").agg(F.count("*").alias("n_hit"))
+    hits = shown.join(by_sort(mask), ["frame_id", "px", "py"]).groupBy("frame_id", "obj", "detection_id").agg(F.count("*").alias("n_hit"))
     wide = dilate(shown.select(F.struct("frame_id", "obj").alias("frame_id"), F.col("py").alias("y"), F.col("px").alias("x")), dilation).select("frame_id.frame_id", "frame_id.obj", F.col("y").alias("py"), F.col("x").alias("px"))
-    near = wide.join(mask, ["frame_id", "px", "py"]).groupBy("frame_id", "obj", "detection_id").agg(F.count("*").alias("n_supported"))
+    near = wide.join(by_sort(mask), ["frame_id", "px", "py"]).groupBy("frame_id", "obj", "detection_id").agg(F.count("*").alias("n_supported"))
     rows = near.join(hits, ["frame_id", "obj", "detection_id"], "left").join(own, ["frame_id", "obj"]).join(sizes, ["frame_id", "obj"]).join(areas, ["frame_id", "detection_id"]).join(detections.select("frame_id", "detection_id", F.least(F.lit(1.0), F.greatest(F.lit(0.0), "score")).alias("score")), ["frame_id", "detection_id"])
     rows = rows.withColumns({"n_hit": F.coalesce("n_hit", F.lit(0)), "n_occluded": F.col("n_projected") - F.col("n_visible")})
     return pair_scores(rows)

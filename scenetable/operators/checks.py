@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import by_sort
 from .pixels import PIXEL, dilate
 
 COLOURS = ("r", "g", "b")
@@ -142,8 +143,8 @@ def outside_unchanged(source: DataFrame, output: DataFrame, mask: DataFrame, dil
     """
     new = output.select(*PIXEL, *(F.col(c).alias(f"_{c}") for c in COLOURS))
     delta = sum(F.abs(F.col(f"_{c}") - F.col(c)) for c in COLOURS) / 3
-    rows = source.join(new, PIXEL).withColumn("delta", delta).select(*PIXEL, "delta")
-    rows = rows.join(mask.select(*PIXEL).distinct().withColumn("in", F.lit(True)), PIXEL, "left").join(dilate(mask, dilation).withColumn("near", F.lit(True)), PIXEL, "left")
+    rows = source.join(by_sort(new), PIXEL).withColumn("delta", delta).select(*PIXEL, "delta")
+    rows = rows.join(by_sort(mask.select(*PIXEL).distinct().withColumn("in", F.lit(True))), PIXEL, "left").join(by_sort(dilate(mask, dilation).withColumn("near", F.lit(True))), PIXEL, "left")
     inside, outside = F.when(F.col("in"), F.col("delta")), F.when(F.col("near").isNull(), F.col("delta"))
     out = rows.groupBy("frame_id").agg(F.count(inside).alias("n_inside"), F.avg(inside).alias("inside"), F.count(outside).alias("n_outside"), F.avg(outside).alias("outside"), F.max(outside).alias("outside_max"))
     return out.withColumn("passed", F.coalesce((F.col("outside") <= most_outside) & (F.col("inside") >= least_inside), F.lit(False)))

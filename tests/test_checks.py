@@ -73,3 +73,14 @@ def test_trim_and_unchanged(spark):
     assert got == {0: (3.0, 0.0, True), 1: (3.0, 1.0, False)}
     s = checks.colour_stats(px, ["frame_id"]).first()
     assert (s.n, s.mean_g, s.std_b, s.p90_r) == (400, 20.0, 0.0, 10.0)
+
+
+def test_masks_are_not_broadcast(spark):
+    """A dilated mask looks as small to Spark as the mask's own pixels, which few bytes hold."""
+    from pyspark.sql import functions as F
+
+    px = spark.range(40 * 40 * 3).select((F.col("id") % 3).alias("frame_id"), (F.col("id") / 3 % 40).cast("int").alias("y"), (F.col("id") / 120).cast("int").alias("x"), *(F.lit(7).alias(c) for c in "rgb"))
+    out = checks.outside_unchanged(px, px.withColumn("r", F.col("r") + F.when(F.col("x") < 20, 6).otherwise(0)), px.where("x BETWEEN 5 AND 19 AND y BETWEEN 5 AND 30"))
+    got = {r.frame_id: (r.n_inside, r.n_outside, r.inside, r.passed) for r in out.collect()}
+    assert got == {f: (15 * 26, 1600 - 23 * 34, 2.0, True) for f in range(3)}
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
